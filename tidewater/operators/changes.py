@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 from tidewater.functions.columns import normalized
@@ -102,27 +103,44 @@ def operation_rank(op: Column) -> Column:
     return expr
 
 
+def _hashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return False
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    return True
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A deterministic hash of every hashable column (the last tie-break)."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
+
+
 def latest_per_key(df: DataFrame, keys: list[str], seq: str = "_changeSequence",
                    op: str | None = "_operation") -> DataFrame:
     """WIN-1 / WIN-2: the latest change per key.
 
     Order: sequence descending (NULL last), then operation rank, then a hash
     of the whole row, so ties have one deterministic winner (H3). A NULL key
-    is one key. Expressed as ``max(struct(order..., row...))`` per key: a
-    partial aggregate runs before the shuffle, so skewed keys are cheap.
+    is one key. Expressed as ``max_by(row, order)`` per key: a partial
+    aggregate runs before the shuffle, so a hot key costs one row per input
+    partition, not one task holding all its rows.
     """
     key_set = {k.upper() for k in keys}
     key_cols = [c for c in df.columns if c.upper() in key_set]
     if len(key_cols) != len(key_set):
         raise ValueError(f"keys {keys} not all in {df.columns}")
     rest = [c for c in df.columns if c.upper() not in key_set]
-    order = [
-        F.col(seq).alias("__seq"),
-        (operation_rank(F.col(op)) if op else F.lit(0)).alias("__rank"),
-        F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie"),
-    ]
-    best = df.groupBy(*key_cols).agg(F.max(F.struct(*order, *[F.col(c) for c in rest])).alias("__best"))
-    return best.select(*[F.col(c) if c in key_cols else F.col(f"__best.{c}").alias(c) for c in df.columns])
+    order = F.struct(
+        F.col(seq).alias("seq"),
+        (operation_rank(F.col(op)) if op else F.lit(0)).alias("rank"),
+        row_hash(df).alias("tie"),
+    )
+    best = df.groupBy(*key_cols).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__best"))
+    return best.select(*[F.col(c) if c in key_cols else F.col(f"__best.`{c}`").alias(c) for c in df.columns])
 
 
 def live_rows(df: DataFrame, op: str = "_operation") -> DataFrame:
@@ -142,12 +160,12 @@ def distinct_values(df: DataFrame, c: str, alias: str) -> DataFrame:
 
 def first_per_key(df: DataFrame, key: Column, alias: str, order: list[str]) -> DataFrame:
     """AGG-2: one row per key (NULL is one key); the survivor is the first
-    row in ``order``, chosen by a partial-then-final aggregate."""
-    rest = [c for c in df.columns]
-    tagged = df.withColumn(alias, key)
-    best = tagged.groupBy(alias).agg(
-        F.min(F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"__v_{c}") for c in rest])).alias("__first"))
-    return best.select(alias, *[F.col(f"__first.__v_{c}").alias(c) for c in rest])
+    row in ``order`` (hash tie-break), chosen by a partial-then-final aggregate."""
+    rest = list(df.columns)
+    ordering = F.struct(*[F.col(c) for c in order], row_hash(df).alias("__tie"))
+    best = df.withColumn(alias, key).groupBy(alias).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordering).alias("__first"))
+    return best.select(alias, *[F.col(f"__first.`{c}`").alias(c) for c in rest])
 
 
 def is_empty(df: DataFrame) -> bool:
