@@ -22,6 +22,7 @@ from tidewater.functions.types import apply_types, resolve_types
 from tidewater.operators import changes as CH
 from tidewater.operators.counts import count_input, count_rollup, max_value
 from tidewater.operators.merge import merge_upsert, snapshot_rows
+from tidewater.operators.partitioning import spread
 from tidewater.plans import counts as CNT
 from tidewater.plans import registry as REG
 from tidewater.plans import structured as ST
@@ -35,6 +36,7 @@ GATE_START = "2024-01-10 00:00:00"
 DEMO_KEY = "tidewater-demo-key-32-bytes-long"
 DEMO_KEY_ID = "demo"
 LISTED_TABLES = ["src.events_0", "SRC.EVENTS_2"]
+WEEK_CUTS = ["2024-01-09 00:00:00", "2024-01-17 00:00:00", "2024-01-25 00:00:00"]
 WALL_CLOCK = {"_structuredLayerProcessingTime", "_dbProcessingTimestamp", "logTimeStamp", "_logTimeStamp",
               "_commit_timestamp"}
 OPTS = RunOptions()
@@ -59,7 +61,7 @@ def present(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- inputs
 
 def events(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/events.parquet")
+    return spread(spark.read.parquet(f"{d}/events.parquet"), "event_id")
 
 
 def entries(n_tables: int = 1) -> list[RegistryEntry]:
@@ -78,6 +80,13 @@ def raw(spark: SparkSession, d: str, n_tables: int = 1) -> DataFrame:
     return feed.data_envelopes(events(spark, d), n_tables)
 
 
+def raw_table(spark: SparkSession, d: str, n_tables: int = 1) -> DataFrame:
+    """The raw table as the ingest leg leaves it: envelopes written once."""
+    path = scratch_path(spark, "raw")
+    raw(spark, d, n_tables).write.parquet(path)
+    return spark.read.schema(RAW_SCHEMA).parquet(path)
+
+
 def decoded(spark: SparkSession, d: str, entry: RegistryEntry) -> DataFrame:
     return ST.decode_rows(raw(spark, d), entry, OPTS)
 
@@ -103,7 +112,7 @@ def update_set(spark: SparkSession, d: str, entry: RegistryEntry,
 def flagship_table(spark: SparkSession, d: str, counts_path: str | None = None) -> str:
     """Process S1 then S2 of the whole feed into a fresh table; return its path."""
     root = scratch_path(spark, "structured")
-    batch = raw(spark, d)
+    batch = raw_table(spark, d)
     cfg = TableConfig(feed.SOURCE_SCHEMA, feed.SINGLE_TABLE)
     for e in entries():
         ST.process_schema(spark, batch, 0, e, cfg, root, OPTS, counts_path)
@@ -309,13 +318,21 @@ def q_merge_partial(spark, d):
     return present(snapshot_rows(merge_upsert(old, new, ["RRN"])))
 
 
+def week_batches(r: DataFrame) -> list[DataFrame]:
+    """The raw feed cut into four batches by enqueue time (pushed to the scan)."""
+    t = F.col("enqueuedTime")
+    cuts = [F.lit(x).cast("timestamp") for x in WEEK_CUTS]
+    return [r.filter(t < cuts[0]), r.filter((t >= cuts[0]) & (t < cuts[1])),
+            r.filter((t >= cuts[1]) & (t < cuts[2])), r.filter(t >= cuts[2])]
+
+
 def _feed_batches(spark, d, order: list[int]) -> DataFrame:
     """Split the raw feed into four batches by capture week and apply them in ``order``."""
     root = scratch_path(spark, "batches")
-    r = raw(spark, d).withColumn("_wk", F.least(F.floor((F.dayofmonth("enqueuedTime") - 1) / 8), F.lit(3)))
+    weeks = week_batches(raw_table(spark, d))
     cfg = TableConfig(feed.SOURCE_SCHEMA, feed.SINGLE_TABLE)
     for wk in order:
-        batch = r.filter(F.col("_wk") == wk).drop("_wk")
+        batch = weeks[wk]
         for e in entries():
             ST.process_schema(spark, batch, wk, e, cfg, root, OPTS)
     return tables.read_table(spark, ST.table_path(root, feed.SOURCE_SCHEMA, feed.SINGLE_TABLE))
@@ -412,9 +429,8 @@ def q_max_date(spark, d):
 def q_count_rollup_incr(spark, d):
     """Detail appended in four weekly batches, incremental roll-up after each."""
     detail_path, agg_path = scratch_path(spark, "detail"), scratch_path(spark, "agg")
-    r = raw(spark, d).withColumn("_wk", F.least(F.floor((F.dayofmonth("enqueuedTime") - 1) / 8), F.lit(3)))
-    for wk in range(4):
-        batch = r.filter(F.col("_wk") == wk).drop("_wk")
+    weeks = week_batches(raw_table(spark, d))
+    for wk, batch in enumerate(weeks):
         for e in entries():
             x = ST.decode_rows(batch, e, OPTS)
             CNT.append_counts(spark, detail_path, CNT.count_detail(

@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Partitioned version writes keep one file per change kind open instead of sorting.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
