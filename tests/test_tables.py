@@ -29,7 +29,7 @@ def test_uncommitted_version_is_invisible(spark):
     tables.overwrite(spark, path, state(spark, [("A", "INSERT", "100", "1")]))
     # a failed attempt leaves files but no commit
     state(spark, [("Z", "INSERT", "200", "9")]).withColumn("_row_kind", F.lit("C")) \
-        .write.partitionBy("_row_kind").parquet(f"{path}/v=1")
+        .write.partitionBy("_row_kind").parquet(f"{path}/_version=1")
     assert as_set(tables.read_table(spark, path), "RRN") == {("A",)}
     tables.merge(spark, path, state(spark, [("B", "INSERT", "101", "2")]), ["RRN"])
     assert as_set(tables.read_table(spark, path), "RRN") == {("A",), ("B",)}
@@ -49,3 +49,32 @@ def test_append_merges_schema_and_keeps_partitioning(spark):
 def test_empty_frame(spark):
     df = tables.empty_frame(spark, state(spark, []).schema)
     assert df.count() == 0 and df.columns == ["RRN", "_operation", "_changeSequence", "AMOUNT"]
+
+
+def test_merge_rewrites_only_touched_buckets(spark):
+    from tidewater.sources import fs
+    path = scratch_path(spark, "t")
+    base = [(f"K{i}", "INSERT", "100", str(i)) for i in range(200)]
+    tables.merge(spark, path, state(spark, base), ["RRN"], buckets=16)
+    tables.merge(spark, path, state(spark, [("K7", "UPDATE", "101", "x"), ("NEW", "INSERT", "101", "n")]), ["RRN"])
+    log = tables.commits(spark, path)
+    assert log[0]["written"] is None and len(log[1]["written"]) <= 2
+    written = sorted(n for n in fs.list_names(spark, f"{path}/_version=1") if n.startswith("_bucket="))
+    assert written == sorted(f"_bucket={b}" for b in log[1]["written"])
+    cur = tables.read_table(spark, path)
+    assert cur.count() == 201
+    assert as_set(cur.filter(F.col("RRN").isin("K7", "NEW", "K8")), "RRN", "AMOUNT") == {
+        ("K7", "x"), ("NEW", "n"), ("K8", "8")}
+    # an older version still reads as it was
+    assert as_set(tables.read_table(spark, path, version=0).filter(F.col("RRN") == "K7"), "AMOUNT") == {("7",)}
+    # a later full rewrite supersedes the per-bucket layout
+    tables.compact(spark, path, 4)
+    assert tables.read_table(spark, path).count() == 201
+
+
+def test_data_column_named_like_layout_columns(spark):
+    path = scratch_path(spark, "t")
+    df = spark.createDataFrame([("A", "100", 1, 2)], "RRN STRING, _changeSequence STRING, V BIGINT, BUCKET BIGINT")
+    tables.merge(spark, path, df, ["RRN"], buckets=4)
+    tables.merge(spark, path, spark.createDataFrame([("A", "101", 3, 4)], df.schema), ["RRN"])
+    assert as_set(tables.read_table(spark, path), "RRN", "V", "BUCKET") == {("A", 3, 4)}

@@ -1,20 +1,26 @@
 """Versioned current-state tables on Parquet (SRC-5..9, SNK-6..11).
 
-A table is ``<path>/v=<N>/_row_kind=<K>/`` plus a commit log
-``<path>/_commits/<N>.json``. A version counts only once its commit file
-exists, so a failed write is invisible and is overwritten by the retry.
-Snapshot versions (overwrite, merge, delete, compact) hold the whole table;
-append versions hold only the appended rows. The current table is the last
-snapshot plus the appends after it. Change rows live beside the snapshot
-rows of the same version, told apart by ``_row_kind`` (see ``merge``), so
-one write serves both and readers prune by partition.
+A table is ``<path>/_version=<N>/...`` plus a commit log ``<path>/_commits/<N>.json``.
+A version counts only once its commit file exists, so a failed write is
+invisible and is overwritten by the retry.
+
+Keyed tables are hash-bucketed: ``_bucket = pmod(xxhash64(keys), buckets)``
+is a partition directory. A merge reads and rewrites only the buckets its
+updates touch; the others stay in the versions that last wrote them. The
+commit log therefore yields a manifest ``bucket -> version``. Change rows sit
+beside the snapshot rows of the same version, told apart by ``_row_kind``
+(see ``operators.merge``), so one write serves both and readers prune by
+partition. Tables without keys (counts, registry) are plain append/snapshot
+tables.
+
+Sizing: a bucket is rewritten by one task, so ``buckets`` should be about
+table bytes / 512 MB; more buckets also make small merges cheaper.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +29,12 @@ from tidewater.operators.merge import CHANGE_KINDS, ROW_KIND, SNAPSHOT_KINDS, me
 from tidewater.sources import fs
 
 COMMITS = "_commits"
+BUCKET = "_bucket"
+VERSION = "_version"
+DEFAULT_BUCKETS = 64
 SNAPSHOT_OPS = ("overwrite", "merge", "delete", "compact")
+# Largest number of touched bucket ids fetched to the driver for one merge.
+MAX_BUCKETS = 100_000
 
 
 def _commit_name(v: int) -> str:
@@ -53,64 +64,123 @@ def table_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType.fromJson(log[-1]["schema"]) if log else T.StructType()
 
 
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+
+
 def _merge_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     names = {f.name.upper() for f in old.fields}
     return T.StructType(list(old.fields) + [f for f in new.fields if f.name.upper() not in names])
 
 
-def _read_versions(spark: SparkSession, path: str, versions: list[int], schema: T.StructType,
-                   kinds: tuple[str, ...]) -> DataFrame:
-    full = T.StructType(list(schema.fields) + [
-        T.StructField("v", T.IntegerType()), T.StructField(ROW_KIND, T.StringType())])
+def _layout(log: list[dict]) -> tuple[int | None, dict[int, int], list[int]]:
+    """From the commit log: the base snapshot version, bucket overrides
+    written after it, and append versions after it."""
+    base, overrides, appends = None, {}, []
+    for c in log:
+        if c["operation"] in SNAPSHOT_OPS and c.get("written") is None:
+            base, overrides, appends = c["version"], {}, []
+        elif c["operation"] in SNAPSHOT_OPS:
+            for b in c["written"]:
+                overrides[b] = c["version"]
+        else:
+            appends.append(c["version"])
+    return base, overrides, appends
+
+
+def _full_schema(log: list[dict], schema: T.StructType) -> T.StructType:
+    meta = log[-1]
+    fields = [f for f in schema.fields if f.name not in meta.get("partition_by", [])]
+    parts = [T.StructField(VERSION, T.IntegerType())]
+    if meta.get("buckets"):
+        parts.append(T.StructField(BUCKET, T.IntegerType()))
+    parts.append(T.StructField(ROW_KIND, T.StringType()))
+    parts += [f for f in schema.fields if f.name in meta.get("partition_by", [])]
+    return T.StructType(fields + parts)
+
+
+def _scan(spark: SparkSession, path: str, log: list[dict], versions: list[int]) -> DataFrame:
+    schema = T.StructType.fromJson(log[-1]["schema"])
+    full = _full_schema(log, schema)
     if not versions:
         return spark.createDataFrame([], full)
-    paths = [f"{path}/v={v}" for v in versions]
-    df = spark.read.schema(full).option("basePath", path).parquet(*paths)
-    return df.filter(F.col(ROW_KIND).isin(*kinds))
+    return spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/{VERSION}={v}" for v in sorted(set(versions))])
 
 
-def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """SRC-6: current rows (or as of ``version``)."""
+def read_table(spark: SparkSession, path: str, version: int | None = None, buckets: list[int] | None = None,
+               keep_bucket: bool = False) -> DataFrame:
+    """SRC-6: current rows (or as of ``version``), optionally only some buckets."""
     log = commits(spark, path)
     if version is not None:
         log = [c for c in log if c["version"] <= version]
     if not log:
         raise FileNotFoundError(f"no committed version under {path}")
     schema = T.StructType.fromJson(log[-1]["schema"])
-    base = max(i for i, c in enumerate(log) if c["operation"] in SNAPSHOT_OPS) if any(
-        c["operation"] in SNAPSHOT_OPS for c in log) else 0
-    versions = [c["version"] for c in log[base:]]
-    return _read_versions(spark, path, versions, schema, SNAPSHOT_KINDS).drop("v", ROW_KIND)
+    base, overrides, appends = _layout(log)
+    bucketed = bool(log[-1].get("buckets"))
+    versions = ([base] if base is not None else []) + list(overrides.values()) + appends
+    df = _scan(spark, path, log, versions)
+    cond = F.col(VERSION).isin(*appends) if appends else F.lit(False)
+    if base is not None:
+        keep = F.col(VERSION) == base
+        if overrides:
+            keep = keep & ~F.col(BUCKET).isin(*overrides)
+        cond = cond | keep
+    by_version: dict[int, list[int]] = {}
+    for b, v in overrides.items():
+        by_version.setdefault(v, []).append(b)
+    for v, bs in by_version.items():
+        cond = cond | ((F.col(VERSION) == v) & F.col(BUCKET).isin(*sorted(bs)))
+    if buckets is not None and bucketed:
+        cond = cond & F.col(BUCKET).isin(*buckets)
+    df = df.filter(cond & F.col(ROW_KIND).isin(*SNAPSHOT_KINDS))
+    return df.select(*[c for c in schema.fieldNames()], *([BUCKET] if keep_bucket and bucketed else []))
 
 
 def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
-           partition_by: tuple[str, ...] | None = None) -> int:
-    """Write ``rows`` (with ``_row_kind``) as the next version and commit it.
-
-    A table keeps the partition columns of its first write.
-    """
+           partition_by: tuple[str, ...] | None = None, keys: list[str] | None = None,
+           buckets: int = 0, written: list[int] | None = None) -> int:
+    """Write ``rows`` (with ``_row_kind`` and, when bucketed, ``_bucket``) as
+    the next version and commit it. A table keeps the layout of its first write."""
     log = commits(spark, path)
     v = 0 if not log else log[-1]["version"] + 1
-    schema = T.StructType([f for f in rows.schema.fields if f.name != ROW_KIND])
+    schema = T.StructType([f for f in rows.schema.fields if f.name not in (ROW_KIND, BUCKET)])
     if log:
         schema = _merge_schema(T.StructType.fromJson(log[-1]["schema"]), schema)
         partition_by = tuple(log[-1].get("partition_by", ()))
+        keys, buckets = log[-1].get("keys"), log[-1].get("buckets", 0)
     partition_by = tuple(partition_by or ())
-    (rows.write.mode("overwrite").partitionBy(ROW_KIND, *partition_by).parquet(f"{path}/v={v}"))
+    parts = ([BUCKET] if buckets else []) + [ROW_KIND] + list(partition_by)
+    rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{VERSION}={v}")
     commit = {
         "version": v,
         "operation": operation,
         "timestamp": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
         "schema": json.loads(schema.json()),
         "partition_by": list(partition_by),
+        "keys": keys,
+        "buckets": buckets,
+        "written": written,
     }
     fs.write_text(spark, f"{path}/{COMMITS}/{_commit_name(v)}", json.dumps(commit))
     return v
 
 
-def overwrite(spark: SparkSession, path: str, df: DataFrame) -> int:
-    """SNK-9: first load (or full replace). Rows count as inserts in the feed."""
-    return _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "overwrite")
+def _meta(spark: SparkSession, path: str) -> dict:
+    log = commits(spark, path)
+    return log[-1] if log else {}
+
+
+def overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | None = None,
+              buckets: int = DEFAULT_BUCKETS) -> int:
+    """SNK-9: first load (or full replace). Rows count as inserts in the feed.
+
+    With ``keys`` the table is bucketed by them."""
+    rows = df.withColumn(ROW_KIND, F.lit("I"))
+    if keys:
+        rows = rows.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(buckets, BUCKET)
+        return _write(spark, path, rows, "overwrite", keys=list(keys), buckets=buckets)
+    return _write(spark, path, rows, "overwrite")
 
 
 def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[str, ...] | None = None) -> int:
@@ -118,44 +188,90 @@ def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[st
     return _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by)
 
 
+def _co_partition(spark: SparkSession) -> None:
+    # Both merge inputs are shuffled once by bucket; let the join accept that
+    # partitioning instead of shuffling again on all join keys.
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
-          seq: str = "_changeSequence", update_cols: list[str] | None = None) -> int:
-    """SEM-5: sequence-guarded upsert into the table; first load when absent."""
+          seq: str = "_changeSequence", update_cols: list[str] | None = None,
+          buckets: int = DEFAULT_BUCKETS) -> int:
+    """SEM-5: sequence-guarded upsert; first load when the table is absent.
+
+    Only buckets holding an updated key are read, joined and rewritten.
+    """
     if not table_exists(spark, path):
-        return overwrite(spark, path, updates)
-    merged = merge_upsert(read_table(spark, path), updates, keys, seq, update_cols)
-    return _write(spark, path, merged, "merge")
+        return overwrite(spark, path, updates, keys, buckets)
+    meta = _meta(spark, path)
+    n = meta.get("buckets", 0)
+    if not n:
+        merged = merge_upsert(read_table(spark, path), updates, keys, seq, update_cols)
+        return _write(spark, path, merged, "merge")
+    schema = T.StructType.fromJson(meta["schema"])
+    types = {f.name.upper(): f.dataType for f in schema.fields}
+    # Key values take the table's types so they hash to the table's buckets.
+    upd = updates.select(*[F.col(f"`{c}`").cast(types[c.upper()]).alias(c)
+                           if c.upper() in {k.upper() for k in keys} and c.upper() in types else F.col(f"`{c}`")
+                           for c in updates.columns])
+    upd = upd.withColumn(BUCKET, bucket_of(keys, n)).persist()
+    try:
+        touched = sorted(r[0] for r in upd.select(BUCKET).distinct().limit(MAX_BUCKETS + 1).collect())
+        if not touched:
+            return meta["version"]
+        existing = read_table(spark, path, buckets=touched, keep_bucket=True)
+        _co_partition(spark)
+        parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism * 4))
+        merged = merge_upsert(existing.repartition(parts, BUCKET), upd.repartition(parts, BUCKET),
+                              keys, seq, update_cols, partition_col=BUCKET)
+        return _write(spark, path, merged, "merge", written=touched)
+    finally:
+        upd.unpersist()
+
+
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, operation: str, files: int | None = None) -> int:
+    meta = _meta(spark, path)
+    if meta.get("buckets"):
+        rows = rows.withColumn(BUCKET, bucket_of(meta["keys"], meta["buckets"]))
+        rows = rows.repartition(files or meta["buckets"], BUCKET)
+    elif files:
+        rows = rows.repartition(files)
+    return _write(spark, path, rows, operation)
 
 
 def delete_where(spark: SparkSession, path: str, predicate: Column) -> int:
     """SNK-10: drop rows where the predicate is true; NULL keeps the row."""
     cur = read_table(spark, path)
     kind = F.when(F.coalesce(predicate, F.lit(False)), F.lit("D")).otherwise(F.lit("C"))
-    return _write(spark, path, cur.withColumn(ROW_KIND, kind), "delete")
+    return _rewrite(spark, path, cur.withColumn(ROW_KIND, kind), "delete")
 
 
 def compact(spark: SparkSession, path: str, files: int) -> int:
-    """SNK-11: same rows, rewritten into ``files`` files."""
-    cur = read_table(spark, path).repartition(files)
-    return _write(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact")
+    """SNK-11: same rows, rewritten into few files (one per bucket when bucketed)."""
+    cur = read_table(spark, path)
+    return _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", files)
+
+
+def _kind_map() -> Column:
+    return F.create_map(*[x for k, t in CHANGE_KINDS.items() for x in (F.lit(k), F.lit(t))])
 
 
 def read_change_feed(spark: SparkSession, path: str, start_version: int = 0,
                      end_version: int | None = None) -> DataFrame:
     """SRC-5: change rows from ``start_version`` with ``_change_type``,
     ``_commit_version`` and ``_commit_timestamp``."""
-    log = [c for c in commits(spark, path)
+    full_log = commits(spark, path)
+    log = [c for c in full_log
            if c["version"] >= start_version and (end_version is None or c["version"] <= end_version)]
     schema = table_schema(spark, path)
-    df = _read_versions(spark, path, [c["version"] for c in log], schema, tuple(CHANGE_KINDS))
-    kinds = F.create_map(*[x for k, t in CHANGE_KINDS.items() for x in (F.lit(k), F.lit(t))])
+    df = _scan(spark, path, full_log, [c["version"] for c in log]).filter(F.col(ROW_KIND).isin(*CHANGE_KINDS))
     stamps = F.create_map(*[x for c in log for x in (F.lit(c["version"]), F.lit(c["timestamp"]))]) if log \
         else F.create_map().cast("map<int,string>")
     return df.select(
         *schema.fieldNames(),
-        kinds[F.col(ROW_KIND)].alias("_change_type"),
-        F.col("v").cast("bigint").alias("_commit_version"),
-        F.to_timestamp(stamps[F.col("v")]).alias("_commit_timestamp"),
+        _kind_map()[F.col(ROW_KIND)].alias("_change_type"),
+        F.col(VERSION).cast("bigint").alias("_commit_version"),
+        F.to_timestamp(stamps[F.col(VERSION)]).alias("_commit_timestamp"),
     )
 
 
@@ -163,19 +279,18 @@ def stream_change_feed(spark: SparkSession, path: str, start_version: int = 0,
                        max_bytes_per_trigger: int | None = 1_073_741_824) -> DataFrame:
     """SRC-5 as a stream: change rows of versions written after the stream starts
     are picked up as they land. The schema is fixed at start."""
+    log = commits(spark, path)
     schema = table_schema(spark, path)
-    full = T.StructType(list(schema.fields) + [
-        T.StructField("v", T.IntegerType()), T.StructField(ROW_KIND, T.StringType())])
-    reader = spark.readStream.schema(full).option("basePath", path)
+    reader = spark.readStream.schema(_full_schema(log, schema)).option("basePath", path)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
-    kinds = F.create_map(*[x for k, t in CHANGE_KINDS.items() for x in (F.lit(k), F.lit(t))])
-    return (reader.parquet(f"{path}/v=*")
-            .filter(F.col(ROW_KIND).isin(*CHANGE_KINDS) & (F.col("v") >= start_version))
-            .select(*schema.fieldNames(), kinds[F.col(ROW_KIND)].alias("_change_type"),
-                    F.col("v").cast("bigint").alias("_commit_version")))
+    return (reader.parquet(f"{path}/{VERSION}=*")
+            .filter(F.col(ROW_KIND).isin(*CHANGE_KINDS) & (F.col(VERSION) >= start_version))
+            .select(*schema.fieldNames(), _kind_map()[F.col(ROW_KIND)].alias("_change_type"),
+                    F.col(VERSION).cast("bigint").alias("_commit_version")))
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """SRC-12: a zero-row frame with a schema."""
     return spark.createDataFrame([], schema)
+
