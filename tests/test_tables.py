@@ -29,7 +29,7 @@ def test_uncommitted_version_is_invisible(spark):
     tables.overwrite(spark, path, state(spark, [("A", "INSERT", "100", "1")]))
     # a failed attempt leaves files but no commit
     state(spark, [("Z", "INSERT", "200", "9")]).withColumn("_row_kind", F.lit("C")) \
-        .write.partitionBy("_row_kind").parquet(f"{path}/_version=1")
+        .write.partitionBy("_row_kind").parquet(f"{path}/_dir=00000000000000000001-failed")
     assert as_set(tables.read_table(spark, path), "RRN") == {("A",)}
     tables.merge(spark, path, state(spark, [("B", "INSERT", "101", "2")]), ["RRN"])
     assert as_set(tables.read_table(spark, path), "RRN") == {("A",), ("B",)}
@@ -59,7 +59,7 @@ def test_merge_rewrites_only_touched_buckets(spark):
     tables.merge(spark, path, state(spark, [("K7", "UPDATE", "101", "x"), ("NEW", "INSERT", "101", "n")]), ["RRN"])
     log = tables.commits(spark, path)
     assert log[0]["written"] is None and len(log[1]["written"]) <= 2
-    written = sorted(n for n in fs.list_names(spark, f"{path}/_version=1") if n.startswith("_bucket="))
+    written = sorted(n for n in fs.list_names(spark, f"{path}/_dir={log[1]['dir']}") if n.startswith("_bucket="))
     assert written == sorted(f"_bucket={b}" for b in log[1]["written"])
     cur = tables.read_table(spark, path)
     assert cur.count() == 201
@@ -78,3 +78,32 @@ def test_data_column_named_like_layout_columns(spark):
     tables.merge(spark, path, df, ["RRN"], buckets=4)
     tables.merge(spark, path, spark.createDataFrame([("A", "101", 3, 4)], df.schema), ["RRN"])
     assert as_set(tables.read_table(spark, path), "RRN", "V", "BUCKET") == {("A", 3, 4)}
+
+
+def test_concurrent_appends_and_txn_replay(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    path = scratch_path(spark, "t")
+
+    def one(i):
+        return tables.append(spark, path, spark.createDataFrame([(i,)], "X BIGINT"), txn=f"b{i}")
+
+    with ThreadPoolExecutor(4) as ex:
+        versions = list(ex.map(one, range(8)))
+    assert sorted(versions) == list(range(8))
+    assert one(3) == versions[3]            # replay of a committed tag is skipped
+    assert sorted(r[0] for r in tables.read_table(spark, path).collect()) == list(range(8))
+
+
+def test_rewrite_detects_a_foreign_commit(spark):
+    import pytest
+    from tidewater.sources import fs
+    path = scratch_path(spark, "t")
+    tables.append(spark, path, spark.createDataFrame([(1,)], "X BIGINT"))
+    log = tables.commits(spark, path)
+    # another process commits version 1 between our read and our commit
+    fake = dict(log[0], version=1)
+    assert fs.create_new(spark, f"{path}/_commits/{1:020d}.json", __import__("json").dumps(fake))
+    assert not fs.create_new(spark, f"{path}/_commits/{1:020d}.json", "{}")
+    with pytest.raises(tables.ConcurrentWriteError):
+        tables._write(spark, path, spark.createDataFrame([(2, "C")], "X BIGINT, _row_kind STRING"), "delete",
+                      base_version=0)

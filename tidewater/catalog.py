@@ -532,6 +532,21 @@ def q_fanout_tables(spark, d):
     return present(reduce(lambda a, b: a.unionByName(b), parts))
 
 
+def q_publish_drain(spark, d):
+    """Database leg without the database: drain the change feed with an
+    AvailableNow stream of commits, stage each batch (latest per RRN, column
+    order) and apply it with the same sequence-guarded merge the database
+    MERGE performs, into a table read back here."""
+    source = flagship_table(spark, d)
+    target, ck = scratch_path(spark, "db"), scratch_path(spark, "ck")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        tables.merge(spark, target, stage_for_db(batch), ["RRN"])
+
+    streams.drain(streams.start_publish(spark, source, 0, ck, handle, max_versions_per_trigger=1))
+    return present(tables.read_table(spark, target))
+
+
 QUERIES = {
     "flagship": q_flagship,
     "nested_project": q_nested_project,
@@ -584,4 +599,5 @@ QUERIES = {
     "structured_stream": q_structured_stream,
     "raw_ingest": q_raw_ingest,
     "src_event_stream": q_src_event_stream,
+    "publish_drain": q_publish_drain,
 }

@@ -112,6 +112,8 @@ class RunOptions:
     pii_types: dict = field(default_factory=dict)
     encryption_key: str | None = None
     encryption_key_id: str = "k1"
+    stream_id: str = ""          # stable per stream (e.g. its checkpoint path); tags count appends
+    table_buckets: int = 16      # about table bytes / 512 MB for a keyed table
 
 
 def parse_table_config(groups: dict, priority: str) -> list[TableConfig]:

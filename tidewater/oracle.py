@@ -185,6 +185,7 @@ SQL = {
     "merge_replay": MERGED,
     "compact": MERGED,
     "latest_per_rrn": MERGED,
+    "publish_drain": MERGED,
     "delete_where": f"{BASE},\n{LATEST}\nSELECT {row_cols()} FROM lat WHERE NOT COALESCE(sid = 'S2' AND trim(note, ' ') = 'view', false)",
     "update_set": S2_SET,
     "column_order": S1_SET,

@@ -55,3 +55,21 @@ def total_size(spark: SparkSession, path: str) -> int:
     if not fs.exists(p):
         return 0
     return int(fs.getContentSummary(p).getLength())
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file only if absent; False when it already exists."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Exception as exc:  # noqa: BLE001 - py4j wraps FileAlreadyExistsException
+        if "FileAlreadyExists" in str(exc) or "already exists" in str(exc):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True

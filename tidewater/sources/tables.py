@@ -1,8 +1,15 @@
 """Versioned current-state tables on Parquet (SRC-5..9, SNK-6..11).
 
-A table is ``<path>/_version=<N>/...`` plus a commit log ``<path>/_commits/<N>.json``.
-A version counts only once its commit file exists, so a failed write is
-invisible and is overwritten by the retry.
+A table is a set of data directories ``<path>/_dir=<token>/...`` plus a
+commit log ``<path>/_commits/<N>.json``. Each write goes to a fresh token;
+version ``N`` exists once its commit file is created (create-if-absent, so
+two writers can never both commit ``N``). Uncommitted or failed writes are
+never referenced. Appends that lose the race simply commit as ``N+1``;
+rewrites (merge, delete, compact) raise :class:`ConcurrentWriteError`, as
+their input changed underneath. Within one driver, writers of a table are
+serialized by a lock, so fan-out threads may share a table (the counts).
+Appends may carry a transaction tag; a replayed batch with the same tag is
+skipped, which makes micro-batch replays safe.
 
 Keyed tables are hash-bucketed: ``_bucket = pmod(xxhash64(keys), buckets)``
 is a partition directory. A merge reads and rewrites only the buckets its
@@ -21,6 +28,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import threading
+import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,13 +39,26 @@ from tidewater.sources import fs
 
 COMMITS = "_commits"
 BUCKET = "_bucket"
-VERSION = "_version"
-DEFAULT_BUCKETS = 64
+DIR = "_dir"
+DEFAULT_BUCKETS = 16
 SNAPSHOT_OPS = ("overwrite", "merge", "delete", "compact")
 # Largest number of touched bucket ids fetched to the driver for one merge.
 MAX_BUCKETS = 100_000
 
 
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+class ConcurrentWriteError(RuntimeError):
+    """Another writer committed a version this rewrite did not read."""
+
+
+def _lock(path: str) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path.rstrip("/"), threading.Lock())
+
+
 def _commit_name(v: int) -> str:
     return f"{v:020d}.json"
 
@@ -91,7 +113,7 @@ def _layout(log: list[dict]) -> tuple[int | None, dict[int, int], list[int]]:
 def _full_schema(log: list[dict], schema: T.StructType) -> T.StructType:
     meta = log[-1]
     fields = [f for f in schema.fields if f.name not in meta.get("partition_by", [])]
-    parts = [T.StructField(VERSION, T.IntegerType())]
+    parts = [T.StructField(DIR, T.StringType())]
     if meta.get("buckets"):
         parts.append(T.StructField(BUCKET, T.IntegerType()))
     parts.append(T.StructField(ROW_KIND, T.StringType()))
@@ -99,12 +121,18 @@ def _full_schema(log: list[dict], schema: T.StructType) -> T.StructType:
     return T.StructType(fields + parts)
 
 
+def _dirs(log: list[dict], versions) -> list[str]:
+    by_version = {c["version"]: c["dir"] for c in log}
+    return [by_version[v] for v in sorted(set(versions))]
+
+
 def _scan(spark: SparkSession, path: str, log: list[dict], versions: list[int]) -> DataFrame:
     schema = T.StructType.fromJson(log[-1]["schema"])
     full = _full_schema(log, schema)
     if not versions:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/{VERSION}={v}" for v in sorted(set(versions))])
+    return spark.read.schema(full).option("basePath", path).parquet(
+        *[f"{path}/{DIR}={d}" for d in _dirs(log, versions)])
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None, buckets: list[int] | None = None,
@@ -120,9 +148,10 @@ def read_table(spark: SparkSession, path: str, version: int | None = None, bucke
     bucketed = bool(log[-1].get("buckets"))
     versions = ([base] if base is not None else []) + list(overrides.values()) + appends
     df = _scan(spark, path, log, versions)
-    cond = F.col(VERSION).isin(*appends) if appends else F.lit(False)
+    dir_of = {c["version"]: c["dir"] for c in log}
+    cond = F.col(DIR).isin(*_dirs(log, appends)) if appends else F.lit(False)
     if base is not None:
-        keep = F.col(VERSION) == base
+        keep = F.col(DIR) == dir_of[base]
         if overrides:
             keep = keep & ~F.col(BUCKET).isin(*overrides)
         cond = cond | keep
@@ -130,7 +159,7 @@ def read_table(spark: SparkSession, path: str, version: int | None = None, bucke
     for b, v in overrides.items():
         by_version.setdefault(v, []).append(b)
     for v, bs in by_version.items():
-        cond = cond | ((F.col(VERSION) == v) & F.col(BUCKET).isin(*sorted(bs)))
+        cond = cond | ((F.col(DIR) == dir_of[v]) & F.col(BUCKET).isin(*sorted(bs)))
     if buckets is not None and bucketed:
         cond = cond & F.col(BUCKET).isin(*buckets)
     df = df.filter(cond & F.col(ROW_KIND).isin(*SNAPSHOT_KINDS))
@@ -139,31 +168,48 @@ def read_table(spark: SparkSession, path: str, version: int | None = None, bucke
 
 def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
            partition_by: tuple[str, ...] | None = None, keys: list[str] | None = None,
-           buckets: int = 0, written: list[int] | None = None) -> int:
-    """Write ``rows`` (with ``_row_kind`` and, when bucketed, ``_bucket``) as
-    the next version and commit it. A table keeps the layout of its first write."""
+           buckets: int = 0, written: list[int] | None = None, base_version: int | None = -2,
+           txn: str | None = None) -> int:
+    """Write ``rows`` (with ``_row_kind`` and, when bucketed, ``_bucket``) to a
+    fresh directory and commit it as the next version. A table keeps the
+    layout of its first write. ``base_version`` is the version a rewrite read
+    (-2: do not check)."""
     log = commits(spark, path)
-    v = 0 if not log else log[-1]["version"] + 1
-    schema = T.StructType([f for f in rows.schema.fields if f.name not in (ROW_KIND, BUCKET)])
+    if txn is not None:
+        for c in log:
+            if c.get("txn") == txn:
+                return c["version"]
     if log:
-        schema = _merge_schema(T.StructType.fromJson(log[-1]["schema"]), schema)
         partition_by = tuple(log[-1].get("partition_by", ()))
         keys, buckets = log[-1].get("keys"), log[-1].get("buckets", 0)
     partition_by = tuple(partition_by or ())
     parts = ([BUCKET] if buckets else []) + [ROW_KIND] + list(partition_by)
-    rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{VERSION}={v}")
-    commit = {
-        "version": v,
-        "operation": operation,
-        "timestamp": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
-        "schema": json.loads(schema.json()),
-        "partition_by": list(partition_by),
-        "keys": keys,
-        "buckets": buckets,
-        "written": written,
-    }
-    fs.write_text(spark, f"{path}/{COMMITS}/{_commit_name(v)}", json.dumps(commit))
-    return v
+    token = f"{(log[-1]['version'] + 1) if log else 0:020d}-{uuid.uuid4().hex[:12]}"
+    rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{DIR}={token}")
+    new_schema = T.StructType([f for f in rows.schema.fields if f.name not in (ROW_KIND, BUCKET)])
+    while True:
+        log = commits(spark, path)
+        latest = log[-1]["version"] if log else None
+        if base_version != -2 and latest != base_version:
+            raise ConcurrentWriteError(f"{path}: read version {base_version}, now {latest}")
+        schema = _merge_schema(T.StructType.fromJson(log[-1]["schema"]), new_schema) if log else new_schema
+        v = 0 if latest is None else latest + 1
+        commit = {
+            "version": v,
+            "operation": operation,
+            "timestamp": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
+            "schema": json.loads(schema.json()),
+            "partition_by": list(partition_by),
+            "keys": keys,
+            "buckets": buckets,
+            "written": written,
+            "dir": token,
+            "txn": txn,
+        }
+        if fs.create_new(spark, f"{path}/{COMMITS}/{_commit_name(v)}", json.dumps(commit)):
+            return v
+        if base_version != -2:
+            raise ConcurrentWriteError(f"{path}: version {v} committed by another writer")
 
 
 def _meta(spark: SparkSession, path: str) -> dict:
@@ -176,6 +222,11 @@ def overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | N
     """SNK-9: first load (or full replace). Rows count as inserts in the feed.
 
     With ``keys`` the table is bucketed by them."""
+    with _lock(path):
+        return _overwrite(spark, path, df, keys, buckets)
+
+
+def _overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | None, buckets: int) -> int:
     rows = df.withColumn(ROW_KIND, F.lit("I"))
     if keys:
         rows = rows.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(buckets, BUCKET)
@@ -183,9 +234,13 @@ def overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | N
     return _write(spark, path, rows, "overwrite")
 
 
-def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[str, ...] | None = None) -> int:
-    """SNK-6 / SNK-7 / SNK-8: append rows; new columns merge into the schema."""
-    return _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by)
+def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[str, ...] | None = None,
+           txn: str | None = None) -> int:
+    """SNK-6 / SNK-7 / SNK-8: append rows; new columns merge into the schema.
+
+    With ``txn``, an append already committed under that tag is not repeated."""
+    with _lock(path):
+        return _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by, txn=txn)
 
 
 def _co_partition(spark: SparkSession) -> None:
@@ -201,13 +256,19 @@ def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
 
     Only buckets holding an updated key are read, joined and rewritten.
     """
+    with _lock(path):
+        return _merge(spark, path, updates, keys, seq, update_cols, buckets)
+
+
+def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], seq: str,
+           update_cols: list[str] | None, buckets: int) -> int:
     if not table_exists(spark, path):
-        return overwrite(spark, path, updates, keys, buckets)
+        return _overwrite(spark, path, updates, keys, buckets)
     meta = _meta(spark, path)
     n = meta.get("buckets", 0)
     if not n:
         merged = merge_upsert(read_table(spark, path), updates, keys, seq, update_cols)
-        return _write(spark, path, merged, "merge")
+        return _write(spark, path, merged, "merge", base_version=meta["version"])
     schema = T.StructType.fromJson(meta["schema"])
     types = {f.name.upper(): f.dataType for f in schema.fields}
     # Key values take the table's types so they hash to the table's buckets.
@@ -224,32 +285,36 @@ def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
         parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism * 4))
         merged = merge_upsert(existing.repartition(parts, BUCKET), upd.repartition(parts, BUCKET),
                               keys, seq, update_cols, partition_col=BUCKET)
-        return _write(spark, path, merged, "merge", written=touched)
+        return _write(spark, path, merged, "merge", written=touched, base_version=meta["version"])
     finally:
         upd.unpersist()
 
 
-def _rewrite(spark: SparkSession, path: str, rows: DataFrame, operation: str, files: int | None = None) -> int:
-    meta = _meta(spark, path)
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, operation: str, meta: dict,
+             files: int | None = None) -> int:
     if meta.get("buckets"):
         rows = rows.withColumn(BUCKET, bucket_of(meta["keys"], meta["buckets"]))
         rows = rows.repartition(files or meta["buckets"], BUCKET)
     elif files:
         rows = rows.repartition(files)
-    return _write(spark, path, rows, operation)
+    return _write(spark, path, rows, operation, base_version=meta["version"])
 
 
 def delete_where(spark: SparkSession, path: str, predicate: Column) -> int:
     """SNK-10: drop rows where the predicate is true; NULL keeps the row."""
-    cur = read_table(spark, path)
-    kind = F.when(F.coalesce(predicate, F.lit(False)), F.lit("D")).otherwise(F.lit("C"))
-    return _rewrite(spark, path, cur.withColumn(ROW_KIND, kind), "delete")
+    with _lock(path):
+        meta = _meta(spark, path)
+        cur = read_table(spark, path, version=meta["version"])
+        kind = F.when(F.coalesce(predicate, F.lit(False)), F.lit("D")).otherwise(F.lit("C"))
+        return _rewrite(spark, path, cur.withColumn(ROW_KIND, kind), "delete", meta)
 
 
 def compact(spark: SparkSession, path: str, files: int) -> int:
     """SNK-11: same rows, rewritten into few files (one per bucket when bucketed)."""
-    cur = read_table(spark, path)
-    return _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", files)
+    with _lock(path):
+        meta = _meta(spark, path)
+        cur = read_table(spark, path, version=meta["version"])
+        return _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta, files)
 
 
 def _kind_map() -> Column:
@@ -265,29 +330,34 @@ def read_change_feed(spark: SparkSession, path: str, start_version: int = 0,
            if c["version"] >= start_version and (end_version is None or c["version"] <= end_version)]
     schema = table_schema(spark, path)
     df = _scan(spark, path, full_log, [c["version"] for c in log]).filter(F.col(ROW_KIND).isin(*CHANGE_KINDS))
-    stamps = F.create_map(*[x for c in log for x in (F.lit(c["version"]), F.lit(c["timestamp"]))]) if log \
-        else F.create_map().cast("map<int,string>")
+    if log:
+        versions = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["version"]))])
+        stamps = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["timestamp"]))])
+    else:
+        versions = F.create_map().cast("map<string,int>")
+        stamps = F.create_map().cast("map<string,string>")
     return df.select(
         *schema.fieldNames(),
         _kind_map()[F.col(ROW_KIND)].alias("_change_type"),
-        F.col(VERSION).cast("bigint").alias("_commit_version"),
-        F.to_timestamp(stamps[F.col(VERSION)]).alias("_commit_timestamp"),
+        versions[F.col(DIR)].cast("bigint").alias("_commit_version"),
+        F.to_timestamp(stamps[F.col(DIR)]).alias("_commit_timestamp"),
     )
 
 
-def stream_change_feed(spark: SparkSession, path: str, start_version: int = 0,
-                       max_bytes_per_trigger: int | None = 1_073_741_824) -> DataFrame:
-    """SRC-5 as a stream: change rows of versions written after the stream starts
-    are picked up as they land. The schema is fixed at start."""
-    log = commits(spark, path)
-    schema = table_schema(spark, path)
-    reader = spark.readStream.schema(_full_schema(log, schema)).option("basePath", path)
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
-    return (reader.parquet(f"{path}/{VERSION}=*")
-            .filter(F.col(ROW_KIND).isin(*CHANGE_KINDS) & (F.col(VERSION) >= start_version))
-            .select(*schema.fieldNames(), _kind_map()[F.col(ROW_KIND)].alias("_change_type"),
-                    F.col(VERSION).cast("bigint").alias("_commit_version")))
+COMMIT_SCHEMA = T.StructType([T.StructField("version", T.LongType()), T.StructField("operation", T.StringType()),
+                              T.StructField("dir", T.StringType())])
+
+
+def stream_commits(spark: SparkSession, path: str, start_version: int = 0,
+                   max_versions_per_trigger: int | None = None) -> DataFrame:
+    """SRC-5 as a stream: one row per committed version, picked up as commit
+    files appear (a commit file is written only once its data is complete).
+    Each micro-batch then reads the change rows of its versions with
+    :func:`read_change_feed`, which is how a change-feed stream is drained."""
+    reader = spark.readStream.schema(COMMIT_SCHEMA)
+    if max_versions_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_versions_per_trigger))
+    return reader.json(f"{path}/{COMMITS}").filter(F.col("version") >= start_version)
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:

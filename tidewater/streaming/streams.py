@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +76,13 @@ def start_registry(stream: DataFrame, registry_path: str, checkpoint: str, avail
 def start_structured(stream: DataFrame, registry_path: str, configs: list[TableConfig], root: str,
                      checkpoint: str, opts: RunOptions, counts_path: str | None = None,
                      available_now: bool = False, name: str | None = None) -> StreamingQuery:
-    """SNK-4 / STR-1: the structured upsert per micro-batch."""
+    """SNK-4 / STR-1: the structured upsert per micro-batch.
+
+    A replayed batch is harmless: merges are sequence-guarded and count
+    appends are tagged with the checkpoint and batch id."""
     spark = stream.sparkSession
+    if not opts.stream_id:
+        opts = dataclasses.replace(opts, stream_id=checkpoint)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         registry = tables.read_table(spark, registry_path)
@@ -89,10 +95,21 @@ def start_structured(stream: DataFrame, registry_path: str, configs: list[TableC
 
 
 def start_publish(spark: SparkSession, table_path: str, start_version: int, checkpoint: str,
-                  handle_batch, max_bytes: int | None = 1_073_741_824) -> StreamingQuery:
-    """SNK-5 / SEM-16: drain the change feed of one table with AvailableNow."""
-    feed = post_images(tables.stream_change_feed(spark, table_path, start_version, max_bytes))
-    w = feed.writeStream.foreachBatch(handle_batch).option("checkpointLocation", checkpoint)
+                  handle_batch, max_versions_per_trigger: int | None = None) -> StreamingQuery:
+    """SNK-5 / SEM-16: drain the change feed of one table with AvailableNow.
+
+    The stream's offsets are the table's commits; each micro-batch hands the
+    post-images of its versions (FLT-4) to ``handle_batch(df, batch_id)``.
+    """
+    commits = tables.stream_commits(spark, table_path, start_version, max_versions_per_trigger)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        versions = [r[0] for r in batch.select("version").collect()]  # a few commit rows
+        if versions:
+            feed = tables.read_change_feed(spark, table_path, min(versions), max(versions))
+            handle_batch(post_images(feed), batch_id)
+
+    w = commits.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return w.trigger(availableNow=True).start()
 
 
