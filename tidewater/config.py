@@ -114,6 +114,8 @@ class RunOptions:
     encryption_key_id: str = "k1"
     stream_id: str = ""          # stable per stream (e.g. its checkpoint path); tags count appends
     table_buckets: int = 16      # about table bytes / 512 MB for a keyed table
+    log_path: str | None = None  # run-log table; None disables logging
+    log_level: str = "INFO"
 
 
 def parse_table_config(groups: dict, priority: str) -> list[TableConfig]:

@@ -59,6 +59,15 @@ def decrypt_columns(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     ])
 
 
+def decrypt_source_columns(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """UDF-2 over a column list: source-encrypted text to plaintext, in one select."""
+    wanted = {c.upper() for c in columns}
+    return df.select(*[
+        decrypt_source(F.col(c), key).alias(c) if c.upper() in wanted else F.col(c)
+        for c in df.columns
+    ])
+
+
 def register_sql_functions(spark: SparkSession, key: str) -> None:
     """Register the decrypt functions for SQL text as SQL functions (no Python UDF)."""
     spark.sql(
