@@ -85,13 +85,15 @@ def test_concurrent_appends_and_txn_replay(spark):
     path = scratch_path(spark, "t")
 
     def one(i):
-        return tables.append(spark, path, spark.createDataFrame([(i,)], "X BIGINT"), txn=f"b{i}")
+        return tables.append(spark, path, spark.createDataFrame([(i,)], "X BIGINT"), txn=(f"app{i}", 0))
 
     with ThreadPoolExecutor(4) as ex:
         versions = list(ex.map(one, range(8)))
     assert sorted(versions) == list(range(8))
-    assert one(3) == versions[3]            # replay of a committed tag is skipped
-    assert sorted(r[0] for r in tables.read_table(spark, path).collect()) == list(range(8))
+    one(3)                                   # replay of a committed batch is skipped
+    tables.append(spark, path, spark.createDataFrame([(9,)], "X BIGINT"), txn=("app3", 1))
+    tables.append(spark, path, spark.createDataFrame([(9,)], "X BIGINT"), txn=("app3", 0))   # older batch
+    assert sorted(r[0] for r in tables.read_table(spark, path).collect()) == list(range(8)) + [9]
 
 
 def test_rewrite_detects_a_foreign_commit(spark):
@@ -102,6 +104,7 @@ def test_rewrite_detects_a_foreign_commit(spark):
     log = tables.commits(spark, path)
     # another process commits version 1 between our read and our commit
     fake = dict(log[0], version=1)
+    assert len(log) == 1
     assert fs.create_new(spark, f"{path}/_commits/{1:020d}.json", __import__("json").dumps(fake))
     assert not fs.create_new(spark, f"{path}/_commits/{1:020d}.json", "{}")
     with pytest.raises(tables.ConcurrentWriteError):

@@ -44,7 +44,7 @@ class RunLog:
         with self._guard:
             self.rows.append(row)
 
-    def flush(self, spark: SparkSession, txn: str | None = None) -> int | None:
+    def flush(self, spark: SparkSession, txn: tuple[str, int] | None = None) -> int | None:
         with self._guard:
             rows, self.rows = self.rows, []
         if self.path is None or not rows:

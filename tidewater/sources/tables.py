@@ -8,8 +8,13 @@ never referenced. Appends that lose the race simply commit as ``N+1``;
 rewrites (merge, delete, compact) raise :class:`ConcurrentWriteError`, as
 their input changed underneath. Within one driver, writers of a table are
 serialized by a lock, so fan-out threads may share a table (the counts).
-Appends may carry a transaction tag; a replayed batch with the same tag is
-skipped, which makes micro-batch replays safe.
+Appends may carry a transaction ``(app id, batch id)``; an append whose batch
+id is not above the last one committed for that app is skipped, which makes
+micro-batch replays safe.
+
+Each commit file carries the whole table layout (base directory, bucket ->
+directory map, appends since the base), so reading the current table reads
+one commit file however long the history is.
 
 Keyed tables are hash-bucketed: ``_bucket = pmod(xxhash64(keys), buckets)``
 is a partition directory. A merge reads and rewrites only the buckets its
@@ -45,7 +50,6 @@ SNAPSHOT_OPS = ("overwrite", "merge", "delete", "compact")
 # Largest number of touched bucket ids fetched to the driver for one merge.
 MAX_BUCKETS = 100_000
 
-
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 
@@ -63,16 +67,29 @@ def _commit_name(v: int) -> str:
     return f"{v:020d}.json"
 
 
-def commits(spark: SparkSession, path: str) -> list[dict]:
-    """All committed versions, oldest first."""
-    names = sorted(n for n in fs.list_names(spark, f"{path}/{COMMITS}") if n.endswith(".json"))
-    return [json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{n}")) for n in names]
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed version numbers, oldest first (one directory listing)."""
+    return sorted(int(n.split(".")[0]) for n in fs.list_names(spark, f"{path}/{COMMITS}") if n.endswith(".json"))
+
+
+def read_commit(spark: SparkSession, path: str, version: int) -> dict:
+    return json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{_commit_name(version)}"))
+
+
+def commits(spark: SparkSession, path: str, start: int = 0, end: int | None = None) -> list[dict]:
+    """Commit records of versions in ``[start, end]``, oldest first."""
+    return [read_commit(spark, path, v) for v in versions(spark, path) if v >= start and (end is None or v <= end)]
+
+
+def latest_commit(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
+    vs = [v for v in versions(spark, path) if version is None or v <= version]
+    return read_commit(spark, path, vs[-1]) if vs else None
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
     """SRC-9: the newest committed version, or None."""
-    names = sorted(n for n in fs.list_names(spark, f"{path}/{COMMITS}") if n.endswith(".json"))
-    return int(names[-1].split(".")[0]) if names else None
+    vs = versions(spark, path)
+    return vs[-1] if vs else None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -82,8 +99,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
     """SRC-7: the table's schema, or an empty schema when the table is absent."""
-    log = commits(spark, path)
-    return T.StructType.fromJson(log[-1]["schema"]) if log else T.StructType()
+    c = latest_commit(spark, path)
+    return T.StructType.fromJson(c["schema"]) if c else T.StructType()
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
@@ -95,23 +112,18 @@ def _merge_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType(list(old.fields) + [f for f in new.fields if f.name.upper() not in names])
 
 
-def _layout(log: list[dict]) -> tuple[int | None, dict[int, int], list[int]]:
-    """From the commit log: the base snapshot version, bucket overrides
-    written after it, and append versions after it."""
-    base, overrides, appends = None, {}, []
-    for c in log:
-        if c["operation"] in SNAPSHOT_OPS and c.get("written") is None:
-            base, overrides, appends = c["version"], {}, []
-        elif c["operation"] in SNAPSHOT_OPS:
-            for b in c["written"]:
-                overrides[b] = c["version"]
-        else:
-            appends.append(c["version"])
-    return base, overrides, appends
+def _next_layout(prev: dict | None, operation: str, token: str, written: list[int] | None) -> dict:
+    layout = dict(prev["layout"]) if prev else {"base": None, "buckets": {}, "appends": []}
+    if operation in SNAPSHOT_OPS and written is None:
+        return {"base": token, "buckets": {}, "appends": []}
+    if operation in SNAPSHOT_OPS:
+        return {"base": layout["base"], "buckets": {**layout["buckets"], **{str(b): token for b in written}},
+                "appends": list(layout["appends"])}
+    return {"base": layout["base"], "buckets": dict(layout["buckets"]), "appends": layout["appends"] + [token]}
 
 
-def _full_schema(log: list[dict], schema: T.StructType) -> T.StructType:
-    meta = log[-1]
+def _full_schema(meta: dict) -> T.StructType:
+    schema = T.StructType.fromJson(meta["schema"])
     fields = [f for f in schema.fields if f.name not in meta.get("partition_by", [])]
     parts = [T.StructField(DIR, T.StringType())]
     if meta.get("buckets"):
@@ -121,79 +133,72 @@ def _full_schema(log: list[dict], schema: T.StructType) -> T.StructType:
     return T.StructType(fields + parts)
 
 
-def _dirs(log: list[dict], versions) -> list[str]:
-    by_version = {c["version"]: c["dir"] for c in log}
-    return [by_version[v] for v in sorted(set(versions))]
-
-
-def _scan(spark: SparkSession, path: str, log: list[dict], versions: list[int]) -> DataFrame:
-    schema = T.StructType.fromJson(log[-1]["schema"])
-    full = _full_schema(log, schema)
-    if not versions:
+def _scan(spark: SparkSession, path: str, meta: dict, dirs: list[str]) -> DataFrame:
+    full = _full_schema(meta)
+    if not dirs:
         return spark.createDataFrame([], full)
     return spark.read.schema(full).option("basePath", path).parquet(
-        *[f"{path}/{DIR}={d}" for d in _dirs(log, versions)])
+        *[f"{path}/{DIR}={d}" for d in sorted(set(dirs))])
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None, buckets: list[int] | None = None,
                keep_bucket: bool = False) -> DataFrame:
     """SRC-6: current rows (or as of ``version``), optionally only some buckets."""
-    log = commits(spark, path)
-    if version is not None:
-        log = [c for c in log if c["version"] <= version]
-    if not log:
+    meta = latest_commit(spark, path, version)
+    if meta is None:
         raise FileNotFoundError(f"no committed version under {path}")
-    schema = T.StructType.fromJson(log[-1]["schema"])
-    base, overrides, appends = _layout(log)
-    bucketed = bool(log[-1].get("buckets"))
-    versions = ([base] if base is not None else []) + list(overrides.values()) + appends
-    df = _scan(spark, path, log, versions)
-    dir_of = {c["version"]: c["dir"] for c in log}
-    cond = F.col(DIR).isin(*_dirs(log, appends)) if appends else F.lit(False)
-    if base is not None:
-        keep = F.col(DIR) == dir_of[base]
-        if overrides:
-            keep = keep & ~F.col(BUCKET).isin(*overrides)
+    schema = T.StructType.fromJson(meta["schema"])
+    layout = meta["layout"]
+    bucketed = bool(meta.get("buckets"))
+    overrides: dict[str, list[int]] = {}
+    for b, d in layout["buckets"].items():
+        overrides.setdefault(d, []).append(int(b))
+    dirs = ([layout["base"]] if layout["base"] else []) + list(overrides) + layout["appends"]
+    cond = F.col(DIR).isin(*layout["appends"]) if layout["appends"] else F.lit(False)
+    if layout["base"]:
+        keep = F.col(DIR) == layout["base"]
+        if layout["buckets"]:
+            keep = keep & ~F.col(BUCKET).isin(*sorted(int(b) for b in layout["buckets"]))
         cond = cond | keep
-    by_version: dict[int, list[int]] = {}
-    for b, v in overrides.items():
-        by_version.setdefault(v, []).append(b)
-    for v, bs in by_version.items():
-        cond = cond | ((F.col(DIR) == dir_of[v]) & F.col(BUCKET).isin(*sorted(bs)))
+    for d, bs in overrides.items():
+        cond = cond | ((F.col(DIR) == d) & F.col(BUCKET).isin(*sorted(bs)))
     if buckets is not None and bucketed:
         cond = cond & F.col(BUCKET).isin(*buckets)
-    df = df.filter(cond & F.col(ROW_KIND).isin(*SNAPSHOT_KINDS))
-    return df.select(*[c for c in schema.fieldNames()], *([BUCKET] if keep_bucket and bucketed else []))
+    df = _scan(spark, path, meta, dirs).filter(cond & F.col(ROW_KIND).isin(*SNAPSHOT_KINDS))
+    return df.select(*schema.fieldNames(), *([BUCKET] if keep_bucket and bucketed else []))
 
 
 def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
            partition_by: tuple[str, ...] | None = None, keys: list[str] | None = None,
            buckets: int = 0, written: list[int] | None = None, base_version: int | None = -2,
-           txn: str | None = None) -> int:
+           txn: tuple[str, int] | None = None) -> int:
     """Write ``rows`` (with ``_row_kind`` and, when bucketed, ``_bucket``) to a
     fresh directory and commit it as the next version. A table keeps the
     layout of its first write. ``base_version`` is the version a rewrite read
     (-2: do not check)."""
-    log = commits(spark, path)
-    if txn is not None:
-        for c in log:
-            if c.get("txn") == txn:
-                return c["version"]
-    if log:
-        partition_by = tuple(log[-1].get("partition_by", ()))
-        keys, buckets = log[-1].get("keys"), log[-1].get("buckets", 0)
+    prev = latest_commit(spark, path)
+    if txn is not None and prev is not None and prev.get("txns", {}).get(txn[0], -1) >= txn[1]:
+        return prev["version"]
+    if prev:
+        partition_by = tuple(prev.get("partition_by", ()))
+        keys, buckets = prev.get("keys"), prev.get("buckets", 0)
     partition_by = tuple(partition_by or ())
     parts = ([BUCKET] if buckets else []) + [ROW_KIND] + list(partition_by)
-    token = f"{(log[-1]['version'] + 1) if log else 0:020d}-{uuid.uuid4().hex[:12]}"
+    token = f"{(prev['version'] + 1) if prev else 0:020d}-{uuid.uuid4().hex[:12]}"
     rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{DIR}={token}")
     new_schema = T.StructType([f for f in rows.schema.fields if f.name not in (ROW_KIND, BUCKET)])
     while True:
-        log = commits(spark, path)
-        latest = log[-1]["version"] if log else None
+        prev = latest_commit(spark, path)
+        latest = prev["version"] if prev else None
         if base_version != -2 and latest != base_version:
             raise ConcurrentWriteError(f"{path}: read version {base_version}, now {latest}")
-        schema = _merge_schema(T.StructType.fromJson(log[-1]["schema"]), new_schema) if log else new_schema
+        if txn is not None and prev is not None and prev.get("txns", {}).get(txn[0], -1) >= txn[1]:
+            return prev["version"]
+        schema = _merge_schema(T.StructType.fromJson(prev["schema"]), new_schema) if prev else new_schema
         v = 0 if latest is None else latest + 1
+        txns = dict(prev.get("txns", {})) if prev else {}
+        if txn is not None:
+            txns[txn[0]] = txn[1]
         commit = {
             "version": v,
             "operation": operation,
@@ -204,7 +209,8 @@ def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
             "buckets": buckets,
             "written": written,
             "dir": token,
-            "txn": txn,
+            "layout": _next_layout(prev, operation, token, written),
+            "txns": txns,
         }
         if fs.create_new(spark, f"{path}/{COMMITS}/{_commit_name(v)}", json.dumps(commit)):
             return v
@@ -213,8 +219,7 @@ def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
 
 
 def _meta(spark: SparkSession, path: str) -> dict:
-    log = commits(spark, path)
-    return log[-1] if log else {}
+    return latest_commit(spark, path) or {}
 
 
 def overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | None = None,
@@ -235,10 +240,11 @@ def _overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] |
 
 
 def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[str, ...] | None = None,
-           txn: str | None = None) -> int:
+           txn: tuple[str, int] | None = None) -> int:
     """SNK-6 / SNK-7 / SNK-8: append rows; new columns merge into the schema.
 
-    With ``txn``, an append already committed under that tag is not repeated."""
+    With ``txn = (app id, batch id)``, a batch already committed for that app
+    is not appended again."""
     with _lock(path):
         return _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by, txn=txn)
 
@@ -325,22 +331,23 @@ def read_change_feed(spark: SparkSession, path: str, start_version: int = 0,
                      end_version: int | None = None) -> DataFrame:
     """SRC-5: change rows from ``start_version`` with ``_change_type``,
     ``_commit_version`` and ``_commit_timestamp``."""
-    full_log = commits(spark, path)
-    log = [c for c in full_log
-           if c["version"] >= start_version and (end_version is None or c["version"] <= end_version)]
-    schema = table_schema(spark, path)
-    df = _scan(spark, path, full_log, [c["version"] for c in log]).filter(F.col(ROW_KIND).isin(*CHANGE_KINDS))
+    meta = latest_commit(spark, path, end_version)
+    if meta is None:
+        raise FileNotFoundError(f"no committed version under {path}")
+    log = commits(spark, path, start_version, meta["version"])
+    schema = T.StructType.fromJson(meta["schema"])
+    df = _scan(spark, path, meta, [c["dir"] for c in log]).filter(F.col(ROW_KIND).isin(*CHANGE_KINDS))
     if log:
-        versions = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["version"]))])
-        stamps = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["timestamp"]))])
+        version_of = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["version"]))])
+        stamp_of = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["timestamp"]))])
     else:
-        versions = F.create_map().cast("map<string,int>")
-        stamps = F.create_map().cast("map<string,string>")
+        version_of = F.create_map().cast("map<string,int>")
+        stamp_of = F.create_map().cast("map<string,string>")
     return df.select(
         *schema.fieldNames(),
         _kind_map()[F.col(ROW_KIND)].alias("_change_type"),
-        versions[F.col(DIR)].cast("bigint").alias("_commit_version"),
-        F.to_timestamp(stamps[F.col(DIR)]).alias("_commit_timestamp"),
+        version_of[F.col(DIR)].cast("bigint").alias("_commit_version"),
+        F.to_timestamp(stamp_of[F.col(DIR)]).alias("_commit_timestamp"),
     )
 
 
