@@ -112,13 +112,16 @@ def _merge_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType(list(old.fields) + [f for f in new.fields if f.name.upper() not in names])
 
 
-def _next_layout(prev: dict | None, operation: str, token: str, written: list[int] | None) -> dict:
+def _next_layout(prev: dict | None, operation: str, token: str, written: list[int] | None,
+                 buckets: int = 0) -> dict:
     layout = dict(prev["layout"]) if prev else {"base": None, "buckets": {}, "appends": []}
     if operation in SNAPSHOT_OPS and written is None:
         return {"base": token, "buckets": {}, "appends": []}
     if operation in SNAPSHOT_OPS:
-        return {"base": layout["base"], "buckets": {**layout["buckets"], **{str(b): token for b in written}},
-                "appends": list(layout["appends"])}
+        merged = {**layout["buckets"], **{str(b): token for b in written}}
+        # once every bucket has been rewritten the old base holds nothing current
+        base = None if buckets and len(merged) >= buckets else layout["base"]
+        return {"base": base, "buckets": merged, "appends": list(layout["appends"])}
     return {"base": layout["base"], "buckets": dict(layout["buckets"]), "appends": layout["appends"] + [token]}
 
 
@@ -209,7 +212,7 @@ def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
             "buckets": buckets,
             "written": written,
             "dir": token,
-            "layout": _next_layout(prev, operation, token, written),
+            "layout": _next_layout(prev, operation, token, written, buckets),
             "txns": txns,
         }
         if fs.create_new(spark, f"{path}/{COMMITS}/{_commit_name(v)}", json.dumps(commit)):
@@ -257,35 +260,37 @@ def _co_partition(spark: SparkSession) -> None:
 
 def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
           seq: str = "_changeSequence", update_cols: list[str] | None = None,
-          buckets: int = DEFAULT_BUCKETS) -> int:
+          buckets: int = DEFAULT_BUCKETS) -> int | None:
     """SEM-5: sequence-guarded upsert; first load when the table is absent.
 
-    Only buckets holding an updated key are read, joined and rewritten.
+    Only buckets holding an updated key are read, joined and rewritten. With
+    no update rows nothing is written and None is returned.
     """
     with _lock(path):
         return _merge(spark, path, updates, keys, seq, update_cols, buckets)
 
 
 def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], seq: str,
-           update_cols: list[str] | None, buckets: int) -> int:
-    if not table_exists(spark, path):
-        return _overwrite(spark, path, updates, keys, buckets)
+           update_cols: list[str] | None, buckets: int) -> int | None:
     meta = _meta(spark, path)
-    n = meta.get("buckets", 0)
-    if not n:
+    n = meta.get("buckets", buckets) if meta else buckets
+    if meta and not n:
         merged = merge_upsert(read_table(spark, path), updates, keys, seq, update_cols)
         return _write(spark, path, merged, "merge", base_version=meta["version"])
-    schema = T.StructType.fromJson(meta["schema"])
-    types = {f.name.upper(): f.dataType for f in schema.fields}
+    types = {f.name.upper(): f.dataType for f in T.StructType.fromJson(meta["schema"]).fields} if meta else {}
+    key_set = {k.upper() for k in keys}
     # Key values take the table's types so they hash to the table's buckets.
     upd = updates.select(*[F.col(f"`{c}`").cast(types[c.upper()]).alias(c)
-                           if c.upper() in {k.upper() for k in keys} and c.upper() in types else F.col(f"`{c}`")
+                           if c.upper() in key_set and c.upper() in types else F.col(f"`{c}`")
                            for c in updates.columns])
     upd = upd.withColumn(BUCKET, bucket_of(keys, n)).persist()
     try:
         touched = sorted(r[0] for r in upd.select(BUCKET).distinct().limit(MAX_BUCKETS + 1).collect())
         if not touched:
-            return meta["version"]
+            return None
+        if not meta:  # first load
+            rows = upd.withColumn(ROW_KIND, F.lit("I")).repartition(n, BUCKET)
+            return _write(spark, path, rows, "overwrite", keys=list(keys), buckets=n)
         existing = read_table(spark, path, buckets=touched, keep_bucket=True)
         _co_partition(spark)
         parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism * 4))
