@@ -28,7 +28,7 @@ from tidewater.plans import registry as REG
 from tidewater.plans import structured as ST
 from tidewater.plans.publish import post_images, stage_for_db
 from tidewater.session import scratch_path
-from tidewater.sources import feed, tables
+from tidewater.sources import feed, fs, tables
 from tidewater.streaming import streams
 
 # Fixed values of the registered queries.
@@ -36,6 +36,7 @@ GATE_START = "2024-01-10 00:00:00"
 DEMO_KEY = "tidewater-demo-key-32-bytes-long"
 DEMO_KEY_ID = "demo"
 LISTED_TABLES = ["src.events_0", "SRC.EVENTS_2"]
+STREAM_BATCHES = 3
 WEEK_CUTS = ["2024-01-09 00:00:00", "2024-01-17 00:00:00", "2024-01-25 00:00:00"]
 WALL_CLOCK = {"_structuredLayerProcessingTime", "_dbProcessingTimestamp", "logTimeStamp", "_logTimeStamp",
               "_commit_timestamp"}
@@ -513,7 +514,9 @@ def _structured_run(spark, d, n_tables: int, workers: int) -> tuple[str, list[Re
     configs = [TableConfig(e.schema, e.table) for e in ents if e.message_schema_id.startswith("S1")]
     root, ck = scratch_path(spark, "structured"), scratch_path(spark, "ck")
     opts = RunOptions(tables_in_parallel=workers)
-    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=0)
+    # about three micro-batches over the raw files, so batches are merged in turn
+    per_trigger = max(1, fs.total_size(spark, raw_path) // STREAM_BATCHES)
+    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=per_trigger)
     q = streams.start_structured(stream, reg_path, configs, root, ck, opts, available_now=True)
     streams.drain(q)
     return root, ents

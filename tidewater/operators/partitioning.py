@@ -6,14 +6,18 @@ from pyspark.sql import Column, DataFrame
 
 
 def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Hash-spread a frame that arrives in fewer partitions than there are cores.
+    """Spread a frame that arrives in fewer partitions than there are cores.
 
     A large input already comes in many splits and is returned untouched (no
     shuffle); a single unsplittable file or a small micro-batch would
-    otherwise run all per-row decode work in one task. Hashing on the given
-    keys keeps the spread deterministic when a task is retried.
+    otherwise run all per-row decode work in one task.
+
+    Without ``keys`` the spread is round-robin, which Spark keeps
+    deterministic on task retry (it sorts each input partition first) and
+    which stays even when many rows are identical copies. Pass ``keys`` only
+    when they are unique per row.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
