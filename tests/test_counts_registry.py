@@ -101,3 +101,15 @@ def test_trim_strips_spaces_only(spark):
 def test_registry_entry_keys():
     e = RegistryEntry("S", "A", "B", "t", (ColumnMeta("rrn", "LONG", is_key=True), ColumnMeta("X", "LONG")), "")
     assert e.key_columns == ["RRN"] and e.qualified == "A.B"
+
+
+def test_count_detail_counts_null_operations(spark):
+    df = spark.createDataFrame([(D(2024, 1, 1), D(2024, 1, 1), D(2024, 1, 1), None),
+                                (D(2024, 1, 1), D(2024, 1, 1), D(2024, 1, 1), "INSERT"),
+                                (D(2024, 1, 1), D(2024, 1, 1), D(2024, 1, 1), "INSERT")],
+                               "qlikCapturedDate DATE, ehEnqueuedDate DATE, rawLayerDate DATE, soruceOperation STRING")
+    det = CNT.count_detail(df, 1, "SRC", "S", "T", "S1")
+    row = det.collect()[0]
+    assert row["INSERT"] == 2 and row["null"] == 1
+    assert det.columns[:12] == CNT.DETAIL_LEADING and det.columns[12:] == ["INSERT", "null"]
+    assert as_set(count_rollup(det), "INSERT", "UPDATE", "DELETE") == {(2, 0, 0)}

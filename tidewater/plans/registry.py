@@ -13,6 +13,11 @@ from tidewater.functions.structs import struct_to_kv
 from tidewater.operators.changes import first_per_key
 from tidewater.sources import tables
 
+# Shape of one column description in a metadata message.
+COLUMN_DDL = ("STRUCT<ordinal: INT, type: STRING, length: INT, precision: INT, scale: INT, "
+              "nullable: BOOLEAN, isKey: BOOLEAN, isPii: BOOLEAN>")
+METADATA_DDL = ("lineage STRUCT<schema: STRING, table: STRING, timestamp: STRING>, "
+                f"tableStructure STRUCT<tableColumns: MAP<STRING, {COLUMN_DDL}>>, dataSchema STRING")
 REGISTRY_COLUMNS = ("messageSchemaId", "schema", "table", "timestamp", "tableColumns", "dataSchema")
 # Upper bound on schema ids handled per batch; the registry is a catalogue of
 # table versions, so this guards the driver-side schema list and the broadcast.
@@ -35,8 +40,34 @@ def registry_is_small(registry: DataFrame) -> bool:
     return registry.limit(MAX_SCHEMAS + 1).count() <= MAX_SCHEMAS
 
 
+def _registry_columns(df: DataFrame, message: str = "message") -> DataFrame:
+    return df.select(
+        F.col("_messageSchemaId").alias("messageSchemaId"),
+        F.col(f"{message}.lineage.schema").alias("schema"),
+        F.col(f"{message}.lineage.table").alias("table"),
+        F.col(f"{message}.lineage.timestamp").alias("timestamp"),
+        F.col(f"{message}.tableStructure.tableColumns").alias("tableColumns"),
+        F.col(f"{message}.dataSchema").alias("dataSchema"),
+    )
+
+
 def decode_metadata(new: DataFrame, codec: str = "json", mode: str = "FAILFAST") -> DataFrame | None:
-    """Decode each message by its own schema and reshape its column map (PRJ-7)."""
+    """Decode metadata messages and turn their column map into a key/value array.
+
+    JSON: one pass for all schema ids, reading the column object as a map and
+    ordering its entries by ordinal. Avro needs each message's own writer
+    schema: one decode per distinct schema (bounded), then ``struct_to_kv``
+    (PRJ-7), then a union.
+    """
+    if codec == "json":
+        decoded = new.withColumn("message", decode(F.col("body.message"), METADATA_DDL, codec, mode))
+        entries = F.transform(
+            F.sort_array(F.transform(F.map_entries(F.col("message.tableStructure.tableColumns")),
+                                     lambda e: F.struct(e["value"]["ordinal"].alias("o"), e["key"].alias("key"),
+                                                        e["value"].alias("value")))),
+            lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+        return _registry_columns(decoded.withColumn("message", F.col("message").withField(
+            "tableStructure.tableColumns", entries)))
     schemas = [r[0] for r in new.select("body.messageSchema").distinct().limit(MAX_SCHEMAS + 1).collect()]
     if len(schemas) > MAX_SCHEMAS:
         raise ValueError(f"more than {MAX_SCHEMAS} metadata schemas in one batch")
@@ -44,15 +75,7 @@ def decode_metadata(new: DataFrame, codec: str = "json", mode: str = "FAILFAST")
     for ddl in schemas:
         one = new.filter(F.col("body.messageSchema") == ddl).withColumn(
             "message", decode(F.col("body.message"), ddl, codec, mode))
-        one = struct_to_kv(one, "message.tableStructure.tableColumns")
-        parts.append(one.select(
-            F.col("_messageSchemaId").alias("messageSchemaId"),
-            F.col("message.lineage.schema").alias("schema"),
-            F.col("message.lineage.table").alias("table"),
-            F.col("message.lineage.timestamp").alias("timestamp"),
-            F.col("message.tableStructure.tableColumns").alias("tableColumns"),
-            F.col("message.dataSchema").alias("dataSchema"),
-        ))
+        parts.append(_registry_columns(struct_to_kv(one, "message.tableStructure.tableColumns")))
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 
 
@@ -63,7 +86,13 @@ def ingest_registry(spark: SparkSession, batch: DataFrame, registry_path: str,
     rows = decode_metadata(new_schema_ids(batch, registry), codec, mode)
     if rows is None:
         return None
-    return tables.append(spark, registry_path, rows)
+    rows = rows.persist()  # a handful of rows: one per new schema id
+    try:
+        if rows.isEmpty():
+            return None
+        return tables.append(spark, registry_path, rows)
+    finally:
+        rows.unpersist()
 
 
 def _column(kv) -> ColumnMeta:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.config import ColumnMeta
+from tidewater.plans.registry import COLUMN_DDL
 
 # Fixed values of the derived feed.
 SCHEMA_SPLIT = "2024-01-16 00:00:00"      # changes before this use S1, the rest S2
@@ -38,8 +39,6 @@ COLUMNS = {
 }
 WIRE_TYPES = {"RRN": "BIGINT", "AMOUNT": "STRING", "KVAL": "BIGINT", "NOTE": "STRING"}
 HEADERS_DDL = "STRUCT<operation: STRING, changeSequence: STRING, timestamp: STRING>"
-COLUMN_DDL = ("STRUCT<ordinal: INT, type: STRING, length: INT, precision: INT, scale: INT, "
-              "nullable: BOOLEAN, isKey: BOOLEAN, isPii: BOOLEAN>")
 
 
 def image_ddl(schema_id: str) -> str:
