@@ -110,3 +110,9 @@ def test_rewrite_detects_a_foreign_commit(spark):
     with pytest.raises(tables.ConcurrentWriteError):
         tables._write(spark, path, spark.createDataFrame([(2, "C")], "X BIGINT, _row_kind STRING"), "delete",
                       base_version=0)
+
+
+def test_bucket_count_is_sized_from_the_first_load():
+    assert tables.sized_buckets(10, 16) == 16
+    assert tables.sized_buckets(100_000_000, 16) == 64
+    assert tables.sized_buckets(10**15, 16) <= tables.MAX_BUCKETS

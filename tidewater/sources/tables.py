@@ -25,8 +25,10 @@ beside the snapshot rows of the same version, told apart by ``_row_kind``
 partition. Tables without keys (counts, registry) are plain append/snapshot
 tables.
 
-Sizing: a bucket is rewritten by one task, so ``buckets`` should be about
-table bytes / 512 MB; more buckets also make small merges cheaper.
+Sizing: a bucket is rewritten by one task. A keyed table's bucket count is
+fixed at its first load, from that load's row count (about two million rows
+per bucket, a power of two, at least the configured minimum); more buckets
+also make small merges cheaper.
 """
 
 from __future__ import annotations
@@ -47,8 +49,10 @@ BUCKET = "_bucket"
 DIR = "_dir"
 DEFAULT_BUCKETS = 16
 SNAPSHOT_OPS = ("overwrite", "merge", "delete", "compact")
-# Largest number of touched bucket ids fetched to the driver for one merge.
+# Largest bucket count of a table (and of bucket ids fetched for one merge).
 MAX_BUCKETS = 100_000
+# Rows per bucket aimed at when a table is created (about 512 MB of typical rows).
+ROWS_PER_BUCKET = 2_000_000
 
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
@@ -270,11 +274,19 @@ def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
         return _merge(spark, path, updates, keys, seq, update_cols, buckets)
 
 
+def sized_buckets(rows: int, minimum: int = DEFAULT_BUCKETS) -> int:
+    """Bucket count for a new table: a power of two giving about
+    ``ROWS_PER_BUCKET`` rows per bucket, never below ``minimum``."""
+    n = max(1, minimum)
+    while n * ROWS_PER_BUCKET < rows and n * 2 <= MAX_BUCKETS:
+        n *= 2
+    return n
+
+
 def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], seq: str,
            update_cols: list[str] | None, buckets: int) -> int | None:
     meta = _meta(spark, path)
-    n = meta.get("buckets", buckets) if meta else buckets
-    if meta and not n:
+    if meta and not meta.get("buckets"):
         merged = merge_upsert(read_table(spark, path), updates, keys, seq, update_cols)
         return _write(spark, path, merged, "merge", base_version=meta["version"])
     types = {f.name.upper(): f.dataType for f in T.StructType.fromJson(meta["schema"]).fields} if meta else {}
@@ -282,15 +294,21 @@ def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
     # Key values take the table's types so they hash to the table's buckets.
     upd = updates.select(*[F.col(f"`{c}`").cast(types[c.upper()]).alias(c)
                            if c.upper() in key_set and c.upper() in types else F.col(f"`{c}`")
-                           for c in updates.columns])
-    upd = upd.withColumn(BUCKET, bucket_of(keys, n)).persist()
+                           for c in updates.columns]).persist()
     try:
+        if not meta:  # first load: size the buckets from the rows, fixed from then on
+            count = upd.count()
+            if count == 0:
+                return None
+            n = sized_buckets(count, buckets)
+            rows = (upd.withColumn(BUCKET, bucket_of(keys, n)).withColumn(ROW_KIND, F.lit("I"))
+                    .repartition(n, BUCKET))
+            return _write(spark, path, rows, "overwrite", keys=list(keys), buckets=n)
+        n = meta["buckets"]
+        upd = upd.withColumn(BUCKET, bucket_of(keys, n))
         touched = sorted(r[0] for r in upd.select(BUCKET).distinct().limit(MAX_BUCKETS + 1).collect())
         if not touched:
             return None
-        if not meta:  # first load
-            rows = upd.withColumn(ROW_KIND, F.lit("I")).repartition(n, BUCKET)
-            return _write(spark, path, rows, "overwrite", keys=list(keys), buckets=n)
         existing = read_table(spark, path, buckets=touched, keep_bucket=True)
         _co_partition(spark)
         parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism * 4))
