@@ -80,3 +80,26 @@ def test_pii_columns_are_encrypted_at_rest(spark):
     plain = {r["NOTE"] for r in decrypt_columns(t, ["NOTE"], key).collect()}
     assert plain <= {"click", "view", "purchase", "signup", "error"} and plain
     _ = ColumnMeta
+
+
+def test_publish_tables_skips_tables_below_their_start_version(spark):
+    from tidewater.plans.publish import publish_tables, stage_for_db
+    d = smoke_dir()
+    raw = C.raw_table(spark, d, 3)
+    registry = tables.read_table(spark, C.registry_table(spark, d, 3))
+    root, target, ck = scratch_path(spark, "st"), scratch_path(spark, "db"), scratch_path(spark, "ck")
+    configs = [TableConfig("SRC", "EVENTS_0", start_version=0), TableConfig("SRC", "EVENTS_1", start_version=5),
+               TableConfig("SRC", "EVENTS_2", start_version=1)]
+    ST.process_batch(spark, raw, 0, registry, configs, root, RunOptions(tables_in_parallel=3))
+
+    def handler_for(cfg):
+        def handle(b, batch_id):
+            tables.merge(spark, ST.table_path(target, cfg.schema, cfg.table), stage_for_db(b), ["RRN"])
+        return handle
+
+    done = publish_tables(spark, root, configs, ck, handler_for, workers=2)
+    assert sorted(done) == ["SRC.EVENTS_0", "SRC.EVENTS_2"]
+    # EVENTS_2 started at version 1: only changes committed from version 1 on were published
+    v1_keys = {r["RRN"] for r in tables.read_change_feed(spark, ST.table_path(root, "SRC", "EVENTS_2"), 1)
+               .filter("_change_type != 'update_preimage'").collect()}
+    assert {r["RRN"] for r in tables.read_table(spark, ST.table_path(target, "SRC", "EVENTS_2")).collect()} == v1_keys

@@ -550,6 +550,27 @@ def q_publish_drain(spark, d):
     return present(tables.read_table(spark, target))
 
 
+def q_publish_tables(spark, d):
+    """All tables of the fan-out published in parallel: version-gated table
+    choice, one drain and checkpoint per table, sequence-guarded apply."""
+    from tidewater.plans.publish import publish_tables
+    batch = raw_table(spark, d, 3)
+    registry = tables.read_table(spark, registry_table(spark, d, 3))
+    configs = [TableConfig(feed.SOURCE_SCHEMA, f"{feed.SINGLE_TABLE}_{p}", start_version=0) for p in range(3)]
+    root, target_root, ck = scratch_path(spark, "st"), scratch_path(spark, "db"), scratch_path(spark, "ck")
+    ST.process_batch(spark, batch, 0, registry, configs, root, RunOptions(tables_in_parallel=3))
+
+    def handler_for(cfg):
+        def handle(b: DataFrame, batch_id: int) -> None:
+            tables.merge(spark, ST.table_path(target_root, cfg.schema, cfg.table), stage_for_db(b), ["RRN"])
+        return handle
+
+    done = publish_tables(spark, root, configs, ck, handler_for, workers=3)
+    parts = [tables.read_table(spark, ST.table_path(target_root, feed.SOURCE_SCHEMA, q.split(".")[1]))
+             .withColumn("table", F.lit(q.split(".")[1])) for q in sorted(done)]
+    return present(reduce(lambda a, b: a.unionByName(b), parts))
+
+
 QUERIES = {
     "flagship": q_flagship,
     "nested_project": q_nested_project,
@@ -603,4 +624,5 @@ QUERIES = {
     "raw_ingest": q_raw_ingest,
     "src_event_stream": q_src_event_stream,
     "publish_drain": q_publish_drain,
+    "publish_tables": q_publish_tables,
 }

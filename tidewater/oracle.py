@@ -253,6 +253,7 @@ SQL = {
                           f"trim(note, ' ') AS NOTE, kval AS KVAL FROM lats WHERE sid = 'S2'"),
     "decrypt_cell": f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT key AS RRN, trim(note, ' ') AS NOTE FROM lats WHERE sid = 'S2'",
     "fanout_tables": _fanout(),
+    "publish_tables": _fanout(),
     "src_event_stream": f"SELECT event_id, {ts('ts')} AS ts, user_id, event_type, value, props FROM events",
     "raw_ingest": f"{BASE}\nSELECT sid AS messageSchemaId, {ts('enq')} AS enqueuedTime, true AS stamped FROM feed",
 }

@@ -26,3 +26,37 @@ def stage_for_db(feed_batch: DataFrame, keys: list[str] = (KEY_COLUMN,), pii: li
         df = decrypt_columns(df, list(pii), key)
     df = latest_per_key(df, list(keys))
     return db_column_order(df.withColumn("_dbProcessingTimestamp", F.current_timestamp()))
+
+
+def publish_tables(spark, root: str, configs, checkpoint_root: str, handler_for, workers: int = 4,
+                   max_versions_per_trigger: int | None = None) -> list[str]:
+    """SEM-16 for all tables: keep tables whose current version reached their
+    configured start version (SRC-11), then drain each table's change feed in
+    its own AvailableNow query and checkpoint, ``workers`` tables at a time on
+    separate scheduler pools (``workers=1`` is the sequential form).
+
+    ``handler_for(config)`` returns the ``(batch_df, batch_id)`` function of
+    one table, e.g. staging plus ``publish_jdbc``. Returns the tables drained.
+    """
+    from tidewater.config import select_tables
+    from tidewater.plans.structured import run_parallel, table_path
+    from tidewater.sources import tables
+    from tidewater.streaming import streams
+
+    current = {}
+    for c in configs:
+        v = tables.latest_version(spark, table_path(root, c.schema, c.table))
+        if v is not None:
+            current[c.qualified] = v
+    chosen = select_tables(configs, current)
+
+    def task(c):
+        def run():
+            q = streams.start_publish(spark, table_path(root, c.schema, c.table), c.start_version or 0,
+                                      f"{checkpoint_root}/{c.schema}/{c.table}", handler_for(c),
+                                      max_versions_per_trigger)
+            streams.drain(q)
+            return c.qualified
+        return run
+
+    return run_parallel(spark, [task(c) for c in chosen], workers, "tidewater_publish")
