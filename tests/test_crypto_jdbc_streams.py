@@ -98,3 +98,31 @@ def test_forced_stop_after_timeout(spark):
     time.sleep(1.5)
     assert streams.stop_when_idle(q, poll_s=0.2, timeout_s=1) is False
     assert not q.isActive
+
+
+def test_metadata_leg_streams_are_restartable(spark):
+    from tests_conf import smoke_dir
+    from tidewater import catalog as C
+    from tidewater.functions.codec import ENVELOPE_SCHEMA
+    from tidewater.sources import feed, tables
+    log_path, raw_meta, reg = scratch_path(spark, "metalog"), scratch_path(spark, "rawmeta"), scratch_path(spark, "reg")
+    ck1, ck2 = scratch_path(spark, "ck"), scratch_path(spark, "ck")
+    meta = feed.metadata_envelopes(C.events(spark, smoke_dir()))
+    meta.filter(F.col("body.messageSchemaId") == "S1").write.parquet(f"{log_path}/part1")
+    schema = T.StructType([T.StructField("body", ENVELOPE_SCHEMA), T.StructField("enqueuedTime", T.TimestampType())])
+
+    def run():
+        # SNK-2: metadata leg appends without a processing-time column, default trigger
+        q = streams.start_raw(streams.read_event_stream(spark, f"{log_path}/*", schema), raw_meta, ck1,
+                              available_now=True, stamp=False, processing_time=None)
+        streams.drain(q)
+        streams.drain(streams.start_registry(spark.readStream.schema(schema).parquet(raw_meta), reg, ck2,
+                                             available_now=True))
+
+    run()
+    assert {r[0] for r in tables.read_table(spark, reg).select("messageSchemaId").collect()} == {"S1"}
+    run()                                    # restart with nothing new: no change
+    assert tables.read_table(spark, reg).count() == 1
+    meta.write.parquet(f"{log_path}/part2")  # S1 repeated and S2 new
+    run()
+    assert sorted(r[0] for r in tables.read_table(spark, reg).select("messageSchemaId").collect()) == ["S1", "S2"]
