@@ -116,3 +116,11 @@ def test_bucket_count_is_sized_from_the_first_load():
     assert tables.sized_buckets(10, 16) == 16
     assert tables.sized_buckets(100_000_000, 16) == 64
     assert tables.sized_buckets(10**15, 16) <= tables.MAX_BUCKETS
+
+
+def test_merge_leaves_no_cached_frames(spark):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1")]), ["RRN"])
+    tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2")]), ["RRN"])
+    storage = spark.sparkContext._jsc.sc().getRDDStorageInfo()
+    assert all(info.numCachedPartitions() == 0 for info in storage)

@@ -292,9 +292,10 @@ def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
     types = {f.name.upper(): f.dataType for f in T.StructType.fromJson(meta["schema"]).fields} if meta else {}
     key_set = {k.upper() for k in keys}
     # Key values take the table's types so they hash to the table's buckets.
-    upd = updates.select(*[F.col(f"`{c}`").cast(types[c.upper()]).alias(c)
-                           if c.upper() in key_set and c.upper() in types else F.col(f"`{c}`")
-                           for c in updates.columns]).persist()
+    cached = updates.select(*[F.col(f"`{c}`").cast(types[c.upper()]).alias(c)
+                              if c.upper() in key_set and c.upper() in types else F.col(f"`{c}`")
+                              for c in updates.columns]).persist()
+    upd = cached
     try:
         if not meta:  # first load: size the buckets from the rows, fixed from then on
             count = upd.count()
@@ -316,7 +317,7 @@ def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
                               keys, seq, update_cols, partition_col=BUCKET)
         return _write(spark, path, merged, "merge", written=touched, base_version=meta["version"])
     finally:
-        upd.unpersist()
+        cached.unpersist()
 
 
 def _rewrite(spark: SparkSession, path: str, rows: DataFrame, operation: str, meta: dict,
