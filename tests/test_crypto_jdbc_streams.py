@@ -1,4 +1,3 @@
-import threading
 import time
 
 from pyspark.sql import functions as F

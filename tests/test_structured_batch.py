@@ -6,7 +6,6 @@ from helpers import as_set
 from tests_conf import smoke_dir
 from tidewater import catalog as C
 from tidewater.config import RunOptions, TableConfig
-from tidewater.plans import registry as REG
 from tidewater.plans import structured as ST
 from tidewater.session import scratch_path
 from tidewater.sources import feed, tables
@@ -56,7 +55,7 @@ def test_dry_run_returns_update_set(spark):
 
 def test_pii_columns_are_encrypted_at_rest(spark):
     import dataclasses
-    from tidewater.config import ColumnMeta, RegistryEntry
+    from tidewater.config import RegistryEntry
     d = smoke_dir()
     cols = tuple(dataclasses.replace(c, is_pii=True) if c.name == "NOTE" else c for c in feed.COLUMNS["S2"])
     e = RegistryEntry("S2", "SRC", "EVENTS", "t", cols, feed.data_schema("S2"))
@@ -79,7 +78,6 @@ def test_pii_columns_are_encrypted_at_rest(spark):
     from tidewater.functions.crypto import decrypt_columns
     plain = {r["NOTE"] for r in decrypt_columns(t, ["NOTE"], key).collect()}
     assert plain <= {"click", "view", "purchase", "signup", "error"} and plain
-    _ = ColumnMeta
 
 
 def test_publish_tables_skips_tables_below_their_start_version(spark):
