@@ -124,3 +124,11 @@ def test_merge_leaves_no_cached_frames(spark):
     tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2")]), ["RRN"])
     storage = spark.sparkContext._jsc.sc().getRDDStorageInfo()
     assert all(info.numCachedPartitions() == 0 for info in storage)
+
+
+def test_merge_restores_the_co_partition_setting(spark):
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1")]), ["RRN"])
+    tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2")]), ["RRN"])
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"

@@ -33,6 +33,7 @@ also make small merges cheaper.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import json
 import threading
@@ -256,10 +257,29 @@ def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[st
         return _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by, txn=txn)
 
 
-def _co_partition(spark: SparkSession) -> None:
-    # Both merge inputs are shuffled once by bucket; let the join accept that
-    # partitioning instead of shuffling again on all join keys.
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+_CO_PART_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
+_co_part_guard = threading.Lock()
+_co_part_users = [0, None]  # active merges, value to restore
+
+
+@contextlib.contextmanager
+def _co_partitioned(spark: SparkSession):
+    """While merges run, let a join accept inputs partitioned by the bucket
+    alone (a subset of its keys) instead of shuffling again on all keys.
+    The session value is restored when the last concurrent merge ends, so
+    other queries keep Spark's default."""
+    with _co_part_guard:
+        if _co_part_users[0] == 0:
+            _co_part_users[1] = spark.conf.get(_CO_PART_CONF, "true")
+            spark.conf.set(_CO_PART_CONF, "false")
+        _co_part_users[0] += 1
+    try:
+        yield
+    finally:
+        with _co_part_guard:
+            _co_part_users[0] -= 1
+            if _co_part_users[0] == 0:
+                spark.conf.set(_CO_PART_CONF, _co_part_users[1])
 
 
 def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
@@ -311,11 +331,11 @@ def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
         if not touched:
             return None
         existing = read_table(spark, path, buckets=touched, keep_bucket=True)
-        _co_partition(spark)
         parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism * 4))
         merged = merge_upsert(existing.repartition(parts, BUCKET), upd.repartition(parts, BUCKET),
                               keys, seq, update_cols, partition_col=BUCKET)
-        return _write(spark, path, merged, "merge", written=touched, base_version=meta["version"])
+        with _co_partitioned(spark):
+            return _write(spark, path, merged, "merge", written=touched, base_version=meta["version"])
     finally:
         cached.unpersist()
 
