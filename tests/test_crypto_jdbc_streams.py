@@ -125,3 +125,14 @@ def test_metadata_leg_streams_are_restartable(spark):
     meta.write.parquet(f"{log_path}/part2")  # S1 repeated and S2 new
     run()
     assert sorted(r[0] for r in tables.read_table(spark, reg).select("messageSchemaId").collect()) == ["S1", "S2"]
+
+
+def test_find_query_by_name(spark):
+    ck = scratch_path(spark, "ck")
+    q = (spark.readStream.format("rate").option("rowsPerSecond", 5).load().writeStream.format("noop")
+         .queryName("tw_find_me").option("checkpointLocation", ck).start())
+    try:
+        assert streams.find_query(spark, "tw_find_me", wait_s=5).id == q.id
+        assert streams.find_query(spark, "tw_absent", wait_s=0.2, poll_s=0.1) is None
+    finally:
+        q.stop()

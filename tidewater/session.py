@@ -12,7 +12,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8",
+    # Shuffles start wide and AQE coalesces them to ~128 MB partitions; tests
+    # and the bench pass a small spark.sql.shuffle.partitions explicitly.
+    "spark.sql.shuffle.partitions": "2000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "134217728",
     "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -42,7 +42,7 @@ def plan(df) -> str:
 
 def main() -> None:
     d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "16"})
     out = ["# Physical plans of the main operators", "",
            f"Generated by `tools/show_plans.py` on `{d}` (local[8], AQE on; plans before adaptive re-planning).", ""]
 
