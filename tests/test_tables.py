@@ -132,3 +132,27 @@ def test_merge_restores_the_co_partition_setting(spark):
     tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1")]), ["RRN"])
     tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2")]), ["RRN"])
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_append_only_table_auto_compacts(spark, monkeypatch):
+    monkeypatch.setattr(tables, "AUTO_COMPACT_APPENDS", 3)
+    path = scratch_path(spark, "t")
+    for i in range(7):
+        tables.append(spark, path, spark.createDataFrame([(i,)], "X BIGINT"))
+    meta = tables.latest_commit(spark, path)
+    assert len(meta["layout"]["appends"]) < 3
+    assert sorted(r[0] for r in tables.read_table(spark, path).collect()) == list(range(7))
+    assert "compact" in {c["operation"] for c in tables.commits(spark, path)}
+
+
+def test_delete_rewrites_only_matching_buckets(spark):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, state(spark, [(f"K{i}", "INSERT", "100", str(i)) for i in range(100)]), ["RRN"],
+                 buckets=16)
+    v = tables.delete_where(spark, path, F.col("RRN") == "K5")
+    meta = tables.latest_commit(spark, path)
+    assert meta["version"] == v and len(meta["written"]) == 1
+    assert tables.read_table(spark, path).count() == 99
+    assert tables.delete_where(spark, path, F.col("RRN") == "nope") == v      # nothing matched: no new version
+    feed = tables.read_change_feed(spark, path, v)
+    assert as_set(feed, "RRN", "_change_type") == {("K5", "delete")}

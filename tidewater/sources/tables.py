@@ -54,6 +54,9 @@ SNAPSHOT_OPS = ("overwrite", "merge", "delete", "compact")
 MAX_BUCKETS = 100_000
 # Rows per bucket aimed at when a table is created (about 512 MB of typical rows).
 ROWS_PER_BUCKET = 2_000_000
+# Appends after which an append-only table is compacted, and the file size aimed at.
+AUTO_COMPACT_APPENDS = 50
+COMPACT_FILE_BYTES = 134_217_728
 
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
@@ -254,7 +257,27 @@ def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[st
     With ``txn = (app id, batch id)``, a batch already committed for that app
     is not appended again."""
     with _lock(path):
-        return _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by, txn=txn)
+        v = _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by, txn=txn)
+        meta = _meta(spark, path)
+        if len(meta["layout"]["appends"]) >= AUTO_COMPACT_APPENDS:
+            # auto-compaction: fold the appended directories into one snapshot,
+            # so reads and commit files stay small however many batches append
+            cur = read_table(spark, path, version=meta["version"])
+            _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta,
+                     _files_for(spark, path, meta))
+        return v
+
+
+def _current_dirs(meta: dict) -> list[str]:
+    layout = meta["layout"]
+    return sorted(set(([layout["base"]] if layout["base"] else []) + list(layout["buckets"].values())
+                      + layout["appends"]))
+
+
+def _files_for(spark: SparkSession, path: str, meta: dict) -> int:
+    """Output files for a compaction: about one per ``COMPACT_FILE_BYTES``."""
+    size = sum(fs.total_size(spark, f"{path}/{DIR}={d}") for d in _current_dirs(meta))
+    return max(1, -(-size // COMPACT_FILE_BYTES))
 
 
 _CO_PART_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
@@ -351,12 +374,25 @@ def _rewrite(spark: SparkSession, path: str, rows: DataFrame, operation: str, me
 
 
 def delete_where(spark: SparkSession, path: str, predicate: Column) -> int:
-    """SNK-10: drop rows where the predicate is true; NULL keeps the row."""
+    """SNK-10: drop rows where the predicate is true; NULL keeps the row.
+
+    A bucketed table rewrites only the buckets holding a matching row (found
+    by one pass that returns at most ``buckets`` ids); when nothing matches,
+    nothing is written and the current version is returned."""
     with _lock(path):
         meta = _meta(spark, path)
-        cur = read_table(spark, path, version=meta["version"])
-        kind = F.when(F.coalesce(predicate, F.lit(False)), F.lit("D")).otherwise(F.lit("C"))
-        return _rewrite(spark, path, cur.withColumn(ROW_KIND, kind), "delete", meta)
+        hit = F.coalesce(predicate, F.lit(False))
+        kind = F.when(hit, F.lit("D")).otherwise(F.lit("C"))
+        if not meta.get("buckets"):
+            cur = read_table(spark, path, version=meta["version"])
+            return _rewrite(spark, path, cur.withColumn(ROW_KIND, kind), "delete", meta)
+        cur = read_table(spark, path, version=meta["version"], keep_bucket=True)
+        buckets = sorted(r[0] for r in cur.filter(hit).select(BUCKET).distinct().collect())
+        if not buckets:
+            return meta["version"]
+        rows = (read_table(spark, path, version=meta["version"], buckets=buckets, keep_bucket=True)
+                .withColumn(ROW_KIND, kind).repartition(len(buckets), BUCKET))
+        return _write(spark, path, rows, "delete", written=buckets, base_version=meta["version"])
 
 
 def compact(spark: SparkSession, path: str, files: int) -> int:
