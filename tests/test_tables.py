@@ -156,3 +156,16 @@ def test_delete_rewrites_only_matching_buckets(spark):
     assert tables.delete_where(spark, path, F.col("RRN") == "nope") == v      # nothing matched: no new version
     feed = tables.read_change_feed(spark, path, v)
     assert as_set(feed, "RRN", "_change_type") == {("K5", "delete")}
+
+
+def test_compact_grows_buckets_with_the_table(spark, monkeypatch):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, state(spark, [("K0", "INSERT", "100", "0")]), ["RRN"], buckets=2)
+    tables.merge(spark, path, state(spark, [(f"K{i}", "INSERT", "101", str(i)) for i in range(1, 40)]), ["RRN"])
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 5)
+    tables.compact(spark, path)
+    meta = tables.latest_commit(spark, path)
+    assert meta["buckets"] == 8 and meta["layout"]["buckets"] == {}
+    tables.merge(spark, path, state(spark, [("K3", "UPDATE", "102", "x")]), ["RRN"])
+    cur = tables.read_table(spark, path)
+    assert cur.count() == 40 and as_set(cur.filter(F.col("RRN") == "K3"), "AMOUNT") == {("x",)}

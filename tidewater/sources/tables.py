@@ -182,7 +182,7 @@ def read_table(spark: SparkSession, path: str, version: int | None = None, bucke
 def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
            partition_by: tuple[str, ...] | None = None, keys: list[str] | None = None,
            buckets: int = 0, written: list[int] | None = None, base_version: int | None = -2,
-           txn: tuple[str, int] | None = None) -> int:
+           txn: tuple[str, int] | None = None, rebucket: bool = False) -> int:
     """Write ``rows`` (with ``_row_kind`` and, when bucketed, ``_bucket``) to a
     fresh directory and commit it as the next version. A table keeps the
     layout of its first write. ``base_version`` is the version a rewrite read
@@ -192,7 +192,8 @@ def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
         return prev["version"]
     if prev:
         partition_by = tuple(prev.get("partition_by", ()))
-        keys, buckets = prev.get("keys"), prev.get("buckets", 0)
+        keys = prev.get("keys")
+        buckets = buckets if (rebucket and buckets) else prev.get("buckets", 0)
     partition_by = tuple(partition_by or ())
     parts = ([BUCKET] if buckets else []) + [ROW_KIND] + list(partition_by)
     token = f"{(prev['version'] + 1) if prev else 0:020d}-{uuid.uuid4().hex[:12]}"
@@ -395,12 +396,27 @@ def delete_where(spark: SparkSession, path: str, predicate: Column) -> int:
         return _write(spark, path, rows, "delete", written=buckets, base_version=meta["version"])
 
 
-def compact(spark: SparkSession, path: str, files: int) -> int:
-    """SNK-11: same rows, rewritten into few files (one per bucket when bucketed)."""
+def compact(spark: SparkSession, path: str, files: int | None = None) -> int:
+    """SNK-11: same rows, rewritten into few files.
+
+    A bucketed table is rewritten one file per bucket, and its bucket count
+    grows to fit the rows it now holds (a table created small keeps buckets
+    of bounded size as it grows). Otherwise ``files`` output files, or about
+    one per ``COMPACT_FILE_BYTES`` when not given."""
     with _lock(path):
         meta = _meta(spark, path)
-        cur = read_table(spark, path, version=meta["version"])
-        return _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta, files)
+        cur = read_table(spark, path, version=meta["version"]).persist()
+        try:
+            if meta.get("buckets"):
+                n = sized_buckets(cur.count(), meta["buckets"])
+                rows = (cur.withColumn(BUCKET, bucket_of(meta["keys"], n)).withColumn(ROW_KIND, F.lit("C"))
+                        .repartition(n, BUCKET))
+                return _write(spark, path, rows, "compact", buckets=n, base_version=meta["version"],
+                              rebucket=True)
+            return _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta,
+                            files or _files_for(spark, path, meta))
+        finally:
+            cur.unpersist()
 
 
 def _kind_map() -> Column:
