@@ -169,3 +169,14 @@ def test_compact_grows_buckets_with_the_table(spark, monkeypatch):
     tables.merge(spark, path, state(spark, [("K3", "UPDATE", "102", "x")]), ["RRN"])
     cur = tables.read_table(spark, path)
     assert cur.count() == 40 and as_set(cur.filter(F.col("RRN") == "K3"), "AMOUNT") == {("x",)}
+
+
+def test_change_feed_long_range_joins_commit_records(spark, monkeypatch):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1")]), ["RRN"])
+    tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2"), ("B", "INSERT", "101", "3")]), ["RRN"])
+    small = as_set(tables.read_change_feed(spark, path), "RRN", "_change_type", "_commit_version")
+    monkeypatch.setattr(tables, "MAX_LITERAL_VERSIONS", 0)
+    big = tables.read_change_feed(spark, path)
+    assert as_set(big, "RRN", "_change_type", "_commit_version") == small
+    assert big.filter(F.col("_commit_timestamp").isNull()).count() == 0

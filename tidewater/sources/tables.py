@@ -54,6 +54,8 @@ SNAPSHOT_OPS = ("overwrite", "merge", "delete", "compact")
 MAX_BUCKETS = 100_000
 # Rows per bucket aimed at when a table is created (about 512 MB of typical rows).
 ROWS_PER_BUCKET = 2_000_000
+# Versions of a change-feed read mapped by a literal; longer ranges join instead.
+MAX_LITERAL_VERSIONS = 1_000
 # Appends after which an append-only table is compacted, and the file size aimed at.
 AUTO_COMPACT_APPENDS = 50
 COMPACT_FILE_BYTES = 134_217_728
@@ -433,17 +435,23 @@ def read_change_feed(spark: SparkSession, path: str, start_version: int = 0,
     log = commits(spark, path, start_version, meta["version"])
     schema = T.StructType.fromJson(meta["schema"])
     df = _scan(spark, path, meta, [c["dir"] for c in log]).filter(F.col(ROW_KIND).isin(*CHANGE_KINDS))
-    if log:
-        version_of = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["version"]))])
-        stamp_of = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["timestamp"]))])
+    if len(log) > MAX_LITERAL_VERSIONS:
+        # Long ranges: the commit records (already on the driver, one small
+        # row per version) join in as a broadcast table instead of a literal.
+        commits_df = spark.createDataFrame([(c["dir"], c["version"], c["timestamp"]) for c in log],
+                                           f"{DIR} STRING, __v BIGINT, __ts STRING")
+        df = df.join(F.broadcast(commits_df), DIR)
+        version_col, stamp_col = F.col("__v"), F.col("__ts")
+    elif log:
+        version_col = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["version"]))])[F.col(DIR)]
+        stamp_col = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["timestamp"]))])[F.col(DIR)]
     else:
-        version_of = F.create_map().cast("map<string,int>")
-        stamp_of = F.create_map().cast("map<string,string>")
+        version_col, stamp_col = F.lit(None), F.lit(None).cast("string")
     return df.select(
         *schema.fieldNames(),
         _kind_map()[F.col(ROW_KIND)].alias("_change_type"),
-        version_of[F.col(DIR)].cast("bigint").alias("_commit_version"),
-        F.to_timestamp(stamp_of[F.col(DIR)]).alias("_commit_timestamp"),
+        version_col.cast("bigint").alias("_commit_version"),
+        F.to_timestamp(stamp_col).alias("_commit_timestamp"),
     )
 
 
