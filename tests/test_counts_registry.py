@@ -113,3 +113,18 @@ def test_count_detail_counts_null_operations(spark):
     assert row["INSERT"] == 2 and row["null"] == 1
     assert det.columns[:12] == CNT.DETAIL_LEADING and det.columns[12:] == ["INSERT", "null"]
     assert as_set(count_rollup(det), "INSERT", "UPDATE", "DELETE") == {(2, 0, 0)}
+
+
+def test_registry_cache_reloads_only_on_new_versions(spark):
+    from tests_conf import smoke_dir
+    meta = feed.metadata_envelopes(C.events(spark, smoke_dir()))
+    path = scratch_path(spark, "reg")
+    REG.ingest_registry(spark, meta.filter(F.col("body.messageSchemaId") == "S1"), path)
+    cache = REG.RegistryCache(spark, path)
+    assert [e.message_schema_id for e in cache.entries(["S2", "S1"])] == ["S1"]
+    v = cache.version
+    cache.entries(["S1"])
+    assert cache.version == v
+    REG.ingest_registry(spark, meta, path)
+    assert [e.message_schema_id for e in cache.entries(["S2", "S1", "X"])] == ["S1", "S2"]
+    assert cache.version == v + 1

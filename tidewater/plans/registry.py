@@ -130,3 +130,27 @@ def route_tables(raw: DataFrame, registry: DataFrame, listed: list[str]) -> Data
            .filter(F.upper(F.concat_ws(".", "schema", "table")).isin(*wanted)))
     reg = F.broadcast(reg) if registry_is_small(registry) else reg
     return raw.join(reg, raw["body.messageSchemaId"] == reg["messageSchemaId"], "inner").drop("messageSchemaId")
+
+
+class RegistryCache:
+    """Registry entries held on the driver between micro-batches.
+
+    Reloaded only when the registry table has a new committed version, so a
+    batch costs no registry job unless the registry changed. Its size is the
+    catalogue's (bounded by ``MAX_SCHEMAS``), not the data's.
+    """
+
+    def __init__(self, spark, path: str):
+        self.spark, self.path = spark, path
+        self.version: int | None = None
+        self.by_id: dict[str, RegistryEntry] = {}
+
+    def entries(self, ids: list[str]) -> list[RegistryEntry]:
+        v = tables.latest_version(self.spark, self.path)
+        if v != self.version:
+            self.by_id = {e.message_schema_id: e
+                          for e in registry_entries(tables.read_table(self.spark, self.path, version=v))} \
+                if v is not None else {}
+            self.version = v
+        found = [self.by_id[i] for i in ids if i in self.by_id]
+        return sorted(found, key=lambda e: (e.timestamp, e.message_schema_id))

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.config import RunOptions, TableConfig
 from tidewater.plans.publish import post_images
-from tidewater.plans.registry import ingest_registry
+from tidewater.plans.registry import RegistryCache, ingest_registry
 from tidewater.plans.structured import process_batch
 from tidewater.sources import tables
 
@@ -84,8 +84,9 @@ def start_structured(stream: DataFrame, registry_path: str, configs: list[TableC
     if not opts.stream_id:
         opts = dataclasses.replace(opts, stream_id=checkpoint)
 
+    registry = RegistryCache(spark, registry_path)
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        registry = tables.read_table(spark, registry_path)
         process_batch(spark, batch, batch_id, registry, configs, root, opts, counts_path)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
