@@ -136,3 +136,10 @@ def test_find_query_by_name(spark):
         assert streams.find_query(spark, "tw_absent", wait_s=0.2, poll_s=0.1) is None
     finally:
         q.stop()
+
+
+def test_kafka_source_needs_its_package(spark):
+    import pytest
+    from tidewater.functions.codec import ENVELOPE_SCHEMA
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        streams.read_kafka_stream(spark, "localhost:1", "t", ENVELOPE_SCHEMA)
