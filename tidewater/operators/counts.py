@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewater.config import OPERATIONS
 
+# Column names of the count tables, kept as the source system
+# names them (the operation column's spelling included).
 COUNT_DATES = ("qlikCapturedDate", "ehEnqueuedDate", "rawLayerDate")
+COUNT_OPERATION = "soruceOperation"
 ROLLUP_KEYS = ("sourceName", "layer", "sourceSchema", "tableName", "rawLayerDate")
 
 
@@ -17,12 +20,12 @@ def count_input(decoded: DataFrame, content: str = "content") -> DataFrame:
         F.to_date(F.try_to_timestamp(F.col(f"{content}.headers.timestamp"))).alias("qlikCapturedDate"),
         F.to_date(F.col("_ehEnqueuedTime")).alias("ehEnqueuedDate"),
         F.to_date(F.col("_rawLayerProcessingTime")).alias("rawLayerDate"),
-        F.col(f"{content}.headers.operation").alias("soruceOperation"),
+        F.col(f"{content}.headers.operation").alias(COUNT_OPERATION),
     )
 
 
 def pivot_counts(counts_in: DataFrame, values: list[str] | None = None,
-                 op: str = "soruceOperation") -> DataFrame:
+                 op: str = COUNT_OPERATION) -> DataFrame:
     """AGG-3: count per (3 dates) pivoted on the operation.
 
     With ``values`` the pivot needs no extra pass to discover them. Without,
