@@ -24,6 +24,9 @@ def test_batch_replay_changes_nothing_and_counts_once(spark):
     state = {t: as_set(tables.read_table(spark, ST.table_path(root, "SRC", t)).drop("_structuredLayerProcessingTime"))
              for t in ("EVENTS_0", "EVENTS_1", "EVENTS_2")}
     n_counts = tables.read_table(spark, counts).count()
+    assert len(tables.commits(spark, counts)) == 1          # one append for the whole batch
+    det = tables.read_table(spark, counts)
+    assert det.columns[12:] == sorted(det.columns[12:]) and n_counts > 0
     n_logs = tables.read_table(spark, logs).count()
     ST.process_batch(spark, raw, 7, registry, configs, root, opts, counts)   # replay
     for t, rows in state.items():
