@@ -37,13 +37,17 @@ def build_session(master: str = "local[*]", app: str = "tidewater", conf: dict |
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage. Only when it is
-    unset (local tests) is a private folder created and registered.
+    On a cluster this must already be set to shared storage (an error
+    otherwise). Only in local mode, when it is unset, is a private folder
+    created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage; "
+                             "a machine-local folder is not usable on a cluster")
         d = tempfile.mkdtemp(prefix="tidewater-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
