@@ -264,10 +264,14 @@ def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[st
         meta = _meta(spark, path)
         if len(meta["layout"]["appends"]) >= AUTO_COMPACT_APPENDS:
             # auto-compaction: fold the appended directories into one snapshot,
-            # so reads and commit files stay small however many batches append
+            # so reads and commit files stay small however many batches append.
+            # Best effort: if another process committed meanwhile, try next time.
             cur = read_table(spark, path, version=meta["version"])
-            _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta,
-                     _files_for(spark, path, meta))
+            try:
+                _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta,
+                         _files_for(spark, path, meta))
+            except ConcurrentWriteError:
+                pass
         return v
 
 
