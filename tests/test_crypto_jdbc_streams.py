@@ -25,11 +25,11 @@ def test_encrypt_decrypt_roundtrip_and_null(spark):
 def test_sql_registered_decrypt(spark):
     df = spark.createDataFrame([(1, "x")], "id INT, v STRING")
     crypto.encrypt_columns(df, ["v"], KEY, "k1").createOrReplaceTempView("t_enc")
-    crypto.register_sql_functions(spark, KEY)
-    assert spark.sql("SELECT decrypt_target_cell(v) AS v FROM t_enc").collect()[0]["v"] == "x"
+    crypto.register_sql_functions(spark)
+    assert spark.sql("SELECT decrypt_target_cell(v, :k) AS v FROM t_enc", args={"k": KEY}).collect()[0]["v"] == "x"
     src = spark.sql(f"SELECT base64(aes_encrypt('y', '{KEY}', 'GCM')) AS s")
     src.createOrReplaceTempView("t_src")
-    assert spark.sql("SELECT decrypt_source_value(s) AS v FROM t_src").collect()[0]["v"] == "y"
+    assert spark.sql("SELECT decrypt_source_value(s, :k) AS v FROM t_src", args={"k": KEY}).collect()[0]["v"] == "y"
 
 
 def test_merge_sql_guards_on_sequence():

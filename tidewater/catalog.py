@@ -473,9 +473,10 @@ def q_encrypt_roundtrip(spark, d):
 def q_decrypt_cell(spark, d):
     s2, _ = update_set(spark, d, entries()[1])
     enc = encrypt_columns(s2.select("RRN", "NOTE"), ["NOTE"], DEMO_KEY, DEMO_KEY_ID)
-    register_sql_functions(spark, DEMO_KEY)
+    register_sql_functions(spark)
     enc.createOrReplaceTempView("tw_encrypted_notes")
-    return spark.sql("SELECT RRN, decrypt_target_cell(NOTE) AS NOTE FROM tw_encrypted_notes")
+    return spark.sql("SELECT RRN, decrypt_target_cell(NOTE, :key) AS NOTE FROM tw_encrypted_notes",
+                     args={"key": DEMO_KEY})
 
 
 def q_src_event_stream(spark, d):

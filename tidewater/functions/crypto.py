@@ -68,13 +68,16 @@ def decrypt_source_columns(df: DataFrame, columns: list[str], key: str) -> DataF
     ])
 
 
-def register_sql_functions(spark: SparkSession, key: str) -> None:
-    """Register the decrypt functions for SQL text as SQL functions (no Python UDF)."""
+def register_sql_functions(spark: SparkSession) -> None:
+    """Register the decrypt functions for SQL text as SQL functions (no Python
+    UDF). The key is an argument, never part of a function definition; pass it
+    through a parameter marker, e.g.
+    ``spark.sql("SELECT decrypt_target_cell(c, :key) FROM t", args={"key": key})``."""
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION decrypt_target_cell(cell {CELL_DDL}) RETURNS STRING "
-        f"RETURN CAST(aes_decrypt(concat(unbase64(cell.iv), unbase64(cell.cipherText)), '{key}', 'GCM') AS STRING)"
+        f"CREATE OR REPLACE TEMPORARY FUNCTION decrypt_target_cell(cell {CELL_DDL}, k STRING) RETURNS STRING "
+        "RETURN CAST(aes_decrypt(concat(unbase64(cell.iv), unbase64(cell.cipherText)), k, 'GCM') AS STRING)"
     )
     spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION decrypt_source_value(v STRING) RETURNS STRING "
-        f"RETURN CAST(aes_decrypt(unbase64(v), '{key}', 'GCM') AS STRING)"
+        "CREATE OR REPLACE TEMPORARY FUNCTION decrypt_source_value(v STRING, k STRING) RETURNS STRING "
+        "RETURN CAST(aes_decrypt(unbase64(v), k, 'GCM') AS STRING)"
     )
