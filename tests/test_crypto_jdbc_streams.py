@@ -143,3 +143,30 @@ def test_kafka_source_needs_its_package(spark):
     from tidewater.functions.codec import ENVELOPE_SCHEMA
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         streams.read_kafka_stream(spark, "localhost:1", "t", ENVELOPE_SCHEMA)
+
+
+def test_decode_modes(spark):
+    import pytest
+    from tidewater.functions.codec import decode
+    df = spark.createDataFrame([('{"a": 1}',), ('{"a": "x"}',), ("not json",)], "s STRING") \
+        .select(F.col("s").cast("binary").alias("b"))
+    out = df.select(decode(F.col("b"), "a INT", mode="PERMISSIVE").alias("c")).select("c.a").collect()
+    assert [r[0] for r in out] == [1, None, None]
+    with pytest.raises(Exception):
+        df.select(decode(F.col("b"), "a INT", mode="FAILFAST").alias("c")).collect()
+    with pytest.raises(ValueError):
+        decode(F.col("b"), "a INT", mode="DROPMALFORMED")
+
+
+def test_raw_stream_enqueue_gate_is_strict(spark):
+    import datetime as dt
+    from tidewater.functions.codec import RAW_SCHEMA
+    src, out, ck = scratch_path(spark, "raw"), scratch_path(spark, "out"), scratch_path(spark, "ck")
+    t0 = dt.datetime(2024, 1, 10)
+    rows = [((None, "data", {}, "S1", None, b"{}"), t0 + dt.timedelta(seconds=s), None) for s in (-1, 0, 1)]
+    spark.createDataFrame(rows, RAW_SCHEMA).write.parquet(src)
+    stream = streams.read_raw_stream(spark, src, RAW_SCHEMA, max_bytes=0, start="2024-01-10 00:00:00")
+    q = stream.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out)
+    streams.drain(q)
+    got = [r[0] for r in spark.read.parquet(out).select("enqueuedTime").collect()]
+    assert got == [t0 + dt.timedelta(seconds=1)]
