@@ -67,3 +67,32 @@ def test_table_config_parsing_and_selection():
 
 def test_framework_names_case_insensitive():
     assert is_framework("_OPERATION") and not is_framework("RRN")
+
+
+def test_apply_types_failfast_raises_on_bad_value(spark):
+    df = spark.createDataFrame([("x",)], "AMOUNT STRING")
+    with pytest.raises(Exception):
+        apply_types(df, [("AMOUNT", T.DecimalType(5, 2))], "FAILFAST").collect()
+
+
+def test_column_orders(spark):
+    from tidewater.functions.columns import column_order, db_column_order, sorted_after
+    df = spark.createDataFrame([(1, "a", 2, 3, "s", "1001", "p")],
+                               "AMOUNT INT, NOTE STRING, RRN BIGINT, DATAPARTITIONNUM BIGINT, "
+                               "_operation STRING, _changeSequence STRING, DATAPARTITIONNAME STRING")
+    assert column_order(df, ["RRN", "AMOUNT", "NOTE"]).columns == [
+        "RRN", "DATAPARTITIONNUM", "DATAPARTITIONNAME", "_operation", "_changeSequence", "AMOUNT", "NOTE"]
+    low = df.withColumnRenamed("RRN", "rrn")
+    assert db_column_order(low).columns[:2] == ["rrn", "DATAPARTITIONNUM"]
+    assert sorted_after(df, ["RRN"]).columns == ["RRN"] + sorted(c for c in df.columns if c != "RRN")
+
+
+def test_stage_for_db_keeps_latest_per_rrn_in_db_order(spark):
+    from tidewater.plans.publish import stage_for_db
+    feed = spark.createDataFrame([(1, "UPDATE", "1001", "a", "insert", 0), (1, "UPDATE", "1002", "b", "update_postimage", 1),
+                                  (2, "INSERT", "1001", "c", "insert", 0)],
+                                 "RRN BIGINT, _operation STRING, _changeSequence STRING, NOTE STRING, "
+                                 "_change_type STRING, _commit_version BIGINT")
+    out = stage_for_db(feed)
+    assert out.columns == ["RRN", "_operation", "_changeSequence", "_dbProcessingTimestamp", "NOTE"]
+    assert {(r["RRN"], r["NOTE"]) for r in out.collect()} == {(1, "b"), (2, "c")}
