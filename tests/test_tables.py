@@ -180,3 +180,25 @@ def test_change_feed_long_range_joins_commit_records(spark, monkeypatch):
     big = tables.read_change_feed(spark, path)
     assert as_set(big, "RRN", "_change_type", "_commit_version") == small
     assert big.filter(F.col("_commit_timestamp").isNull()).count() == 0
+
+
+def test_vacuum_removes_only_unreferenced_old_directories(spark):
+    from tidewater.sources import fs
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, state(spark, [(f"K{i}", "INSERT", "100", str(i)) for i in range(20)]), ["RRN"],
+                 buckets=4)
+    tables.merge(spark, path, state(spark, [(f"K{i}", "UPDATE", "101", "x") for i in range(20)]), ["RRN"])
+    tables.compact(spark, path)
+    before = tables.read_table(spark, path).collect()
+    # a failed attempt that was never committed
+    state(spark, [("Z", "INSERT", "1", "1")]).withColumn("_row_kind", F.lit("C")) \
+        .write.parquet(f"{path}/_dir=00000000000000000009-failed")
+    assert tables.vacuum(spark, path) == []                              # everything is recent: nothing goes
+    import pytest
+    with pytest.raises(ValueError):
+        tables.vacuum(spark, path, retain_hours=0)
+    removed = tables.vacuum(spark, path, retain_hours=0, allow_short_retention=True)
+    log = tables.commits(spark, path)
+    assert set(removed) == {log[0]["dir"], log[1]["dir"], "00000000000000000009-failed"}
+    assert {r for r in tables.read_table(spark, path).collect()} == set(before)
+    assert len([n for n in fs.list_names(spark, path) if n.startswith("_dir=")]) == 1

@@ -73,3 +73,16 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         out.close()
     return True
+
+
+def list_dirs_with_time(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, modification time in ms) of the entries under a folder."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [(s.getPath().getName(), int(s.getModificationTime())) for s in fs.listStatus(p)]
+
+
+def delete_tree(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))

@@ -475,6 +475,48 @@ def stream_commits(spark: SparkSession, path: str, start_version: int = 0,
     return reader.json(f"{path}/{COMMITS}").filter(F.col("version") >= start_version)
 
 
+def vacuum(spark: SparkSession, path: str, retain_hours: float = 720.0,
+           allow_short_retention: bool = False) -> list[str]:
+    """Delete data directories no longer needed (the reference keeps 720 h).
+
+    Kept: every directory the current layout reads, every directory any
+    version committed within the retention window reads or wrote (so change
+    feeds and reads as of those versions keep working), and any directory
+    younger than the window (a write that may still be committing). Returns
+    the directories removed. Versions older than the window can no longer be
+    read afterwards, as with any vacuum.
+    """
+    import time as _time
+    if retain_hours < 24 and not allow_short_retention:
+        raise ValueError("a retention under 24 h can delete writes still in flight; "
+                         "pass allow_short_retention=True to do it anyway")
+    with _lock(path):
+        log = commits(spark, path)
+        if not log:
+            return []
+        now = _time.time()
+        horizon = now - retain_hours * 3600
+
+        def committed_at(c: dict) -> float:
+            return _dt.datetime.strptime(c["timestamp"], "%Y-%m-%d %H:%M:%S.%f").replace(
+                tzinfo=_dt.timezone.utc).timestamp()
+
+        keep = set(_current_dirs(log[-1]))
+        for c in log:
+            if committed_at(c) >= horizon:
+                keep.add(c["dir"])
+                keep.update(_current_dirs(c))
+        removed = []
+        for name, mtime in fs.list_dirs_with_time(spark, path):
+            if not name.startswith(f"{DIR}="):
+                continue
+            token = name.split("=", 1)[1]
+            if token not in keep and mtime / 1000.0 < horizon:
+                fs.delete_tree(spark, f"{path}/{name}")
+                removed.append(token)
+        return sorted(removed)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """SRC-12: a zero-row frame with a schema."""
     return spark.createDataFrame([], schema)
