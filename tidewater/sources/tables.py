@@ -491,21 +491,24 @@ def vacuum(spark: SparkSession, path: str, retain_hours: float = 720.0,
         raise ValueError("a retention under 24 h can delete writes still in flight; "
                          "pass allow_short_retention=True to do it anyway")
     with _lock(path):
-        log = commits(spark, path)
-        if not log:
+        vs = versions(spark, path)
+        if not vs:
             return []
-        now = _time.time()
-        horizon = now - retain_hours * 3600
+        horizon = _time.time() - retain_hours * 3600
 
         def committed_at(c: dict) -> float:
             return _dt.datetime.strptime(c["timestamp"], "%Y-%m-%d %H:%M:%S.%f").replace(
                 tzinfo=_dt.timezone.utc).timestamp()
 
-        keep = set(_current_dirs(log[-1]))
-        for c in log:
-            if committed_at(c) >= horizon:
-                keep.add(c["dir"])
-                keep.update(_current_dirs(c))
+        latest = read_commit(spark, path, vs[-1])
+        keep = set(_current_dirs(latest))
+        # walk back from the newest commit; only commits inside the window are read
+        for v in reversed(vs):
+            c = latest if v == vs[-1] else read_commit(spark, path, v)
+            if committed_at(c) < horizon:
+                break
+            keep.add(c["dir"])
+            keep.update(_current_dirs(c))
         removed = []
         for name, mtime in fs.list_dirs_with_time(spark, path):
             if not name.startswith(f"{DIR}="):
