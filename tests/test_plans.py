@@ -64,3 +64,21 @@ def test_latest_per_key_never_uses_a_window(spark):
     from tidewater.operators.changes import latest_per_key
     plan = physical(latest_per_key(df, ["RRN"]))
     assert "Window" not in plan and "partial_max_by" in plan
+
+
+def test_spread_splits_identical_copies_evenly(spark):
+    from tidewater.operators.partitioning import spread
+    df = spark.createDataFrame([("same", 1)] * 800, "s STRING, n INT").coalesce(1)
+    out = spread(df)
+    sizes = out.rdd.glom().map(len).collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert len(sizes) == cores and max(sizes) - min(sizes) <= 1 and sum(sizes) == 800
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    from tidewater.operators.changes import latest_per_key
+    rows = [("HOT", "UPDATE", f"1{i:05d}", str(i)) for i in range(300)] + \
+           [(f"K{i}", "UPDATE", f"1{i:05d}", str(i)) for i in range(600)]
+    out = latest_per_key(state(spark, rows).repartition(8), ["RRN"])
+    got = {r["RRN"]: r["AMOUNT"] for r in out.collect()}
+    assert len(got) == 601 and got["HOT"] == "299"
