@@ -104,3 +104,26 @@ def test_publish_tables_skips_tables_below_their_start_version(spark):
     v1_keys = {r["RRN"] for r in tables.read_change_feed(spark, ST.table_path(root, "SRC", "EVENTS_2"), 1)
                .filter("_change_type != 'update_preimage'").collect()}
     assert {r["RRN"] for r in tables.read_table(spark, ST.table_path(target, "SRC", "EVENTS_2")).collect()} == v1_keys
+
+
+def test_run_log_levels_and_unknown_schema_warning(spark):
+    from tidewater.plans.runlog import RunLog
+    log = RunLog(scratch_path(spark, "log"), "WARN")
+    log.event("A", "B", "S", "t", "debug detail", "DEBUG")
+    log.event("A", "B", "S", "t", "problem", "WARN")
+    log.flush(spark)
+    assert [r["message"] for r in tables.read_table(spark, log.path).collect()] == ["problem"]
+    assert RunLog(None).flush(spark) is None
+
+    d = smoke_dir()
+    raw = C.raw_table(spark, d, 3)
+    reg_path = scratch_path(spark, "reg")
+    from tidewater.plans import registry as R
+    R.ingest_registry(spark, feed.metadata_envelopes(C.events(spark, d), 3)
+                      .filter(F.col("body.messageSchemaId") == "S1_0"), reg_path)
+    logs = scratch_path(spark, "log")
+    opts = RunOptions(log_path=logs, log_level="WARN")
+    ST.process_batch(spark, raw, 0, R.RegistryCache(spark, reg_path), [TableConfig("SRC", "EVENTS_0")],
+                     scratch_path(spark, "st"), opts)
+    msgs = [r["message"] for r in tables.read_table(spark, logs).collect()]
+    assert len(msgs) == 1 and "S2_0" in msgs[0] and "S1_0" not in msgs[0]
