@@ -54,3 +54,8 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["RRN", "DATAPARTITIONNUM", "DATAPARTITIONNAME"]
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema and a.count() == b.count()
