@@ -1,0 +1,108 @@
+import gzip
+import io
+import random
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewater.llm import warc as W
+
+DDL = "page_id LONG, url STRING, html STRING, payload STRING, digest INT"
+
+
+def brute(rows):
+    first = {}
+    for pid, _, html, *_ in rows:
+        h = html or ""
+        if pid is not None and (h not in first or pid < first[h]):
+            first[h] = pid
+    out = Counter()
+    for pid, _, html, *_ in rows:
+        data, at = (html or "").encode(), first.get(html or "")
+        revisit = at is not None and pid != at
+        out[(pid, len(data), W.sha1_base32(data), "revisit" if revisit else "response", at if revisit else None)] += 1
+    return out
+
+
+def run(spark, tmp_path, rows):
+    spark.createDataFrame(rows, DDL).write.parquet(f"{tmp_path}/pages.parquet")
+    got = W.op10_warc_salvage(spark, str(tmp_path)).collect()
+    return Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got)
+
+
+def test_round_trip_with_copies_nulls_and_hostile_payloads(spark, tmp_path):
+    hostile = "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    rows = [(i, f"http://x/{i}", f"<p>é{i % 40}</p>", None, 1) for i in range(200)]
+    rows += [(1000, None, None, None, None), (999, "u\r\nX: y", "", "z", None), (1001, "u", hostile, None, 1),
+             (1002, "u", hostile, None, 1), (None, "u", "lonely", None, 1), (None, "u", hostile, None, 1),
+             (1003, "u", "x" * 300_000, None, 1), (3, "u", "<p>é3</p>", None, 1), (3, "u", "<p>é3</p>", None, 1)]
+    assert run(spark, tmp_path, rows) == brute(rows)
+
+
+def test_empty_table(spark, tmp_path):
+    assert run(spark, tmp_path, []) == Counter()
+
+
+def test_files_are_plain_multi_member_gzip(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], "page_id LONG, url STRING, html STRING")
+    W.write_archives(df, f"{tmp_path}/w")
+    data = b"".join(gzip.decompress(p.read_bytes()) for p in sorted(tmp_path.glob("w/part-*")))
+    assert data.count(b"WARC/1.1\r\n") == 2 and b"WARC-Type: revisit" in data
+
+
+def ids(data):
+    return [W._id(f.get("x-page-id")) for k, _, _, f, _ in W.salvage(data) if k == "record"]
+
+
+def gaps(data):
+    return [(o, n) for k, o, n, _, _ in W.salvage(data) if k == "gap"]
+
+
+def test_salvage_plain_and_gzip_with_damage():
+    recs = [W.record(i, "u", f"payload {i} ".encode() * 20, None, False) for i in range(6)]
+    for pack in (bytes, W.gzip_member):
+        parts = [pack(r) for r in recs]
+        assert ids(b"".join(parts)) == list(range(6)) and not gaps(b"".join(parts))
+        hurt = list(parts)
+        cut = len(hurt[2]) * 9 // 10
+        hurt[2] = hurt[2][:cut] + b"\x00\x01" + hurt[2][cut + 2:]
+        hurt[4] = hurt[4][:-9]
+        assert ids(b"".join(hurt)) == [0, 1, 3, 5]
+        at = len(b"".join(hurt[:2]))
+        assert gaps(b"".join(hurt)) == [(at, len(hurt[2])), (len(b"".join(hurt[:4])), len(hurt[4]))]
+    assert ids(b"junk" + recs[1] + b"\x1f\x8b\x08trash" + W.gzip_member(recs[3])) == [1, 3]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**31), st.booleans())
+def test_any_damage_leaves_whole_records_and_covers_all_bytes(seed, packed):
+    rnd = random.Random(seed)
+    parts = [W.record(i, "u", rnd.randbytes(rnd.randrange(80)), None, False) for i in range(5)]
+    parts = [W.gzip_member(p) if packed else p for p in parts]
+    hit = rnd.randrange(5)
+    p = bytearray(parts[hit])
+    for _ in range(rnd.randrange(1, 4)):
+        p[rnd.randrange(len(p))] ^= 1 << rnd.randrange(8)
+    parts[hit] = bytes(p)
+    data = b"".join(parts)
+    assert set(range(5)) - {hit} <= set(ids(data))
+    end = 0
+    for _, o, n, _, _ in W.salvage(data):
+        assert o == end
+        end = o + n
+    assert end == len(data)
+
+
+def test_several_records_in_a_member_and_empty_input():
+    two = W.record(1, "u", b"", None, False) + W.record(2, None, b"z", None, False)
+    assert ids(W.gzip_member(two)) == [1, 2] and ids(b"") == []
+    assert gzip.open(io.BytesIO(W.gzip_member(two))).read() == two
+
+
+def test_query_over_the_given_table(spark):
+    d = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url", "html").collect()]
+    got = W.op10_warc_salvage(spark, d).collect()
+    assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])
+                   for r in got) == brute(rows)

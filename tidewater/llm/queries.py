@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidewater.llm import sharding
+from tidewater.llm import sharding, warc
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_virtual_slot_sharding,
+    warc.op10_warc_salvage,
 )}
 ORACLE_SQL: dict[str, str] = {}
