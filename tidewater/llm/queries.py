@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewater.llm import sharding, warc
+from tidewater.llm import bpe, sharding, warc
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_virtual_slot_sharding,
+    bpe.op2_byte_bpe,
     warc.op10_warc_salvage,
 )}
 ORACLE_SQL: dict[str, str] = {}
