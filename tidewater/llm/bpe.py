@@ -21,6 +21,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -30,12 +31,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.llm.common import CACHE_WORDS, table, text_batches
 
 MULTI = "byte_bpe_multi_50k.tiktoken"
-#: Parts longer than this are encoded but not remembered.
-LONGEST_PART = 64
 _SINGLE_SPACE = re.compile(r"(?<!\s) (?!\s)")
 _SPACES = re.compile(r"  | [^\S ]|[^\S ] ")
 
 
+class _Numbers(dict):
+    """Numbers what is looked up in order of first sight."""
+
+    def __missing__(self, part: str) -> int:
+        n = self[part] = len(self)
+        return n
+
+
 def byte_chars() -> list[str]:
     """The visible character of each byte: itself if it prints, else the next one after 255."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -70,8 +77,8 @@ class ByteBPE:
         self.lengths = np.fromiter(map(len, by_id), np.int64, size)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(by_id), np.uint8)
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.leads_space = np.fromiter((t[:1] == b" " for t in by_id), bool, size)
+        self._forget()
 
     @staticmethod
     def _from_ranks(ranks: dict[bytes, int], chars: list[str]):
@@ -88,38 +95,63 @@ class ByteBPE:
         tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         return tok
 
-    def _learn(self, memory: dict[str, bytes], parts: set[str], lead: str) -> dict[str, bytes]:
-        """Encodes parts; remembers the short ones and returns all."""
-        if len(memory) > CACHE_WORDS:
-            memory.clear()
-        parts = list(parts)
-        encoded = self.tok.encode_batch_fast([lead + p for p in parts], add_special_tokens=False)
-        out = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(parts, encoded)}
-        memory.update((p, v) for p, v in out.items() if len(p) <= LONGEST_PART)
-        return out
-
-    def encode_bytes(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [t.split(" ") if not _SPACES.search(t) else _SINGLE_SPACE.split(t) for t in texts]
-        spaced, first = self.spaced, self.first
-        new = set().union(*cut).difference(spaced)
-        long = self._learn(spaced, new, " ") if new else {}
-        heads = {p[0] for p in cut}.difference(first)
-        long_heads = self._learn(first, heads, "") if heads else {}
-        out = []
-        for p in cut:
-            h = p[0]
-            head = first[h] if h in first else long_heads[h] if h in long_heads else self._learn(first, {h}, "")[h]
-            try:
-                tail = b"".join([spaced[x] for x in p[1:]])
-            except KeyError:
-                tail = b"".join([spaced[x] if x in spaced else long[x] if x in long else self._learn(spaced, {x}, " ")[x]
-                                 for x in p[1:]])
-            out.append(head + tail)
-        return out
+    def _encode_new(self, parts: list[str]) -> None:
+        """Adds the ids of newly numbered parts to the table. Parts without a space
+        in them and white space at their end are encoded as one text, each after
+        a single space; a part's ids begin at the token that begins with a space."""
+        alone = [i for i, p in enumerate(parts) if not p or " " in p or p[-1].isspace()]
+        is_alone = set(alone)
+        joined = [p for i, p in enumerate(parts) if i not in is_alone] if alone else parts
+        ids, lengths = np.empty(0, np.uint32), np.zeros(len(parts), np.int64)
+        if joined:
+            whole = self.tok.encode_batch_fast([" " + " ".join(joined)], add_special_tokens=False)[0]
+            ids = np.array(whole.ids, np.uint32)
+        together = np.diff(np.append(np.flatnonzero(self.leads_space[ids]), len(ids)))
+        keep = np.ones(len(parts), bool)
+        keep[alone] = False
+        lengths[keep] = together
+        pieces, at = [], 0
+        if alone:
+            ends = np.cumsum(lengths)
+            texts = [parts[i][1:] if parts[i][:1] == " " else " " + parts[i] for i in alone]
+            for i, e in zip(alone, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+                upto = int(ends[i])
+                pieces += [ids[at:upto], np.array(e.ids, np.uint32)]
+                at = upto
+                lengths[i] = len(pieces[-1])
+        pieces.append(ids[at:])
+        self.part_ids = np.concatenate([self.part_ids, *pieces])
+        self.part_lengths = np.concatenate([self.part_lengths, lengths])
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, unsigned 32-bit. Parts are numbered as they come;
+        new ones are encoded together. A text's first part, which has no space
+        before it, is numbered under a space, with which no other part begins."""
+        if len(self.parts) > CACHE_WORDS or len(self.part_ids) > 6 * CACHE_WORDS:
+            self._forget()
+        known, at, ends = len(self.parts), [], []
+        number = self.parts.__getitem__
+        for t in texts:
+            p = t.split(" ") if not _SPACES.search(t) else _SINGLE_SPACE.split(t)
+            p[0] = " " + p[0]
+            at.extend(map(number, p))
+            ends.append(len(at))
+        if len(self.parts) > known:
+            self._encode_new(list(islice(self.parts, known, None)))
+        at = np.array(at, np.int64)
+        n = self.part_lengths[at]
+        upto = np.cumsum(n)
+        part_starts = np.cumsum(self.part_lengths) - self.part_lengths
+        total = int(upto[-1]) if len(upto) else 0
+        ids = self.part_ids[np.arange(total) + np.repeat(part_starts[at] - upto + n, n)]
+        return np.split(ids, upto[np.array(ends[:-1], np.int64) - 1]) if texts else []
+
+    def _forget(self) -> None:
+        self.parts = _Numbers()
+        self.part_ids, self.part_lengths = np.empty(0, np.uint32), np.empty(0, np.int64)
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encode_bytes([text])[0], "<u4")
+        return self.encode_batch([text])[0]
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The byte strings of the ids, joined."""
@@ -161,19 +193,18 @@ def bpe(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[list, list[str], list[bytes]]]:
-    """(doc ids, texts, ids as bytes) of batches of (doc_id, text)."""
+def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[list, list[str], list[np.ndarray]]]:
+    """(doc ids, texts, token ids) of batches of (doc_id, text)."""
     for b in text_batches(batches):
         texts = [t or "" for t in b.column("text").to_pylist()]
-        yield b.column("doc_id").to_pylist(), texts, bpe(path).encode_bytes(texts)
+        yield b.column("doc_id").to_pylist(), texts, bpe(path).encode_batch(texts)
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, token_ids, char_starts, char_ends of each document."""
     def run(batches):
         model = bpe(path)
-        for doc_ids, texts, packed in encoded(batches, path):
-            ids = [np.frombuffer(p, "<u4") for p in packed]
+        for doc_ids, texts, ids in encoded(batches, path):
             spans = [model.offsets(i, t.encode("utf-8", "surrogatepass")) for i, t in zip(ids, texts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids, pa.int64()), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
@@ -189,14 +220,13 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     the number of tokens that begin or end inside a character."""
     def run(batches):
         model = bpe(path)
-        for doc_ids, _, packed in encoded(batches, path):
+        for doc_ids, _, batch in encoded(batches, path):
             rows = []
-            for d, p in zip(doc_ids, packed):
-                ids = np.frombuffer(p, "<u4")
+            for d, ids in zip(doc_ids, batch):
                 data = model.decode_bytes(ids)
                 start, end = model.offsets(ids, data) if len(ids) else (ids, ids)
                 split = int(np.count_nonzero(start[1:] < end[:-1]))
-                rows.append((d, len(ids), hashlib.sha256(p).hexdigest(), hashlib.sha256(data).hexdigest(), split))
+                rows.append((d, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(data).hexdigest(), split))
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))],
