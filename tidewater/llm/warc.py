@@ -101,14 +101,18 @@ def parse_record(data, at: int) -> tuple[dict, bytes, int] | None:
 def records_at(data: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int] | None:
     """All records of the gzip member, or the plain record, at ``at``; and its end."""
     if data.startswith(MAGIC, at):
-        z = zlib.decompressobj(31)
+        z, parts, end, step = zlib.decompressobj(31), [], at, 4096
+        view = memoryview(data)
         try:
-            # A view: nothing before the member is copied.
-            body = z.decompress(memoryview(data)[at:])
+            # In growing steps, as the library copies what it is given beyond the member.
+            while not z.eof and end < len(data):
+                parts.append(z.decompress(view[end:end + step]))
+                end, step = min(end + step, len(data)), step * 2
         except zlib.error:
             return None
         if not z.eof:
             return None
+        body = b"".join(parts)
         found, pos = [], 0
         while pos < len(body):
             got = parse_record(body, pos)
@@ -116,7 +120,7 @@ def records_at(data: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int] | N
                 return None
             found.append(got[:2])
             pos = got[2]
-        return found, len(data) - len(z.unused_data)
+        return found, end - len(z.unused_data)
     got = parse_record(data, at)
     return None if got is None else ([got[:2]], got[2])
 
