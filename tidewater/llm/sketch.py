@@ -49,3 +49,41 @@ def corpus_counts(rows: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator
     for r in pieces.collect():  # cells / PIECE rows, whatever the input
         out[r["piece"] * PIECE:(r["piece"] + 1) * PIECE] = np.frombuffer(r["counts"], np.int64)
     return out
+
+
+def corpus_bits(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of fixed size with the bit of every hash (one long column) set."""
+    column = hashes.columns[0]
+    size = bits // 8
+    piece = min(PIECE * 8, size)
+
+    def local(batches):
+        flags = np.zeros(bits, bool)
+        for b in batches:
+            flags[(b.column(0).to_numpy().view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)] = True
+        packed = np.packbits(flags, bitorder="little")
+        for i in range(0, size, piece):
+            if packed[i:i + piece].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // piece], pa.int32()), pa.array([packed[i:i + piece].tobytes()], pa.binary())],
+                                                 names=["piece", "bits"])
+
+    def merged(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                part = np.frombuffer(data, np.uint8)
+                sums[i] = sums[i] | part if i in sums else part
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
+                                             names=["piece", "bits"])
+    out = np.zeros(size, np.uint8)
+    for r in hashes.select(column).mapInArrow(local, "piece int, bits binary").repartition(F.col("piece")) \
+            .mapInArrow(merged, "piece int, bits binary").collect():  # size / piece rows
+        out[r["piece"] * piece:(r["piece"] + 1) * piece] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def in_bits(hashes: np.ndarray, packed: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit is set."""
+    at = (hashes & np.uint64(len(packed) * 8 - 1)).astype(np.int64)
+    return (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
