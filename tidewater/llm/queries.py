@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidewater.llm import bpe, imatch, ngram_join, repair_ids, sharding, substring_dedup, warc
+from tidewater.llm import bpe, imatch, ngram_join, quality_fm, repair_ids, sharding, substring_dedup, warc
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_virtual_slot_sharding,
     bpe.op2_byte_bpe,
     imatch.op5_imatch,
+    quality_fm.op6_fm_quality,
     repair_ids.op7_repair_token_ids,
     substring_dedup.op8_substring_dedup,
     ngram_join.op9_ngram_jaccard_join,
