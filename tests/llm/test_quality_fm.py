@@ -8,7 +8,7 @@ from tidewater.llm import quality_fm as Q
 def test_scores_equal_the_plain_double_sum():
     rnd = np.random.default_rng(1)
     m = Q.Model(0.3, rnd.normal(size=Q.FEATURES), rnd.normal(size=(Q.FEATURES, Q.FACTORS)))
-    for text in ("", "a b a", "One two,\nthree! | $$$ 12", "é " * 50):
+    for text in (b"", b"a b a", b"One two,\nthree! | $$$ 12", "é ".encode() * 50):
         ids, x = Q.features(text, None)
         plain = m.bias + sum(m.linear[i] * v for i, v in zip(ids, x))
         plain += sum(m.factors[ids[i]] @ m.factors[ids[j]] * x[i] * x[j] for i in range(len(ids)) for j in range(i))
@@ -16,14 +16,14 @@ def test_scores_equal_the_plain_double_sum():
 
 
 def test_learns_interactions_and_constant_labels():
-    docs = [f"{a} {b}" for a in ("p", "q") for b in ("r", "s")] * 100
-    y = np.array([float((t[0] == "p") == (t[2] == "r")) for t in docs])
+    docs = [a + b" " + b for a in (b"p", b"q") for b in (b"r", b"s")] * 100
+    y = np.array([float((t[:1] == b"p") == (t[2:] == b"r")) for t in docs])
     rows = [Q.features(t, None) for t in docs]
     many = rows * 20
     m = Q.fit(many, np.tile(y, 20), np.ones(len(many)))
     assert all((m.score(t, None) >= 0.5) == (v == 1) for t, v in zip(docs[:4], y[:4]))
-    assert Q.fit([], np.array([]), np.array([])).score("x", None) == 0.5
-    assert Q.fit(rows, np.ones(len(rows)), np.ones(len(rows))).score("x", 3) > 0.9
+    assert Q.fit([], np.array([]), np.array([])).score(b"x", None) == 0.5
+    assert Q.fit(rows, np.ones(len(rows)), np.ones(len(rows))).score(b"x", 3) > 0.9
 
 
 def test_held_out_accuracy_and_columns(spark):

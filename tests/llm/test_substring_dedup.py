@@ -68,7 +68,7 @@ def test_empty_table(spark, tmp_path):
 
 
 def test_rolling_hashes_and_anchors_follow_content():
-    words = [f"w{i % 37}" for i in range(400)]
+    words = [b"w%d" % (i % 37) for i in range(400)]
     w = S.Windows(words)
     assert (w.rolling(25)[5:100] == S.Windows(words[5:124]).rolling(25)).all()
     low = [min(w.rolling(25)[i:i + 26]) for i in range(351)]

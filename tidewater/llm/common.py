@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.session import scratch_path
 
-#: Words: runs of anything but space and the controls 9 to 13.
-WORD = r"[^\x20\x09-\x0D]+"
-WORDS = re.compile(WORD)
 #: Distinct words one Python worker remembers before it starts afresh.
 CACHE_WORDS = 1_500_000
+_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _U = np.uint64
 
 
@@ -32,29 +29,21 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(text: str) -> str:
-    """Lower-cases A-Z only."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def texts(batch: pa.RecordBatch) -> list[bytes]:
+    """The batch's texts as UTF-8 bytes; NULL is empty. On bytes, ``split()`` cuts
+    at space and the controls 9 to 13 only, ``lower()`` lowers A-Z only."""
+    return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
+def terms(text: bytes) -> list[bytes]:
+    """Lower-cased words without ASCII punctuation."""
+    text = text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode()
+    return text.translate(None, _PUNCTUATION).split()
 
 
-class WordHash(dict):
-    """word -> 64-bit hash, remembered; bounded by ``clear`` between batches."""
-
-    def __missing__(self, word: str) -> int:
-        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        self[word] = h
-        return h
-
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=_U, count=len(words))
-
-
-WORD_HASH = WordHash()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hash of each word."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(_U)
 
 
 def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -65,13 +54,16 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
-def shingle_hashes(words: list[str], k: int) -> np.ndarray:
+def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
     """Hash of each run of ``k`` words in order (of the whole sequence when it
     is shorter; none without words)."""
-    if not words:
+    return run_hashes(word_hashes(words), min(k, len(words)))
+
+
+def run_hashes(w: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each run of ``k`` word hashes."""
+    if not k or len(w) < k:
         return np.empty(0, dtype=_U)
-    w = WORD_HASH.of(words)
-    k = min(k, len(w))
     h = np.zeros(len(w) - k + 1, dtype=_U)
     for i in range(k):
         h = h * _U(0x9E3779B97F4A7C15) + w[i:len(w) - k + 1 + i]

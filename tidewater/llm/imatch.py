@@ -1,6 +1,6 @@
 """I-Match fingerprints over randomised lexicon subsets.
 
-Terms are lower-cased words without outer punctuation. A first pass counts the
+Terms are lower-cased words without ASCII punctuation. A first pass counts the
 documents of each term in a table of fixed size (terms by hash); the lexicon is
 the cells within a band of document frequency. A fingerprint has one hash per
 lexicon subset: the sorted distinct terms of the document that lie in the
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import CACHE_WORDS, mix, table, text_batches
+from tidewater.llm.common import mix, table, terms, text_batches, texts, word_hashes
 from tidewater.llm.neighbours import with_following_head
 from tidewater.llm.sketch import corpus_counts
 
@@ -39,31 +39,13 @@ CHANCES = (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512)
 PER_CHANCE = 8
 HASH_BYTES = 4
 _EMPTY = "-" * (2 * HASH_BYTES)
-_OUTER = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 _LIMITS = np.array([c * 2.0**64 for c in CHANCES for _ in range(PER_CHANCE)]).astype(np.uint64)
 _SALTS = mix(np.arange(1, len(_LIMITS) + 1, dtype=np.uint64), 77)
 
 
-class TermHash(dict):
-    """word -> hash of its term; 0 for words without one."""
-
-    def __missing__(self, word: str) -> int:
-        term = word.strip(_OUTER).lower()
-        h = int.from_bytes(hashlib.blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") or 1
-        self[word] = h = h if term else 0
-        return h
-
-
-TERM_HASH = TermHash()
-
-
-def terms(text: str) -> np.ndarray:
+def term_set(text: bytes) -> np.ndarray:
     """Sorted distinct term hashes."""
-    if len(TERM_HASH) > CACHE_WORDS:
-        TERM_HASH.clear()
-    words = text.split()
-    found = np.unique(np.fromiter(map(TERM_HASH.__getitem__, words), np.uint64, len(words)))
-    return found[1:] if len(found) and found[0] == 0 else found
+    return np.unique(word_hashes(terms(text)))
 
 
 def _cells(t: np.ndarray) -> np.ndarray:
@@ -74,16 +56,16 @@ def lexicon(docs: DataFrame) -> np.ndarray:
     """Which cells lie in the band, from all documents."""
     def cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for part in text_batches(iter([batch])):
-            found = [np.unique(_cells(terms(t or ""))) for t in part.column("text").to_pylist()]
+            found = [np.unique(_cells(term_set(t))) for t in texts(part)]
             yield np.concatenate(found) if found else np.empty(0, np.int64)
     counts = corpus_counts(docs.select("text"), cells, CELLS)
     n = docs.filter("text IS NOT NULL").count()
     return (counts >= max(LEAST_DOCUMENTS, LEAST_SHARE * n)) & (counts <= max(LEAST_DOCUMENTS, MOST_SHARE * n))
 
 
-def fingerprint(text: str, band: np.ndarray) -> tuple[str, ...]:
+def fingerprint(text: bytes, band: np.ndarray) -> tuple[str, ...]:
     """One hash per lexicon subset, or a mark for a subset without a term."""
-    found = terms(text)
+    found = term_set(text)
     inside = found[band[_cells(found)]]
     inside = inside if len(inside) else found
     if not len(inside):
@@ -105,7 +87,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches):
         band = np.unpackbits(shared.value).astype(bool)
         for b in text_batches(batches):
-            prints = ["".join(fingerprint(t or "", band)) for t in b.column("text").to_pylist()]
+            prints = ["".join(fingerprint(t, band)) for t in texts(b)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(prints, pa.string())], names=["doc_id", "fingerprint"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
 
@@ -126,9 +108,9 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         def result(row, after):
             doc_id, text, own = row
-            new = edited_text(text, after[1])
+            new = edited_text(text, after[1]).encode("utf-8", "surrogatepass")
             changed = fingerprint(new, band)
-            return (doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), "".join(own), "".join(changed),
+            return (doc_id, len(text), hashlib.sha256(new).hexdigest(), "".join(own), "".join(changed),
                     likeness(own, changed), likeness(own, after[2]))
         current = None
         for b in text_batches(batches):
@@ -138,7 +120,7 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
                     current, held = at, None
                 elif held is None:
                     continue  # a further copy of a tied head
-                row = (doc_id, text, fingerprint(text, band))
+                row = (doc_id, text, fingerprint(text.encode("utf-8", "surrogatepass"), band))
                 if held is not None:
                     out.append(result(held, row))
                 held = None if is_copy else row

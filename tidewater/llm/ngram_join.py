@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import WORDS, ascii_lower, mix, shingle_hashes, stored, table, text_batches
+from tidewater.llm.common import mix, shingle_hashes, stored, table, text_batches, texts
 from tidewater.llm.components import labels
 from tidewater.llm.sketch import corpus_counts
 
@@ -45,8 +45,8 @@ PIVOT_ROUNDS = 2
 _W = [f"w{i}" for i in range(LONGS)]
 
 
-def shingle_set(text: str | None, k: int) -> np.ndarray:
-    return np.unique(shingle_hashes(WORDS.findall(ascii_lower(text or "")), k))
+def shingle_set(text: bytes, k: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text.lower().split(), k))
 
 
 def class_id(hashes: np.ndarray) -> int:
@@ -82,8 +82,8 @@ def cell(hashes: np.ndarray) -> np.ndarray:
 
 def shingle_order(docs: DataFrame, k: int) -> np.ndarray:
     def cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for t in batch.column("text").to_pylist():
-            h = shingle_hashes(WORDS.findall(ascii_lower(t or "")), k)
+        for t in texts(batch):
+            h = shingle_hashes(t.lower().split(), k)
             if len(h):
                 pending.append(cell(h))
             if sum(map(len, pending)) > 500_000:
@@ -103,7 +103,7 @@ def set_table(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches):
         for b in text_batches(batches):
             out = []
-            for t in b.column("text").to_pylist():
+            for t in texts(b):
                 h = shingle_set(t, k)
                 out.append((class_id(h), len(h), bitmap(h), prefix(h, order, percent) if len(h) else h.astype(np.int64)))
             bits = np.stack([x[2] for x in out], 1)
@@ -141,7 +141,7 @@ def wanted_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             at = b.column("slot").to_numpy()
             take = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
             for part in text_batches(iter([b.take(pa.array(take))])) if len(take) else ():
-                sets = [shingle_set(t, k) for t in part.column("text").to_pylist()]
+                sets = [shingle_set(t, k) for t in texts(part)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), pa.array([class_id(s) for s in sets], pa.int64()),
                      pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["d", "class", "members"])

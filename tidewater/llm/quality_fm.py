@@ -17,7 +17,6 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import CACHE_WORDS, table, text_batches
+from tidewater.llm.common import table, text_batches, texts, word_hashes
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE_ROWS = 6000
@@ -47,42 +46,29 @@ STATISTICS = 14
 FEATURES = WORD_FEATURES + STATISTICS * STEPS
 
 
-class WordFeature(dict):
-    """word -> feature of the word in lower case."""
-
-    def __missing__(self, word: str) -> int:
-        h = hashlib.blake2b(word.lower().encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        self[word] = n = int.from_bytes(h, "little") % WORD_FEATURES
-        return n
-
-
-WORD_FEATURE = WordFeature()
-
-
-def statistics(text: str, words: list[str], n_chars: int | None) -> np.ndarray:
+def statistics(text: bytes, words: list[bytes], n_chars: int | None) -> np.ndarray:
     """Structure statistics and metadata, each from 0 to 1."""
-    data = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)
+    data = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
     c = np.bincount(_CLASS, weights=data, minlength=8)
     size, n = max(1.0, c.sum()), max(1, len(words))
-    lines = text.split("\n")
+    lines = text.split(b"\n")
+    chars = len(text) - int(data[128:192].sum())
     frequent = data[33:127].copy()
     frequent[[c - 33 for c in (*range(48, 58), *range(65, 91), *range(97, 123))]] = 0
     letters = max(1.0, c[_UPPER] + c[_LOWER])
     return np.minimum(1.0, np.array([
         np.log2(1 + n) / 16, min(1.0, (size / n) / 16), c[_UPPER] / letters, c[_DIGIT] / size, c[_STOP] / n,
         4 * c[_OTHER] / size, 4 * frequent.max() / size, c[_HIGH] / size, len(set(words)) / n, len(lines) / n,
-        len(set(lines)) / len(lines), sum(len(w) <= 3 for w in words[:20_000]) / min(n, 20_000),
-        np.log2(1 + (len(text) if n_chars is None else max(0, n_chars))) / 24, float(n_chars is None or n_chars == len(text))]))
+        len(set(lines)) / len(lines), float(np.count_nonzero(np.fromiter(map(len, words), np.int64, len(words)) <= 3)) / n,
+        np.log2(1 + (chars if n_chars is None else max(0, n_chars))) / 24, float(n_chars is None or n_chars == chars)]))
 
 
-def features(text: str | None, n_chars: int | None) -> tuple[np.ndarray, np.ndarray]:
+def features(text: bytes, n_chars: int | None) -> tuple[np.ndarray, np.ndarray]:
     """(feature numbers, values): words by log count, scaled to length 1, and one
     feature for the step that each statistic falls in."""
-    if len(WORD_FEATURE) > CACHE_WORDS:
-        WORD_FEATURE.clear()
-    text = text or ""
     words = text.split()
-    ids, counts = np.unique(np.fromiter(map(WORD_FEATURE.__getitem__, words), np.int32, len(words)), return_counts=True)
+    hashed = word_hashes(text.lower().split())
+    ids, counts = np.unique((hashed % np.uint64(WORD_FEATURES)).astype(np.int32), return_counts=True)
     values = np.log1p(counts)
     values *= WORD_SCALE / max(1e-9, float(np.sqrt((values ** 2).sum())))
     step = np.minimum(STEPS - 1, (statistics(text, words, n_chars) * STEPS)).astype(np.int32)
@@ -100,7 +86,7 @@ class Model:
         v = self.factors[ids] * values[:, None]
         return float(self.bias + self.linear[ids] @ values + 0.5 * ((v.sum(0) ** 2).sum() - (v ** 2).sum()))
 
-    def score(self, text: str | None, n_chars: int | None) -> float:
+    def score(self, text: bytes, n_chars: int | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.raw(*features(text, n_chars)), -30, 30))))
 
 
@@ -163,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     def run(batches):
         for b in batches:
             for part in text_batches(iter([b])):
-                rows = [features(t, n) for t, n in zip(part.column("text").to_pylist(), part.column("n_chars").to_pylist())]
+                rows = [features(t, n) for t, n in zip(texts(part), part.column("n_chars").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("quality"), pa.array([i.astype(np.int32).tobytes() for i, _ in rows], pa.binary()),
                      pa.array([v.astype(np.float32).tobytes() for _, v in rows], pa.binary())], names=["doc_id", "quality", "ids", "vals"])
@@ -185,7 +171,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         m = shared.value
         for b in text_batches(batches):
-            s = [m.score(t, n) for t, n in zip(b.column("text").to_pylist(), b.column("n_chars").to_pylist())]
+            s = [m.score(t, n) for t, n in zip(texts(b), b.column("n_chars").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())], names=["doc_id", "score"])
     return _plain(docs).mapInArrow(run, "doc_id long, score double")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import WORD_HASH, WORDS, mix, stored, table, text_batches
+from tidewater.llm.common import mix, stored, table, text_batches, texts, word_hashes
 from tidewater.llm.sketch import corpus_bits, in_bits
 
 WINDOW = 50
@@ -57,9 +57,9 @@ POWERS = tuple(map(Powers, BASES))
 class Windows:
     """Rolling hashes of a text's words."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[bytes]):
         self.n = len(words)
-        self.hashes = WORD_HASH.of(words)
+        self.hashes = word_hashes(words)
         self.sums: dict[int, np.ndarray] = {}
 
     def rolling(self, length: int, which: int = 0) -> np.ndarray:
@@ -81,8 +81,8 @@ class Windows:
 
 def _texts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[int, Windows]]:
     for b in text_batches(batches):
-        for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            words = WORDS.findall(t or "")
+        for d, t in zip(b.column("doc_id").to_pylist(), texts(b)):
+            words = t.split()
             if len(words) >= window:
                 yield d, Windows(words)
 
@@ -140,7 +140,7 @@ def removal_lists(docs: DataFrame, window: int) -> DataFrame:
         .agg(F.collect_set("h1").alias("windows"))
 
 
-def covered(words: list[str], repeated: np.ndarray, window: int) -> np.ndarray:
+def covered(words: list[bytes], repeated: np.ndarray, window: int) -> np.ndarray:
     """Which words lie in a repeated window."""
     starts = np.isin(Windows(words).rolling(window), repeated)
     edge = np.zeros(len(words) + 1, np.int64)
@@ -149,17 +149,21 @@ def covered(words: list[str], repeated: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+def kept_text(words: list[bytes], mask: np.ndarray) -> bytes:
+    return b" ".join([w for w, gone in zip(words, mask.tolist()) if not gone] if mask.any() else words)
+
+
 def intervals(mask: np.ndarray) -> np.ndarray:
     """Maximal runs (start, end) of a mask."""
     return np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
 
 
-def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[list[str], np.ndarray]]]]:
+def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[list[bytes], np.ndarray]]]]:
     for b in text_batches(batches):
         out = []
         lists = b.column(b.schema.get_field_index("windows"))
-        for i, t in enumerate(b.column("text").to_pylist()):
-            words = WORDS.findall(t or "")
+        for i, t in enumerate(texts(b)):
+            words = t.split()
             if lists[i].is_valid and len(words) >= window:
                 out.append((words, covered(words, lists[i].values.to_numpy().view(_U), window)))
             else:
@@ -177,7 +181,7 @@ def dedup_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, kept text (words joined by one space) and removal intervals in words."""
     def run(batches):
         for b, rows in _kept(batches, window):
-            text = [" ".join([w for w, gone in zip(words, mask.tolist()) if not gone]) for words, mask in rows]
+            text = [kept_text(words, mask).decode("utf-8", "surrogatepass") for words, mask in rows]
             cuts = [[{"start": s, "end": e} for s, e in intervals(mask).tolist()] for _, mask in rows]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(text, pa.string()),
@@ -189,8 +193,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 50 words over all documents."""
     def run(batches):
         for b, rows in _kept(batches, WINDOW):
-            digests = [hashlib.sha256(" ".join(words if not mask.any() else [w for w, gone in zip(words, mask.tolist()) if not gone])
-                                      .encode("utf-8", "surrogatepass")).hexdigest() for words, mask in rows]
+            digests = [hashlib.sha256(kept_text(words, mask)).hexdigest() for words, mask in rows]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(w) for w, _ in rows], pa.int64()),
                  pa.array([int(m.sum()) for _, m in rows], pa.int64()), pa.array(digests, pa.string())],
