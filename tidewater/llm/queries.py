@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidewater.llm import bpe, decontaminate, imatch, ngram_join, quality_fm, repair_ids, sharding, substring_dedup, warc
+from tidewater.llm import bpe, decontaminate, imatch, ngram_join, quality_fm, repair_ids, secrets, sharding, substring_dedup, warc
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_virtual_slot_sharding,
     bpe.op2_byte_bpe,
     decontaminate.op3_benchmark_decontamination,
+    secrets.op4_secret_scan,
     imatch.op5_imatch,
     quality_fm.op6_fm_quality,
     repair_ids.op7_repair_token_ids,
