@@ -156,11 +156,10 @@ def without_leaks(docs: DataFrame, items: DataFrame, contained: float = CONTAINE
     for _, held in item_blocks(items, block):
         shared = docs.sparkSession.sparkContext.broadcast(Items(held, contained))
 
-        @F.pandas_udf("boolean")
-        def clean(text, shared=shared):
-            import pandas as pd
-            return pd.Series([not shared.value.matches((t or "").encode("utf-8", "surrogatepass")) for t in text], dtype=bool)
-        docs = docs.filter(clean("text"))
+        @F.arrow_udf("boolean")
+        def clean(text: pa.Array) -> pa.Array:
+            return pa.array([not shared.value.matches(t or b"") for t in text.cast(pa.binary()).to_pylist()], pa.bool_())  # noqa: B023
+        docs = docs.filter(clean(F.col("text")))
     return docs
 
 

@@ -176,6 +176,18 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     return _plain(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """``docs``, all columns, of the rows that score ``least`` or more; map-only."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(text: pa.Array, n_chars: pa.Array) -> pa.Array:
+        m = shared.value
+        return pa.array([m.score(t or b"", n) for t, n in zip(text.cast(pa.binary()).to_pylist(), n_chars.to_pylist())], pa.float64())
+    n = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+    return docs.filter(score(F.col("text"), n) >= least)
+
+
 def op6_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model fitted on labels outside the held-out third."""
     docs = table(spark, sf_dir, "documents")
