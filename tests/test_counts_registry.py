@@ -12,7 +12,7 @@ from tidewater.plans import counts as CNT
 from tidewater.plans import registry as REG
 from tidewater.plans import structured as ST
 from tidewater.session import scratch_path
-from tidewater.sources import feed, tables
+from tidewater.sources import feed, folders
 
 D = dt.date
 
@@ -40,24 +40,24 @@ def test_rollup_missing_operation_column_counts_zero(spark):
 
 def test_incremental_rollup_two_sources_and_empty_aggregate(spark):
     det, agg = scratch_path(spark, "detail"), scratch_path(spark, "agg")
-    tables.append(spark, det, detail(spark, [("A", "l", "s", "t", D(2024, 1, 1), 1, None, 2),
-                                             ("B", "l", "s", "t", D(2024, 1, 1), 5, 5, 5)]))
+    folders.write_batch(detail(spark, [("A", "l", "s", "t", D(2024, 1, 1), 1, None, 2),
+                                       ("B", "l", "s", "t", D(2024, 1, 1), 5, 5, 5)]), det, "r", 0)
     CNT.rollup_incremental(spark, det, agg, "A")          # H7: no aggregate yet -> full aggregation
-    tables.append(spark, det, detail(spark, [("A", "l", "s", "t", D(2024, 1, 1), 1, 1, None),
-                                             ("A", "l", "s", "t", D(2024, 1, 2), 3, None, None)]))
+    folders.write_batch(detail(spark, [("A", "l", "s", "t", D(2024, 1, 1), 1, 1, None),
+                                       ("A", "l", "s", "t", D(2024, 1, 2), 3, None, None)]), det, "r", 1)
     CNT.rollup_incremental(spark, det, agg, "A")
-    got = as_set(tables.read_table(spark, agg), "sourceName", "rawLayerDate", "INSERT", "UPDATE", "DELETE")
+    got = as_set(CNT.read_rollup(spark, agg), "sourceName", "rawLayerDate", "INSERT", "UPDATE", "DELETE")
     # H6: source B never leaks into A's rows, and the last day is rebuilt, not doubled
     assert got == {("A", D(2024, 1, 1), 2, 1, 2), ("A", D(2024, 1, 2), 3, 0, 0)}
 
 
 def test_detail_retention_deletes_old_rows_of_the_source(spark):
     det, agg = scratch_path(spark, "detail"), scratch_path(spark, "agg")
-    tables.append(spark, det, detail(spark, [("A", "l", "s", "t", D(2022, 1, 1), 1, 0, 0),
-                                             ("B", "l", "s", "t", D(2022, 1, 1), 1, 0, 0),
-                                             ("A", "l", "s", "t", D(2024, 1, 1), 1, 0, 0)]))
+    folders.write_batch(detail(spark, [("A", "l", "s", "t", D(2022, 1, 1), 1, 0, 0),
+                                       ("B", "l", "s", "t", D(2022, 1, 1), 1, 0, 0),
+                                       ("A", "l", "s", "t", D(2024, 1, 1), 1, 0, 0)]), det, "r", 0)
     CNT.rollup_incremental(spark, det, agg, "A")
-    assert as_set(tables.read_table(spark, det), "sourceName", "rawLayerDate") == {
+    assert as_set(folders.read(spark, det), "sourceName", "rawLayerDate") == {
         ("B", D(2022, 1, 1)), ("A", D(2024, 1, 1))}
 
 
@@ -68,7 +68,7 @@ def test_all_rows_before_start_append_no_counts(spark):
     e = C.entries()[0]
     cfg = TableConfig("SRC", "EVENTS", dt.datetime(2030, 1, 1))
     assert ST.process_schema(spark, batch, 0, e, cfg, root, RunOptions(), counts) is None
-    assert not tables.table_exists(spark, counts)
+    assert not folders.exists(spark, counts)
 
 
 def test_registry_drops_null_ids_and_skips_known_ones(spark):
@@ -77,9 +77,9 @@ def test_registry_drops_null_ids_and_skips_known_ones(spark):
     nulls = meta.limit(3).withColumn("body", F.col("body").withField("messageSchemaId", F.lit(None).cast("string")))
     path = scratch_path(spark, "reg")
     REG.ingest_registry(spark, meta.filter(F.col("body.messageSchemaId") == "S1").unionByName(nulls), path)
-    assert as_set(tables.read_table(spark, path), "messageSchemaId") == {("S1",)}
+    assert as_set(REG.read_registry(spark, path), "messageSchemaId") == {("S1",)}
     REG.ingest_registry(spark, meta, path)
-    reg = tables.read_table(spark, path)
+    reg = REG.read_registry(spark, path)
     assert reg.count() == 2
     ents = REG.registry_entries(reg)
     assert [e.message_schema_id for e in ents] == ["S1", "S2"]
@@ -108,23 +108,22 @@ def test_count_detail_counts_null_operations(spark):
                                 (D(2024, 1, 1), D(2024, 1, 1), D(2024, 1, 1), "INSERT"),
                                 (D(2024, 1, 1), D(2024, 1, 1), D(2024, 1, 1), "INSERT")],
                                "qlikCapturedDate DATE, ehEnqueuedDate DATE, rawLayerDate DATE, soruceOperation STRING")
-    det = CNT.count_detail(df, 1, "SRC", "S", "T", "S1")
+    entry = RegistryEntry("S1", "S", "T", "t", (), "")
+    det = CNT.count_detail(df.withColumn("messageSchemaId", F.lit("S1")), 1, "SRC", [entry])
     row = det.collect()[0]
     assert row["INSERT"] == 2 and row["null"] == 1
     assert det.columns[:12] == CNT.DETAIL_LEADING and det.columns[12:] == ["INSERT", "null"]
     assert as_set(count_rollup(det), "INSERT", "UPDATE", "DELETE") == {(2, 0, 0)}
 
 
-def test_registry_cache_reloads_only_on_new_versions(spark):
+def test_registry_cache_asks_only_for_unknown_ids(spark):
     from tests_conf import smoke_dir
     meta = feed.metadata_envelopes(C.events(spark, smoke_dir()))
     path = scratch_path(spark, "reg")
     REG.ingest_registry(spark, meta.filter(F.col("body.messageSchemaId") == "S1"), path)
     cache = REG.RegistryCache(spark, path)
     assert [e.message_schema_id for e in cache.entries(["S2", "S1"])] == ["S1"]
-    v = cache.version
-    cache.entries(["S1"])
-    assert cache.version == v
     REG.ingest_registry(spark, meta, path)
     assert [e.message_schema_id for e in cache.entries(["S2", "S1", "X"])] == ["S1", "S2"]
-    assert cache.version == v + 1
+    cache.path = "/nowhere"
+    assert [e.message_schema_id for e in cache.entries(["S1", "S2"])] == ["S1", "S2"]       # no read at all

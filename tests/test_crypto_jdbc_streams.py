@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from helpers import as_set
 from tidewater.functions import crypto
+from tidewater.plans.registry import read_registry
 from tidewater.plans.structured import run_parallel
 from tidewater.session import scratch_path
 from tidewater.sources import jdbc
@@ -33,19 +34,22 @@ def test_sql_registered_decrypt(spark):
 
 
 def test_merge_sql_guards_on_sequence():
-    s = jdbc.merge_sql("IL.T", "IL_TEMP.T", ["RRN", "_changeSequence", "AMOUNT"], ["RRN"])
-    assert "ON t.RRN = s.RRN" in s
-    assert "WHEN MATCHED AND s._changeSequence > t._changeSequence THEN UPDATE SET " \
-           "_changeSequence = s._changeSequence, AMOUNT = s.AMOUNT" in s
-    assert s.endswith("INSERT (RRN, _changeSequence, AMOUNT) VALUES (s.RRN, s._changeSequence, s.AMOUNT)")
+    s = jdbc.merge_sql("APP.T", "STAGE.T", ["RRN", "_changeSequence", "AMOUNT"], ["RRN"])
+    assert 'MERGE INTO "APP"."T" t USING "STAGE"."T" s' in s
+    assert '(t."RRN" = s."RRN" OR (t."RRN" IS NULL AND s."RRN" IS NULL))' in s
+    assert 'WHEN MATCHED AND s."_changeSequence" > t."_changeSequence" THEN UPDATE SET ' \
+           '"_changeSequence" = s."_changeSequence", "AMOUNT" = s."AMOUNT"' in s
+    assert s.endswith('INSERT ("RRN", "_changeSequence", "AMOUNT") VALUES (s."RRN", s."_changeSequence", s."AMOUNT");')
 
 
-def test_ddl_from_schema():
+def test_ddl_from_schema(spark):
     schema = T.StructType([T.StructField("RRN", T.LongType()), T.StructField("AMOUNT", T.DecimalType(12, 2)),
-                           T.StructField("NOTE", T.StringType())])
-    assert jdbc.create_table_sql("IL.T", schema) == \
-        "CREATE TABLE IL.T (RRN BIGINT, AMOUNT DECIMAL(12,2), NOTE VARCHAR(4000))"
-    assert jdbc.add_columns_sql("IL.T", ["rrn", "AMOUNT"], schema) == ["ALTER TABLE IL.T ADD COLUMN NOTE VARCHAR(4000)"]
+                           T.StructField('NO"TE', T.StringType()), T.StructField("B", T.BinaryType()), T.StructField("F", T.FloatType())])
+    assert jdbc.create_table_sql("APP.T", schema) == \
+        'CREATE TABLE "APP"."T" ("RRN" BIGINT, "AMOUNT" DECIMAL(12,2), "NO""TE" NVARCHAR(MAX), "B" VARBINARY(MAX), "F" REAL)'
+    assert jdbc.add_columns_sql("APP.T", ["rrn", "AMOUNT", "b", "f"], schema) == ['ALTER TABLE "APP"."T" ADD "NO""TE" NVARCHAR(MAX)']
+    nested = spark.sql("SELECT 1 AS a, named_struct('x', 2) AS s")
+    assert jdbc.flat(nested).collect()[0]["s"] == '{"x":2}'
 
 
 def test_run_parallel_uses_one_pool_per_task_and_raises_after_all(spark):
@@ -119,12 +123,12 @@ def test_metadata_leg_streams_are_restartable(spark):
                                              available_now=True))
 
     run()
-    assert {r[0] for r in tables.read_table(spark, reg).select("messageSchemaId").collect()} == {"S1"}
+    assert {r[0] for r in read_registry(spark, reg).select("messageSchemaId").collect()} == {"S1"}
     run()                                    # restart with nothing new: no change
-    assert tables.read_table(spark, reg).count() == 1
+    assert read_registry(spark, reg).count() == 1
     meta.write.parquet(f"{log_path}/part2")  # S1 repeated and S2 new
     run()
-    assert sorted(r[0] for r in tables.read_table(spark, reg).select("messageSchemaId").collect()) == ["S1", "S2"]
+    assert sorted(r[0] for r in read_registry(spark, reg).select("messageSchemaId").collect()) == ["S1", "S2"]
 
 
 def test_find_query_by_name(spark):

@@ -12,7 +12,6 @@ from tidewater.operators.merge import merge_upsert
 from tidewater.plans import structured as ST
 from tidewater.session import scratch_path
 from tidewater.sources import tables
-from tidewater.sources.tables import BUCKET, _co_partitioned, bucket_of
 
 
 def exchanges(plan: str) -> int:
@@ -37,18 +36,14 @@ def test_update_set_shuffles_once_and_pushes_the_schema_filter(spark):
     assert "EqualTo(body.messageSchemaId,S2)" in plan        # nested filter pushed to the parquet scan
 
 
-def test_bucketed_merge_shuffles_each_side_once(spark):
-    path = scratch_path(spark, "t")
-    tables.merge(spark, path, state(spark, [(f"K{i}", "INSERT", "100", str(i)) for i in range(50)]), ["RRN"],
-                 buckets=8)
-    upd = state(spark, [("K1", "UPDATE", "101", "x")]).withColumn(BUCKET, bucket_of(["RRN"], 8))
-    existing = tables.read_table(spark, path, buckets=[0, 1], keep_bucket=True)
-    with _co_partitioned(spark):
-        merged = merge_upsert(existing.repartition(2, BUCKET), upd.repartition(2, BUCKET), ["RRN"],
-                              partition_col=BUCKET)
-        plan = physical(merged)
-    assert exchanges(plan) == 2
-    assert "FullOuter" in plan and "_bucket" in plan and "IN (0,1)" in plan
+def test_merge_joins_on_the_keys_and_rebalances_the_write(spark):
+    from pyspark.sql import functions as F
+    from tidewater.sources.tables import BUCKET, bucket_of
+    cur = state(spark, [(f"K{i}", "INSERT", "100", str(i)) for i in range(50)])
+    merged = merge_upsert(cur, state(spark, [("K1", "UPDATE", "101", "x")]), ["RRN"])
+    plan = physical(merged)
+    assert exchanges(plan) == 2 and "FullOuter" in plan       # each side is shuffled once
+    assert "REBALANCE_PARTITIONS_BY_COL" in physical(merged.withColumn(BUCKET, bucket_of(["RRN"], 8)).hint("rebalance", F.col(BUCKET)))
 
 
 def test_table_read_prunes_partitions_and_columns(spark):
@@ -66,15 +61,6 @@ def test_latest_per_key_never_uses_a_window(spark):
     assert "Window" not in plan and "partial_max_by" in plan
 
 
-def test_spread_splits_identical_copies_evenly(spark):
-    from tidewater.operators.partitioning import spread
-    df = spark.createDataFrame([("same", 1)] * 800, "s STRING, n INT").coalesce(1)
-    out = spread(df)
-    sizes = out.rdd.glom().map(len).collect()
-    cores = spark.sparkContext.defaultParallelism
-    assert len(sizes) == cores and max(sizes) - min(sizes) <= 1 and sum(sizes) == 800
-
-
 def test_hot_key_holding_a_third_of_rows(spark):
     from tidewater.operators.changes import latest_per_key
     rows = [("HOT", "UPDATE", f"1{i:05d}", str(i)) for i in range(300)] + \

@@ -1,75 +1,84 @@
+import json
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import as_set, state
 from tidewater.session import scratch_path
-from tidewater.sources import tables
+from tidewater.sources import folders, fs, tables
+
+
+def rows(spark, *r):
+    return state(spark, list(r))
 
 
-def test_versions_merge_delete_compact_and_feed(spark):
+def test_versions_merge_delete_and_feed(spark):
     path = scratch_path(spark, "t")
     assert not tables.table_exists(spark, path)
     assert tables.table_schema(spark, path).fields == []
-    tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1"), ("B", "INSERT", "100", None)]), ["RRN"])
-    tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2"), ("C", "INSERT", "101", "3")]), ["RRN"])
+    tables.merge(spark, path, rows(spark, ("A", "INSERT", "100", "1"), ("B", "INSERT", "100", None)), ["RRN"])
+    tables.merge(spark, path, rows(spark, ("A", "UPDATE", "101", "2"), ("C", "INSERT", "101", "3")), ["RRN"])
     assert tables.latest_version(spark, path) == 1
     assert as_set(tables.read_table(spark, path), "RRN", "AMOUNT") == {("A", "2"), ("B", None), ("C", "3")}
     # NULL predicate keeps the row
     tables.delete_where(spark, path, F.col("AMOUNT") == "2")
     assert as_set(tables.read_table(spark, path), "RRN") == {("B",), ("C",)}
-    tables.compact(spark, path, 1)
-    assert as_set(tables.read_table(spark, path), "RRN") == {("B",), ("C",)}
-    assert as_set(tables.read_table(spark, path, version=0), "RRN") == {("A",), ("B",)}
+    assert tables.delete_where(spark, path, F.col("AMOUNT") == "nope") == 2     # nothing matched: no new version
     feed = tables.read_change_feed(spark, path, 1)
     assert as_set(feed, "RRN", "_change_type", "_commit_version") == {
         ("A", "update_preimage", 1), ("A", "update_postimage", 1), ("C", "insert", 1), ("A", "delete", 2)}
+    assert feed.filter(F.col("_commit_timestamp").isNull()).count() == 0
+    tables.merge(spark, path, rows(spark, ("A", "INSERT", "103", "9"), (None, "INSERT", "103", "n")), ["RRN"])
+    assert as_set(tables.read_table(spark, path), "RRN", "AMOUNT") == {("A", "9"), ("B", None), ("C", "3"), (None, "n")}
 
 
-def test_uncommitted_version_is_invisible(spark):
+def test_uncommitted_data_are_invisible(spark):
     path = scratch_path(spark, "t")
-    tables.overwrite(spark, path, state(spark, [("A", "INSERT", "100", "1")]))
-    # a failed attempt leaves files but no commit
-    state(spark, [("Z", "INSERT", "200", "9")]).withColumn("_row_kind", F.lit("C")) \
-        .write.partitionBy("_row_kind").parquet(f"{path}/_dir=00000000000000000001-failed")
+    tables.overwrite(spark, path, rows(spark, ("A", "INSERT", "100", "1")), ["RRN"])
+    rows(spark, ("Z", "INSERT", "200", "9")).withColumn("_row_kind", F.lit("C")).withColumn("_bucket", F.lit("16-1")) \
+        .write.partitionBy("_bucket", "_row_kind").parquet(f"{path}/_dir=00000000000000000001-failed")
     assert as_set(tables.read_table(spark, path), "RRN") == {("A",)}
-    tables.merge(spark, path, state(spark, [("B", "INSERT", "101", "2")]), ["RRN"])
+    tables.merge(spark, path, rows(spark, ("B", "INSERT", "101", "2")), ["RRN"])
     assert as_set(tables.read_table(spark, path), "RRN") == {("A",), ("B",)}
-
-
-def test_append_merges_schema_and_keeps_partitioning(spark):
-    path = scratch_path(spark, "t")
-    tables.append(spark, path, spark.createDataFrame([("a", 1)], "src STRING, X BIGINT"), partition_by=("src",))
-    tables.append(spark, path, spark.createDataFrame([("a", 2, 5)], "src STRING, X BIGINT, Y BIGINT"))
-    out = tables.read_table(spark, path)
-    assert set(out.columns) == {"src", "X", "Y"}
-    assert as_set(out, "src", "X", "Y") == {("a", 1, None), ("a", 2, 5)}
-    tables.delete_where(spark, path, F.col("X") == 1)
-    assert as_set(tables.read_table(spark, path), "X") == {(2,)}
-
-
-def test_empty_frame(spark):
-    df = tables.empty_frame(spark, state(spark, []).schema)
-    assert df.count() == 0 and df.columns == ["RRN", "_operation", "_changeSequence", "AMOUNT"]
+    assert tables.merge(spark, path, rows(spark), ["RRN"]) is None
 
 
 def test_merge_rewrites_only_touched_buckets(spark):
-    from tidewater.sources import fs
     path = scratch_path(spark, "t")
-    base = [(f"K{i}", "INSERT", "100", str(i)) for i in range(200)]
-    tables.merge(spark, path, state(spark, base), ["RRN"], buckets=16)
-    tables.merge(spark, path, state(spark, [("K7", "UPDATE", "101", "x"), ("NEW", "INSERT", "101", "n")]), ["RRN"])
-    log = tables.commits(spark, path)
-    assert log[0]["written"] is None and len(log[1]["written"]) <= 2
-    written = sorted(n for n in fs.list_names(spark, f"{path}/_dir={log[1]['dir']}") if n.startswith("_bucket="))
-    assert written == sorted(f"_bucket={b}" for b in log[1]["written"])
+    tables.merge(spark, path, rows(spark, *[(f"K{i}", "INSERT", "100", str(i)) for i in range(200)]), ["RRN"], buckets=16)
+    before = tables._latest(spark, path)["buckets"]
+    tables.merge(spark, path, rows(spark, ("K7", "UPDATE", "101", "x"), ("NEW", "INSERT", "101", "n")), ["RRN"])
+    after = tables._latest(spark, path)["buckets"]
+    assert sum(after[b] != e for b, e in before.items()) <= 2
     cur = tables.read_table(spark, path)
     assert cur.count() == 201
-    assert as_set(cur.filter(F.col("RRN").isin("K7", "NEW", "K8")), "RRN", "AMOUNT") == {
-        ("K7", "x"), ("NEW", "n"), ("K8", "8")}
-    # an older version still reads as it was
-    assert as_set(tables.read_table(spark, path, version=0).filter(F.col("RRN") == "K7"), "AMOUNT") == {("7",)}
-    # a later full rewrite supersedes the per-bucket layout
-    tables.compact(spark, path, 4)
-    assert tables.read_table(spark, path).count() == 201
+    assert as_set(cur.filter(F.col("RRN").isin("K7", "NEW", "K8")), "RRN", "AMOUNT") == {("K7", "x"), ("NEW", "n"), ("K8", "8")}
+
+
+def test_more_touched_buckets_than_any_limit_and_growth(spark):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, rows(spark, *[(f"K{i}", "INSERT", "100", "a") for i in range(10)]), ["RRN"], buckets=1, bucket_bytes=2000)
+    for step in range(1, 5):
+        tables.merge(spark, path, rows(spark, *[(f"K{i}", "UPDATE", f"10{step}", f"{step}-{i}") for i in range(600 * step)]), ["RRN"],
+                     bucket_bytes=2000)
+    meta = tables._latest(spark, path)
+    assert len(meta["buckets"]) > 8 and meta["modulus"] > 8
+    got = as_set(tables.read_table(spark, path), "RRN", "AMOUNT")
+    assert got == {(f"K{i}", f"4-{i}") for i in range(2400)}
+    tables.merge(spark, path, rows(spark, ("K3", "UPDATE", "999", "one")), ["RRN"], bucket_bytes=2000)
+    assert as_set(tables.read_table(spark, path), "RRN", "AMOUNT") == (got - {("K3", "4-3")}) | {("K3", "one")}
+
+
+def test_many_bucket_folders_plan_fast(spark):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, rows(spark, *[(f"K{i}", "INSERT", "100", "a") for i in range(3000)]), ["RRN"], buckets=1024)
+    for i in range(0, 60, 3):
+        tables.merge(spark, path, rows(spark, (f"K{i}", "UPDATE", "101", "b")), ["RRN"])
+    t0 = time.time()
+    plan = tables.read_table(spark, path)
+    plan._jdbc_plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert time.time() - t0 < 30 and plan.count() == 3000      # one folder a bucket, no chain of conditions
 
 
 def test_data_column_named_like_layout_columns(spark):
@@ -80,125 +89,68 @@ def test_data_column_named_like_layout_columns(spark):
     assert as_set(tables.read_table(spark, path), "RRN", "V", "BUCKET") == {("A", 3, 4)}
 
 
-def test_concurrent_appends_and_txn_replay(spark):
-    from concurrent.futures import ThreadPoolExecutor
-    path = scratch_path(spark, "t")
-
-    def one(i):
-        return tables.append(spark, path, spark.createDataFrame([(i,)], "X BIGINT"), txn=(f"app{i}", 0))
-
-    with ThreadPoolExecutor(4) as ex:
-        versions = list(ex.map(one, range(8)))
-    assert sorted(versions) == list(range(8))
-    one(3)                                   # replay of a committed batch is skipped
-    tables.append(spark, path, spark.createDataFrame([(9,)], "X BIGINT"), txn=("app3", 1))
-    tables.append(spark, path, spark.createDataFrame([(9,)], "X BIGINT"), txn=("app3", 0))   # older batch
-    assert sorted(r[0] for r in tables.read_table(spark, path).collect()) == list(range(8)) + [9]
-
-
-def test_rewrite_detects_a_foreign_commit(spark):
-    import pytest
-    from tidewater.sources import fs
+def test_a_version_is_committed_once_and_whole(spark):
     path = scratch_path(spark, "t")
-    tables.append(spark, path, spark.createDataFrame([(1,)], "X BIGINT"))
-    log = tables.commits(spark, path)
-    # another process commits version 1 between our read and our commit
-    fake = dict(log[0], version=1)
-    assert len(log) == 1
-    assert fs.create_new(spark, f"{path}/_commits/{1:020d}.json", __import__("json").dumps(fake))
-    assert not fs.create_new(spark, f"{path}/_commits/{1:020d}.json", "{}")
+    tables.overwrite(spark, path, rows(spark, ("A", "INSERT", "100", "1")), ["RRN"])
+    prev = tables._latest(spark, path)
+    name = tables._commit_path(path, 1)
+    assert fs.create_new(spark, name, json.dumps(dict(prev, version=1)))
+    assert not fs.create_new(spark, name, "{}")
+    assert json.loads(fs.read_text(spark, name))["version"] == 1
+    assert not [n for n in fs.list_names(spark, f"{path}/_commits") if n.endswith(".tmp")]
     with pytest.raises(tables.ConcurrentWriteError):
-        tables._write(spark, path, spark.createDataFrame([(2, "C")], "X BIGINT, _row_kind STRING"), "delete",
-                      base_version=0)
-
-
-def test_bucket_count_is_sized_from_the_first_load():
-    assert tables.sized_buckets(10, 16) == 16
-    assert tables.sized_buckets(100_000_000, 16) == 64
-    assert tables.sized_buckets(10**15, 16) <= tables.MAX_BUCKETS
+        tables._commit(spark, path, rows(spark, ("B", "INSERT", "1", "1")).withColumn("_row_kind", F.lit("C")), "merge", ["RRN"], prev, [], 16)
 
 
 def test_merge_leaves_no_cached_frames(spark):
     path = scratch_path(spark, "t")
-    tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1")]), ["RRN"])
-    tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2")]), ["RRN"])
-    storage = spark.sparkContext._jsc.sc().getRDDStorageInfo()
-    assert all(info.numCachedPartitions() == 0 for info in storage)
-
-
-def test_merge_restores_the_co_partition_setting(spark):
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
-    path = scratch_path(spark, "t")
-    tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1")]), ["RRN"])
-    tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2")]), ["RRN"])
-    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
-
-
-def test_append_only_table_auto_compacts(spark, monkeypatch):
-    monkeypatch.setattr(tables, "AUTO_COMPACT_APPENDS", 3)
-    path = scratch_path(spark, "t")
-    for i in range(7):
-        tables.append(spark, path, spark.createDataFrame([(i,)], "X BIGINT"))
-    meta = tables.latest_commit(spark, path)
-    assert len(meta["layout"]["appends"]) < 3
-    assert sorted(r[0] for r in tables.read_table(spark, path).collect()) == list(range(7))
-    assert "compact" in {c["operation"] for c in tables.commits(spark, path)}
-
-
-def test_delete_rewrites_only_matching_buckets(spark):
-    path = scratch_path(spark, "t")
-    tables.merge(spark, path, state(spark, [(f"K{i}", "INSERT", "100", str(i)) for i in range(100)]), ["RRN"],
-                 buckets=16)
-    v = tables.delete_where(spark, path, F.col("RRN") == "K5")
-    meta = tables.latest_commit(spark, path)
-    assert meta["version"] == v and len(meta["written"]) == 1
-    assert tables.read_table(spark, path).count() == 99
-    assert tables.delete_where(spark, path, F.col("RRN") == "nope") == v      # nothing matched: no new version
-    feed = tables.read_change_feed(spark, path, v)
-    assert as_set(feed, "RRN", "_change_type") == {("K5", "delete")}
-
-
-def test_compact_grows_buckets_with_the_table(spark, monkeypatch):
-    path = scratch_path(spark, "t")
-    tables.merge(spark, path, state(spark, [("K0", "INSERT", "100", "0")]), ["RRN"], buckets=2)
-    tables.merge(spark, path, state(spark, [(f"K{i}", "INSERT", "101", str(i)) for i in range(1, 40)]), ["RRN"])
-    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 5)
-    tables.compact(spark, path)
-    meta = tables.latest_commit(spark, path)
-    assert meta["buckets"] == 8 and meta["layout"]["buckets"] == {}
-    tables.merge(spark, path, state(spark, [("K3", "UPDATE", "102", "x")]), ["RRN"])
-    cur = tables.read_table(spark, path)
-    assert cur.count() == 40 and as_set(cur.filter(F.col("RRN") == "K3"), "AMOUNT") == {("x",)}
-
-
-def test_change_feed_long_range_joins_commit_records(spark, monkeypatch):
-    path = scratch_path(spark, "t")
-    tables.merge(spark, path, state(spark, [("A", "INSERT", "100", "1")]), ["RRN"])
-    tables.merge(spark, path, state(spark, [("A", "UPDATE", "101", "2"), ("B", "INSERT", "101", "3")]), ["RRN"])
-    small = as_set(tables.read_change_feed(spark, path), "RRN", "_change_type", "_commit_version")
-    monkeypatch.setattr(tables, "MAX_LITERAL_VERSIONS", 0)
-    big = tables.read_change_feed(spark, path)
-    assert as_set(big, "RRN", "_change_type", "_commit_version") == small
-    assert big.filter(F.col("_commit_timestamp").isNull()).count() == 0
+    tables.merge(spark, path, rows(spark, ("A", "INSERT", "100", "1")), ["RRN"])
+    tables.merge(spark, path, rows(spark, ("A", "UPDATE", "101", "2")), ["RRN"])
+    assert all(i.numCachedPartitions() == 0 for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+
+
+def test_a_broken_record_stops_the_publish_stream(spark):
+    from tidewater.streaming import streams
+    path, ck = scratch_path(spark, "t"), scratch_path(spark, "ck")
+    tables.merge(spark, path, rows(spark, ("A", "INSERT", "100", "1")), ["RRN"])
+    tables.merge(spark, path, rows(spark, ("B", "INSERT", "101", "2")), ["RRN"])
+    whole = fs.read_text(spark, tables._commit_path(path, 1))
+    fs.delete_tree(spark, tables._commit_path(path, 1))
+    seen = []
+    handle = lambda df, _: seen.extend(r["RRN"] for r in df.collect())
+    streams.drain(streams.start_publish(spark, path, 0, ck, handle))
+    assert seen == ["A"]
+    # The record is not there yet (it appears by a rename): nothing is passed over.
+    streams.drain(streams.start_publish(spark, path, 0, ck, handle))
+    assert seen == ["A"]
+    assert fs.create_new(spark, tables._commit_path(path, 1), whole)
+    streams.drain(streams.start_publish(spark, path, 0, ck, handle))
+    assert seen == ["A", "B"]
+    assert fs.create_new(spark, tables._commit_path(path, 2), '{"version": ')
+    with pytest.raises(Exception):
+        streams.drain(streams.start_publish(spark, path, 0, ck, handle))
+
+
+def test_version_ranges_hold_every_version_once():
+    from tidewater.plans.publish import version_chunks
+    assert version_chunks([(2, 5), (0, 5), (1, 5)], 10) == [(0, 1), (2, 2)]
+    assert version_chunks([(0, 99), (1, 1), (3, 1)], 10) == [(0, 0), (1, 1), (3, 3)]
+    assert version_chunks([], 10) == []
+
+
+def test_batch_folders_replace_themselves_and_compact(spark):
+    path = scratch_path(spark, "f")
+    assert not folders.exists(spark, path)
+    a = spark.createDataFrame([(1, "x")], "n INT, s STRING")
+    folders.write_batch(a, path, "run/1", 0)
+    folders.write_batch(a, path, "run/1", 0)
+    folders.write_batch(a.withColumn("more", F.lit(5)), path, "run/2", 0)     # a reset checkpoint is another run
+    got = folders.read(spark, path)
+    assert as_set(got, "n", "s", "more") == {(1, "x", None), (1, "x", 5)} and got.count() == 2
+    assert folders.compact(spark, path, f"{path}-few") == 1
+    assert spark.read.parquet(f"{path}-few").count() == 2
 
 
-def test_vacuum_removes_only_unreferenced_old_directories(spark):
-    from tidewater.sources import fs
-    path = scratch_path(spark, "t")
-    tables.merge(spark, path, state(spark, [(f"K{i}", "INSERT", "100", str(i)) for i in range(20)]), ["RRN"],
-                 buckets=4)
-    tables.merge(spark, path, state(spark, [(f"K{i}", "UPDATE", "101", "x") for i in range(20)]), ["RRN"])
-    tables.compact(spark, path)
-    before = tables.read_table(spark, path).collect()
-    # a failed attempt that was never committed
-    state(spark, [("Z", "INSERT", "1", "1")]).withColumn("_row_kind", F.lit("C")) \
-        .write.parquet(f"{path}/_dir=00000000000000000009-failed")
-    assert tables.vacuum(spark, path) == []                              # everything is recent: nothing goes
-    import pytest
-    with pytest.raises(ValueError):
-        tables.vacuum(spark, path, retain_hours=0)
-    removed = tables.vacuum(spark, path, retain_hours=0, allow_short_retention=True)
-    log = tables.commits(spark, path)
-    assert set(removed) == {log[0]["dir"], log[1]["dir"], "00000000000000000009-failed"}
-    assert {r for r in tables.read_table(spark, path).collect()} == set(before)
-    assert len([n for n in fs.list_names(spark, path) if n.startswith("_dir=")]) == 1
+def test_empty_frame(spark):
+    df = tables.empty_frame(spark, state(spark, []).schema)
+    assert df.count() == 0 and df.columns == ["RRN", "_operation", "_changeSequence", "AMOUNT"]

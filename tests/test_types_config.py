@@ -27,7 +27,7 @@ def test_precedence_pii_then_new_then_existing():
 def test_unsupported_existing_type_names_column_and_table():
     cols = [ColumnMeta("AMOUNT", "NUMERIC", precision=12, scale=2)]
     table = T.StructType([T.StructField("AMOUNT", T.DoubleType())])
-    with pytest.raises(UnresolvedTypeError, match="AMOUNT.*table: T1"):
+    with pytest.raises(UnresolvedTypeError, match="AMOUNT.*T1"):
         resolve_types(cols, table, "T1")
 
 

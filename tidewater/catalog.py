@@ -7,28 +7,28 @@ and wall-clock columns dropped.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.config import RegistryEntry, RunOptions, TableConfig
+from tidewater.config import RegistryEntry, RunOptions, TableConfig, parse_table_config
 from tidewater.functions.codec import RAW_SCHEMA
 from tidewater.functions.columns import default_columns, framework_columns, trim_strings
-from tidewater.functions.crypto import decrypt_columns, encrypt_columns, register_sql_functions
+from tidewater.functions.crypto import decrypt_columns, encrypt_columns, protect_key, register_sql_functions
 from tidewater.functions.structs import struct_to_kv
 from tidewater.functions.types import apply_types, resolve_types
 from tidewater.operators import changes as CH
 from tidewater.operators.counts import count_input, count_rollup, max_value
 from tidewater.operators.merge import merge_upsert, snapshot_rows
-from tidewater.operators.partitioning import spread
 from tidewater.plans import counts as CNT
 from tidewater.plans import registry as REG
 from tidewater.plans import structured as ST
 from tidewater.plans.publish import post_images, stage_for_db
 from tidewater.session import scratch_path
-from tidewater.sources import feed, fs, tables
+from tidewater.sources import feed, folders, tables
 from tidewater.streaming import streams
 
 # Fixed values of the registered queries.
@@ -36,7 +36,6 @@ GATE_START = "2024-01-10 00:00:00"
 DEMO_KEY = "tidewater-demo-key-32-bytes-long"
 DEMO_KEY_ID = "demo"
 LISTED_TABLES = ["src.events_0", "SRC.EVENTS_2"]
-STREAM_BATCHES = 3
 WEEK_CUTS = ["2024-01-09 00:00:00", "2024-01-17 00:00:00", "2024-01-25 00:00:00"]
 WALL_CLOCK = {"_structuredLayerProcessingTime", "_dbProcessingTimestamp", "logTimeStamp", "_logTimeStamp",
               "_commit_timestamp"}
@@ -62,7 +61,8 @@ def present(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- inputs
 
 def events(spark: SparkSession, d: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{d}/events.parquet"), "event_id")
+    """The table, dealt out by its unique id: the feed's payloads are made of it row by row."""
+    return spark.read.parquet(f"{d}/events.parquet").repartition(spark.sparkContext.defaultParallelism, "event_id")
 
 
 def entries(n_tables: int = 1) -> list[RegistryEntry]:
@@ -110,6 +110,11 @@ def update_set(spark: SparkSession, d: str, entry: RegistryEntry,
     return ST.build_update_set(split_rows(spark, d, entry), entry, existing, OPTS)
 
 
+def all_update_sets(spark: SparkSession, d: str) -> DataFrame:
+    """The update sets of both schema versions."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [update_set(spark, d, e)[0] for e in entries()])
+
+
 def flagship_table(spark: SparkSession, d: str, counts_path: str | None = None) -> str:
     """Process S1 then S2 of the whole feed into a fresh table; return its path."""
     root = scratch_path(spark, "structured")
@@ -131,11 +136,7 @@ def registry_table(spark: SparkSession, d: str, n_tables: int, before: str | Non
 
 
 def detail_counts(spark: SparkSession, d: str) -> DataFrame:
-    parts = []
-    for e in entries():
-        parts.append(CNT.count_detail(count_input(decoded(spark, d, e)), 0, OPTS.source_name, e.schema,
-                                      e.table, e.message_schema_id))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return CNT.count_detail(CNT.batch_counts(raw(spark, d), entries(), OPTS), 0, OPTS.source_name, entries())
 
 
 # ---------------------------------------------------------------- queries
@@ -208,9 +209,10 @@ def q_route_schema(spark, d):
 
 
 def q_start_gate(spark, d):
+    start = parse_table_config({"P1": {f"{feed.SOURCE_SCHEMA}.{feed.SINGLE_TABLE}": GATE_START}}, "P1")[0].start
     parts = []
     for e in entries():
-        g = CH.start_gate(decoded(spark, d, e), F.col("content.headers.timestamp"), GATE_START)
+        g = CH.start_gate(decoded(spark, d, e), F.col("content.headers.timestamp"), start)
         parts.append(g.select(F.col("content.headers.changeSequence").alias("changeSequence"),
                               F.col("content.headers.timestamp").alias("captured")))
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -266,28 +268,38 @@ def q_latest_per_key(spark, d):
 
 
 def q_update_set(spark, d):
-    return present(update_set(spark, d, entries()[1])[0])
+    return present(all_update_sets(spark, d))
 
 
 def q_column_order(spark, d):
-    return present(update_set(spark, d, entries()[0])[0])
+    """Each row's values in the order of its columns, as one text."""
+    parts = []
+    for e in entries():
+        shown = present(update_set(spark, d, e)[0].withColumn("AMOUNT", F.col("AMOUNT").cast("string")))
+        parts.append(shown.select(F.concat_ws("|", *[F.col(c).cast("string") for c in shown.columns]).alias("row_text")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def q_typed_rows(spark, d):
-    e = entries()[1]
-    resolved = resolve_types(list(e.columns), T.StructType(), e.table)
-    return present(apply_types(split_rows(spark, d, e), resolved).select(
-        "_changeSequence", "_operation", "RRN", "AMOUNT", "KVAL", "NOTE"))
+    parts = []
+    for e in entries():
+        resolved = resolve_types(list(e.columns), T.StructType(), e.table)
+        parts.append(apply_types(split_rows(spark, d, e), resolved))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return present(both.select("_changeSequence", "_operation", "RRN", "AMOUNT", "KVAL", "NOTE"))
 
 
 def q_default_columns(spark, d):
-    df, _ = default_columns(split_rows(spark, d, entries()[0]))
-    return present(df.select("_changeSequence", "RRN", "DATAPARTITIONNUM", "DATAPARTITIONNAME"))
+    parts = [default_columns(split_rows(spark, d, e))[0] for e in entries()]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return present(both.select("_changeSequence", "RRN", "DATAPARTITIONNUM", "DATAPARTITIONNAME"))
 
 
 def q_merge_init(spark, d):
+    """First load of a table: the latest change per key over the whole feed."""
     path = scratch_path(spark, "init")
-    tables.overwrite(spark, path, update_set(spark, d, entries()[0])[0])
+    typed = trim_strings(apply_types(all_split_rows(spark, d), [("AMOUNT", T.DecimalType(12, 2))]))
+    tables.overwrite(spark, path, default_columns(CH.latest_per_key(typed, ["RRN"]))[0], ["RRN"])
     return present(tables.read_table(spark, path))
 
 
@@ -302,12 +314,13 @@ def q_schema_evolve(spark, d):
 
 
 def q_live_rows(spark, d):
-    return q_flagship(spark, d)
+    """Live rows straight from the feed, without a table between."""
+    typed = trim_strings(apply_types(all_split_rows(spark, d), [("AMOUNT", T.DecimalType(12, 2))]))
+    return present(CH.live_rows(CH.latest_per_key(typed, ["RRN"])))
 
 
 def q_scan_table(spark, d):
-    path = flagship_table(spark, d)
-    return present(tables.read_table(spark, path, version=0))
+    return present(tables.read_table(spark, flagship_table(spark, d)))
 
 
 def q_merge_partial(spark, d):
@@ -369,9 +382,11 @@ def q_delete_where(spark, d):
 
 
 def q_compact(spark, d):
-    path = flagship_table(spark, d)
-    tables.compact(spark, path, 2)
-    return present(tables.read_table(spark, path))
+    """Many small files of a folder rewritten into few."""
+    path, few = scratch_path(spark, "small-files"), scratch_path(spark, "compacted")
+    tables.read_table(spark, flagship_table(spark, d)).repartition(32).write.parquet(path)
+    folders.compact(spark, path, few)
+    return present(spark.read.parquet(few))
 
 
 def q_distinct_ids(spark, d):
@@ -385,14 +400,14 @@ def q_dedup_key(spark, d):
 
 
 def q_anti_new_ids(spark, d):
-    reg = tables.read_table(spark, registry_table(spark, d, 3, before=feed.SCHEMA_SPLIT))
+    reg = REG.read_registry(spark, registry_table(spark, d, 3, before=feed.SCHEMA_SPLIT))
     meta = feed.metadata_envelopes(events(spark, d), 3)
     return present(REG.new_schema_ids(meta, reg).select(F.col("_messageSchemaId").alias("messageSchemaId"),
                                                         "enqueuedTime"))
 
 
 def q_registry_ingest(spark, d):
-    reg = tables.read_table(spark, registry_table(spark, d, 3))
+    reg = REG.read_registry(spark, registry_table(spark, d, 3))
     return reg.select("messageSchemaId", "schema", "table", "timestamp", "dataSchema",
                       F.explode("tableColumns").alias("kv")).select(
         "messageSchemaId", "schema", "table", "timestamp", "dataSchema",
@@ -402,14 +417,17 @@ def q_registry_ingest(spark, d):
 
 
 def q_registry_order(spark, d):
-    reg = tables.read_table(spark, registry_table(spark, d, 3))
-    w = Window.partitionBy("schema", "table").orderBy("timestamp", "messageSchemaId")
-    return reg.select("schema", "table", "messageSchemaId", "timestamp",
-                      F.row_number().over(w).cast("bigint").alias("apply_order"))
+    """Registry entries as the structured leg applies them: oldest schema first in each table."""
+    order: dict[str, int] = {}
+    rows = []
+    for e in REG.registry_entries(REG.read_registry(spark, registry_table(spark, d, 3))):
+        order[e.qualified] = order.get(e.qualified, 0) + 1
+        rows.append((e.schema, e.table, e.message_schema_id, e.timestamp, order[e.qualified]))
+    return spark.createDataFrame(rows, "schema STRING, table STRING, messageSchemaId STRING, timestamp STRING, apply_order BIGINT")
 
 
 def q_route_tables(spark, d):
-    reg = tables.read_table(spark, registry_table(spark, d, 3))
+    reg = REG.read_registry(spark, registry_table(spark, d, 3))
     routed = REG.route_tables(raw(spark, d, 3), reg, LISTED_TABLES)
     return present(routed.select(F.col("body.messageSchemaId").alias("messageSchemaId"), "schema", "table",
                                  "enqueuedTime"))
@@ -430,14 +448,11 @@ def q_max_date(spark, d):
 def q_count_rollup_incr(spark, d):
     """Detail appended in four weekly batches, incremental roll-up after each."""
     detail_path, agg_path = scratch_path(spark, "detail"), scratch_path(spark, "agg")
-    weeks = week_batches(raw_table(spark, d))
-    for wk, batch in enumerate(weeks):
-        for e in entries():
-            x = ST.decode_rows(batch, e, OPTS)
-            CNT.append_counts(spark, detail_path, CNT.count_detail(
-                count_input(x), wk, OPTS.source_name, e.schema, e.table, e.message_schema_id))
+    for wk, batch in enumerate(week_batches(raw_table(spark, d))):
+        detail = CNT.count_detail(CNT.batch_counts(batch, entries(), OPTS), wk, OPTS.source_name, entries())
+        CNT.append_counts(detail_path, detail, "weeks", wk)
         CNT.rollup_incremental(spark, detail_path, agg_path, OPTS.source_name)
-    return present(tables.read_table(spark, agg_path))
+    return present(CNT.read_rollup(spark, agg_path))
 
 
 def q_fn_concat(spark, d):
@@ -464,15 +479,14 @@ def q_trim_strings(spark, d):
 
 
 def q_encrypt_roundtrip(spark, d):
-    s2, _ = update_set(spark, d, entries()[1])
-    enc = encrypt_columns(s2.select("RRN", "_changeSequence", "NOTE", "KVAL"), ["NOTE", "KVAL"], DEMO_KEY, DEMO_KEY_ID)
+    rows = all_update_sets(spark, d)
+    enc = encrypt_columns(rows.select("RRN", "_changeSequence", "NOTE", "KVAL"), ["NOTE", "KVAL"], DEMO_KEY, DEMO_KEY_ID)
     dec = decrypt_columns(enc, ["NOTE", "KVAL"], DEMO_KEY)
     return dec.withColumn("KVAL", F.col("KVAL").cast("bigint"))
 
 
 def q_decrypt_cell(spark, d):
-    s2, _ = update_set(spark, d, entries()[1])
-    enc = encrypt_columns(s2.select("RRN", "NOTE"), ["NOTE"], DEMO_KEY, DEMO_KEY_ID)
+    enc = encrypt_columns(all_update_sets(spark, d).select("RRN", "NOTE"), ["NOTE"], DEMO_KEY, DEMO_KEY_ID)
     register_sql_functions(spark)
     enc.createOrReplaceTempView("tw_encrypted_notes")
     return spark.sql("SELECT RRN, decrypt_target_cell(NOTE, :key) AS NOTE FROM tw_encrypted_notes",
@@ -515,9 +529,7 @@ def _structured_run(spark, d, n_tables: int, workers: int) -> tuple[str, list[Re
     configs = [TableConfig(e.schema, e.table) for e in ents if e.message_schema_id.startswith("S1")]
     root, ck = scratch_path(spark, "structured"), scratch_path(spark, "ck")
     opts = RunOptions(tables_in_parallel=workers)
-    # about three micro-batches over the raw files, so batches are merged in turn
-    per_trigger = max(1, fs.total_size(spark, raw_path) // STREAM_BATCHES)
-    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=per_trigger)
+    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=opts.max_bytes_per_trigger)
     q = streams.start_structured(stream, reg_path, configs, root, ck, opts, available_now=True)
     streams.drain(q)
     return root, ents
@@ -547,7 +559,7 @@ def q_publish_drain(spark, d):
     def handle(batch: DataFrame, batch_id: int) -> None:
         tables.merge(spark, target, stage_for_db(batch), ["RRN"])
 
-    streams.drain(streams.start_publish(spark, source, 0, ck, handle, max_versions_per_trigger=1))
+    streams.drain(streams.start_publish(spark, source, 0, ck, handle, max_bytes=1))
     return present(tables.read_table(spark, target))
 
 
@@ -556,7 +568,7 @@ def q_publish_tables(spark, d):
     choice, one drain and checkpoint per table, sequence-guarded apply."""
     from tidewater.plans.publish import publish_tables
     batch = raw_table(spark, d, 3)
-    registry = tables.read_table(spark, registry_table(spark, d, 3))
+    registry = REG.read_registry(spark, registry_table(spark, d, 3))
     configs = [TableConfig(feed.SOURCE_SCHEMA, f"{feed.SINGLE_TABLE}_{p}", start_version=0) for p in range(3)]
     root, target_root, ck = scratch_path(spark, "st"), scratch_path(spark, "db"), scratch_path(spark, "ck")
     ST.process_batch(spark, batch, 0, registry, configs, root, RunOptions(tables_in_parallel=3))
@@ -572,6 +584,55 @@ def q_publish_tables(spark, d):
     return present(reduce(lambda a, b: a.unionByName(b), parts))
 
 
+def q_merge_growth(spark, d):
+    """The feed in 24 batches into a table that starts as one bucket and splits as it grows."""
+    path = scratch_path(spark, "growth")
+    rows = trim_strings(apply_types(all_split_rows(spark, d), [("AMOUNT", T.DecimalType(12, 2))]))
+    staged = scratch_path(spark, "growth-rows")
+    rows.withColumn("part", F.pmod(F.xxhash64("_changeSequence"), F.lit(24))).write.partitionBy("part").parquet(staged)
+    for i in range(24):
+        part = spark.read.schema(rows.schema).parquet(f"{staged}/part={i}")
+        tables.merge(spark, path, CH.latest_per_key(part, ["RRN"]), ["RRN"], buckets=1, bucket_bytes=16_384)
+    return present(default_columns(tables.read_table(spark, path))[0])
+
+
+def q_late_registry(spark, d):
+    """Schema S2 is registered after all its data came: its rows are held, then applied."""
+    reg, root = scratch_path(spark, "registry"), scratch_path(spark, "late")
+    meta = feed.metadata_envelopes(events(spark, d))
+    cfg = [TableConfig(feed.SOURCE_SCHEMA, feed.SINGLE_TABLE)]
+    REG.ingest_registry(spark, meta.filter(F.col("body.messageSchemaId") == "S1"), reg)
+    weeks = week_batches(raw_table(spark, d))
+    for i, batch in enumerate(weeks):
+        ST.process_batch(spark, batch, i, REG.RegistryCache(spark, reg), cfg, root, OPTS)
+    REG.ingest_registry(spark, meta, reg)
+    ST.process_batch(spark, weeks[0].limit(0), len(weeks), REG.RegistryCache(spark, reg), cfg, root, OPTS)
+    return present(tables.read_table(spark, ST.table_path(root, feed.SOURCE_SCHEMA, feed.SINGLE_TABLE)))
+
+
+def q_pii_pipeline(spark, d):
+    """A PII column from the source's cipher text to the table's cells to the
+    staged plain text; its type is configured per table."""
+    key = DEMO_KEY
+    protect_key(spark, key)
+    root = scratch_path(spark, "pii")
+    cfg = TableConfig(feed.SOURCE_SCHEMA, feed.SINGLE_TABLE)
+    opts = RunOptions(pii_types={cfg.qualified: {"NOTE": "STRING"}}, encryption_key=key, encryption_key_id=DEMO_KEY_ID)
+    seal = lambda c: F.base64(F.aes_encrypt(c, F.lit(key), F.lit("GCM")))
+    for e in entries():
+        batch = raw(spark, d).filter(F.col("body.messageSchemaId") == e.message_schema_id)
+        if e.message_schema_id == "S2":
+            e = replace(e, columns=tuple(replace(c, is_pii=True) if c.name == "NOTE" else c for c in e.columns))
+            content = F.from_json(F.col("body.message").cast("string"), e.data_schema)
+            batch = batch.withColumn("c", content).withColumn("c", F.col("c").withField(
+                "data", F.when(F.col("c.data").isNotNull(), F.col("c.data").withField("NOTE", seal(F.col("c.data.NOTE"))))).withField(
+                "beforeData", F.when(F.col("c.beforeData").isNotNull(), F.col("c.beforeData").withField("NOTE", seal(F.col("c.beforeData.NOTE"))))))
+            batch = batch.withColumn("body", F.col("body").withField("message", F.to_json("c").cast("binary"))).drop("c")
+        ST.process_schema(spark, batch, 0, e, cfg, root, opts)
+    table = tables.read_table(spark, ST.table_path(root, cfg.schema, cfg.table))
+    return present(stage_for_db(table, pii=["NOTE"], key=key))
+
+
 QUERIES = {
     "flagship": q_flagship,
     "nested_project": q_nested_project,
@@ -626,4 +687,7 @@ QUERIES = {
     "src_event_stream": q_src_event_stream,
     "publish_drain": q_publish_drain,
     "publish_tables": q_publish_tables,
+    "merge_growth": q_merge_growth,
+    "late_registry": q_late_registry,
+    "pii_pipeline": q_pii_pipeline,
 }

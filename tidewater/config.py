@@ -28,7 +28,7 @@ TIMESTAMP_FORMAT = "%Y-%m-%d %H:%M:%S"
 
 
 def is_framework(name: str) -> bool:
-    """FLT-6: not a framework column, compared case-insensitively."""
+    """FLT-6: whether ``name`` is a framework column, compared case-insensitively."""
     return name.upper() in {c.upper() for c in FRAMEWORK_COLUMNS}
 
 
@@ -77,8 +77,8 @@ class RegistryEntry:
         """SEM-9: reject a merge on all columns and a key holding PII."""
         if self.merging_all_columns or any(c.is_key and c.is_pii for c in self.columns):
             raise ValueError(
-                f"no valid merge approach for table {self.schema}.{self.table}, "
-                f"messageSchemaId {self.message_schema_id}"
+                f"{self.schema}.{self.table} cannot be merged under schema {self.message_schema_id}: "
+                f"it needs key columns, none of them PII"
             )
 
 
@@ -104,25 +104,28 @@ class RunOptions:
     max_bytes_per_trigger: int = 268_435_456
     trigger_minutes: int = 5
     tables_in_parallel: int = 4
-    partitions_per_table: int = 8
     decode_mode: str = "FAILFAST"
     source_name: str = "SOURCE"
     job_id: int = -1
     run_id: int = -1
-    pii_types: dict = field(default_factory=dict)
+    codec: str = "json"          # of the payload: json or avro
+    pii_types: dict = field(default_factory=dict)  # "SCHEMA.TABLE" -> {column: type}
     encryption_key: str | None = None
     encryption_key_id: str = "k1"
-    stream_id: str = ""          # stable per stream (e.g. its checkpoint path); tags count appends
-    table_buckets: int = 16      # about table bytes / 512 MB for a keyed table
+    stream_id: str = ""          # names the stream run in the folders of counts and log
+    table_buckets: int = 16      # buckets of a new table; they split as it grows
     log_path: str | None = None  # run-log table; None disables logging
     log_level: str = "INFO"
 
 
-def parse_table_config(groups: dict, priority: str) -> list[TableConfig]:
-    """SRC-10: ``{priority: {"SCHEMA.TABLE": "yyyy-MM-dd HH:mm:ss" | int}}``.
+def parse_table_config(groups: dict, priority: str | list[str]) -> list[TableConfig]:
+    """SRC-10: ``{priority: {"SCHEMA.TABLE": "yyyy-MM-dd HH:mm:ss" | int}}``, for
+    one priority group or several, in the order given.
 
     Unknown priority groups and unparseable start times fail fast.
     """
+    if not isinstance(priority, str):
+        return [c for p in priority for c in parse_table_config(groups, p)]
     if priority not in groups:
         raise ValueError(f"unknown table group {priority!r}; known: {sorted(groups)}")
     out = []

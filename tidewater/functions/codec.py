@@ -6,7 +6,7 @@ package is on the classpath.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,19 +41,3 @@ def decode(payload: Column, schema: str | T.StructType, codec: str = "json", mod
             raise RuntimeError("avro codec needs the spark-avro package") from exc
         return from_avro(payload, schema, {"mode": mode})
     raise ValueError(f"unknown codec {codec!r}")
-
-
-def encode(content: Column, codec: str = "json") -> Column:
-    """Inverse of :func:`decode` for the JSON codec (used to build envelopes)."""
-    if codec != "json":
-        raise ValueError("only the json codec can encode here")
-    return F.to_json(content).cast("binary")
-
-
-def decode_by_schema(df: DataFrame, payload: str, schemas: dict[str, str], id_col: str,
-                     out: str = "content", codec: str = "json", mode: str = "FAILFAST") -> dict[str, DataFrame]:
-    """FUN-12: one decoded frame per schema id (each with its own row shape)."""
-    return {
-        sid: df.filter(F.col(id_col) == sid).withColumn(out, decode(F.col(payload), ddl, codec, mode))
-        for sid, ddl in schemas.items()
-    }

@@ -40,13 +40,6 @@ def framework_columns(decoded: DataFrame, message_schema_id: str, content: str =
     )
 
 
-def flatten_image(df: DataFrame, image: str = "data", keep: list[str] | None = None) -> DataFrame:
-    """PRJ-2: lift the fields of a row image to top level, names upper-cased."""
-    fields = df.schema[image].dataType.fieldNames()
-    keep = keep if keep is not None else [c for c in df.columns if c not in ("data", "beforeData")]
-    return df.select(*keep, *[F.col(f"{image}.{f}").alias(f.upper()) for f in fields])
-
-
 def trim_strings(df: DataFrame) -> DataFrame:
     """FUN-7: trim every top-level string column (spaces only) in one select."""
     return df.select(*[

@@ -7,6 +7,8 @@ the cell stores the two parts apart.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,14 @@ CELL_DDL = "STRUCT<version: INT, keyId: STRING, cipherText: STRING, iv: STRING>"
 IV_BYTES = 12
 
 
+def protect_key(spark: SparkSession, key: str) -> None:
+    """Hides a key's text and hex form in this session's plan texts."""
+    have = spark.conf.get("spark.sql.redaction.string.regex", None)
+    forms = [re.escape(key), key.encode().hex().upper(), key.encode().hex()]
+    if have is None or forms[0] not in have:
+        spark.conf.set("spark.sql.redaction.string.regex", "|".join(([have] if have else []) + forms))
+
+
 def encrypt_value(c: Column, key: str, key_id: str, version: int = 1) -> Column:
     """One encrypted cell; NULL stays NULL.
 

@@ -64,8 +64,7 @@ def resolve_types(columns: list[ColumnMeta], table_schema: T.StructType, table:
                 dtype = existing[name]
                 if not isinstance(dtype, TABLE_TYPES):
                     raise UnresolvedTypeError(
-                        f"Undefined data type for CDC to structured mapping, dataType: "
-                        f"{dtype.simpleString()}, Column: {name}, table: {table}")
+                        f"column {name} of {table} already has type {dtype.simpleString()}, which changes cannot be cast to")
             else:
                 dtype = source_type(c.type, c.precision, c.scale)
         except UnresolvedTypeError as exc:

@@ -1,8 +1,9 @@
 """Change-row operators: routing, start gate, key-change split, latest per key.
 
-All are narrow (no shuffle) except :func:`latest_per_key`, which is one hash
+All are narrow (no shuffle) except :func:`latest_per_key`, which is one
 aggregation with a map-side partial step, so a hot key is reduced to one row
-per input partition before anything is shuffled.
+per input partition before anything is shuffled. (Its buffers hold whole rows,
+so Spark sorts to aggregate.)
 """
 
 from __future__ import annotations
@@ -30,9 +31,13 @@ def start_gate(df: DataFrame, ts: Column, start: _dt.datetime | str | None) -> D
     """FLT-2 / FLT-3: keep rows strictly after ``start``.
 
     Unparseable or NULL times drop the row. With no start, everything passes.
+    A ``datetime`` is read as wall-clock time of the session zone, like the text
+    form, whatever zone the driver runs in.
     """
     if start is None:
         return df
+    if isinstance(start, _dt.datetime):
+        start = start.strftime("%Y-%m-%d %H:%M:%S.%f")
     return df.filter(F.try_to_timestamp(ts.cast("string")) > F.lit(start).cast("timestamp"))
 
 
@@ -166,10 +171,3 @@ def first_per_key(df: DataFrame, key: Column, alias: str, order: list[str]) -> D
     best = df.withColumn(alias, key).groupBy(alias).agg(
         F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordering).alias("__first"))
     return best.select(alias, *[F.col(f"__first.`{c}`").alias(c) for c in rest])
-
-
-def is_empty(df: DataFrame) -> bool:
-    """FLT-7: skip empty work (reads at most one row)."""
-    return df.isEmpty()
-
-

@@ -14,9 +14,10 @@ COUNT_OPERATION = "soruceOperation"
 ROLLUP_KEYS = ("sourceName", "layer", "sourceSchema", "tableName", "rawLayerDate")
 
 
-def count_input(decoded: DataFrame, content: str = "content") -> DataFrame:
+def count_input(decoded: DataFrame, content: str = "content", keep: tuple[str, ...] = ()) -> DataFrame:
     """Dates and operation of every decoded change, before any start gate."""
     return decoded.select(
+        *keep,
         F.to_date(F.try_to_timestamp(F.col(f"{content}.headers.timestamp"))).alias("qlikCapturedDate"),
         F.to_date(F.col("_ehEnqueuedTime")).alias("ehEnqueuedDate"),
         F.to_date(F.col("_rawLayerProcessingTime")).alias("rawLayerDate"),

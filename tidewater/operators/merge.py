@@ -29,16 +29,10 @@ CHANGE_KINDS = {"I": "insert", "U": "update_postimage", "P": "update_preimage",
 
 
 def merge_upsert(existing: DataFrame, updates: DataFrame, keys: list[str], seq: str = "_changeSequence",
-                 update_cols: list[str] | None = None, partition_col: str | None = None) -> DataFrame:
-    """See the module contract.
-
-    With ``partition_col`` (on both sides, a function of the keys) the join
-    also matches on it and it is carried to the output, so inputs already
-    partitioned by it are joined without another shuffle.
-    """
-    skip = {ROW_KIND, partition_col}
-    e_cols = [c for c in existing.columns if c not in skip]
-    u_cols = [c for c in updates.columns if c not in skip]
+                 update_cols: list[str] | None = None) -> DataFrame:
+    """See the module contract."""
+    e_cols = [c for c in existing.columns if c != ROW_KIND]
+    u_cols = [c for c in updates.columns if c != ROW_KIND]
     e_by_upper = {c.upper(): c for c in e_cols}
     u_by_upper = {c.upper(): c for c in u_cols}
     new_cols = [c for c in u_cols if c.upper() not in e_by_upper]
@@ -49,12 +43,8 @@ def merge_upsert(existing: DataFrame, updates: DataFrame, keys: list[str], seq:
 
     e_alias = {c: f"__e{i}" for i, c in enumerate(e_cols)}
     u_alias = {c: f"__u{i}" for i, c in enumerate(u_cols)}
-    extra_e = [F.col(partition_col).alias("__pe")] if partition_col else []
-    extra_u = [F.col(partition_col).alias("__pu")] if partition_col else []
-    left = existing.select(*[F.col(f"`{c}`").alias(a) for c, a in e_alias.items()], *extra_e,
-                           F.lit(True).alias("__ep"))
-    right = updates.select(*[F.col(f"`{c}`").alias(a) for c, a in u_alias.items()], *extra_u,
-                           F.lit(True).alias("__up"))
+    left = existing.select(*[F.col(f"`{c}`").alias(a) for c, a in e_alias.items()], F.lit(True).alias("__ep"))
+    right = updates.select(*[F.col(f"`{c}`").alias(a) for c, a in u_alias.items()], F.lit(True).alias("__up"))
 
     def e_of(name: str):
         return F.col(e_alias[e_by_upper[name.upper()]])
@@ -63,8 +53,6 @@ def merge_upsert(existing: DataFrame, updates: DataFrame, keys: list[str], seq:
         return F.col(u_alias[u_by_upper[name.upper()]])
 
     conds = [e_of(k).eqNullSafe(u_of(k)) for k in keys]
-    if partition_col:
-        conds.insert(0, F.col("__pe") == F.col("__pu"))
     joined = left.join(right, reduce(lambda a, b: a & b, conds), "full_outer")
 
     e_present = F.col("__ep").isNotNull()
@@ -83,10 +71,6 @@ def merge_upsert(existing: DataFrame, updates: DataFrame, keys: list[str], seq:
             value = F.when(take & ~e_present, uv).otherwise(ev)
         post.append(value.alias(c))
         pre.append(ev.alias(c))
-    if partition_col:
-        p = F.coalesce(F.col("__pe"), F.col("__pu")).alias(partition_col)
-        post.append(p)
-        pre.append(p)
 
     kind = F.when(take & ~e_present, "I").when(take, "U").otherwise("C")
     rows = F.when(

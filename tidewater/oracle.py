@@ -79,16 +79,8 @@ def row_cols(a: str = "", partitions: bool = True, note: str | None = None) -> s
             f"{note if note is not None else note_trimmed(a)}")
 
 
-def s1_cols(a: str = "") -> str:
-    p = f"{a}." if a else ""
-    return (f"{p}key AS RRN, CAST(-1 AS BIGINT) AS DATAPARTITIONNUM, '' AS DATAPARTITIONNAME, "
-            f"{frame_cols(a)}, {amount(a)}, {p}kval AS KVAL")
-
-
 MERGED = f"{BASE},\n{LATEST}\nSELECT {row_cols()} FROM lat"
 LIVE = f"{BASE},\n{LATEST}\nSELECT {row_cols()} FROM lat WHERE sop <> 'DELETE'"
-S1_SET = f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT {s1_cols()} FROM lats WHERE sid = 'S1'"
-S2_SET = f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT {row_cols()} FROM lats WHERE sid = 'S2'"
 
 
 def _change_feed(post_only: bool) -> str:
@@ -177,7 +169,7 @@ def _registry(select: str) -> str:
 
 SQL = {
     "flagship": LIVE,
-    "live_rows": LIVE,
+    "live_rows": f"{BASE},\n{LATEST}\nSELECT {row_cols(partitions=False)} FROM lat WHERE sop <> 'DELETE'",
     "schema_evolve": MERGED,
     "merge_upsert": MERGED,
     "structured_stream": MERGED,
@@ -187,10 +179,14 @@ SQL = {
     "latest_per_rrn": MERGED,
     "publish_drain": MERGED,
     "delete_where": f"{BASE},\n{LATEST}\nSELECT {row_cols()} FROM lat WHERE NOT COALESCE(sid = 'S2' AND trim(note, ' ') = 'view', false)",
-    "update_set": S2_SET,
-    "column_order": S1_SET,
-    "merge_init": S1_SET,
-    "scan_table": S1_SET,
+    "update_set": f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT {row_cols()} FROM lats",
+    "column_order": (f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT concat_ws('|', key, -1, '', sop, seq, sid, {ts('ts')}, {ts('enq')}, {ts('rawt')}, "
+                     "CAST(amount AS DECIMAL(12,2)), kval, CASE WHEN sid = 'S2' THEN trim(note, ' ') END) AS row_text FROM lats"),
+    "merge_init": MERGED,
+    "scan_table": MERGED,
+    "merge_growth": MERGED,
+    "late_registry": MERGED,
+    "pii_pipeline": MERGED,
     "change_feed": _change_feed(False),
     "change_feed_post": _change_feed(True),
     "nested_project": f"{BASE}\nSELECT sid AS messageSchemaId, 'data' AS type, 'EVENTS' AS \"table\", {ts('enq')} AS enqueuedTime FROM feed",
@@ -217,9 +213,9 @@ SQL = {
                  "CASE WHEN sid = 'S2' THEN note END AS NOTE FROM split"),
     "latest_per_key": f"{BASE},\n{LATEST}\nSELECT {row_cols(partitions=False)} FROM lat",
     "typed_rows": (f"{BASE}\nSELECT seq AS _changeSequence, sop AS _operation, key AS RRN, {amount()}, kval AS KVAL, "
-                   "note AS NOTE FROM split WHERE sid = 'S2'"),
+                   "CASE WHEN sid = 'S2' THEN note END AS NOTE FROM split"),
     "default_columns": (f"{BASE}\nSELECT seq AS _changeSequence, key AS RRN, CAST(-1 AS BIGINT) AS DATAPARTITIONNUM, "
-                        "'' AS DATAPARTITIONNAME FROM split WHERE sid = 'S1'"),
+                        "'' AS DATAPARTITIONNAME FROM split"),
     "merge_partial": _merge_partial(),
     "distinct_ids": f"{BASE}\nSELECT DISTINCT concat(sid, '_', CAST(part AS VARCHAR)) AS messageSchemaId FROM feed",
     "dedup_key": (f"{BASE}\nSELECT concat(sid, '_', CAST(part AS VARCHAR)) AS messageSchemaId, {ts('min(enq)')} AS enqueuedTime "
@@ -250,8 +246,8 @@ SQL = {
                      "trim(concat(chr(9), lang, ' '), ' ') AS lang, trim(concat(' ', source), ' ') AS source, "
                      "n_chars FROM documents"),
     "encrypt_roundtrip": (f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT key AS RRN, seq AS _changeSequence, "
-                          f"trim(note, ' ') AS NOTE, kval AS KVAL FROM lats WHERE sid = 'S2'"),
-    "decrypt_cell": f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT key AS RRN, trim(note, ' ') AS NOTE FROM lats WHERE sid = 'S2'",
+                          f"{note_trimmed()}, kval AS KVAL FROM lats"),
+    "decrypt_cell": f"{BASE},\n{LATEST_BY_SCHEMA}\nSELECT key AS RRN, {note_trimmed()} FROM lats",
     "fanout_tables": _fanout(),
     "publish_tables": _fanout(),
     "src_event_stream": f"SELECT event_id, {ts('ts')} AS ts, user_id, event_type, value, props FROM events",

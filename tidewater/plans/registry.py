@@ -11,7 +11,7 @@ from tidewater.config import ColumnMeta, RegistryEntry
 from tidewater.functions.codec import decode
 from tidewater.functions.structs import struct_to_kv
 from tidewater.operators.changes import first_per_key
-from tidewater.sources import tables
+from tidewater.sources import folders
 
 # Shape of one column description in a metadata message.
 COLUMN_DDL = ("STRUCT<ordinal: INT, type: STRING, length: INT, precision: INT, scale: INT, "
@@ -19,9 +19,10 @@ COLUMN_DDL = ("STRUCT<ordinal: INT, type: STRING, length: INT, precision: INT, s
 METADATA_DDL = ("lineage STRUCT<schema: STRING, table: STRING, timestamp: STRING>, "
                 f"tableStructure STRUCT<tableColumns: MAP<STRING, {COLUMN_DDL}>>, dataSchema STRING")
 REGISTRY_COLUMNS = ("messageSchemaId", "schema", "table", "timestamp", "tableColumns", "dataSchema")
-# Upper bound on schema ids handled per batch; the registry is a catalogue of
-# table versions, so this guards the driver-side schema list and the broadcast.
-MAX_SCHEMAS = 10_000
+REGISTRY_DDL = ("messageSchemaId STRING, schema STRING, table STRING, timestamp STRING, "
+                f"tableColumns ARRAY<STRUCT<key: STRING, value: {COLUMN_DDL}>>, dataSchema STRING")
+#: Rows up to which the registry is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS = 10_000
 
 
 def new_schema_ids(batch: DataFrame, registry: DataFrame | None) -> DataFrame:
@@ -37,7 +38,7 @@ def new_schema_ids(batch: DataFrame, registry: DataFrame | None) -> DataFrame:
 
 
 def registry_is_small(registry: DataFrame) -> bool:
-    return registry.limit(MAX_SCHEMAS + 1).count() <= MAX_SCHEMAS
+    return registry.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
 def _registry_columns(df: DataFrame, message: str = "message") -> DataFrame:
@@ -68,9 +69,7 @@ def decode_metadata(new: DataFrame, codec: str = "json", mode: str = "FAILFAST")
             lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
         return _registry_columns(decoded.withColumn("message", F.col("message").withField(
             "tableStructure.tableColumns", entries)))
-    schemas = [r[0] for r in new.select("body.messageSchema").distinct().limit(MAX_SCHEMAS + 1).collect()]
-    if len(schemas) > MAX_SCHEMAS:
-        raise ValueError(f"more than {MAX_SCHEMAS} metadata schemas in one batch")
+    schemas = [r[0] for r in new.select("body.messageSchema").distinct().collect()]  # of new schema ids only
     parts = []
     for ddl in schemas:
         one = new.filter(F.col("body.messageSchema") == ddl).withColumn(
@@ -79,18 +78,26 @@ def decode_metadata(new: DataFrame, codec: str = "json", mode: str = "FAILFAST")
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 
 
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registry table; empty before the first ingest."""
+    if not folders.exists(spark, path):
+        return spark.createDataFrame([], REGISTRY_DDL)
+    return spark.read.schema(REGISTRY_DDL).parquet(path)
+
+
 def ingest_registry(spark: SparkSession, batch: DataFrame, registry_path: str,
-                    codec: str = "json", mode: str = "FAILFAST") -> int | None:
-    """SEM-1: append the registry rows of schema ids not seen before."""
-    registry = tables.read_table(spark, registry_path) if tables.table_exists(spark, registry_path) else None
+                    codec: str = "json", mode: str = "FAILFAST") -> int:
+    """SEM-1: append the registry rows of schema ids not seen before; how many."""
+    registry = read_registry(spark, registry_path) if folders.exists(spark, registry_path) else None
     rows = decode_metadata(new_schema_ids(batch, registry), codec, mode)
     if rows is None:
-        return None
+        return 0
     rows = rows.persist()  # a handful of rows: one per new schema id
     try:
-        if rows.isEmpty():
-            return None
-        return tables.append(spark, registry_path, rows)
+        n = rows.count()
+        if n:
+            rows.coalesce(1).write.mode("append").parquet(registry_path)
+        return n
     finally:
         rows.unpersist()
 
@@ -110,9 +117,7 @@ def registry_entries(registry: DataFrame, ids: list[str] | None = None) -> list[
     """
     if ids is not None:
         registry = registry.filter(F.col("messageSchemaId").isin(*ids))
-    rows = registry.orderBy("timestamp", "messageSchemaId").limit(MAX_SCHEMAS + 1).collect()
-    if len(rows) > MAX_SCHEMAS:
-        raise ValueError(f"more than {MAX_SCHEMAS} registry entries requested")
+    rows = registry.orderBy("timestamp", "messageSchemaId").collect()
     return [
         RegistryEntry(r["messageSchemaId"], r["schema"], r["table"], r["timestamp"],
                       tuple(_column(kv) for kv in r["tableColumns"]),
@@ -133,24 +138,17 @@ def route_tables(raw: DataFrame, registry: DataFrame, listed: list[str]) -> Data
 
 
 class RegistryCache:
-    """Registry entries held on the driver between micro-batches.
-
-    Reloaded only when the registry table has a new committed version, so a
-    batch costs no registry job unless the registry changed. Its size is the
-    catalogue's (bounded by ``MAX_SCHEMAS``), not the data's.
-    """
+    """Registry entries held on the driver between micro-batches. An entry never
+    changes, so a batch asks the registry only for schema ids not met before."""
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path
-        self.version: int | None = None
         self.by_id: dict[str, RegistryEntry] = {}
 
     def entries(self, ids: list[str]) -> list[RegistryEntry]:
-        v = tables.latest_version(self.spark, self.path)
-        if v != self.version:
-            self.by_id = {e.message_schema_id: e
-                          for e in registry_entries(tables.read_table(self.spark, self.path, version=v))} \
-                if v is not None else {}
-            self.version = v
-        found = [self.by_id[i] for i in ids if i in self.by_id]
-        return sorted(found, key=lambda e: (e.timestamp, e.message_schema_id))
+        missing = [i for i in ids if i not in self.by_id]
+        if missing:
+            found = registry_entries(read_registry(self.spark, self.path), missing)
+            self.by_id.update((e.message_schema_id, e) for e in found)
+        known = [self.by_id[i] for i in ids if i in self.by_id]
+        return sorted(known, key=lambda e: (e.timestamp, e.message_schema_id))

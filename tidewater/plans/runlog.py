@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from tidewater.sources import tables
+from tidewater.sources import folders
 
 # Log levels in increasing severity.
 LEVELS = {"DEBUG": 10, "INFO": 20, "WARN": 30, "ERROR": 40}
@@ -39,14 +39,15 @@ class RunLog:
               level: str = "INFO") -> None:
         if self.path is None or LEVELS[level] < LEVELS[self.min_level]:
             return
-        row = (schema, table, schema_id, target, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+        row = (schema, table, schema_id, target, _dt.datetime.now(_dt.timezone.utc),
                message, level)
         with self._guard:
             self.rows.append(row)
 
-    def flush(self, spark: SparkSession, txn: tuple[str, int] | None = None) -> int | None:
+    def flush(self, spark: SparkSession, run: str = "", batch_id: int = 0) -> None:
+        """Writes the events as those of one batch; written again, they replace themselves."""
         with self._guard:
             rows, self.rows = self.rows, []
         if self.path is None or not rows:
-            return None
-        return tables.append(spark, self.path, spark.createDataFrame(rows, LOG_SCHEMA), txn=txn)
+            return
+        folders.write_batch(spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), self.path, run, batch_id)

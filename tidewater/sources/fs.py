@@ -3,6 +3,8 @@ shared cluster storage work the same as local ones."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -12,11 +14,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -24,15 +21,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)
@@ -58,31 +46,48 @@ def total_size(spark: SparkSession, path: str) -> int:
 
 
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file only if absent; False when it already exists."""
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        return False
-    try:
-        out = fs.create(p, False)
-    except Exception as exc:  # noqa: BLE001 - py4j wraps FileAlreadyExistsException
-        if "FileAlreadyExists" in str(exc) or "already exists" in str(exc):
-            return False
-        raise
+    """Creates a file whole, only if its name is free: the text is written under
+    a hidden name and renamed without overwriting. False when the name is taken."""
+    jvm = spark.sparkContext._jvm
+    fs, target = _fs(spark, path)
+    hidden = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(hidden, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()) \
+        if target.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    none[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, "NONE")
+    try:
+        context.rename(fs.makeQualified(hidden), fs.makeQualified(target), none)
+    except Exception as exc:  # noqa: BLE001 - py4j wraps FileAlreadyExistsException
+        fs.delete(hidden, False)
+        if "AlreadyExists" in str(exc) or "already exists" in str(exc):
+            return False
+        raise
     return True
 
 
-def list_dirs_with_time(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(name, modification time in ms) of the entries under a folder."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [(s.getPath().getName(), int(s.getModificationTime())) for s in fs.listStatus(p)]
-
-
 def delete_tree(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def replace_tree(spark: SparkSession, source: str, target: str) -> None:
+    """Puts the folder ``source`` in the place of ``target``."""
+    fs, s = _fs(spark, source)
+    t = _fs(spark, target)[1]
+    fs.delete(t, True)
+    if not fs.rename(s, t):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder, making the folders above its new place."""
+    fs, s = _fs(spark, source)
+    t = _fs(spark, target)[1]
+    fs.mkdirs(t.getParent())
+    if not fs.rename(s, t):
+        raise OSError(f"cannot rename {source} to {target}")

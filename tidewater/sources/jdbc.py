@@ -7,21 +7,37 @@ final ``MERGE`` statement run on the driver's connection, once per batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # SQL column types used for Spark types on the database side.
 SQL_TYPES = {
     T.LongType: "BIGINT",
-    T.IntegerType: "INTEGER",
-    T.StringType: "VARCHAR(4000)",
-    T.TimestampType: "TIMESTAMP",
-    T.TimestampNTZType: "TIMESTAMP",
+    T.IntegerType: "INT",
+    T.ShortType: "SMALLINT",
+    T.ByteType: "SMALLINT",
+    T.StringType: "NVARCHAR(MAX)",
+    T.TimestampType: "DATETIME2",
+    T.TimestampNTZType: "DATETIME2",
     T.DateType: "DATE",
-    T.DoubleType: "DOUBLE",
-    T.BooleanType: "BOOLEAN",
+    T.DoubleType: "FLOAT",
+    T.FloatType: "REAL",
+    T.BooleanType: "BIT",
+    T.BinaryType: "VARBINARY(MAX)",
 }
 
 
+def quoted(name: str) -> str:
+    """An identifier as the database reads it, whatever characters it has."""
+    return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, which every database can hold."""
+    nested = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))}
+    return df.select(*[F.to_json(c).alias(c) if c in nested else F.col(f"`{c}`") for c in df.columns])
+
+
 def sql_type(dtype: T.DataType) -> str:
     if isinstance(dtype, T.DecimalType):
         return f"DECIMAL({dtype.precision},{dtype.scale})"
@@ -32,18 +48,18 @@ def sql_type(dtype: T.DataType) -> str:
 
 
 def create_schema_sql(schema: str) -> str:
-    return f"CREATE SCHEMA {schema}"
+    return f"CREATE SCHEMA {quoted(schema)}"
 
 
 def create_table_sql(table: str, schema: T.StructType) -> str:
-    cols = ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in schema.fields)
-    return f"CREATE TABLE {table} ({cols})"
+    cols = ", ".join(f"{quoted(f.name)} {sql_type(f.dataType)}" for f in schema.fields)
+    return f"CREATE TABLE {quoted(table)} ({cols})"
 
 
 def add_columns_sql(table: str, existing: list[str], schema: T.StructType) -> list[str]:
     """SNK-15: one ``ALTER TABLE ADD`` per column the table lacks (case-insensitive)."""
     have = {c.upper() for c in existing}
-    return [f"ALTER TABLE {table} ADD COLUMN {f.name} {sql_type(f.dataType)}"
+    return [f"ALTER TABLE {quoted(table)} ADD {quoted(f.name)} {sql_type(f.dataType)}"
             for f in schema.fields if f.name.upper() not in have]
 
 
@@ -51,19 +67,21 @@ def merge_sql(target: str, staging: str, columns: list[str], keys: list[str],
               seq: str | None = "_changeSequence") -> str:
     """JON-3: MERGE staging into target on the keys; a matched row is updated
     only when the staged sequence is newer, so replays change nothing."""
-    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-    sets = ", ".join(f"{c} = s.{c}" for c in columns if c not in keys)
-    guard = f" AND s.{seq} > t.{seq}" if seq and seq in columns else ""
-    cols = ", ".join(columns)
-    vals = ", ".join(f"s.{c}" for c in columns)
-    return (f"MERGE INTO {target} t USING {staging} s ON {on} "
+    q = {c: quoted(c) for c in [*columns, *keys]}
+    # A NULL key is one key, so a replay finds its row again.
+    on = " AND ".join(f"(t.{q[k]} = s.{q[k]} OR (t.{q[k]} IS NULL AND s.{q[k]} IS NULL))" for k in keys)
+    sets = ", ".join(f"{q[c]} = s.{q[c]}" for c in columns if c not in keys)
+    guard = f" AND s.{quoted(seq)} > t.{quoted(seq)}" if seq and seq in columns else ""
+    cols = ", ".join(q[c] for c in columns)
+    vals = ", ".join(f"s.{q[c]}" for c in columns)
+    return (f"MERGE INTO {quoted(target)} t USING {quoted(staging)} s ON {on} "
             f"WHEN MATCHED{guard} THEN UPDATE SET {sets} "
-            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
+            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals});")
 
 
 def column_types_option(schema: T.StructType) -> str:
     """``createTableColumnTypes`` so key and sequence text compare as VARCHAR."""
-    return ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in schema.fields)
+    return ", ".join(f"`{f.name}` {sql_type(f.dataType)}" for f in schema.fields)
 
 
 def _connection(spark: SparkSession, url: str, props: dict):
@@ -116,7 +134,7 @@ def publish_jdbc(spark: SparkSession, staged: DataFrame, url: str, props: dict,
                  staging_schema: str, keys: list[str], partitions: int) -> None:
     """SEM-15 database side: create schemas and tables if missing, add new
     columns, overwrite the staging table with ``partitions`` writers, MERGE."""
-    target, staging = f"{schema}.{table}", f"{staging_schema}.{table}"
+    target, staging, staged = f"{schema}.{table}", f"{staging_schema}.{table}", flat(staged)
     ddl = []
     for s in (schema, staging_schema):
         if not schema_exists(spark, url, props, s):

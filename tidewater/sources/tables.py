@@ -1,43 +1,26 @@
-"""Versioned current-state tables on Parquet (SRC-5..9, SNK-6..11).
-
-A table is a set of data directories ``<path>/_dir=<token>/...`` plus a
-commit log ``<path>/_commits/<N>.json``. Each write goes to a fresh token;
-version ``N`` exists once its commit file is created (create-if-absent, so
-two writers can never both commit ``N``). Uncommitted or failed writes are
-never referenced. Appends that lose the race simply commit as ``N+1``;
-rewrites (merge, delete, compact) raise :class:`ConcurrentWriteError`, as
-their input changed underneath. Within one driver, writers of a table are
-serialized by a lock, so fan-out threads may share a table (the counts).
-Appends may carry a transaction ``(app id, batch id)``; an append whose batch
-id is not above the last one committed for that app is skipped, which makes
-micro-batch replays safe.
-
-Each commit file carries the whole table layout (base directory, bucket ->
-directory map, appends since the base), so reading the current table reads
-one commit file however long the history is.
-
-Keyed tables are hash-bucketed: ``_bucket = pmod(xxhash64(keys), buckets)``
-is a partition directory. A merge reads and rewrites only the buckets its
-updates touch; the others stay in the versions that last wrote them. The
-commit log therefore yields a manifest ``bucket -> version``. Change rows sit
-beside the snapshot rows of the same version, told apart by ``_row_kind``
-(see ``operators.merge``), so one write serves both and readers prune by
-partition. Tables without keys (counts, registry) are plain append/snapshot
-tables.
-
-Sizing: a bucket is rewritten by one task. A keyed table's bucket count is
-fixed at its first load, from that load's row count (about two million rows
-per bucket, a power of two, at least the configured minimum); more buckets
-also make small merges cheaper.
+"""Current-state tables on Parquet (SRC-5..9, SNK-9, SNK-10).
+
+A table is a set of data folders ``<path>/_dir=<token>/_bucket=<n>-<b>/_row_kind=<k>``
+and a chain of small JSON records ``<path>/_commits/<N>.json``. A record names
+the folders that make up the table at that point and the folder with its change
+rows. Data are written first; the record appears by one rename that fails if
+the name is taken, so a reader sees a whole record or none, and two rewrites
+of one state cannot both succeed.
+
+Rows are spread by a hash of their keys. Bucket ``n-b`` holds the rows whose
+hash leaves ``b`` modulo ``n``; ``n`` is a power of two, so a bucket splits into
+``2n-b`` and ``2n-(b+n)``. A merge reads, joins and rewrites only the buckets
+that its updates touch, and splits those that have outgrown BUCKET_BYTES as it
+does so. The join is an ordinary one on the keys and the write is rebalanced,
+so AQE sizes its tasks; no task is tied to a bucket.
 """
 
 from __future__ import annotations
 
-import contextlib
 import datetime as _dt
 import json
-import threading
 import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,61 +28,25 @@ from pyspark.sql import types as T
 from tidewater.operators.merge import CHANGE_KINDS, ROW_KIND, SNAPSHOT_KINDS, merge_upsert
 from tidewater.sources import fs
 
-COMMITS = "_commits"
-BUCKET = "_bucket"
-DIR = "_dir"
+COMMITS, BUCKET, DIR = "_commits", "_bucket", "_dir"
 DEFAULT_BUCKETS = 16
-SNAPSHOT_OPS = ("overwrite", "merge", "delete", "compact")
-# Largest bucket count of a table (and of bucket ids fetched for one merge).
-MAX_BUCKETS = 100_000
-# Rows per bucket aimed at when a table is created (about 512 MB of typical rows).
-ROWS_PER_BUCKET = 2_000_000
-# Versions of a change-feed read mapped by a literal; longer ranges join instead.
-MAX_LITERAL_VERSIONS = 1_000
-# Appends after which an append-only table is compacted, and the file size aimed at.
-AUTO_COMPACT_APPENDS = 50
-COMPACT_FILE_BYTES = 134_217_728
-
-_LOCKS: dict[str, threading.Lock] = {}
-_LOCKS_GUARD = threading.Lock()
+#: Size at which a bucket is split by the next merge that touches it.
+BUCKET_BYTES = 536_870_912
+COMMIT_DDL = "version LONG, operation STRING, timestamp STRING, dir STRING, change_bytes LONG"
 
 
 class ConcurrentWriteError(RuntimeError):
     """Another writer committed a version this rewrite did not read."""
 
 
-def _lock(path: str) -> threading.Lock:
-    with _LOCKS_GUARD:
-        return _LOCKS.setdefault(path.rstrip("/"), threading.Lock())
-
-
-def _commit_name(v: int) -> str:
-    return f"{v:020d}.json"
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed version numbers, oldest first (one directory listing)."""
-    return sorted(int(n.split(".")[0]) for n in fs.list_names(spark, f"{path}/{COMMITS}") if n.endswith(".json"))
-
-
-def read_commit(spark: SparkSession, path: str, version: int) -> dict:
-    return json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{_commit_name(version)}"))
-
-
-def commits(spark: SparkSession, path: str, start: int = 0, end: int | None = None) -> list[dict]:
-    """Commit records of versions in ``[start, end]``, oldest first."""
-    return [read_commit(spark, path, v) for v in versions(spark, path) if v >= start and (end is None or v <= end)]
-
-
-def latest_commit(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
-    vs = [v for v in versions(spark, path) if version is None or v <= version]
-    return read_commit(spark, path, vs[-1]) if vs else None
+def _commit_path(path: str, v: int) -> str:
+    return f"{path}/{COMMITS}/{v:020d}.json"
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
-    """SRC-9: the newest committed version, or None."""
-    vs = versions(spark, path)
-    return vs[-1] if vs else None
+    """SRC-9: the newest committed version, or None (one folder listing)."""
+    found = [int(n.split(".")[0]) for n in fs.list_names(spark, f"{path}/{COMMITS}") if n.endswith(".json") and n[0].isdigit()]
+    return max(found, default=None)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -107,14 +54,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return latest_version(spark, path) is not None
 
 
+def _latest(spark: SparkSession, path: str) -> dict | None:
+    v = latest_version(spark, path)
+    return None if v is None else json.loads(fs.read_text(spark, _commit_path(path, v)))
+
+
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
     """SRC-7: the table's schema, or an empty schema when the table is absent."""
-    c = latest_commit(spark, path)
+    c = _latest(spark, path)
     return T.StructType.fromJson(c["schema"]) if c else T.StructType()
 
 
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+def _hash(keys: list[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+
+
+def bucket_of(keys: list[str], n: int) -> Column:
+    """Name of a row's bucket among ``n``."""
+    return F.concat_ws("-", F.lit(n), F.pmod(_hash(keys), F.lit(n)))
 
 
 def _merge_schema(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -122,405 +79,161 @@ def _merge_schema(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType(list(old.fields) + [f for f in new.fields if f.name.upper() not in names])
 
 
-def _next_layout(prev: dict | None, operation: str, token: str, written: list[int] | None,
-                 buckets: int = 0) -> dict:
-    layout = dict(prev["layout"]) if prev else {"base": None, "buckets": {}, "appends": []}
-    if operation in SNAPSHOT_OPS and written is None:
-        return {"base": token, "buckets": {}, "appends": []}
-    if operation in SNAPSHOT_OPS:
-        merged = {**layout["buckets"], **{str(b): token for b in written}}
-        # once every bucket has been rewritten the old base holds nothing current
-        base = None if buckets and len(merged) >= buckets else layout["base"]
-        return {"base": base, "buckets": merged, "appends": list(layout["appends"])}
-    return {"base": layout["base"], "buckets": dict(layout["buckets"]), "appends": layout["appends"] + [token]}
+def _scan(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in (DIR, BUCKET, ROW_KIND)])
+    if not folders:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
 
 
-def _full_schema(meta: dict) -> T.StructType:
-    schema = T.StructType.fromJson(meta["schema"])
-    fields = [f for f in schema.fields if f.name not in meta.get("partition_by", [])]
-    parts = [T.StructField(DIR, T.StringType())]
-    if meta.get("buckets"):
-        parts.append(T.StructField(BUCKET, T.IntegerType()))
-    parts.append(T.StructField(ROW_KIND, T.StringType()))
-    parts += [f for f in schema.fields if f.name in meta.get("partition_by", [])]
-    return T.StructType(fields + parts)
-
-
-def _scan(spark: SparkSession, path: str, meta: dict, dirs: list[str]) -> DataFrame:
-    full = _full_schema(meta)
-    if not dirs:
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(
-        *[f"{path}/{DIR}={d}" for d in sorted(set(dirs))])
+def _folders(meta: dict) -> list[str]:
+    """The folders of the current rows: a data folder whole where all its buckets
+    are current, else bucket by bucket."""
+    by_dir: dict[str, list[str]] = {}
+    for bucket, (token, _) in meta["buckets"].items():
+        by_dir.setdefault(token, []).append(bucket)
+    out = []
+    for token, buckets in sorted(by_dir.items()):
+        whole = len(buckets) == meta["written"].get(token)
+        out += [f"{DIR}={token}"] if whole else [f"{DIR}={token}/{BUCKET}={b}" for b in sorted(buckets)]
+    return out
 
 
-def read_table(spark: SparkSession, path: str, version: int | None = None, buckets: list[int] | None = None,
-               keep_bucket: bool = False) -> DataFrame:
-    """SRC-6: current rows (or as of ``version``), optionally only some buckets."""
-    meta = latest_commit(spark, path, version)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-6: the current rows."""
+    meta = _latest(spark, path)
     if meta is None:
         raise FileNotFoundError(f"no committed version under {path}")
     schema = T.StructType.fromJson(meta["schema"])
-    layout = meta["layout"]
-    bucketed = bool(meta.get("buckets"))
-    overrides: dict[str, list[int]] = {}
-    for b, d in layout["buckets"].items():
-        overrides.setdefault(d, []).append(int(b))
-    dirs = ([layout["base"]] if layout["base"] else []) + list(overrides) + layout["appends"]
-    cond = F.col(DIR).isin(*layout["appends"]) if layout["appends"] else F.lit(False)
-    if layout["base"]:
-        keep = F.col(DIR) == layout["base"]
-        if layout["buckets"]:
-            keep = keep & ~F.col(BUCKET).isin(*sorted(int(b) for b in layout["buckets"]))
-        cond = cond | keep
-    for d, bs in overrides.items():
-        cond = cond | ((F.col(DIR) == d) & F.col(BUCKET).isin(*sorted(bs)))
-    if buckets is not None and bucketed:
-        cond = cond & F.col(BUCKET).isin(*buckets)
-    df = _scan(spark, path, meta, dirs).filter(cond & F.col(ROW_KIND).isin(*SNAPSHOT_KINDS))
-    return df.select(*schema.fieldNames(), *([BUCKET] if keep_bucket and bucketed else []))
-
-
-def _write(spark: SparkSession, path: str, rows: DataFrame, operation: str,
-           partition_by: tuple[str, ...] | None = None, keys: list[str] | None = None,
-           buckets: int = 0, written: list[int] | None = None, base_version: int | None = -2,
-           txn: tuple[str, int] | None = None, rebucket: bool = False) -> int:
-    """Write ``rows`` (with ``_row_kind`` and, when bucketed, ``_bucket``) to a
-    fresh directory and commit it as the next version. A table keeps the
-    layout of its first write. ``base_version`` is the version a rewrite read
-    (-2: do not check)."""
-    prev = latest_commit(spark, path)
-    if txn is not None and prev is not None and prev.get("txns", {}).get(txn[0], -1) >= txn[1]:
-        return prev["version"]
+    return _scan(spark, path, schema, _folders(meta)).filter(F.col(ROW_KIND).isin(*SNAPSHOT_KINDS)).select(*schema.fieldNames())
+
+
+def _bucket_sizes(spark: SparkSession, path: str, token: str) -> dict[str, int]:
+    return {n.split("=", 1)[1]: fs.total_size(spark, f"{path}/{DIR}={token}/{n}")
+            for n in fs.list_names(spark, f"{path}/{DIR}={token}") if n.startswith(f"{BUCKET}=")}
+
+
+def _commit(spark: SparkSession, path: str, rows: DataFrame, operation: str, keys: list[str], prev: dict | None,
+            replaced: list[str], n: int) -> int:
+    """Writes ``rows`` (with ``_row_kind``) into a new folder of buckets modulo
+    ``n`` and commits it in place of the buckets ``replaced``."""
+    v = prev["version"] + 1 if prev else 0
+    token = f"{v:020d}-{uuid.uuid4().hex[:12]}"
+    out = rows.withColumn(BUCKET, bucket_of(keys, n)).hint("rebalance", BUCKET)
+    out.write.partitionBy(BUCKET, ROW_KIND).parquet(f"{path}/{DIR}={token}")
+    sizes = _bucket_sizes(spark, path, token)
+    kept = {b: e for b, e in (prev["buckets"].items() if prev else ()) if b not in set(replaced)}
+    buckets = {**kept, **{b: [token, size] for b, size in sizes.items()}}
+    used = {t for t, _ in buckets.values()}
+    written = {t: c for t, c in {**(prev["written"] if prev else {}), token: len(sizes)}.items() if t in used}
+    schema = T.StructType([f for f in rows.schema.fields if f.name != ROW_KIND])
     if prev:
-        partition_by = tuple(prev.get("partition_by", ()))
-        keys = prev.get("keys")
-        buckets = buckets if (rebucket and buckets) else prev.get("buckets", 0)
-    partition_by = tuple(partition_by or ())
-    parts = ([BUCKET] if buckets else []) + [ROW_KIND] + list(partition_by)
-    token = f"{(prev['version'] + 1) if prev else 0:020d}-{uuid.uuid4().hex[:12]}"
-    rows.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{DIR}={token}")
-    new_schema = T.StructType([f for f in rows.schema.fields if f.name not in (ROW_KIND, BUCKET)])
-    while True:
-        prev = latest_commit(spark, path)
-        latest = prev["version"] if prev else None
-        if base_version != -2 and latest != base_version:
-            raise ConcurrentWriteError(f"{path}: read version {base_version}, now {latest}")
-        if txn is not None and prev is not None and prev.get("txns", {}).get(txn[0], -1) >= txn[1]:
-            return prev["version"]
-        schema = _merge_schema(T.StructType.fromJson(prev["schema"]), new_schema) if prev else new_schema
-        v = 0 if latest is None else latest + 1
-        txns = dict(prev.get("txns", {})) if prev else {}
-        if txn is not None:
-            txns[txn[0]] = txn[1]
-        commit = {
-            "version": v,
-            "operation": operation,
-            "timestamp": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
-            "schema": json.loads(schema.json()),
-            "partition_by": list(partition_by),
-            "keys": keys,
-            "buckets": buckets,
-            "written": written,
-            "dir": token,
-            "layout": _next_layout(prev, operation, token, written, buckets),
-            "txns": txns,
-        }
-        if fs.create_new(spark, f"{path}/{COMMITS}/{_commit_name(v)}", json.dumps(commit)):
-            return v
-        if base_version != -2:
-            raise ConcurrentWriteError(f"{path}: version {v} committed by another writer")
-
-
-def _meta(spark: SparkSession, path: str) -> dict:
-    return latest_commit(spark, path) or {}
-
-
-def overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | None = None,
-              buckets: int = DEFAULT_BUCKETS) -> int:
-    """SNK-9: first load (or full replace). Rows count as inserts in the feed.
-
-    With ``keys`` the table is bucketed by them."""
-    with _lock(path):
-        return _overwrite(spark, path, df, keys, buckets)
-
-
-def _overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | None, buckets: int) -> int:
-    rows = df.withColumn(ROW_KIND, F.lit("I"))
-    if keys:
-        rows = rows.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(buckets, BUCKET)
-        return _write(spark, path, rows, "overwrite", keys=list(keys), buckets=buckets)
-    return _write(spark, path, rows, "overwrite")
-
-
-def append(spark: SparkSession, path: str, df: DataFrame, partition_by: tuple[str, ...] | None = None,
-           txn: tuple[str, int] | None = None) -> int:
-    """SNK-6 / SNK-7 / SNK-8: append rows; new columns merge into the schema.
-
-    With ``txn = (app id, batch id)``, a batch already committed for that app
-    is not appended again."""
-    with _lock(path):
-        v = _write(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "append", partition_by, txn=txn)
-        meta = _meta(spark, path)
-        if len(meta["layout"]["appends"]) >= AUTO_COMPACT_APPENDS:
-            # auto-compaction: fold the appended directories into one snapshot,
-            # so reads and commit files stay small however many batches append.
-            # Best effort: if another process committed meanwhile, try next time.
-            cur = read_table(spark, path, version=meta["version"])
-            try:
-                _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta,
-                         _files_for(spark, path, meta))
-            except ConcurrentWriteError:
-                pass
-        return v
-
-
-def _current_dirs(meta: dict) -> list[str]:
-    layout = meta["layout"]
-    return sorted(set(([layout["base"]] if layout["base"] else []) + list(layout["buckets"].values())
-                      + layout["appends"]))
-
-
-def _files_for(spark: SparkSession, path: str, meta: dict) -> int:
-    """Output files for a compaction: about one per ``COMPACT_FILE_BYTES``."""
-    size = sum(fs.total_size(spark, f"{path}/{DIR}={d}") for d in _current_dirs(meta))
-    return max(1, -(-size // COMPACT_FILE_BYTES))
-
-
-_CO_PART_CONF = "spark.sql.requireAllClusterKeysForCoPartition"
-_co_part_guard = threading.Lock()
-_co_part_users = [0, None]  # active merges, value to restore
-
-
-@contextlib.contextmanager
-def _co_partitioned(spark: SparkSession):
-    """While merges run, let a join accept inputs partitioned by the bucket
-    alone (a subset of its keys) instead of shuffling again on all keys.
-    The session value is restored when the last concurrent merge ends, so
-    other queries keep Spark's default."""
-    with _co_part_guard:
-        if _co_part_users[0] == 0:
-            _co_part_users[1] = spark.conf.get(_CO_PART_CONF, "true")
-            spark.conf.set(_CO_PART_CONF, "false")
-        _co_part_users[0] += 1
-    try:
-        yield
-    finally:
-        with _co_part_guard:
-            _co_part_users[0] -= 1
-            if _co_part_users[0] == 0:
-                spark.conf.set(_CO_PART_CONF, _co_part_users[1])
+        schema = _merge_schema(T.StructType.fromJson(prev["schema"]), schema)
+    record = {"version": v, "operation": operation, "keys": keys, "modulus": max(n, prev["modulus"] if prev else n),
+              "timestamp": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"), "dir": token,
+              "change_bytes": sum(sizes.values()), "schema": json.loads(schema.json()), "buckets": buckets, "written": written}
+    if not fs.create_new(spark, _commit_path(path, v), json.dumps(record)):
+        raise ConcurrentWriteError(f"{path}: version {v} was committed by another writer")
+    return v
 
 
-def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str],
-          seq: str = "_changeSequence", update_cols: list[str] | None = None,
-          buckets: int = DEFAULT_BUCKETS) -> int | None:
-    """SEM-5: sequence-guarded upsert; first load when the table is absent.
+def overwrite(spark: SparkSession, path: str, df: DataFrame, keys: list[str], buckets: int = DEFAULT_BUCKETS) -> int:
+    """SNK-9: first load (or full replace). Rows count as inserts in the feed."""
+    prev = _latest(spark, path)
+    gone = list(prev["buckets"]) if prev else []
+    return _commit(spark, path, df.withColumn(ROW_KIND, F.lit("I")), "overwrite", list(keys), prev, gone, _power(buckets))
+
+
+def _power(n: int) -> int:
+    return 1 << max(0, n - 1).bit_length()
 
-    Only buckets holding an updated key are read, joined and rewritten. With
-    no update rows nothing is written and None is returned.
-    """
-    with _lock(path):
-        return _merge(spark, path, updates, keys, seq, update_cols, buckets)
 
+def _split(bucket: str) -> tuple[int, int]:
+    n, b = bucket.split("-")
+    return int(n), int(b)
 
-def sized_buckets(rows: int, minimum: int = DEFAULT_BUCKETS) -> int:
-    """Bucket count for a new table: a power of two giving about
-    ``ROWS_PER_BUCKET`` rows per bucket, never below ``minimum``."""
-    n = max(1, minimum)
-    while n * ROWS_PER_BUCKET < rows and n * 2 <= MAX_BUCKETS:
-        n *= 2
-    return n
 
+def _touched(meta: dict, slots: list[int]) -> list[str]:
+    """The table's buckets that hold the hash slots (modulo the table's largest modulus)."""
+    levels = {_split(b)[0] for b in meta["buckets"]}
+    return sorted({b for s in slots for n in levels if (b := f"{n}-{s % n}") in meta["buckets"]})
 
-def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], seq: str,
-           update_cols: list[str] | None, buckets: int) -> int | None:
-    meta = _meta(spark, path)
-    if meta and not meta.get("buckets"):
-        merged = merge_upsert(read_table(spark, path), updates, keys, seq, update_cols)
-        return _write(spark, path, merged, "merge", base_version=meta["version"])
+
+def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], seq: str = "_changeSequence",
+          update_cols: list[str] | None = None, buckets: int = DEFAULT_BUCKETS, bucket_bytes: int = BUCKET_BYTES) -> int | None:
+    """SEM-5: sequence-guarded upsert; first load when the table is absent.
+
+    Only buckets that hold an updated key are read, joined and rewritten. With
+    no update rows nothing is written and None is returned."""
+    meta = _latest(spark, path)
     types = {f.name.upper(): f.dataType for f in T.StructType.fromJson(meta["schema"]).fields} if meta else {}
     key_set = {k.upper() for k in keys}
-    # Key values take the table's types so they hash to the table's buckets.
-    cached = updates.select(*[F.col(f"`{c}`").cast(types[c.upper()]).alias(c)
-                              if c.upper() in key_set and c.upper() in types else F.col(f"`{c}`")
-                              for c in updates.columns]).persist()
-    upd = cached
+    # Key values take the table's types, so they hash to the table's buckets.
+    upd = updates.select(*[F.col(f"`{c}`").cast(types[c.upper()]).alias(c) if c.upper() in key_set and c.upper() in types
+                           else F.col(f"`{c}`") for c in updates.columns]).persist()
     try:
-        if not meta:  # first load: size the buckets from the rows, fixed from then on
-            count = upd.count()
-            if count == 0:
-                return None
-            n = sized_buckets(count, buckets)
-            rows = (upd.withColumn(BUCKET, bucket_of(keys, n)).withColumn(ROW_KIND, F.lit("I"))
-                    .repartition(n, BUCKET))
-            return _write(spark, path, rows, "overwrite", keys=list(keys), buckets=n)
-        n = meta["buckets"]
-        upd = upd.withColumn(BUCKET, bucket_of(keys, n))
-        touched = sorted(r[0] for r in upd.select(BUCKET).distinct().limit(MAX_BUCKETS + 1).collect())
-        if not touched:
+        modulus = meta["modulus"] if meta else 1
+        # As many slots as the table has buckets, at most.
+        slots = [r[0] for r in upd.select(F.pmod(_hash(keys), F.lit(modulus)).alias("s")).distinct().collect()]
+        if not slots:
             return None
-        existing = read_table(spark, path, buckets=touched, keep_bucket=True)
-        parts = max(1, min(len(touched), spark.sparkContext.defaultParallelism * 4))
-        merged = merge_upsert(existing.repartition(parts, BUCKET), upd.repartition(parts, BUCKET),
-                              keys, seq, update_cols, partition_col=BUCKET)
-        with _co_partitioned(spark):
-            return _write(spark, path, merged, "merge", written=touched, base_version=meta["version"])
+        if not meta:
+            return overwrite(spark, path, upd, keys, buckets)
+        touched = _touched(meta, slots)
+        schema = T.StructType.fromJson(meta["schema"])
+        folders = [f"{DIR}={meta['buckets'][b][0]}/{BUCKET}={b}" for b in touched]
+        existing = _scan(spark, path, schema, folders).filter(F.col(ROW_KIND).isin(*SNAPSHOT_KINDS)).select(*schema.fieldNames())
+        # Slots whose bucket has no rows yet are written at the common modulus as well.
+        n = max([_split(b)[0] * _power(-(-meta["buckets"][b][1] // bucket_bytes)) for b in touched], default=modulus)
+        n = max(n, modulus if len(touched) < len(slots) else 1)
+        return _commit(spark, path, merge_upsert(existing, upd, keys, seq, update_cols), "merge", meta["keys"], meta, touched, n)
     finally:
-        cached.unpersist()
-
-
-def _rewrite(spark: SparkSession, path: str, rows: DataFrame, operation: str, meta: dict,
-             files: int | None = None) -> int:
-    if meta.get("buckets"):
-        rows = rows.withColumn(BUCKET, bucket_of(meta["keys"], meta["buckets"]))
-        rows = rows.repartition(files or meta["buckets"], BUCKET)
-    elif files:
-        rows = rows.repartition(files)
-    return _write(spark, path, rows, operation, base_version=meta["version"])
+        upd.unpersist()
 
 
 def delete_where(spark: SparkSession, path: str, predicate: Column) -> int:
-    """SNK-10: drop rows where the predicate is true; NULL keeps the row.
-
-    A bucketed table rewrites only the buckets holding a matching row (found
-    by one pass that returns at most ``buckets`` ids); when nothing matches,
-    nothing is written and the current version is returned."""
-    with _lock(path):
-        meta = _meta(spark, path)
-        hit = F.coalesce(predicate, F.lit(False))
-        kind = F.when(hit, F.lit("D")).otherwise(F.lit("C"))
-        if not meta.get("buckets"):
-            cur = read_table(spark, path, version=meta["version"])
-            return _rewrite(spark, path, cur.withColumn(ROW_KIND, kind), "delete", meta)
-        cur = read_table(spark, path, version=meta["version"], keep_bucket=True)
-        buckets = sorted(r[0] for r in cur.filter(hit).select(BUCKET).distinct().collect())
-        if not buckets:
-            return meta["version"]
-        rows = (read_table(spark, path, version=meta["version"], buckets=buckets, keep_bucket=True)
-                .withColumn(ROW_KIND, kind).repartition(len(buckets), BUCKET))
-        return _write(spark, path, rows, "delete", written=buckets, base_version=meta["version"])
-
-
-def compact(spark: SparkSession, path: str, files: int | None = None) -> int:
-    """SNK-11: same rows, rewritten into few files.
-
-    A bucketed table is rewritten one file per bucket, and its bucket count
-    grows to fit the rows it now holds (a table created small keeps buckets
-    of bounded size as it grows). Otherwise ``files`` output files, or about
-    one per ``COMPACT_FILE_BYTES`` when not given."""
-    with _lock(path):
-        meta = _meta(spark, path)
-        cur = read_table(spark, path, version=meta["version"]).persist()
-        try:
-            if meta.get("buckets"):
-                n = sized_buckets(cur.count(), meta["buckets"])
-                rows = (cur.withColumn(BUCKET, bucket_of(meta["keys"], n)).withColumn(ROW_KIND, F.lit("C"))
-                        .repartition(n, BUCKET))
-                return _write(spark, path, rows, "compact", buckets=n, base_version=meta["version"],
-                              rebucket=True)
-            return _rewrite(spark, path, cur.withColumn(ROW_KIND, F.lit("C")), "compact", meta,
-                            files or _files_for(spark, path, meta))
-        finally:
-            cur.unpersist()
-
-
-def _kind_map() -> Column:
-    return F.create_map(*[x for k, t in CHANGE_KINDS.items() for x in (F.lit(k), F.lit(t))])
-
-
-def read_change_feed(spark: SparkSession, path: str, start_version: int = 0,
-                     end_version: int | None = None) -> DataFrame:
-    """SRC-5: change rows from ``start_version`` with ``_change_type``,
-    ``_commit_version`` and ``_commit_timestamp``."""
-    meta = latest_commit(spark, path, end_version)
-    if meta is None:
-        raise FileNotFoundError(f"no committed version under {path}")
-    log = commits(spark, path, start_version, meta["version"])
+    """SNK-10: drop rows where the predicate is true; NULL keeps the row. Only
+    buckets with such a row are rewritten; without any, nothing is committed."""
+    meta = _latest(spark, path)
     schema = T.StructType.fromJson(meta["schema"])
-    df = _scan(spark, path, meta, [c["dir"] for c in log]).filter(F.col(ROW_KIND).isin(*CHANGE_KINDS))
-    if len(log) > MAX_LITERAL_VERSIONS:
-        # Long ranges: the commit records (already on the driver, one small
-        # row per version) join in as a broadcast table instead of a literal.
-        commits_df = spark.createDataFrame([(c["dir"], c["version"], c["timestamp"]) for c in log],
-                                           f"{DIR} STRING, __v BIGINT, __ts STRING")
-        df = df.join(F.broadcast(commits_df), DIR)
-        version_col, stamp_col = F.col("__v"), F.col("__ts")
-    elif log:
-        version_col = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["version"]))])[F.col(DIR)]
-        stamp_col = F.create_map(*[x for c in log for x in (F.lit(c["dir"]), F.lit(c["timestamp"]))])[F.col(DIR)]
-    else:
-        version_col, stamp_col = F.lit(None), F.lit(None).cast("string")
-    return df.select(
-        *schema.fieldNames(),
-        _kind_map()[F.col(ROW_KIND)].alias("_change_type"),
-        version_col.cast("bigint").alias("_commit_version"),
-        F.to_timestamp(stamp_col).alias("_commit_timestamp"),
-    )
-
-
-COMMIT_SCHEMA = T.StructType([T.StructField("version", T.LongType()), T.StructField("operation", T.StringType()),
-                              T.StructField("dir", T.StringType())])
-
-
-def stream_commits(spark: SparkSession, path: str, start_version: int = 0,
-                   max_versions_per_trigger: int | None = None) -> DataFrame:
-    """SRC-5 as a stream: one row per committed version, picked up as commit
-    files appear (a commit file is written only once its data is complete).
-    Each micro-batch then reads the change rows of its versions with
-    :func:`read_change_feed`, which is how a change-feed stream is drained."""
-    reader = spark.readStream.schema(COMMIT_SCHEMA)
-    if max_versions_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_versions_per_trigger))
-    return reader.json(f"{path}/{COMMITS}").filter(F.col("version") >= start_version)
-
-
-def vacuum(spark: SparkSession, path: str, retain_hours: float = 720.0,
-           allow_short_retention: bool = False) -> list[str]:
-    """Delete data directories no longer needed (the reference keeps 720 h).
-
-    Kept: every directory the current layout reads, every directory any
-    version committed within the retention window reads or wrote (so change
-    feeds and reads as of those versions keep working), and any directory
-    younger than the window (a write that may still be committing). Returns
-    the directories removed. Versions older than the window can no longer be
-    read afterwards, as with any vacuum.
-    """
-    import time as _time
-    if retain_hours < 24 and not allow_short_retention:
-        raise ValueError("a retention under 24 h can delete writes still in flight; "
-                         "pass allow_short_retention=True to do it anyway")
-    with _lock(path):
-        vs = versions(spark, path)
-        if not vs:
-            return []
-        horizon = _time.time() - retain_hours * 3600
-
-        def committed_at(c: dict) -> float:
-            return _dt.datetime.strptime(c["timestamp"], "%Y-%m-%d %H:%M:%S.%f").replace(
-                tzinfo=_dt.timezone.utc).timestamp()
-
-        latest = read_commit(spark, path, vs[-1])
-        keep = set(_current_dirs(latest))
-        # walk back from the newest commit; only commits inside the window are read
-        for v in reversed(vs):
-            c = latest if v == vs[-1] else read_commit(spark, path, v)
-            if committed_at(c) < horizon:
-                break
-            keep.add(c["dir"])
-            keep.update(_current_dirs(c))
-        removed = []
-        for name, mtime in fs.list_dirs_with_time(spark, path):
-            if not name.startswith(f"{DIR}="):
-                continue
-            token = name.split("=", 1)[1]
-            if token not in keep and mtime / 1000.0 < horizon:
-                fs.delete_tree(spark, f"{path}/{name}")
-                removed.append(token)
-        return sorted(removed)
+    hit = F.coalesce(predicate, F.lit(False))
+    rows = _scan(spark, path, schema, _folders(meta)).filter(F.col(ROW_KIND).isin(*SNAPSHOT_KINDS))
+    found = sorted(r[0] for r in rows.filter(hit).select(BUCKET).distinct().collect())  # bucket names
+    if not found:
+        return meta["version"]
+    cur = _scan(spark, path, schema, [f"{DIR}={meta['buckets'][b][0]}/{BUCKET}={b}" for b in found]) \
+        .filter(F.col(ROW_KIND).isin(*SNAPSHOT_KINDS)).select(*schema.fieldNames())
+    kind = F.when(hit, F.lit("D")).otherwise(F.lit("C"))
+    return _commit(spark, path, cur.withColumn(ROW_KIND, kind), "delete", meta["keys"], meta, found, max(_split(b)[0] for b in found))
+
+
+def commits(spark: SparkSession, path: str, start: int = 0, end: int | None = None) -> DataFrame:
+    """Commit records of versions in [start, end]; a broken record fails the read."""
+    df = spark.read.schema(COMMIT_DDL).option("mode", "FAILFAST").json(f"{path}/{COMMITS}").filter(F.col("version") >= start)
+    return df if end is None else df.filter(F.col("version") <= end)
+
+
+def read_change_feed(spark: SparkSession, path: str, start_version: int = 0, end_version: int | None = None) -> DataFrame:
+    """SRC-5: change rows from ``start_version`` on, with ``_change_type``,
+    ``_commit_version`` and ``_commit_timestamp``. The commit records are joined
+    to the rows; Spark broadcasts them where they are small."""
+    schema = table_schema(spark, path)
+    log = commits(spark, path, start_version, end_version).select("version", "timestamp", F.col("dir").alias("_commit_dir"))
+    folders = [f"{DIR}={r[0]}" for r in log.select("_commit_dir").collect()]  # one name per version
+    kinds = F.create_map(*[x for k, t in CHANGE_KINDS.items() for x in (F.lit(k), F.lit(t))])
+    rows = _scan(spark, path, schema, folders).filter(F.col(ROW_KIND).isin(*CHANGE_KINDS))
+    return rows.join(log, F.col(DIR) == F.col("_commit_dir")).select(
+        *schema.fieldNames(), kinds[F.col(ROW_KIND)].alias("_change_type"), F.col("version").alias("_commit_version"),
+        F.to_timestamp("timestamp").alias("_commit_timestamp"))
+
+
+def stream_commits(spark: SparkSession, path: str, start_version: int = 0) -> DataFrame:
+    """SRC-5 as a stream: one row per committed version, as records appear. A
+    record that cannot be read stops the stream; it is never passed over."""
+    return spark.readStream.schema(COMMIT_DDL).option("mode", "FAILFAST").json(f"{path}/{COMMITS}") \
+        .filter(F.col("version") >= start_version)
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """SRC-12: a zero-row frame with a schema."""
     return spark.createDataFrame([], schema)
-

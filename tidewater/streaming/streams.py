@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.config import RunOptions, TableConfig
-from tidewater.plans.publish import post_images
+from tidewater.functions.codec import decode
+from tidewater.plans.publish import MAX_BYTES, post_images, version_chunks
 from tidewater.plans.registry import RegistryCache, ingest_registry
 from tidewater.plans.structured import process_batch
-from tidewater.sources import tables
+from tidewater.sources import fs, tables
 
 
 def read_event_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None,
@@ -74,8 +76,11 @@ def _trigger(writer, processing_time: str | None, available_now: bool):
 
 def start_raw(stream: DataFrame, raw_path: str, checkpoint: str, name: str | None = None,
               processing_time: str | None = "30 seconds", available_now: bool = False,
-              stamp: bool = True) -> StreamingQuery:
-    """SNK-1 / SNK-2: append the decoded envelopes to the raw table."""
+              stamp: bool = True, codec: str | None = None, envelope: str | T.StructType | None = None) -> StreamingQuery:
+    """SNK-1 / SNK-2: append the envelopes to the raw table. With ``codec`` the
+    stream's binary ``body`` is decoded by ``envelope`` on the way."""
+    if codec is not None:
+        stream = stream.withColumn("body", decode(F.col("body"), envelope, codec))
     if stamp:
         stream = stream.withColumn("rawLayerProcessingTime", F.current_timestamp())
     w = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
@@ -101,16 +106,15 @@ def start_structured(stream: DataFrame, registry_path: str, configs: list[TableC
                      available_now: bool = False, name: str | None = None) -> StreamingQuery:
     """SNK-4 / STR-1: the structured upsert per micro-batch.
 
-    A replayed batch is harmless: merges are sequence-guarded and count
-    appends are tagged with the checkpoint and batch id."""
+    A replayed batch is harmless: merges are sequence-guarded, and its counts
+    replace those of its first run. They are kept by the query's id, which a new
+    checkpoint changes, so a stream that starts over counts afresh."""
     spark = stream.sparkSession
-    if not opts.stream_id:
-        opts = dataclasses.replace(opts, stream_id=checkpoint)
-
     registry = RegistryCache(spark, registry_path)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, batch_id, registry, configs, root, opts, counts_path)
+        run = opts if opts.stream_id else dataclasses.replace(opts, stream_id=query_id(spark, checkpoint))
+        process_batch(spark, batch, batch_id, registry, configs, root, run, counts_path)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if name:
@@ -118,22 +122,30 @@ def start_structured(stream: DataFrame, registry_path: str, configs: list[TableC
     return _trigger(w, f"{opts.trigger_minutes} minutes", available_now).start()
 
 
-def start_publish(spark: SparkSession, table_path: str, start_version: int, checkpoint: str,
-                  handle_batch, max_versions_per_trigger: int | None = None) -> StreamingQuery:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark keeps in a query's checkpoint."""
+    return json.loads(fs.read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def start_publish(spark: SparkSession, table_path: str, start_version: int, checkpoint: str, handle_batch,
+                  max_bytes: int = MAX_BYTES, name: str | None = None) -> StreamingQuery:
     """SNK-5 / SEM-16: drain the change feed of one table with AvailableNow.
 
-    The stream's offsets are the table's commits; each micro-batch hands the
-    post-images of its versions (FLT-4) to ``handle_batch(df, batch_id)``.
+    The stream's offsets are the table's commits. A micro-batch hands the
+    post-images of its versions (FLT-4), in order and in ranges of at most
+    ``max_bytes`` of changes, to ``handle_batch(df, batch_id)``; a replay hands
+    them over again, which the sequence guard makes harmless.
     """
-    commits = tables.stream_commits(spark, table_path, start_version, max_versions_per_trigger)
+    commits = tables.stream_commits(spark, table_path, start_version)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        versions = [r[0] for r in batch.select("version").collect()]  # a few commit rows
-        if versions:
-            feed = tables.read_change_feed(spark, table_path, min(versions), max(versions))
-            handle_batch(post_images(feed), batch_id)
+        log = [(r["version"], r["change_bytes"]) for r in batch.select("version", "change_bytes").collect()]  # one row a version
+        for first, last in version_chunks(log, max_bytes):
+            handle_batch(post_images(tables.read_change_feed(spark, table_path, first, last)), batch_id)
 
     w = commits.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if name:
+        w = w.queryName(name)
     return w.trigger(availableNow=True).start()
 
 
