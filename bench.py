@@ -20,7 +20,8 @@ from tidewater.session import build_session  # noqa: E402
 HEADLINE = [
     "flagship", "pk_split", "latest_per_key", "merge_upsert", "schema_evolve", "change_feed",
     "latest_per_rrn", "pivot_counts", "count_rollup_incr", "registry_ingest", "structured_stream",
-    "fanout_tables", "late_arrival", "decode_payload", "encrypt_roundtrip",
+    "fanout_tables", "late_arrival", "decode_payload", "encrypt_roundtrip", "publish_drain", "publish_tables",
+    "merge_replay",
 ]
 
 

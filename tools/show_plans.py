@@ -58,15 +58,9 @@ def main() -> None:
             "partial then final aggregate around one exchange on the key.", upd)
 
     path = C.flagship_table(spark, d)
-    meta = tables.latest_commit(spark, path)
-    u = upd.withColumn(BUCKET, bucket_of(["RRN"], meta["buckets"]))
-    existing = tables.read_table(spark, path, buckets=[0, 1, 2], keep_bucket=True)
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    merged = merge_upsert(existing.repartition(3, BUCKET), u.filter(F.col(BUCKET).isin(0, 1, 2))
-                          .repartition(3, BUCKET), ["RRN"], update_cols=cols, partition_col=BUCKET)
-    section("Bucketed merge (three touched buckets)",
-            "Existing side reads only the touched `_bucket` partitions; each side is shuffled once by bucket and "
-            "the null-safe full outer join reuses that partitioning.", merged)
+    merged = merge_upsert(tables.read_table(spark, path), upd, ["RRN"], update_cols=cols)
+    section("Merge, as written", "Each side is shuffled once on the keys; the write is rebalanced by bucket, so AQE sizes its tasks.",
+            merged.withColumn(BUCKET, bucket_of(["RRN"], 16)).hint("rebalance", F.col(BUCKET)))
 
     section("Current table read", "Partition pruning on `_dir`, `_bucket`, `_row_kind`; two-column read schema.",
             tables.read_table(spark, path).select("RRN", "AMOUNT"))
@@ -77,15 +71,14 @@ def main() -> None:
     section("Database staging (latest per RRN)", "Partial/final aggregate, one exchange.",
             stage_for_db(post_images(tables.read_change_feed(spark, path, 0))))
 
-    reg = tables.read_table(spark, C.registry_table(spark, d, 3))
+    reg = REG.read_registry(spark, C.registry_table(spark, d, 3))
     section("Registry: new schema ids (dedup + anti-join)",
             "Dedup by partial aggregate; the registry side is broadcast after a bounded count.",
             REG.new_schema_ids(feed.metadata_envelopes(C.events(spark, d), 3), reg))
     section("Route rows to listed tables", "Registry broadcast; rows are not shuffled.",
             REG.route_tables(C.raw(spark, d, 3), reg, C.LISTED_TABLES))
-    section("Count detail (pivot)", "One aggregate with map-side partial counts.",
-            CNT.count_detail(count_input(ST.decode_rows(raw, e2, C.OPTS)), 0, "S", "SRC", "EVENTS", "S2",
-                             values=["DELETE", "INSERT", "UPDATE"]))
+    section("Count input of a batch", "Headers only, all schema ids in one pass; one aggregate with map-side partial counts follows.",
+            CNT.batch_counts(raw, C.entries(), C.OPTS).groupBy("messageSchemaId", "rawLayerDate").count())
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md"),
               "w") as fh:
         fh.write("\n".join(out))
