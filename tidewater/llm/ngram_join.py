@@ -21,7 +21,9 @@ rows stay; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import mix, shingle_hashes, stored, table, text_batches, texts
 from tidewater.llm.components import labels
-from tidewater.llm.sketch import corpus_counts
+from tidewater.llm.sketch import corpus_bits, corpus_counts, in_bits
 
 SHINGLE = 4
 PERCENT = 85
@@ -39,8 +41,9 @@ CELLS = 1 << 18
 #: Bits of a set's bitmap, kept as longs.
 BITS = 1024
 LONGS = BITS // 64
-#: Bits of the filter over wanted documents.
+#: Bits of the filters over wanted documents and shared prefix shingles.
 FILTER_BITS = 1 << 23
+TOKEN_BITS = 1 << 25
 PIVOT_ROUNDS = 2
 _W = [f"w{i}" for i in range(LONGS)]
 
@@ -108,126 +111,167 @@ def set_table(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 out.append((class_id(h), len(h), bitmap(h), prefix(h, order, percent) if len(h) else h.astype(np.int64)))
             bits = np.stack([x[2] for x in out], 1)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
+                [b.column("doc_id"), b.column("row"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
                  *map(pa.array, bits), pa.array([x[3] for x in out], pa.list_(pa.int64()))],
-                names=["doc_id", "class", "n", *_W, "prefix"])
-    ddl = f"doc_id long, class long, n long, {', '.join(w + ' long' for w in _W)}, prefix array<long>"
-    rows = docs.select("doc_id", "text").mapInArrow(run, ddl)
+                names=["doc_id", "row", "class", "n", *_W, "prefix"])
+    ddl = f"doc_id long, row long, class long, n long, {', '.join(w + ' long' for w in _W)}, prefix array<long>"
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")).mapInArrow(run, ddl)
     return stored(docs.sparkSession, rows.withColumn("grp", F.xxhash64("n", "prefix")), "ngram-sets")
 
 
+def _differ(x: str, y: str) -> Column:
+    """Bits in which two bitmaps differ."""
+    return reduce(Column.__add__, [F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in _W])
+
+
 def _may_link(x: str, y: str, percent: int) -> Column:
     """Size test and bitmap bound; never false for a linked pair."""
     n = F.col(f"{x}.n") + F.col(f"{y}.n")
-    differ = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in _W), F.lit(0))
     return ((F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * percent)
-            & (differ * (100 + percent) <= n * (100 - percent)))
+            & (_differ(x, y) * (100 + percent) <= n * (100 - percent)))
 
 
-def wanted_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(class, members) of the classes in ``wanted`` (class, doc_id), from their
-    documents' texts. A bitmap of fixed size over the wanted doc_ids thins the
-    scan before the shuffle; the join then decides exactly."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = wanted.select(slot.alias("slot")).groupBy(F.expr("int(slot div 64)").alias("word")) \
-        .agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits"))
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.collect():  # FILTER_BITS / 64 rows at most
-        bits[r["word"]] = r["bits"]
-    bits = bits.view(np.uint64)
+def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(class, packed): the compressed text of one document of each class in
+    ``wanted`` (class, doc_id). A bitmap of fixed size over the wanted doc_ids
+    thins the scan before the shuffle; the join then decides exactly."""
+    shared = docs.sparkSession.sparkContext.broadcast(corpus_bits(wanted.select(F.xxhash64("doc_id")), FILTER_BITS))
 
     def run(batches):
         for b in batches:
-            at = b.column("slot").to_numpy()
-            take = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+            take = np.flatnonzero(in_bits(b.column("key").to_numpy().view(np.uint64), shared.value))
             for part in text_batches(iter([b.take(pa.array(take))])) if len(take) else ():
-                sets = [shingle_set(t, k) for t in texts(part)]
+                held = texts(part)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array([class_id(s) for s in sets], pa.int64()),
-                     pa.array([s.astype(np.int64) for s in sets], pa.list_(pa.int64()))], names=["d", "class", "members"])
-    found = docs.select("doc_id", "text", slot.alias("slot")).mapInArrow(run, "d long, class long, members array<long>")
+                    [part.column("doc_id"), pa.array([class_id(shingle_set(t, k)) for t in held], pa.int64()),
+                     pa.array([zlib.compress(t, 1) for t in held], pa.binary())], names=["d", "class", "packed"])
+    found = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(run, "d long, class long, packed binary")
     return found.join(wanted, (found["class"] == wanted["class"]) & F.col("d").eqNullSafe(F.col("doc_id"))) \
-        .select(found["class"], "members").dropDuplicates(["class"])
+        .select(found["class"], "packed").dropDuplicates(["class"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar enough; bounded
-    tests first, on narrow rows."""
+def _verified(docs: DataFrame, likely: DataFrame, classes: DataFrame, k: int, percent: int, name: str) -> DataFrame | None:
+    """The pairs (a, b) of classes whose whole sets are similar enough; each text
+    moves compressed, the pairs of an ``a`` side by side."""
     spark = docs.sparkSession
-    x = classes.select([F.col(c).alias(c) for c in ("class", "n", *_W)])
-    likely = stored(spark, pairs.alias("p").join(x.alias("x"), F.col("p.a") == F.col("x.class"))
-                    .join(x.alias("y"), F.col("p.b") == F.col("y.class")).filter(_may_link("x", "y", percent))
-                    .select("a", "b"), f"{name}-likely")
+    likely = stored(spark, likely, f"{name}-likely")
+    if likely.isEmpty():
+        return None
     ends = likely.select(F.col("a").alias("class")).union(likely.select(F.col("b").alias("class"))).distinct()
     wanted = stored(spark, classes.join(ends, "class", "left_semi").select("class", "doc_id"), f"{name}-wanted")
-    sets = stored(spark, wanted_sets(docs, wanted, k), f"{name}-sets")
-    one = sets.select(F.col("class").alias("a"), F.col("members").alias("m"))
-    two = sets.select(F.col("class").alias("b"), F.col("members").alias("o"))
-    both = F.size(F.array_intersect("m", "o"))
-    return stored(spark, likely.join(one, "a").join(two, "b")
-                  .filter(both * (100 + percent) >= (F.size("m") + F.size("o")) * percent).select("a", "b"), f"{name}-links")
+    packed = stored(spark, wanted_texts(docs, wanted, k), f"{name}-texts")
+
+    def run(batches):
+        last, members = None, None
+        for b in batches:
+            keep = []
+            for i in range(b.num_rows):
+                if last != (now := b.column("a")[i].as_py()):
+                    last, members = now, shingle_set(zlib.decompress(b.column("one")[i].as_py()), k)
+                other = shingle_set(zlib.decompress(b.column("two")[i].as_py()), k)
+                both = len(np.intersect1d(members, other, assume_unique=True))
+                if 100 * both >= percent * (len(members) + len(other) - both):
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(keep, pa.int64())), b.column("b").take(pa.array(keep, pa.int64()))],
+                                             names=["a", "b"])
+    two = packed.select(F.col("class").alias("b"), F.col("packed").alias("two"))
+    one = packed.select(F.col("class").alias("a"), F.col("packed").alias("one"))
+    return stored(spark, likely.join(two, "b").join(one, "a").select("a", "b", "one", "two").mapInArrow(run, "a long, b long"), f"{name}-links")
+
+
+def shared_prefixes(some: DataFrame) -> DataFrame:
+    """(token, grp, class) of the prefix shingles that more than one group has.
+    They are found by a count; a bitmap of fixed size over them thins the rows
+    before the join that decides exactly."""
+    spark = some.sparkSession
+    tokens = stored(spark, some.select(F.explode("prefix").alias("token"), "grp").groupBy("token")
+                    .agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token"), "ngram-tokens")
+    shared = spark.sparkContext.broadcast(corpus_bits(tokens, TOKEN_BITS))
+
+    def run(batches):
+        for b in batches:
+            lists = b.column("prefix")
+            at = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            hit = np.flatnonzero(in_bits(values.view(np.uint64), shared.value))
+            rows = pa.array(at[hit])
+            yield pa.RecordBatch.from_arrays([pa.array(values[hit]), b.column("grp").take(rows), b.column("class").take(rows)],
+                                             names=["token", "grp", "class"])
+    rows = some.select("prefix", "grp", "class").mapInArrow(run, "token long, grp long, class long")
+    return stored(spark, rows.distinct().join(tokens, "token"), "ngram-lists")
 
 
 def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, class and component_id of every row of ``docs`` (doc_id,
-    text): the smallest doc_id reachable by links of ``percent`` similarity."""
+    """doc_id, n_shingles, row, class and component_id of every row of ``docs``
+    (doc_id, text): the smallest doc_id reachable by links of ``percent``
+    similarity. ``row`` is a hash of doc_id and text, ``label`` a name of the component."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = set_table(docs, k, percent)
     some = rows.filter("n > 0")
-    classes = stored(spark, some.groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "grp", *_W)]), "ngram-classes")
-    groups = some.groupBy("grp").agg(F.min("class").alias("lead"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    listed = groups.select(F.explode("prefix").alias("token"), "grp", "lead", "n")
-    # Lists with more than one group; a list of one links nothing.
-    shared = stored(spark, listed.join(listed.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "token")
-                    .select("token", "grp", "lead"), "ngram-lists")
-    # A group is a list of its own for its classes.
-    inside = classes.join(classes.groupBy("grp").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "grp") \
-        .select(F.col("grp").alias("token"), F.col("class").alias("lead"))
-    lists = shared.select("token", "lead").union(inside)
-    edges, label = None, None
+    shared = shared_prefixes(some)
+    # Classes of one group are a list of their own.
+    inside = some.select("grp", "class").join(some.groupBy("grp").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+                                              .filter("low < high"), "grp") \
+        .select(F.col("grp").alias("token"), F.col("class").alias("lead")).distinct()
+    inside = stored(spark, inside, "ngram-inside")
+    listed = shared.select("class").union(inside.select(F.col("lead").alias("class"))).distinct()
+    classes = stored(spark, some.join(listed, "class", "left_semi").groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *_W)]), "ngram-classes")
+    # Groups stand for their classes in the lists.
+    lists = shared.groupBy("token", "grp").agg(F.min("class").alias("lead")).select("token", "lead").union(inside)
+    label = None
     for r in range(PIVOT_ROUNDS):
-        now = lists.withColumn("label", F.col("lead")) if label is None else _labelled(lists, label)
+        now = _labelled(lists, label)
         pick = F.struct(F.xxhash64("lead", F.lit(r)), "lead", "label")
         pivots = now.groupBy("token").agg(F.min(pick).alias("p"), F.min("label").alias("l"), F.max("label").alias("h")) \
             .filter("l != h").select("token", "p.lead", "p.label").toDF("token", "a", "pivot_label")
-        pairs = now.join(pivots, "token").filter("label != pivot_label") \
-            .select(F.least("a", "lead").alias("a"), F.greatest("a", "lead").alias("b")).distinct()
-        new = _verified(docs, pairs, classes, k, percent, f"ngram-{r}")
-        edges = new if edges is None else _as_edges(label).union(new)
-        label = stored(spark, labels(edges, f"ngram-{r}"), f"ngram-labels-{r}")
-    rest = _labelled(_members(shared, classes).union(inside), label)
+        pairs = now.join(pivots, "token").filter("label != pivot_label").select("a", F.col("lead").alias("b")).distinct()
+        # Each class is verified with the most alike of its pivots.
+        likely = pairs.join(_side(classes, "x"), F.col("a") == F.col("x.class")).join(_side(classes, "y"), F.col("b") == F.col("y.class")) \
+            .filter(_may_link("x", "y", percent)).groupBy("b").agg(F.min(F.struct(_differ("x", "y").alias("d"), F.col("a"))).alias("best")) \
+            .select("best.a", "b")
+        new = _verified(docs, likely, classes, k, percent, f"ngram-{r}")
+        label = _merged(spark, label, new, f"ngram-{r}")
+    rest = _labelled(shared.select("token", F.col("class").alias("lead")).union(inside), label)
     mixed = rest.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l != h").select("token")
-    full = rest.join(mixed, "token").join(classes.select(F.col("class").alias("lead"), "n", *_W), "lead")
-    full = stored(spark, full, "ngram-rest")
+    full = stored(spark, rest.join(mixed, "token").join(classes.select(F.col("class").alias("lead"), "n", *_W), "lead"), "ngram-rest")
     pairs = full.alias("x").join(full.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.lead") < F.col("y.lead"))
                                  & (F.col("x.label") != F.col("y.label")) & _may_link("x", "y", percent)) \
         .select(F.col("x.lead").alias("a"), F.col("y.lead").alias("b")).distinct()
-    new = _verified(docs, pairs, classes, k, percent, "ngram-rest")
-    label = stored(spark, labels(_as_edges(label).union(new), "ngram-all"), "ngram-labels")
-    named = classes.select("class", "doc_id").join(label.withColumnRenamed("node", "class"), "class")
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    names = named.join(least, "label").select("class", "component_id")
-    own = classes.select("class", F.col("doc_id").alias("own")).join(names, "class", "left") \
-        .select("class", F.coalesce("component_id", "own").alias("component_id"))
-    wordless = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), "class", F.col("doc_id").alias("component_id"))
-    return some.select("doc_id", F.col("n").alias("n_shingles"), "class").join(own, "class") \
-        .select("doc_id", "n_shingles", "class", "component_id").union(wordless)
-
-
-def _members(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """The lists of groups with every class of each group."""
-    return shared.select("token", "grp").join(classes.select("grp", F.col("class").alias("lead")), "grp").select("token", "lead")
-
-
-def _labelled(lists: DataFrame, label: DataFrame) -> DataFrame:
+    label = _merged(spark, label, _verified(docs, pairs, classes, k, percent, "ngram-rest"), "ngram-all")
+    least = some.groupBy("class").agg(F.min("doc_id").alias("least"))
+    if label is None:
+        named = least.select("class", F.col("class").alias("label"), F.col("least").alias("component_id"))
+    else:
+        known = least.join(label.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
+        named = known.select("class", "label").join(known.groupBy("label").agg(F.min("least").alias("component_id")), "label")
+    out = ["doc_id", F.col("n").alias("n_shingles"), "row", "class", "label", "component_id"]
+    return some.select("doc_id", "n", "row", "class").join(named, "class").select(*out).union(
+        rows.filter("n = 0").select("doc_id", "n", "row", "class", F.col("row").alias("label"), F.col("doc_id").alias("component_id"))
+        .select(*out))
+
+
+def _side(classes: DataFrame, name: str) -> DataFrame:
+    return classes.select("class", "n", *_W).alias(name)
+
+
+def _labelled(lists: DataFrame, label: DataFrame | None) -> DataFrame:
+    if label is None:
+        return lists.withColumn("label", F.col("lead"))
     return lists.join(label.withColumnRenamed("node", "lead"), "lead", "left") \
         .select("token", "lead", F.coalesce("label", "lead").alias("label"))
 
 
-def _as_edges(label: DataFrame) -> DataFrame:
-    return label.filter("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+def _merged(spark: SparkSession, label: DataFrame | None, new: DataFrame | None, name: str) -> DataFrame | None:
+    """Labels after the links ``new`` (a, b)."""
+    if new is None:
+        return label
+    old = [] if label is None else [label.filter("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))]
+    edges = new
+    for e in old:
+        edges = edges.union(e)
+    return stored(spark, labels(edges, name), f"{name}-labels")
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
