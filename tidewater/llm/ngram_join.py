@@ -27,7 +27,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import mix, shingle_hashes, stored, table, text_batches, texts
@@ -41,10 +41,14 @@ CELLS = 1 << 18
 #: Bits of a set's bitmap, kept as longs.
 BITS = 1024
 LONGS = BITS // 64
+#: Cells of the histogram that bounds the overlap of two sets, and its largest count.
+HISTOGRAM, MOST = 1024, 15
 #: Bits of the filters over wanted documents and shared prefix shingles.
 FILTER_BITS = 1 << 23
 TOKEN_BITS = 1 << 25
 PIVOT_ROUNDS = 2
+#: Tokens before one in a class's lists that a pair is looked up in.
+EARLIER = 8
 _W = [f"w{i}" for i in range(LONGS)]
 
 
@@ -64,6 +68,13 @@ def bitmap(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
+def histogram(hashes: np.ndarray) -> bytes:
+    """Members per cell, packed: the overlap of two sets is at most the sum of
+    the lesser counts, so half of what their sizes exceed the differences by."""
+    counts = np.bincount((mix(hashes, 7) & np.uint64(HISTOGRAM - 1)).astype(np.int64), minlength=HISTOGRAM)
+    return zlib.compress(np.minimum(counts, MOST).astype(np.uint8).tobytes(), 1)
+
+
 def crowding(counts: np.ndarray) -> np.ndarray:
     """Order class of each cell: 0 up to about the mean, then two for each doubling."""
     mean = max(1.0, counts.mean())
@@ -108,13 +119,13 @@ def set_table(docs: DataFrame, k: int, percent: int) -> DataFrame:
             out = []
             for t in texts(b):
                 h = shingle_set(t, k)
-                out.append((class_id(h), len(h), bitmap(h), prefix(h, order, percent) if len(h) else h.astype(np.int64)))
+                out.append((class_id(h), len(h), bitmap(h), prefix(h, order, percent) if len(h) else h.astype(np.int64), histogram(h)))
             bits = np.stack([x[2] for x in out], 1)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("row"), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
-                 *map(pa.array, bits), pa.array([x[3] for x in out], pa.list_(pa.int64()))],
-                names=["doc_id", "row", "class", "n", *_W, "prefix"])
-    ddl = f"doc_id long, row long, class long, n long, {', '.join(w + ' long' for w in _W)}, prefix array<long>"
+                 *map(pa.array, bits), pa.array([x[3] for x in out], pa.list_(pa.int64())), pa.array([x[4] for x in out], pa.binary())],
+                names=["doc_id", "row", "class", "n", *_W, "prefix", "cells"])
+    ddl = f"doc_id long, row long, class long, n long, {', '.join(w + ' long' for w in _W)}, prefix array<long>, cells binary"
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")).mapInArrow(run, ddl)
     return stored(docs.sparkSession, rows.withColumn("grp", F.xxhash64("n", "prefix")), "ngram-sets")
 
@@ -150,11 +161,27 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
         .select(found["class"], "packed").dropDuplicates(["class"])
 
 
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the bound by histograms lets pass."""
+    def run(batches):
+        for b in batches:
+            one, two = (np.frombuffer(b"".join(zlib.decompress(c.as_py()) for c in b.column(n)), np.uint8)
+                        .reshape(-1, HISTOGRAM).astype(np.int16) for n in ("one", "two"))
+            n = b.column("n").to_numpy()
+            differ = np.abs(one - two).sum(1, dtype=np.int64)
+            keep = pa.array(np.flatnonzero(differ * (100 + percent) <= n * (100 - percent)))
+            yield pa.RecordBatch.from_arrays([b.column("a").take(keep), b.column("b").take(keep)], names=["a", "b"])
+    x = classes.select(F.col("class").alias("a"), F.col("n").alias("n1"), F.col("cells").alias("one"))
+    y = classes.select(F.col("class").alias("b"), F.col("n").alias("n2"), F.col("cells").alias("two"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "one", "two", (F.col("n1") + F.col("n2")).alias("n")) \
+        .mapInArrow(run, "a long, b long")
+
+
 def _verified(docs: DataFrame, likely: DataFrame, classes: DataFrame, k: int, percent: int, name: str) -> DataFrame | None:
     """The pairs (a, b) of classes whose whole sets are similar enough; each text
     moves compressed, the pairs of an ``a`` side by side."""
     spark = docs.sparkSession
-    likely = stored(spark, likely, f"{name}-likely")
+    likely = stored(spark, _bounded(likely, classes, percent), f"{name}-likely")
     if likely.isEmpty():
         return None
     ends = likely.select(F.col("a").alias("class")).union(likely.select(F.col("b").alias("class"))).distinct()
@@ -217,7 +244,7 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
     inside = stored(spark, inside, "ngram-inside")
     listed = shared.select("class").union(inside.select(F.col("lead").alias("class"))).distinct()
     classes = stored(spark, some.join(listed, "class", "left_semi").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", *_W)]), "ngram-classes")
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "cells", *_W)]), "ngram-classes")
     # Groups stand for their classes in the lists.
     lists = shared.groupBy("token", "grp").agg(F.min("class").alias("lead")).select("token", "lead").union(inside)
     label = None
@@ -235,9 +262,14 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
         label = _merged(spark, label, new, f"ngram-{r}")
     rest = _labelled(shared.select("token", F.col("class").alias("lead")).union(inside), label)
     mixed = rest.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l != h").select("token")
-    full = stored(spark, rest.join(mixed, "token").join(classes.select(F.col("class").alias("lead"), "n", *_W), "lead"), "ngram-rest")
+    # A pair is drawn at the first token that both have: where none of the few
+    # before it is common to both. (At the first, none at all is.)
+    before = Window.partitionBy("lead").orderBy("token")
+    rest = rest.join(mixed, "token").withColumn("before", F.array_compact(F.array(*[F.lag("token", i).over(before) for i in range(1, EARLIER + 1)])))
+    full = stored(spark, rest.join(classes.select(F.col("class").alias("lead"), "n", *_W), "lead"), "ngram-rest")
     pairs = full.alias("x").join(full.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.lead") < F.col("y.lead"))
-                                 & (F.col("x.label") != F.col("y.label")) & _may_link("x", "y", percent)) \
+                                 & (F.col("x.label") != F.col("y.label")) & ~F.arrays_overlap("x.before", "y.before")
+                                 & _may_link("x", "y", percent)) \
         .select(F.col("x.lead").alias("a"), F.col("y.lead").alias("b")).distinct()
     label = _merged(spark, label, _verified(docs, pairs, classes, k, percent, "ngram-rest"), "ngram-all")
     least = some.groupBy("class").agg(F.min("doc_id").alias("least"))
