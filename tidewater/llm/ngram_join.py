@@ -39,7 +39,7 @@ PERCENT = 85
 #: Cells of the count table that orders shingles.
 CELLS = 1 << 18
 #: Bits of a set's bitmap, kept as longs.
-BITS = 1024
+BITS = 512
 LONGS = BITS // 64
 #: Cells of the histogram that bounds the overlap of two sets, and its largest count.
 HISTOGRAM, MOST = 1024, 15
@@ -48,7 +48,7 @@ FILTER_BITS = 1 << 23
 TOKEN_BITS = 1 << 25
 PIVOT_ROUNDS = 2
 #: Tokens before one in a class's lists that a pair is looked up in.
-EARLIER = 8
+EARLIER = 4
 _W = [f"w{i}" for i in range(LONGS)]
 
 
@@ -148,15 +148,18 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     thins the scan before the shuffle; the join then decides exactly."""
     shared = docs.sparkSession.sparkContext.broadcast(corpus_bits(wanted.select(F.xxhash64("doc_id")), FILTER_BITS))
 
+    @F.arrow_udf("boolean")
+    def listed(key: pa.Array) -> pa.Array:
+        return pa.array(in_bits(key.to_numpy(zero_copy_only=False).view(np.uint64), shared.value))
+
     def run(batches):
         for b in batches:
-            take = np.flatnonzero(in_bits(b.column("key").to_numpy().view(np.uint64), shared.value))
-            for part in text_batches(iter([b.take(pa.array(take))])) if len(take) else ():
+            for part in text_batches(iter([b])):
                 held = texts(part)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([class_id(shingle_set(t, k)) for t in held], pa.int64()),
                      pa.array([zlib.compress(t, 1) for t in held], pa.binary())], names=["d", "class", "packed"])
-    found = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(run, "d long, class long, packed binary")
+    found = docs.filter(listed(F.xxhash64("doc_id"))).select("doc_id", "text").mapInArrow(run, "d long, class long, packed binary")
     return found.join(wanted, (found["class"] == wanted["class"]) & F.col("d").eqNullSafe(F.col("doc_id"))) \
         .select(found["class"], "packed").dropDuplicates(["class"])
 
@@ -208,11 +211,11 @@ def _verified(docs: DataFrame, likely: DataFrame, classes: DataFrame, k: int, pe
 
 def shared_prefixes(some: DataFrame) -> DataFrame:
     """(token, grp, class) of the prefix shingles that more than one group has.
-    They are found by a count; a bitmap of fixed size over them thins the rows
-    before the join that decides exactly."""
+    Those of more than one row are found by a count; a bitmap of fixed size over
+    them thins the rows before the joins that decide exactly."""
     spark = some.sparkSession
-    tokens = stored(spark, some.select(F.explode("prefix").alias("token"), "grp").groupBy("token")
-                    .agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token"), "ngram-tokens")
+    tokens = stored(spark, some.select(F.explode("prefix").alias("token")).groupBy("token")
+                    .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token"), "ngram-tokens")
     shared = spark.sparkContext.broadcast(corpus_bits(tokens, TOKEN_BITS))
 
     def run(batches):
@@ -225,7 +228,9 @@ def shared_prefixes(some: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(values[hit]), b.column("grp").take(rows), b.column("class").take(rows)],
                                              names=["token", "grp", "class"])
     rows = some.select("prefix", "grp", "class").mapInArrow(run, "token long, grp long, class long")
-    return stored(spark, rows.distinct().join(tokens, "token"), "ngram-lists")
+    rows = stored(spark, rows.distinct(), "ngram-entries")
+    several = rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token")
+    return stored(spark, rows.join(several, "token"), "ngram-lists")
 
 
 def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
