@@ -30,12 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar ones: that with the smallest
     doc_id (NULL last). Repeated rows are one document; wordless ones stay."""
-    linked = ngram_join.linked_components(docs, SHINGLE, PERCENT)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    kept = linked.groupBy("label").agg(first.alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row")).distinct()
-    rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    return rows.join(kept, (F.col("_key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi") \
-        .dropDuplicates(["_key", "doc_id"]).select(*docs.columns)
+    return ngram_join.one_per_component(docs, SHINGLE, PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,18 +148,15 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     thins the scan before the shuffle; the join then decides exactly."""
     shared = docs.sparkSession.sparkContext.broadcast(corpus_bits(wanted.select(F.xxhash64("doc_id")), FILTER_BITS))
 
-    @F.arrow_udf("boolean")
-    def listed(key: pa.Array) -> pa.Array:
-        return pa.array(in_bits(key.to_numpy(zero_copy_only=False).view(np.uint64), shared.value))
-
     def run(batches):
         for b in batches:
-            for part in text_batches(iter([b])):
+            take = np.flatnonzero(in_bits(b.column("key").to_numpy().view(np.uint64), shared.value))
+            for part in text_batches(iter([b.take(pa.array(take))])) if len(take) else ():
                 held = texts(part)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([class_id(shingle_set(t, k)) for t in held], pa.int64()),
                      pa.array([zlib.compress(t, 1) for t in held], pa.binary())], names=["d", "class", "packed"])
-    found = docs.filter(listed(F.xxhash64("doc_id"))).select("doc_id", "text").mapInArrow(run, "d long, class long, packed binary")
+    found = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(run, "d long, class long, packed binary")
     return found.join(wanted, (found["class"] == wanted["class"]) & F.col("d").eqNullSafe(F.col("doc_id"))) \
         .select(found["class"], "packed").dropDuplicates(["class"])
 
@@ -311,6 +308,31 @@ def _merged(spark: SparkSession, label: DataFrame | None, new: DataFrame | None,
     return stored(spark, labels(edges, name), f"{name}-labels")
 
 
+def one_per_component(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs``, all columns, with one document of each component: that with the
+    smallest doc_id (NULL last). Repeated rows are one document; wordless ones
+    stay. Rows that go, or repeat, are found by a bitmap of fixed size and only
+    the rows it names are shuffled to decide exactly; the others pass as they are."""
+    spark = docs.sparkSession
+    linked = stored(spark, linked_components(docs, k, percent).select("doc_id", "row", "label"), "ngram-linked")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    kept = stored(spark, linked.groupBy("label").agg(first.alias("f")).select(F.col("f.row").alias("_row"), F.col("f.doc_id").alias("_id"))
+                  .distinct(), "ngram-kept")
+    same = (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    doubtful = linked.groupBy("row", "doc_id").agg(F.count(F.lit(1)).alias("n")).join(kept, same, "left") \
+        .filter("n > 1 OR _row IS NULL").select("row")
+    shared = spark.sparkContext.broadcast(corpus_bits(doubtful, FILTER_BITS))
+
+    @F.arrow_udf("boolean")
+    def listed(key: pa.Array) -> pa.Array:
+        return pa.array(in_bits(key.to_numpy(zero_copy_only=False).view(np.uint64), shared.value))
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+    some = docs.filter(listed(key)).withColumn("_key", key)
+    some = some.join(kept, (F.col("_key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi") \
+        .dropDuplicates(["_key", "doc_id"]).select(*docs.columns)
+    return docs.filter(~listed(key)).unionByName(some)
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-word shingles, Jaccard 0.85, over all documents."""
     return linked_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
