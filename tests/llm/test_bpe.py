@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -21,16 +22,16 @@ def reference():
 
 
 TEXTS = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n", "x\n\n  y\t z", "it 's don't", "héé ñ日本語 🙂🙂", "a　b   c",
-         "\x1c a\x1fb", "---- ----", "1234 56.7%", "<|endoftext|> x", "aaaaaaaaaaaaa " * 40, "\r\n \r\n", "é" * 500, "a" * 3000 + " b"]
+         "\x1c a\x1fb", "---- ----", "1234 56.7%", "<|endoftext|> x", "aaaaaaaaaaaaa " * 40, "\r\n \r\n", "é" * 500, "don't l'été a.b, c.\nD.\nÉé.\n\nE \nf\n g", " x\xa0. y", "a×b÷c. ñ-ö", "x.\u0301y z\u0301.", "a" * 3000 + " b"]
 
 
 def test_ids_equal_the_rank_library(reference):
     assert [MODEL.encode(t).tolist() for t in TEXTS] == [reference.encode_ordinary(t) for t in TEXTS]
-    assert [i.tolist() for i in MODEL.encode_batch(TEXTS)] == list(map(reference.encode_ordinary, TEXTS))
+    assert [i.tolist() for i in MODEL.encode_arrow(pa.array(TEXTS))] == list(map(reference.encode_ordinary, TEXTS))
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.text(st.one_of(st.sampled_from(" \n\tab'sé日."), st.characters(exclude_categories=["Cs"])), max_size=60))
+@given(st.text(st.one_of(st.sampled_from(" \n\tab'sté日.,×\u0301\xa0\u3000"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_any_text_round_trips(reference, text):
     ids = MODEL.encode(text)
     assert ids.tolist() == reference.encode_ordinary(text)
@@ -52,6 +53,21 @@ def test_offsets_and_spans_with_split_characters(text):
         assert MODEL.decode_span(ids, 0, cut) + MODEL.decode_span(ids, cut, len(ids)) == text
 
 
+def test_equal_first_hashes_do_not_mix_parts(reference, monkeypatch):
+    model = B.ByteBPE(PATH)
+    plain = B._polynomials
+    monkeypatch.setattr(B, "_polynomials", lambda *a: [np.zeros(len(a[1]), np.uint64) + np.uint64(6), plain(*a)[1]])
+    assert [i.tolist() for i in model.encode_arrow(pa.array(TEXTS))] == list(map(reference.encode_ordinary, TEXTS))
+
+
+def test_more_parts_than_the_table_holds(reference, monkeypatch):
+    monkeypatch.setattr(B, "TABLE_BITS", 5)
+    model = B.ByteBPE(PATH)
+    many = " ".join(f"w{i}" for i in range(300))
+    for batch in (["a b c d e f g h i j"], ["k l m n o p q r s t u v w x y z"], [many, "a b"], TEXTS[:3]):
+        assert [i.tolist() for i in model.encode_arrow(pa.array(batch))] == list(map(reference.encode_ordinary, batch))
+
+
 def test_json_vocabulary_equals_the_library():
     from tokenizers import Tokenizer
     path = P.path("byte_bpe_50k.json")

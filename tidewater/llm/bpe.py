@@ -4,9 +4,10 @@ offsets, and decoding.
 The library's model works on text in which each byte is one visible character
 (``byte_chars``). A rank file lists byte strings; every pair of listed strings
 whose joint string is listed becomes a merge, ordered by the joint rank, which
-gives the ids of the rank file's own library. A text is cut before each single
-space between non-spaces, where the splitting pattern always cuts, so a part
-is encoded once and remembered (a bounded memory per Python worker).
+gives the ids of the rank file's own library. A batch is cut in its Arrow
+buffer before each single space between non-spaces, where the splitting pattern
+always cuts. Parts are found again by two 64-bit hashes, so each is encoded
+once and remembered (a bounded memory per Python worker).
 
 Edge cases: NULL text encodes as empty, the empty text has no ids; texts are
 never cut short; equal rows give equal results; an empty table gives no rows;
@@ -21,26 +22,66 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm.common import CACHE_WORDS, table, text_batches
+from tidewater.llm.common import CACHE_WORDS, Powers, mix, table, text_batches, texts
 
 MULTI = "byte_bpe_multi_50k.tiktoken"
-_SINGLE_SPACE = re.compile(r"(?<!\s) (?!\s)")
-_SPACES = re.compile(r"  | [^\S ]|[^\S ] ")
-
+#: Cells of the table of remembered parts, as a power of two.
+TABLE_BITS = 21
+# ASCII white space, the second bytes of white space after C2, and lead bytes of wide white space.
+_BLANK, _BLANK2, _WIDE = (np.isin(np.arange(256), v) for v in ([*range(9, 14), *range(28, 33)], [0x85, 0xA0], [0xE1, 0xE2, 0xE3]))
+_GAP, _ALPHA = (np.isin(np.arange(256), v) for v in ([10, 32], [*range(65, 91), *range(97, 123)]))
+_PUNCT = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
+_LETTER2 = np.array([0x80 <= c < 0xC0 and c not in (0x97, 0xB7) for c in range(256)])
+_WORD = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+_RUN = re.compile(rb"[ \n][!-~\xc3-\xdf](?:[!-~\x80-\xff]*[!-~])?").fullmatch
+POWERS = tuple(map(Powers, (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)))
+
+
+def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each stretch of bytes."""
+    out = []
+    for p in POWERS:
+        up, down = p.upto(len(data))
+        sums = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * up, dtype=np.uint64))
+        out.append(mix((sums[ends] - sums[starts]) * down[starts], 1) + (ends - starts).astype(np.uint64))
+    return out
 
-class _Numbers(dict):
-    """Numbers what is looked up in order of first sight."""
 
-    def __missing__(self, part: str) -> int:
-        n = self[part] = len(self)
-        return n
+class PartNumbers:
+    """hash -> number of a part: an open table of fixed size."""
+
+    def __init__(self):
+        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)
+        self.numbers = np.zeros(1 << TABLE_BITS, np.int32)
+        self.mask = np.uint64((1 << TABLE_BITS) - 1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the keys, -1 of unknown ones."""
+        out = np.full(len(keys), -1, np.int32)
+        left, at = np.arange(len(keys)), keys & self.mask
+        while len(left):
+            there = self.keys[at]
+            same = there == keys[left]
+            out[left[same]] = self.numbers[at[same]]
+            on = ~same & (there != 0)
+            left, at = left[on], (at[on] + np.uint64(1)) & self.mask
+        return out
+
+    def add(self, keys: np.ndarray, first: int) -> None:
+        """Numbers distinct unknown keys from ``first`` on."""
+        left, at = np.arange(len(keys)), keys & self.mask
+        while len(left):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[left[free]]
+            won = free & (self.keys[at] == keys[left])
+            self.numbers[at[won]] = first + left[won]
+            left, at = left[~won], (at[~won] + np.uint64(1)) & self.mask
 
 
 def byte_chars() -> list[str]:
@@ -77,9 +118,20 @@ class ByteBPE:
         self.lengths = np.fromiter(map(len, by_id), np.int64, size)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(by_id), np.uint8)
-        self.leads_space = np.fromiter((t[:1] == b" " for t in by_id), bool, size)
+        self.leads = np.fromiter((t[:1] in (b" ", b"\n") for t in by_id), bool, size)
+        self.merger, self.space = self._merger(self.tok), chars[32]
+        self.shown = {b: c for b, c in enumerate(chars) if b != 32}
         self._forget()
 
+    @staticmethod
+    def _merger(tok):
+        """The model alone, on words of byte characters between spaces."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        out = Tokenizer(tok.model)
+        out.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        return out
+
     @staticmethod
     def _from_ranks(ranks: dict[bytes, int], chars: list[str]):
         from tokenizers import Tokenizer, models, pre_tokenizers
@@ -95,63 +147,99 @@ class ByteBPE:
         tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         return tok
 
-    def _encode_new(self, parts: list[str]) -> None:
-        """Adds the ids of newly numbered parts to the table. Parts without a space
-        in them and white space at their end are encoded as one text, each after
-        a single space; a part's ids begin at the token that begins with a space."""
-        alone = [i for i, p in enumerate(parts) if not p or " " in p or p[-1].isspace()]
-        is_alone = set(alone)
-        joined = [p for i, p in enumerate(parts) if i not in is_alone] if alone else parts
-        ids, lengths = np.empty(0, np.uint32), np.zeros(len(parts), np.int64)
-        if joined:
-            whole = self.tok.encode_batch_fast([" " + " ".join(joined)], add_special_tokens=False)[0]
-            ids = np.array(whole.ids, np.uint32)
-        together = np.diff(np.append(np.flatnonzero(self.leads_space[ids]), len(ids)))
-        keep = np.ones(len(parts), bool)
-        keep[alone] = False
-        lengths[keep] = together
-        pieces, at = [], 0
-        if alone:
-            ends = np.cumsum(lengths)
-            texts = [parts[i][1:] if parts[i][:1] == " " else " " + parts[i] for i in alone]
-            for i, e in zip(alone, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
-                upto = int(ends[i])
-                pieces += [ids[at:upto], np.array(e.ids, np.uint32)]
-                at = upto
-                lengths[i] = len(pieces[-1])
-        pieces.append(ids[at:])
-        self.part_ids = np.concatenate([self.part_ids, *pieces])
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Starts of the parts, at places where the pattern always cuts: of each
+        text, each space or line end that has no white space beside it, and ASCII
+        punctuation after a letter. Characters of three bytes from E1 to E3 count
+        as white space here, which some of them are, and letters are those of ASCII
+        and after C3; a cut that is left out does no harm."""
+        n = len(data)
+        edge = np.zeros(n + 1, bool)
+        edge[offsets] = True
+        at = np.flatnonzero(_GAP[data])
+        at = at[~edge[at]]
+        near = np.concatenate([np.zeros(3, np.uint8), data, np.zeros(2, np.uint8)])
+        p1, p2, p3, n1, n2 = near[at + 2], near[at + 1], near[at], near[at + 4], near[at + 5]
+        blank = _BLANK[p1] | ((p2 == 0xC2) & _BLANK2[p1]) | ((p1 >= 0x80) & _WIDE[p3])
+        after = _BLANK[n1] | ((n1 == 0xC2) & _BLANK2[n2]) | _WIDE[n1]
+        cut = np.zeros(n + 1, bool)
+        cut[at[~(blank | (after & ~edge[at + 1]))]] = True
+        at = np.flatnonzero(_PUNCT[data])
+        p1, p2 = near[at + 2], near[at + 1]
+        cut[at[_ALPHA[p1] | ((p2 == 0xC3) & _LETTER2[p1])]] = True
+        cut[offsets] = True
+        return np.flatnonzero(cut[:n])
+
+    def _encode_new(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Adds the ids of new parts to the table. Words after a space have their
+        bytes mapped to characters here and are merged by the library's model; other
+        parts that begin with a space or line end and have no further white space
+        are encoded as one text, in both of which a part's ids begin at the token
+        that begins with its first byte. The others go one by one."""
+        parts = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        kind = np.fromiter((2 if _WORD(p) else 1 if _RUN(p) else 0 for p in parts), np.int8, len(parts))
+        words, runs = ([p for p, k in zip(parts, kind.tolist()) if k == want] for want in (2, 1))
+        shown = b"".join(words).decode("latin-1").translate(self.shown).replace(" ", " " + self.space)
+        lengths, at, pieces, total = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64), [], 0
+        for want, tok, text in ((2, self.merger, shown), (1, self.tok, b"".join(runs).decode())):
+            ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            lead = np.flatnonzero(self.leads[ids])
+            of = kind == want
+            if len(lead) != np.count_nonzero(of):
+                kind[of] = 0
+                continue
+            lengths[of], at[of] = np.diff(np.append(lead, len(ids))), total + lead
+            pieces.append(ids)
+            total += len(ids)
+        alone = self.tok.encode_batch_fast([p.decode() for p, k in zip(parts, kind.tolist()) if not k], add_special_tokens=False)
+        sizes = np.array([len(e.ids) for e in alone], np.int64)
+        lengths[kind == 0], at[kind == 0] = sizes, total + np.cumsum(sizes) - sizes
+        pieces.append(np.array([i for e in alone for i in e.ids], np.uint32))
+        self.part_starts = np.concatenate([self.part_starts, at + len(self.part_ids)])
         self.part_lengths = np.concatenate([self.part_lengths, lengths])
+        self.part_ids = np.concatenate([self.part_ids, *pieces])
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, unsigned 32-bit. Parts are numbered as they come;
-        new ones are encoded together. A text's first part, which has no space
-        before it, is numbered under a space, with which no other part begins."""
-        if len(self.parts) > CACHE_WORDS or len(self.part_ids) > 6 * CACHE_WORDS:
+    def encode_arrow(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, unsigned 32-bit; NULL is empty."""
+        if len(self.part_starts) > CACHE_WORDS or len(self.part_ids) > 6 * CACHE_WORDS:
             self._forget()
-        known, at, ends = len(self.parts), [], []
-        number = self.parts.__getitem__
-        for t in texts:
-            p = t.split(" ") if not _SPACES.search(t) else _SINGLE_SPACE.split(t)
-            p[0] = " " + p[0]
-            at.extend(map(number, p))
-            ends.append(len(at))
-        if len(self.parts) > known:
-            self._encode_new(list(islice(self.parts, known, None)))
-        at = np.array(at, np.int64)
-        n = self.part_lengths[at]
+        held = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+        raw = b"".join(held)
+        offsets = np.append(0, np.cumsum(np.fromiter(map(len, held), np.int64, len(held))))
+        if not raw:
+            return [np.empty(0, np.uint32)] * len(held)
+        data = np.frombuffer(raw, np.uint8)
+        starts = self._cuts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        one, two = _polynomials(data, starts, ends)
+        one |= np.uint64(1)  # 0 marks a free cell
+        number = self.numbers.find(one)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            keys, first = np.unique(one[new], return_index=True)
+            which = new[first]
+            self.numbers.add(keys, len(self.part_starts))
+            self.second = np.concatenate([self.second, two[which]])
+            self._encode_new(raw, starts[which], ends[which])
+            number[new] = self.numbers.find(one[new])
+        n = self.part_lengths[number]
         upto = np.cumsum(n)
-        part_starts = np.cumsum(self.part_lengths) - self.part_lengths
-        total = int(upto[-1]) if len(upto) else 0
-        ids = self.part_ids[np.arange(total) + np.repeat(part_starts[at] - upto + n, n)]
-        return np.split(ids, upto[np.array(ends[:-1], np.int64) - 1]) if texts else []
+        ids = self.part_ids[np.arange(int(upto[-1])) + np.repeat(self.part_starts[number] - upto + n, n)]
+        # Tokens before each text: those of the parts before its first.
+        cut = np.append(0, upto)[np.searchsorted(starts, offsets)]
+        out = [ids[a:b] for a, b in zip(cut.tolist(), cut[1:].tolist())]
+        if (wrong := self.second[number] != two).any():  # two parts with one first hash
+            for i in np.unique(np.searchsorted(offsets, starts[wrong], "right") - 1).tolist():
+                out[i] = np.array(self.tok.encode_batch_fast([held[i].decode()], add_special_tokens=False)[0].ids, np.uint32)
+        return out
 
     def _forget(self) -> None:
-        self.parts = _Numbers()
-        self.part_ids, self.part_lengths = np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.numbers = PartNumbers()
+        self.second, self.part_ids = np.empty(0, np.uint64), np.empty(0, np.uint32)
+        self.part_starts, self.part_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def encode(self, text: str) -> np.ndarray:
-        return self.encode_batch([text])[0]
+        return self.encode_arrow(pa.array([text.encode("utf-8", "surrogatepass")], pa.binary()))[0]
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The byte strings of the ids, joined."""
@@ -193,21 +281,20 @@ def bpe(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[list, list[str], list[np.ndarray]]]:
-    """(doc ids, texts, token ids) of batches of (doc_id, text)."""
+def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Batches of (doc_id, text) and the ids of their texts."""
     for b in text_batches(batches):
-        texts = [t or "" for t in b.column("text").to_pylist()]
-        yield b.column("doc_id").to_pylist(), texts, bpe(path).encode_batch(texts)
+        yield b, bpe(path).encode_arrow(b.column("text"))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, token_ids, char_starts, char_ends of each document."""
     def run(batches):
         model = bpe(path)
-        for doc_ids, texts, ids in encoded(batches, path):
-            spans = [model.offsets(i, t.encode("utf-8", "surrogatepass")) for i, t in zip(ids, texts)]
+        for b, ids in encoded(batches, path):
+            spans = [model.offsets(i, t) for i, t in zip(ids, texts(b))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids, pa.int64()), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
+                [b.column("doc_id").cast(pa.int64()), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
                  pa.array([s for s, _ in spans], pa.list_(pa.int64())),
                  pa.array([e for _, e in spans], pa.list_(pa.int64()))],
                 names=["doc_id", "token_ids", "char_starts", "char_ends"])
@@ -220,9 +307,9 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     the number of tokens that begin or end inside a character."""
     def run(batches):
         model = bpe(path)
-        for doc_ids, _, batch in encoded(batches, path):
+        for b, batch in encoded(batches, path):
             rows = []
-            for d, ids in zip(doc_ids, batch):
+            for d, ids in zip(b.column("doc_id").to_pylist(), batch):
                 data = model.decode_bytes(ids)
                 start, end = model.offsets(ids, data) if len(ids) else (ids, ids)
                 split = int(np.count_nonzero(start[1:] < end[:-1]))

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.session import scratch_path
 
-#: Distinct words one Python worker remembers before it starts afresh.
-CACHE_WORDS = 1_500_000
+#: Distinct parts of words that one Python worker remembers before it starts afresh.
+CACHE_WORDS = 1_000_000
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _U = np.uint64
 
@@ -78,3 +78,17 @@ def text_batches(batches: Iterator[pa.RecordBatch], chars: int = 4_000_000) -> I
         step = max(1, int(b.num_rows * chars / max(size, 1)))
         for i in range(0, b.num_rows, step):
             yield b.slice(i, step)
+
+
+class Powers:
+    """Powers of a multiplier and of its inverse, as far as the longest text so far."""
+
+    def __init__(self, base: int):
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.up = self.down = np.ones(1, _U)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up = np.cumprod(np.append(_U(1), np.full(2 * n, self.base, _U)), dtype=_U)
+            self.down = np.cumprod(np.append(_U(1), np.full(2 * n, self.inverse, _U)), dtype=_U)
+        return self.up[:n], self.down[:n]

@@ -44,39 +44,41 @@ BLOCK_DDL = ("shard int, block int, first_id long, n_ids long, doc_ids array<lon
              "grammar binary")
 
 
-def frequent_pairs(seq: np.ndarray) -> np.ndarray:
-    """Keys (left << 32 | right) of the most frequent neighbouring pairs, most frequent first."""
-    if len(seq) < 2:
-        return np.empty(0, np.uint64)
+def hashed_pairs(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Key (left << 32 | right) and hash cell of each neighbouring pair."""
     keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    cell = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELLS)).astype(np.int32)
+    return keys, ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELLS)).astype(np.int32)
+
+
+def frequent_pairs(keys: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Keys of frequent neighbouring pairs, the most frequent one of each of the fullest cells."""
     counts = np.bincount(cell, minlength=1 << _CELLS)
     fullest = np.argpartition(counts, -PAIRS_PER_ROUND)[-PAIRS_PER_ROUND:]
     chosen = np.zeros(1 << _CELLS, bool)
     chosen[fullest[counts[fullest] >= MIN_COUNT]] = True
-    pairs, n = np.unique(keys[chosen[cell]], return_counts=True)
-    order = np.lexsort((pairs, -n))[:PAIRS_PER_ROUND]
-    return pairs[order[n[order] >= MIN_COUNT]]
-
-
-def replace_pairs(seq: np.ndarray, pairs: np.ndarray, first_symbol: int) -> np.ndarray:
-    """``seq`` with each pair replaced by its symbol, leftmost first where pairs overlap."""
-    known = np.sort(pairs)
-    keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    is_left = np.zeros(int(seq.max()) + 1, bool)
-    is_left[(known >> np.uint64(32)).astype(np.int64)] = True
-    maybe = np.flatnonzero(is_left[seq[:-1]])
-    at = np.minimum(np.searchsorted(known, keys[maybe]), len(known) - 1)
-    hit = known[at] == keys[maybe]
-    hits, rank = maybe[hit], at[hit]
+    inside = np.flatnonzero(chosen[cell])
+    pairs, first, n = np.unique(keys[inside], return_index=True, return_counts=True)
+    order = np.lexsort((pairs, -n))
+    order = order[n[order] >= MIN_COUNT]
+    _, best = np.unique(cell[inside[first[order]]], return_index=True)
+    return pairs[order[np.sort(best)]]
+
+
+def replace_pairs(seq: np.ndarray, keys: np.ndarray, cell: np.ndarray, pairs: np.ndarray, first_symbol: int) -> np.ndarray:
+    """``seq`` with each pair (one a cell) replaced by its symbol, leftmost first where pairs overlap."""
+    place = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _CELLS)).astype(np.int32)
+    number = np.full(1 << _CELLS, -1, np.int32)
+    number[place] = np.arange(len(pairs), dtype=np.int32)
+    maybe = np.flatnonzero(number[cell] >= 0)
+    rank = number[cell[maybe]]
+    hit = pairs[rank] == keys[maybe]
+    hits, rank = maybe[hit], rank[hit]
     # In a run of overlapping hits every second one counts, from the first on.
     starts = np.flatnonzero(np.diff(hits, prepend=-2) != 1)
     in_run = np.arange(len(hits)) - np.repeat(starts, np.diff(np.append(starts, len(hits))))
     hits, rank = hits[in_run % 2 == 0], rank[in_run % 2 == 0]
-    symbol = np.empty(len(known), np.uint32)
-    symbol[np.searchsorted(known, pairs)] = first_symbol + np.arange(len(pairs), dtype=np.uint32)
     out = seq.copy()
-    out[hits] = symbol[rank]
+    out[hits] = first_symbol + rank.astype(np.uint32)
     keep = np.ones(len(seq), bool)
     keep[hits + 1] = False
     return out[keep]
@@ -88,10 +90,13 @@ def compress(ids: np.ndarray) -> bytes:
     base = int(seq.max()) + 1 if len(seq) else 0
     rules = np.empty((0, 2), np.uint32)
     for _ in range(ROUNDS):
-        pairs = frequent_pairs(seq)
+        if len(seq) < 2:
+            break
+        keys, cell = hashed_pairs(seq)
+        pairs = frequent_pairs(keys, cell)
         if not len(pairs):
             break
-        seq = replace_pairs(seq, pairs, base + len(rules))
+        seq = replace_pairs(seq, keys, cell, pairs, base + len(rules))
         rules = np.concatenate([rules, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1)
                                 .astype(np.uint32)])
     lengths = rule_lengths(rules, base)
@@ -179,8 +184,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, block_ids: int) -> Ite
              pa.array([list(map(len, ids))], pa.list_(pa.int32())), pa.array([compress(whole)], pa.binary())],
             names=[c.split()[0] for c in BLOCK_DDL.split(", ")])
     end = np.array([END_ID], np.uint32)
-    for batch_ids, _, batch in encoded(batches, path):
-        for d, x in zip(batch_ids, batch):
+    for b, batch in encoded(batches, path):
+        for d, x in zip(b.column("doc_id").to_pylist(), batch):
             if n and n + len(x) + 1 > block_ids:
                 yield flush()
                 block, first, doc_ids, ids, n = block + 1, first + n, [], [], 0

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, stored, table, text_batches, texts, word_hashes
+from tidewater.llm.common import Powers, mix, stored, table, text_batches, texts, word_hashes
 from tidewater.llm.sketch import corpus_bits, in_bits
 
 WINDOW = 50
@@ -41,20 +41,6 @@ BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _U = np.uint64
 
 
-class Powers:
-    """Powers of a multiplier and of its inverse, as far as the longest text so far."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, _U)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            self.up = np.cumprod(np.append(_U(1), np.full(2 * n, self.base, _U)), dtype=_U)
-            self.down = np.cumprod(np.append(_U(1), np.full(2 * n, self.inverse, _U)), dtype=_U)
-        return self.up[:n], self.down[:n]
-
-
 POWERS = tuple(map(Powers, BASES))
 
 
