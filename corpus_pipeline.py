@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontaminate, ngram_join, quality_fm, secrets
-from tidewater.llm.common import stored, table
+from tidewater.llm.common import bounded_batches, stored, table
 
 #: Near duplicates: words in a shingle and similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -46,6 +46,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text that they decode to."""
+    bounded_batches(spark)
     return bpe.round_trip(docs, public_tokenizers.path(bpe.MULTI))
 
 

@@ -28,11 +28,13 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm.common import CACHE_WORDS, Powers, mix, table, text_batches, texts
+from tidewater.llm.common import CACHE_WORDS, Powers, mix, released, table, text_batches, texts
 
 MULTI = "byte_bpe_multi_50k.tiktoken"
 #: Cells of the table of remembered parts, as a power of two.
-TABLE_BITS = 21
+TABLE_BITS = 20
+#: Bytes that are hashed, and texts' bytes that are encoded, at once.
+SLAB, ENCODED = 1 << 17, 1_000_000
 # ASCII white space, the second bytes of white space after C2, and lead bytes of wide white space.
 _BLANK, _BLANK2, _WIDE = (np.isin(np.arange(256), v) for v in ([*range(9, 14), *range(28, 33)], [0x85, 0xA0], [0xE1, 0xE2, 0xE3]))
 _GAP, _ALPHA = (np.isin(np.arange(256), v) for v in ([10, 32], [*range(65, 91), *range(97, 123)]))
@@ -44,12 +46,17 @@ POWERS = tuple(map(Powers, (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)))
 
 
 def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Two 64-bit hashes of each stretch of bytes."""
-    out = []
-    for p in POWERS:
-        up, down = p.upto(len(data))
-        sums = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * up, dtype=np.uint64))
-        out.append(mix((sums[ends] - sums[starts]) * down[starts], 1) + (ends - starts).astype(np.uint64))
+    """Two 64-bit hashes of each stretch of bytes; stretches follow each other
+    and are taken some SLAB bytes at a time, so the powers stay short."""
+    out = [np.empty(len(starts), np.uint64) for _ in POWERS]
+    cuts = np.unique(np.append(np.searchsorted(starts, np.arange(0, len(data), SLAB)), len(starts)))
+    for i, j in zip(cuts.tolist(), cuts[1:].tolist()):
+        a, b = starts[i:j] - starts[i], ends[i:j] - starts[i]
+        values = data[starts[i]:ends[j - 1]] + np.uint64(1)
+        for p, h in zip(POWERS, out):
+            up, down = p.upto(len(values))
+            sums = np.append(np.uint64(0), np.cumsum(values * up, dtype=np.uint64))
+            h[i:j] = mix((sums[b] - sums[a]) * down[a], 1) + (b - a).astype(np.uint64)
     return out
 
 
@@ -218,6 +225,11 @@ class ByteBPE:
         if len(new):
             keys, first = np.unique(one[new], return_index=True)
             which = new[first]
+            if len(self.part_starts) + len(keys) > 0.75 * (1 << TABLE_BITS):
+                if not len(self.part_starts):  # one batch, of a very long text, fills the table
+                    return [np.array(self.tok.encode_batch_fast([t.decode()], add_special_tokens=False)[0].ids, np.uint32) for t in held]
+                self._forget()
+                return self.encode_arrow(texts)
             self.numbers.add(keys, len(self.part_starts))
             self.second = np.concatenate([self.second, two[which]])
             self._encode_new(raw, starts[which], ends[which])
@@ -283,7 +295,7 @@ def bpe(path: str) -> ByteBPE:
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Batches of (doc_id, text) and the ids of their texts."""
-    for b in text_batches(batches):
+    for b in text_batches(batches, ENCODED):
         yield b, bpe(path).encode_arrow(b.column("text"))
 
 
@@ -299,7 +311,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                  pa.array([e for _, e in spans], pa.list_(pa.int64()))],
                 names=["doc_id", "token_ids", "char_starts", "char_ends"])
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, token_ids array<int>, char_starts array<long>, char_ends array<long>")
+        released(run), "doc_id long, token_ids array<int>, char_starts array<long>, char_ends array<long>")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -319,7 +331,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split_chars"])
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split_chars long")
+        released(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split_chars long")
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

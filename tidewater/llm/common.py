@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,18 +14,32 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater.session import scratch_path
 
 #: Distinct parts of words that one Python worker remembers before it starts afresh.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
+#: Bytes of an Arrow batch between the JVM and a Python worker.
+ARROW_BYTES = 2 << 20
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _U = np.uint64
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library; nothing is trimmed then
+    _LIBC = None
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few MB in this session, so that long texts do not add up
+    in a task's memory (rows are counted by default up to 64 MB)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read again, so that
     later steps neither recompute it nor depend on the executors that made it."""
+    bounded_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -46,6 +62,25 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(_U)
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the machine: a worker process waits for its next
+    task with what the last one left it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def released(run: Callable) -> Callable:
+    """``run`` over a task's Arrow batches, then ``release_memory``."""
+    def go(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return go
+
+
 def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     """A finalizer that spreads every input bit over all 64 output bits."""
     h = h ^ _U(salt)
@@ -70,7 +105,7 @@ def run_hashes(w: np.ndarray, k: int) -> np.ndarray:
     return mix(h, k)
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each holds about ``chars`` bytes of its
     ``text`` column at most (one row at least)."""
     for b in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import mix, run_hashes, table, terms, text_batches, texts, word_hashes
+from tidewater.llm.common import mix, release_memory, released, run_hashes, table, terms, text_batches, texts, word_hashes
 
 SHINGLE = 5
 CONTAINED = 0.8
@@ -147,7 +147,7 @@ def leaks(docs: DataFrame, items: DataFrame, contained: float = CONTAINED, block
                                                  names=["doc_id", "item_id", "containment"])
         pa_id = pa.string() if isinstance(items.schema["item_id"].dataType, T.StringType) else \
             pa.int32() if isinstance(items.schema["item_id"].dataType, T.IntegerType) else pa.int64()
-        out = out.unionByName(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema))
+        out = out.unionByName(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), schema))
     return out
 
 
@@ -158,7 +158,9 @@ def without_leaks(docs: DataFrame, items: DataFrame, contained: float = CONTAINE
 
         @F.arrow_udf("boolean")
         def clean(text: pa.Array) -> pa.Array:
-            return pa.array([not shared.value.matches(t or b"") for t in text.cast(pa.binary()).to_pylist()], pa.bool_())  # noqa: B023
+            out = pa.array([not shared.value.matches(t or b"") for t in text.cast(pa.binary()).to_pylist()], pa.bool_())  # noqa: B023
+            release_memory()
+            return out
         docs = docs.filter(clean(F.col("text")))
     return docs
 

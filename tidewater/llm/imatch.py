@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, table, terms, text_batches, texts, word_hashes
+from tidewater.llm.common import mix, released, table, terms, text_batches, texts, word_hashes
 from tidewater.llm.neighbours import with_following_head
 from tidewater.llm.sketch import corpus_counts
 
@@ -89,7 +89,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for b in text_batches(batches):
             prints = ["".join(fingerprint(t, band)) for t in texts(b)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(prints, pa.string())], names=["doc_id", "fingerprint"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(run), "doc_id long, fingerprint string")
 
 
 def edited_text(text: str, following: str) -> str:
@@ -130,5 +130,5 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                                                     "near_edited", "near_next"])
     return with_following_head(docs, "doc_id", "text").mapInArrow(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        released(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
              "near_edited double, near_next double")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, shingle_hashes, stored, table, text_batches, texts
+from tidewater.llm.common import mix, released, shingle_hashes, stored, table, text_batches, texts
 from tidewater.llm.components import labels
 from tidewater.llm.sketch import corpus_bits, corpus_counts, in_bits
 
@@ -126,7 +126,7 @@ def set_table(docs: DataFrame, k: int, percent: int) -> DataFrame:
                  *map(pa.array, bits), pa.array([x[3] for x in out], pa.list_(pa.int64())), pa.array([x[4] for x in out], pa.binary())],
                 names=["doc_id", "row", "class", "n", *_W, "prefix", "cells"])
     ddl = f"doc_id long, row long, class long, n long, {', '.join(w + ' long' for w in _W)}, prefix array<long>, cells binary"
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")).mapInArrow(run, ddl)
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row")).mapInArrow(released(run), ddl)
     return stored(docs.sparkSession, rows.withColumn("grp", F.xxhash64("n", "prefix")), "ngram-sets")
 
 
@@ -156,7 +156,7 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([class_id(shingle_set(t, k)) for t in held], pa.int64()),
                      pa.array([zlib.compress(t, 1) for t in held], pa.binary())], names=["d", "class", "packed"])
-    found = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(run, "d long, class long, packed binary")
+    found = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(released(run), "d long, class long, packed binary")
     return found.join(wanted, (found["class"] == wanted["class"]) & F.col("d").eqNullSafe(F.col("doc_id"))) \
         .select(found["class"], "packed").dropDuplicates(["class"])
 
@@ -174,7 +174,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     x = classes.select(F.col("class").alias("a"), F.col("n").alias("n1"), F.col("cells").alias("one"))
     y = classes.select(F.col("class").alias("b"), F.col("n").alias("n2"), F.col("cells").alias("two"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "one", "two", (F.col("n1") + F.col("n2")).alias("n")) \
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(released(run), "a long, b long")
 
 
 def _verified(docs: DataFrame, likely: DataFrame, classes: DataFrame, k: int, percent: int, name: str) -> DataFrame | None:
@@ -203,7 +203,7 @@ def _verified(docs: DataFrame, likely: DataFrame, classes: DataFrame, k: int, pe
                                              names=["a", "b"])
     two = packed.select(F.col("class").alias("b"), F.col("packed").alias("two"))
     one = packed.select(F.col("class").alias("a"), F.col("packed").alias("one"))
-    return stored(spark, likely.join(two, "b").join(one, "a").select("a", "b", "one", "two").mapInArrow(run, "a long, b long"), f"{name}-links")
+    return stored(spark, likely.join(two, "b").join(one, "a").select("a", "b", "one", "two").mapInArrow(released(run), "a long, b long"), f"{name}-links")
 
 
 def shared_prefixes(some: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def shared_prefixes(some: DataFrame) -> DataFrame:
             rows = pa.array(at[hit])
             yield pa.RecordBatch.from_arrays([pa.array(values[hit]), b.column("grp").take(rows), b.column("class").take(rows)],
                                              names=["token", "grp", "class"])
-    rows = some.select("prefix", "grp", "class").mapInArrow(run, "token long, grp long, class long")
+    rows = some.select("prefix", "grp", "class").mapInArrow(released(run), "token long, grp long, class long")
     rows = stored(spark, rows.distinct(), "ngram-entries")
     several = rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token")
     return stored(spark, rows.join(several, "token"), "ngram-lists")

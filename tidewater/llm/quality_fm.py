@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import table, text_batches, texts, word_hashes
+from tidewater.llm.common import release_memory, released, table, text_batches, texts, word_hashes
 
 #: Labelled rows that the model is fitted on, at most.
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 WORD_FEATURES = 1 << 16
 STEPS = 12
 FACTORS = 8
@@ -154,8 +154,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                     [part.column("doc_id"), part.column("quality"), pa.array([i.astype(np.int32).tobytes() for i, _ in rows], pa.binary()),
                      pa.array([v.astype(np.float32).tobytes() for _, v in rows], pa.binary())], names=["doc_id", "quality", "ids", "vals"])
     found = _plain(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text", "n_chars") \
-        .mapInArrow(run, "doc_id long, quality int, ids binary, vals binary").orderBy("doc_id", "quality", "ids").collect()
-    rows = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["vals"], np.float32).astype(np.float64)) for r in found]
+        .mapInArrow(released(run), "doc_id long, quality int, ids binary, vals binary").orderBy("doc_id", "quality", "ids").collect()
+    rows = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["vals"], np.float32)) for r in found]
     y = np.array([r["quality"] for r in found], np.float64)
     weights = np.ones(len(y))
     for q in (0, 1):
@@ -173,7 +173,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
         for b in text_batches(batches):
             s = [m.score(t, n) for t, n in zip(texts(b), b.column("n_chars").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())], names=["doc_id", "score"])
-    return _plain(docs).mapInArrow(run, "doc_id long, score double")
+    return _plain(docs).mapInArrow(released(run), "doc_id long, score double")
 
 
 def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
@@ -183,7 +183,9 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
     @F.arrow_udf("double")
     def score(text: pa.Array, n_chars: pa.Array) -> pa.Array:
         m = shared.value
-        return pa.array([m.score(t or b"", n) for t, n in zip(text.cast(pa.binary()).to_pylist(), n_chars.to_pylist())], pa.float64())
+        out = pa.array([m.score(t or b"", n) for t, n in zip(text.cast(pa.binary()).to_pylist(), n_chars.to_pylist())], pa.float64())
+        release_memory()
+        return out
     n = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
     return docs.filter(score(F.col("text"), n) >= least)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.bpe import encoded
-from tidewater.llm.common import stored, table
+from tidewater.llm.common import released, stored, table
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
@@ -200,7 +200,7 @@ def write_ids(docs: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> DataFra
     """Blocks of all documents (doc_id, text), written and read as a table."""
     ranged = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id"), F.xxhash64("text"))
     ordered = ranged.sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
-    return stored(docs.sparkSession, ordered.mapInArrow(lambda b: _blocks(b, path, block_ids), BLOCK_DDL), "id-blocks")
+    return stored(docs.sparkSession, ordered.mapInArrow(released(lambda b: _blocks(b, path, block_ids)), BLOCK_DDL), "id-blocks")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,4 +230,4 @@ def op7_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes all documents, writes their ids in grammar blocks and reads them back."""
     blocks = write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
     return placed_blocks(blocks).select("start", "doc_ids", "doc_lengths", "grammar").mapInArrow(
-        _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        released(_read), "doc_id long, start long, n_tokens long, ids_crc32 long")

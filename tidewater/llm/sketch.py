@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import released
+
 PIECE = 4096
 
 
@@ -43,8 +45,8 @@ def corpus_counts(rows: DataFrame, cells_of: Callable[[pa.RecordBatch], Iterator
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
                 names=["piece", "counts"])
-    pieces = rows.mapInArrow(local, "piece int, counts binary").repartition(F.col("piece")) \
-        .mapInArrow(summed, "piece int, counts binary")
+    pieces = rows.mapInArrow(released(local), "piece int, counts binary").repartition(F.col("piece")) \
+        .mapInArrow(released(summed), "piece int, counts binary")
     out = np.zeros(cells, np.int64)
     for r in pieces.collect():  # cells / PIECE rows, whatever the input
         out[r["piece"] * PIECE:(r["piece"] + 1) * PIECE] = np.frombuffer(r["counts"], np.int64)
@@ -77,8 +79,8 @@ def corpus_bits(hashes: DataFrame, bits: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())],
                                              names=["piece", "bits"])
     out = np.zeros(size, np.uint8)
-    for r in hashes.select(column).mapInArrow(local, "piece int, bits binary").repartition(F.col("piece")) \
-            .mapInArrow(merged, "piece int, bits binary").collect():  # size / piece rows
+    for r in hashes.select(column).mapInArrow(released(local), "piece int, bits binary").repartition(F.col("piece")) \
+            .mapInArrow(released(merged), "piece int, bits binary").collect():  # size / piece rows
         out[r["piece"] * piece:(r["piece"] + 1) * piece] = np.frombuffer(r["bits"], np.uint8)
     return out
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Powers, mix, stored, table, text_batches, texts, word_hashes
+from tidewater.llm.common import Powers, mix, released, stored, table, text_batches, texts, word_hashes
 from tidewater.llm.sketch import corpus_bits, in_bits
 
 WINDOW = 50
@@ -109,7 +109,7 @@ def repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
     """Anchors that occur in documents with different doc_id."""
     def run(batches):
         yield from _gathered(((d, [np.unique(w.anchors(window))]) for d, w in _texts(batches, window)), ["doc_id", "anchor"])
-    return (docs.mapInArrow(run, "doc_id long, anchor long").groupBy("anchor")
+    return (docs.mapInArrow(released(run), "doc_id long, anchor long").groupBy("anchor")
             .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most").select("anchor"))
 
 
@@ -142,7 +142,7 @@ def shared_segments(docs: DataFrame, window: int) -> DataFrame:
                 out, n = [], 0
         if out:
             yield batch()
-    return stored(docs.sparkSession, docs.mapInArrow(run, "doc_id long, anchor long, seg long, windows array<long>"), "segments")
+    return stored(docs.sparkSession, docs.mapInArrow(released(run), "doc_id long, anchor long, seg long, windows array<long>"), "segments")
 
 
 def removal_lists(docs: DataFrame, window: int) -> DataFrame:
@@ -221,7 +221,7 @@ def dedup_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(text, pa.string()),
                  pa.array(cuts, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["doc_id", "text", "removed"])
-    return _listed(docs, window).mapInArrow(run, "doc_id long, text string, removed array<struct<start int, end int>>")
+    return _listed(docs, window).mapInArrow(released(run), "doc_id long, text string, removed array<struct<start int, end int>>")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,4 +234,4 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                  pa.array([int(m.sum()) for _, m in rows], pa.int64()), pa.array(digests, pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
     return _listed(table(spark, sf_dir, "documents"), WINDOW).mapInArrow(
-        run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        released(run), "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import table
+from tidewater.llm.common import released, table
 from tidewater.session import scratch_path
 
 # Fixed values of the format.
@@ -204,14 +204,14 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     links = revisits(p, min_bytes).withColumnsRenamed({"page_id": "of", "digest": "with"})
     linked = p.join(links, F.col("page_id").eqNullSafe(F.col("of")) & (F.sha1("payload") == F.col("with")), "left")
-    (linked.select("page_id", "url", "payload", "refers_to").mapInArrow(_write_batches, "member binary")
+    (linked.select("page_id", "url", "payload", "refers_to").mapInArrow(released(_write_batches), "member binary")
      .select(F.col("member").cast("string")).write.option("lineSep", EMPTY_MEMBER).option("encoding", "ISO-8859-1")
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records and quarantined gaps of all archives under ``path``."""
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_read_batches, READ_DDL)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(released(_read_batches), READ_DDL)
 
 
 def op10_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
