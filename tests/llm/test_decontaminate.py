@@ -78,6 +78,18 @@ def test_window_minima_are_minima_over_windows():
         assert (got == np.array(want)).all()
 
 
+@pytest.mark.parametrize("contained", [0.8, 0.5])
+def test_items_of_few_shingles_are_never_missed(contained):
+    rnd = random.Random(5)
+    say = lambda n: [f"v{rnd.randrange(10**6)}" for _ in range(n)]
+    items = [say(5 + i % 8) for i in range(1200)]
+    tables = D.Items([" ".join(w).encode() for w in items], contained)
+    for i, w in enumerate(items):
+        n = len(w) - 4
+        held = w[:4 + next(k for k in range(1, n + 1) if k / n >= contained)]  # just enough of it
+        assert [j for j, _ in tables.matches(" ".join(say(i % 20) + held + say(40)).encode())] == [i]
+
+
 def test_query_over_the_given_table(spark):
     d = "/root/testdata/sf0.01"
     docs = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]

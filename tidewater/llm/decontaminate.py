@@ -2,11 +2,14 @@
 
 Test items are short and documents long, so the likeness of whole sets says
 nothing. Items are partitioned by size: a partition of items of up to L
-shingles searches windows of 2 L shingles, one every L / 2. An item that lies
-in a document then has at least a fifth of a window's shingles in common with
-it, and HASHES minima, compared one by one, miss it with a chance below one in
-a hundred thousand. Candidates are verified by exact containment: the share of
-the item's distinct 5-word shingles that the whole document holds.
+shingles searches windows of 2 L shingles, one every L / 2. An item of more
+than L / 2 shingles, CONTAINED of which lie together in a document, has a
+likeness of 4 / 21 at least with a window, and HASHES minima, compared one by
+one, miss it with a chance below one in a hundred thousand. Items of up to
+BLOCK shingles have too few for that and are found exactly: a document that
+holds the share has one at least of any n - need + 1 of an item's n shingles,
+and these are looked up by hash. Candidates are verified by exact containment:
+the share of the item's distinct 5-word shingles that the whole document holds.
 
 Minima are taken per block of eight shingles once; the windows of every
 partition are minima over blocks. Items are searched in blocks of ITEM_BLOCK,
@@ -34,7 +37,7 @@ from tidewater.llm.common import mix, release_memory, released, run_hashes, tabl
 
 SHINGLE = 5
 CONTAINED = 0.8
-HASHES = 48
+HASHES = 56
 BLOCK = 8
 #: Items that are searched at once.
 ITEM_BLOCK = 5000
@@ -66,6 +69,17 @@ def window_minima(minima: np.ndarray, limit: int) -> np.ndarray:
     return out[:, ::stride]
 
 
+def least_held(n: int, percent: float) -> int:
+    """How many of an item's n shingles make up the share, one at least."""
+    return next((k for k in range(1, n) if k / n >= percent), n)
+
+
+def owners(keys: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> set[int]:
+    """Owners of the wanted keys in a sorted table."""
+    low, high = np.searchsorted(keys, wanted, "left"), np.searchsorted(keys, wanted, "right")
+    return {i for a, b in zip(low[low < high].tolist(), high[low < high].tolist()) for i in owner[a:b].tolist()}
+
+
 class Items:
     """Tables of a block of items, of a size bounded by their number."""
 
@@ -74,10 +88,17 @@ class Items:
         self.sets = [np.unique(shingles(t)) for t in item_texts]
         self.limits: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.marked = np.zeros(1 << _MARKS, bool)  # by the low bits of the items' minima
-        by_limit = defaultdict(list)
+        self.short_marked = np.zeros(1 << _MARKS, bool)  # by those of the short items' shingles
+        by_limit, short = defaultdict(list), []
         for i, s in enumerate(self.sets):
-            if len(s):
+            if len(s) > BLOCK:
                 by_limit[partition_of(len(s))].append(i)
+            elif len(s):
+                short.append((i, s[:len(s) - least_held(len(s), percent) + 1]))
+        keys = np.concatenate([np.empty(0, np.uint64), *(s for _, s in short)])
+        order = np.argsort(keys, kind="stable")
+        self.short = keys[order], np.repeat([i for i, _ in short], [len(s) for _, s in short]).astype(np.int64)[order]
+        self.short_marked[(keys & _LOW).astype(np.int64)] = True
         for limit, members in by_limit.items():
             least = np.stack([np.min(self.sets[i][None, :] * _FACTORS[:, None], axis=1) for i in members])
             self.marked[(least & _LOW).astype(np.int64)] = True
@@ -86,26 +107,25 @@ class Items:
             self.limits[limit] = (keys[order], np.repeat(members, HASHES)[order])
 
     def candidates(self, hashes: np.ndarray) -> set[int]:
+        found = owners(*self.short, np.unique(hashes[self.short_marked[(hashes & _LOW).astype(np.int32)]]))
+        if not self.limits:
+            return found
         cuts = np.arange(0, len(hashes), BLOCK)
         minima = np.stack([np.minimum.reduceat(hashes * f, cuts) for f in _FACTORS])
         # A window's minimum is that of one of its blocks: without a block that has
         # a minimum of an item, by its low bits, no window need be looked at.
         if not self.marked[(minima & _LOW).astype(np.int32)].any():
-            return set()
-        found: set[int] = set()
+            return found
         for limit, (keys, owner) in self.limits.items():
             seen = window_minima(minima, limit)
             which = np.nonzero(self.marked[(seen & _LOW).astype(np.int32)])
-            k = np.unique(mix(seen[which] ^ _FACTORS[which[0]]))
-            low, high = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
-            for a, b in zip(low[low < high].tolist(), high[low < high].tolist()):
-                found.update(owner[a:b].tolist())
+            found |= owners(keys, owner, np.unique(mix(seen[which] ^ _FACTORS[which[0]])))
         return found
 
     def matches(self, text: bytes) -> list[tuple[int, float]]:
         """(item, containment) of the block's items that the text contains."""
         hashes = shingles(text)
-        if not len(hashes) or not self.limits:
+        if not len(hashes):
             return []
         held = None
         out = []
