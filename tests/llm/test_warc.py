@@ -100,6 +100,42 @@ def test_several_records_in_a_member_and_empty_input():
     assert gzip.open(io.BytesIO(W.gzip_member(two))).read() == two
 
 
+def tiled(data):
+    end = 0
+    for _, o, n, _, _ in W.salvage(data):
+        if o != end:
+            return False
+        end = o + n
+    return end == len(data)
+
+
+def test_records_around_damage_in_a_member_of_many_records():
+    rnd = random.Random(4)
+    recs = [W.record(i, "u", rnd.randbytes(300) + b"text " * 20, None, False) for i in range(60)]
+    alone = W.gzip_member(W.record(99, "u", b"alone", None, False))
+    digest = recs[7].replace(b"text text", b"text tent", 1)
+    length = recs[30].replace(b"\r\nContent-Length: ", b"\r\nContent-Length: 9", 1)
+    for level in (0, 1, 9):
+        for bad, lost in (({7: digest}, [7]), ({30: length}, [30]), ({0: b"junk", 59: length}, [0, 59]),
+                          ({7: digest, 8: digest, 30: length}, [7, 8, 30])):
+            data = W.gzip_member(b"".join(bad.get(i, r) for i, r in enumerate(recs)), level) + alone
+            assert ids(data) == [i for i in range(60) if i not in lost] + [99] and tiled(data)
+            assert len(gaps(data)) == len([i for i in lost if i - 1 not in lost])
+        whole = W.gzip_member(b"".join(recs), level)
+        for cut in (1, 8, 9, len(whole) // 3, len(whole) // 2):
+            got = ids(whole[:-cut])
+            assert got == list(range(len(got))) and len(got) >= 59 * (1 - cut / len(whole)) - 1 and tiled(whole[:-cut])
+            assert ids(whole[:-cut] + alone)[-1] == 99 and tiled(whole[:-cut] + alone)
+            assert len(gaps(whole[:-cut] + alone)) == 1
+        hurt = bytearray(whole)
+        hurt[-6] ^= 255  # its checksum
+        assert ids(bytes(hurt) + alone) == list(range(60)) + [99] and tiled(bytes(hurt) + alone)
+        hurt = bytearray(whole)
+        hurt[len(whole) // 2:len(whole) // 2 + 40] = b"\xff" * 40
+        got = ids(bytes(hurt) + alone)
+        assert set(range(28)) | {99} <= set(got) and len(got) == len(set(got)) and tiled(bytes(hurt) + alone)
+
+
 def test_query_over_the_given_table(spark):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url", "html").collect()]

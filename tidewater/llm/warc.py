@@ -8,7 +8,12 @@ sink is an empty gzip member, so a file is a valid multi-member gzip stream.
 Reading: members and records are checked in turn (gzip checksum, version line,
 header, length, closing blank lines, block digest). After a failed check the
 reader looks for the next gzip member or version line that passes all checks,
-goes on there and reports the skipped bytes as a quarantined gap.
+goes on there and reports the skipped bytes as a quarantined gap. In a gzip
+member it looks for version lines in the text, also in that of a cut or damaged
+member as far as it can be read; records and gaps of such a member are placed
+by the compressed bytes that they come from. The gzip checksum is a check of
+the record in a member of one; in a member of many it does not tell which one
+is hurt, and their checks are those of a plain file: length and block digest.
 
 Edge cases: NULL html is an empty payload, NULL url has no target URI, a NULL
 page_id has no id header and reads back as NULL; rows that repeat the smallest
@@ -98,50 +103,108 @@ def parse_record(data, at: int) -> tuple[dict, bytes, int] | None:
     return fields, block, end + len(END)
 
 
-def records_at(data: bytes, at: int) -> tuple[list[tuple[dict, bytes]], int] | None:
-    """All records of the gzip member, or the plain record, at ``at``; and its end."""
-    if data.startswith(MAGIC, at):
-        z, parts, end, step = zlib.decompressobj(31), [], at, 4096
-        view = memoryview(data)
+def inflated(data: bytes, at: int) -> tuple[bytes, int | None]:
+    """The body of the gzip member at ``at`` and the member's end. Of a cut or
+    damaged member: the body as far as it can be read, and None."""
+    z, parts, end, step = zlib.decompressobj(31), [], at, 4096
+    view = memoryview(data)
+    try:
+        # In growing steps, as the library copies what it is given beyond the member.
+        while not z.eof and end < len(data):
+            parts.append(z.decompress(view[end:end + step]))
+            end, step = min(end + step, len(data)), step * 2
+        return b"".join(parts), end - len(z.unused_data) if z.eof else None
+    except zlib.error:
+        pass
+    # An error takes the output of its whole step with it: again, in shrinking steps.
+    z, parts, end, step = zlib.decompressobj(31), [], at, 1 << 16
+    while step:
+        probe = z.copy()
         try:
-            # In growing steps, as the library copies what it is given beyond the member.
-            while not z.eof and end < len(data):
-                parts.append(z.decompress(view[end:end + step]))
-                end, step = min(end + step, len(data)), step * 2
+            parts.append(probe.decompress(view[end:end + step]))
+            z, end = probe, end + step
         except zlib.error:
-            return None
-        if not z.eof:
-            return None
-        body = b"".join(parts)
-        found, pos = [], 0
-        while pos < len(body):
-            got = parse_record(body, pos)
-            if got is None:
-                return None
-            found.append(got[:2])
+            step //= 2
+    return b"".join(parts), None
+
+
+def places(data: bytes, at: int, wanted: list[int]) -> dict[int, int]:
+    """For each length of a body, ascending, the end of the least stretch of the
+    member at ``at`` that gives so many bytes."""
+    view, z, end, made = memoryview(data), zlib.decompressobj(31), at, 0
+    out = {}
+    for n in wanted:
+        step = 4096 if n else 0
+        while step:
+            probe = z.copy()
+            try:
+                got = made + len(probe.decompress(view[end:end + step]))
+            except zlib.error:
+                got = n
+            if got < n:
+                z, end, made = probe, end + step, got
+            else:
+                step //= 2
+        out[n] = end + 1 if n else at
+    return out
+
+
+def body_records(body: bytes) -> Iterator[tuple[int, int, dict, bytes]]:
+    """(start, end, header fields, block) of the records in a member's body that
+    pass all checks; after a failed one from the next version line on."""
+    pos = 0
+    while pos < len(body):
+        got = parse_record(body, pos)
+        if got is None:
+            nxt = _VERSION.search(body, pos + 1)
+            pos = nxt.start() if nxt else len(body)
+        else:
+            yield pos, got[2], got[0], got[1]
             pos = got[2]
-        return found, end - len(z.unused_data)
-    got = parse_record(data, at)
-    return None if got is None else ([got[:2]], got[2])
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict, bytes]]:
     """("record" or "gap", offset, length, header fields, block) in file order."""
     pos, bad = 0, None
     while pos < len(data):
-        got = records_at(data, pos)
-        if got is None:
-            bad = pos if bad is None else bad
-            nxt = _START.search(data, pos + 1)
+        if data.startswith(MAGIC, pos):
+            body, end = inflated(data, pos)
+            found = list(body_records(body))
+            if end is None and len(found) == 1 and not found[0][0] and not _VERSION.match(body, found[0][1]):
+                found = []  # no second record begins: the failed checksum is this one's
+            if end is not None and sum(e - s for s, e, *_ in found) == len(body):
+                if bad is not None:
+                    yield "gap", bad, pos - bad, {}, b""
+                    bad = None
+                for _, _, fields, block in found:
+                    yield "record", pos, end - pos, fields, block
+                pos = end
+                continue
+        else:
+            body, end, found = b"", None, []
+            got = parse_record(data, pos)
+            if got is not None:
+                if bad is not None:
+                    yield "gap", bad, pos - bad, {}, b""
+                    bad = None
+                yield "record", pos, got[2] - pos, got[0], got[1]
+                pos = got[2]
+                continue
+        bad, read = pos if bad is None else bad, 0
+        at = places(data, pos, sorted({x for s, e, *_ in found for x in (s, e)}))
+        if end is not None:
+            at[len(body)] = end
+        for s, e, fields, block in found:
+            if s > read or at[s] > bad:
+                yield "gap", bad, at[s] - bad, {}, b""
+            yield "record", at[s], at[e] - at[s], fields, block
+            bad, read = at[e], e
+        if end is not None:
+            pos, bad = end, None if found and read == len(body) else bad
+        else:
+            nxt = _START.search(data, max(pos + 1, bad))
             pos = nxt.start() if nxt else len(data)
-            continue
-        if bad is not None:
-            yield "gap", bad, pos - bad, {}, b""
-            bad = None
-        for fields, block in got[0]:
-            yield "record", pos, got[1] - pos, fields, block
-        pos = got[1]
-    if bad is not None:
+    if bad is not None and bad < len(data):
         yield "gap", bad, len(data) - bad, {}, b""
 
 
