@@ -40,6 +40,14 @@ def test_held_out_accuracy_and_columns(spark):
         assert sum(part) / len(part) > 0.95
 
 
+def test_fits_on_six_thousand_labelled_rows(spark, monkeypatch):
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda rows, y, weights: seen.append(len(rows)))
+    Q.train(docs, docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality"))
+    assert seen == [6000]
+
+
 def test_edge_rows_missing_columns_and_empty_tables(spark, tmp_path):
     rows = [(i, "good plain words here. " * 9 if i % 2 else "$$$ ### !!! " * 9, "x") for i in range(60)]
     rows += [(None, None, None), (100, "", "x"), (101, "w " * 40_000, "x"), (3, rows[3][1], "x")]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import release_memory, released, table, text_batches, texts, word_hashes
 
 #: Labelled rows that the model is fitted on, at most.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 6000
 WORD_FEATURES = 1 << 16
 STEPS = 12
 FACTORS = 8
