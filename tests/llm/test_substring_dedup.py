@@ -67,6 +67,17 @@ def test_empty_table(spark, tmp_path):
     assert S.op8_substring_dedup(spark, write(spark, tmp_path, [])).count() == 0
 
 
+def test_rows_of_one_doc_id_list_each_segment_once(spark):
+    text = " ".join(f"w{i}" for i in range(300))
+    sizes = []
+    for k in (1, 40):
+        docs = spark.createDataFrame([(1, text)] + [(2, "first " + text)] * k, "doc_id LONG, text STRING")
+        lists = {r["doc_id"]: [(s["anchor"], s["seg"]) for s in r["segments"]] for r in S.removal_lists(docs, 50).collect()}
+        assert list(lists) == [2] and len(set(lists[2])) == len(lists[2])
+        sizes.append(len(lists[2]))
+    assert sizes[0] == sizes[1] > 10
+
+
 def test_rolling_hashes_and_anchors_follow_content():
     words = [b"w%d" % (i % 37) for i in range(400)]
     w = S.Windows(words)

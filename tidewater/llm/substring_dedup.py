@@ -148,7 +148,8 @@ def shared_segments(docs: DataFrame, window: int) -> DataFrame:
 def removal_lists(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, segments): of each document the segments with a repeated window:
     anchor, hash, whether the whole segment is in a smaller document, and else
-    which of its windows are. Lists are as long as their documents at most."""
+    which of its windows are. A list holds each segment once, however many rows
+    have the doc_id, and is as long as their different texts at most."""
     spark = docs.sparkSession
     rows = shared_segments(docs.filter("doc_id IS NOT NULL"), window)
     kinds = stored(spark, rows.groupBy("anchor", "seg").agg(F.min("doc_id").alias("least"), F.first("windows").alias("windows")), "segment-kinds")
@@ -164,7 +165,7 @@ def removal_lists(docs: DataFrame, window: int) -> DataFrame:
         .select("doc_id", F.struct("anchor", "seg", (F.col("least") < F.col("doc_id")).alias("whole"),
                                    F.coalesce(some, F.array().cast("array<int>")).alias("nth")).alias("s")) \
         .filter("s.whole OR size(s.nth) > 0")
-    return found.groupBy("doc_id").agg(F.collect_list("s").alias("segments"))
+    return found.groupBy("doc_id").agg(F.collect_set("s").alias("segments"))
 
 
 def covered(words: list[bytes], segments: list[dict], window: int) -> np.ndarray:
