@@ -40,6 +40,16 @@ def test_round_trip_with_copies_nulls_and_hostile_payloads(spark, tmp_path):
     assert run(spark, tmp_path, rows) == brute(rows)
 
 
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    rnd = random.Random(6)
+    rows = [(i, "u", rnd.randbytes(600_000).hex()) for i in range(32)]
+    W.write_archives(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING").coalesce(1), f"{tmp_path}/w")
+    sizes = [p.stat().st_size for p in tmp_path.glob("w/part-*")]
+    assert sum(sizes) > 16 << 20 >= max(sizes) - 20
+    got = {r["page_id"]: r["payload_digest"] for r in W.read_archives(spark, f"{tmp_path}/w").collect()}
+    assert got == {i: W.sha1_base32(h.encode()) for i, _, h in rows}
+
+
 def test_empty_table(spark, tmp_path):
     assert run(spark, tmp_path, []) == Counter()
 

@@ -1,7 +1,7 @@
 """WARC archives: a writer through Spark's text sink and a salvage reader.
 
 Writing: one record per page, each a gzip member of its own, in files that
-Spark writes to any file system it knows. Pages with equal payloads are stored
+Spark writes to any file system it knows, of bounded records and bytes. Pages with equal payloads are stored
 once; the others become ``revisit`` records. The line separator of the text
 sink is an empty gzip member, so a file is a valid multi-member gzip stream.
 
@@ -46,7 +46,9 @@ EMPTY_MEMBER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00
 
 DATE = b"2024-01-01T00:00:00Z"
 MIN_REVISIT_BYTES = 0
+#: A file ends before it passes one of these; a longer record is a file of its own.
 RECORDS_PER_FILE = 4096
+FILE_BYTES = 16 << 20
 _START = re.compile(rb"\x1f\x8b\x08|WARC/[0-9]+\.[0-9]+\r\n")
 _VERSION = re.compile(rb"WARC/[0-9]+\.[0-9]+\r\n")
 READ_DDL = ("kind string, offset long, length long, page_id long, url string, payload_bytes long, "
@@ -233,12 +235,22 @@ def described(kind: str, offset: int, length: int, fields: dict, block: bytes) -
             fields.get("warc-type"), _id(fields.get("warc-refers-to")))
 
 
-def _write_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _write_batches(batches: Iterator[pa.RecordBatch], file_bytes: int) -> Iterator[pa.RecordBatch]:
+    """One row for each file: its members after each other."""
+    def file():
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(out)], pa.binary())], names=["members"])
+    out, size = [], 0
     for b in batches:
         for i in range(0, b.num_rows, 256):
-            out = [gzip_member(record(r["page_id"], r["url"], r["payload"] or b"", r["refers_to"],
-                                      r["refers_to"] is not None)) for r in b.slice(i, 256).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
+            for r in b.slice(i, 256).to_pylist():
+                member = gzip_member(record(r["page_id"], r["url"], r["payload"] or b"", r["refers_to"], r["refers_to"] is not None))
+                if out and (size + len(member) > file_bytes or len(out) == RECORDS_PER_FILE):
+                    yield file()
+                    out, size = [], 0
+                out.append(member)
+                size += len(member)
+    if out:
+        yield file()
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,14 +274,14 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
             .groupBy("page_id", "digest").agg(F.min("refers_to").alias("refers_to")))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """Writes pages (page_id, url, html) as archives under ``path``."""
+def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> None:
+    """Writes pages (page_id, url, html) as archives of up to ``file_bytes`` under ``path``."""
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     links = revisits(p, min_bytes).withColumnsRenamed({"page_id": "of", "digest": "with"})
     linked = p.join(links, F.col("page_id").eqNullSafe(F.col("of")) & (F.sha1("payload") == F.col("with")), "left")
-    (linked.select("page_id", "url", "payload", "refers_to").mapInArrow(released(_write_batches), "member binary")
-     .select(F.col("member").cast("string")).write.option("lineSep", EMPTY_MEMBER).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    (linked.select("page_id", "url", "payload", "refers_to").mapInArrow(released(lambda batches: _write_batches(batches, file_bytes)), "members binary")
+     .select(F.col("members").cast("string")).write.option("lineSep", EMPTY_MEMBER).option("encoding", "ISO-8859-1")
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
