@@ -86,6 +86,14 @@ def test_registry_drops_null_ids_and_skips_known_ones(spark):
     assert ents[1].columns == feed.COLUMNS["S2"] and ents[1].data_schema == feed.data_schema("S2")
 
 
+def test_apply_order_is_the_order_of_the_entries(spark):
+    rows = [("S3", "a", "t", "2024-01-02"), ("S1", "A", "T", "2024-01-02"), ("S2", "a", "t", "2024-01-01"), ("S4", "a", "u", "2024-01-03")]
+    reg = spark.createDataFrame([(*r, [], None) for r in rows], REG.REGISTRY_DDL)
+    got = {r["messageSchemaId"]: r["apply_order"] for r in REG.apply_order(reg).collect()}
+    assert got == {"S2": 1, "S1": 2, "S3": 3, "S4": 1}
+    assert [e.message_schema_id for e in REG.registry_entries(reg)] == ["S2", "S1", "S3", "S4"]
+
+
 def test_struct_to_kv_keeps_other_fields(spark):
     df = spark.sql("SELECT named_struct('a', 1, 'b', named_struct('x', named_struct('p', 1, 'q', 2), 'y', 'k')) AS m")
     out = struct_to_kv(df, "m.b.x").collect()[0]["m"]

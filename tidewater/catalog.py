@@ -418,12 +418,8 @@ def q_registry_ingest(spark, d):
 
 def q_registry_order(spark, d):
     """Registry entries as the structured leg applies them: oldest schema first in each table."""
-    order: dict[str, int] = {}
-    rows = []
-    for e in REG.registry_entries(REG.read_registry(spark, registry_table(spark, d, 3))):
-        order[e.qualified] = order.get(e.qualified, 0) + 1
-        rows.append((e.schema, e.table, e.message_schema_id, e.timestamp, order[e.qualified]))
-    return spark.createDataFrame(rows, "schema STRING, table STRING, messageSchemaId STRING, timestamp STRING, apply_order BIGINT")
+    ordered = REG.apply_order(REG.read_registry(spark, registry_table(spark, d, 3)))
+    return ordered.select("schema", "table", "messageSchemaId", "timestamp", "apply_order")
 
 
 def q_route_tables(spark, d):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.config import ColumnMeta, RegistryEntry
@@ -109,6 +109,12 @@ def _column(kv) -> ColumnMeta:
                       bool(v["isKey"]), bool(v["isPii"]))
 
 
+def apply_order(registry: DataFrame) -> DataFrame:
+    """SRT-1: registry rows with their place among the schemas of their table, oldest first."""
+    oldest = Window.partitionBy(F.upper("schema"), F.upper("table")).orderBy("timestamp", "messageSchemaId")
+    return registry.withColumn("apply_order", F.row_number().over(oldest).cast("long"))
+
+
 def registry_entries(registry: DataFrame, ids: list[str] | None = None) -> list[RegistryEntry]:
     """Registry rows as driver-side entries, oldest schema first (SRT-1).
 
@@ -117,7 +123,7 @@ def registry_entries(registry: DataFrame, ids: list[str] | None = None) -> list[
     """
     if ids is not None:
         registry = registry.filter(F.col("messageSchemaId").isin(*ids))
-    rows = registry.orderBy("timestamp", "messageSchemaId").collect()
+    rows = apply_order(registry).orderBy("timestamp", "apply_order", "messageSchemaId").collect()
     return [
         RegistryEntry(r["messageSchemaId"], r["schema"], r["table"], r["timestamp"],
                       tuple(_column(kv) for kv in r["tableColumns"]),
