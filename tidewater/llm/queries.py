@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidewater.llm import bpe, decontaminate, imatch, ngram_join, quality_fm, repair_ids, secrets, sharding, substring_dedup, warc
+from tidewater.llm import (bpe, decontaminate, imatch, ngram_join, quality_fm, ranked_search, repair_ids, secrets, sharding, substring_dedup,
+                           warc)
 
 QUERIES = {f.__name__: f for f in (
     sharding.op1_virtual_slot_sharding,
@@ -15,5 +16,8 @@ QUERIES = {f.__name__: f for f in (
     substring_dedup.op8_substring_dedup,
     ngram_join.op9_ngram_jaccard_join,
     warc.op10_warc_salvage,
+    ranked_search.op13_ranked_search,
 )}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_ranked_search": ranked_search.ORACLE_SQL,
+}
