@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import (bpe, decontaminate, html_text, imatch, ngram_join, quality_fm, ranked_search, repair_ids, secrets, sharding, substring_dedup,
+from tidewater.llm import (bpe, collocations, decontaminate, html_text, imatch, ngram_join, quality_fm, ranked_search, repair_ids, secrets, sharding, substring_dedup,
                            warc)
 
 QUERIES = {f.__name__: f for f in (
@@ -16,9 +16,11 @@ QUERIES = {f.__name__: f for f in (
     substring_dedup.op8_substring_dedup,
     ngram_join.op9_ngram_jaccard_join,
     warc.op10_warc_salvage,
+    collocations.op11_phrase_collocations,
     html_text.op12_html_extraction,
     ranked_search.op13_ranked_search,
 )}
 ORACLE_SQL: dict[str, str] = {
+    "op11_phrase_collocations": collocations.ORACLE_SQL,
     "op13_ranked_search": ranked_search.ORACLE_SQL,
 }
