@@ -6,10 +6,10 @@ from helpers import as_set
 from tests_conf import smoke_dir
 from tidewater import catalog as C
 from tidewater.config import RunOptions, TableConfig
-from tidewater.plans import structured as ST
+from tidewater.plans import held, structured as ST
 from tidewater.session import scratch_path
 from tidewater.plans import registry as REG
-from tidewater.sources import feed, folders, fs, tables
+from tidewater.sources import feed, folders, tables
 
 
 def test_batch_replay_changes_nothing_and_counts_once(spark):
@@ -94,7 +94,8 @@ def test_publish_tables_skips_tables_below_their_start_version(spark):
     root, target, ck = scratch_path(spark, "st"), scratch_path(spark, "db"), scratch_path(spark, "ck")
     configs = [TableConfig("SRC", "EVENTS_0", start_version=0), TableConfig("SRC", "EVENTS_1", start_version=5),
                TableConfig("SRC", "EVENTS_2", start_version=1)]
-    ST.process_batch(spark, raw, 0, registry, configs, root, RunOptions(tables_in_parallel=3))
+    for i, week in enumerate(C.week_batches(raw)[:2]):        # two batches: two versions of each table
+        ST.process_batch(spark, week, i, registry, configs, root, RunOptions(tables_in_parallel=3))
 
     def handler_for(cfg):
         def handle(b, batch_id):
@@ -140,19 +141,107 @@ def test_rows_of_unknown_ids_are_held_until_registered_and_survive_a_replay(spar
     cfg = [TableConfig("SRC", "EVENTS")]
     opts = RunOptions(stream_id="s")
     REG.ingest_registry(spark, meta.filter(F.col("body.messageSchemaId") == "S1"), reg)
-    ST.process_batch(spark, raw, 0, REG.RegistryCache(spark, reg), cfg, root, opts, counts)
+    for _ in range(2):                                     # run, then replayed
+        ST.process_batch(spark, raw, 0, REG.RegistryCache(spark, reg), cfg, root, opts, counts)
     path = ST.table_path(root, "SRC", "EVENTS")
     assert as_set(tables.read_table(spark, path), "_messageSchemaId") == {("S1",)}
-    assert fs.list_names(spark, f"{root}/_held") == ["S2"]
+    assert held.held_ids(spark, root, "s") == ["S2"]
     REG.ingest_registry(spark, meta, reg)
-    for _ in range(2):                                     # run, then replayed
+    for _ in range(2):
         ST.process_batch(spark, raw.limit(0), 1, REG.RegistryCache(spark, reg), cfg, root, opts, counts)
         assert ("S2",) in as_set(tables.read_table(spark, path), "_messageSchemaId")
-    n = folders.read(spark, counts).filter("messageSchemaId = 'S2'").count()
-    assert n > 0
+    detail = folders.read(spark, counts).filter("messageSchemaId = 'S2'")
+    counted = detail.agg(F.sum(F.coalesce("INSERT", F.lit(0)) + F.coalesce("UPDATE", F.lit(0)) + F.coalesce("DELETE", F.lit(0)))).first()[0]
+    assert counted == raw.filter("body.messageSchemaId = 'S2'").count()        # held once, though batch 0 ran twice
     ST.process_batch(spark, raw.limit(0), 2, REG.RegistryCache(spark, reg), cfg, root, opts, counts)
-    assert not fs.list_names(spark, f"{root}/_done") and not fs.list_names(spark, f"{root}/_held")
-    assert folders.read(spark, counts).filter("messageSchemaId = 'S2'").count() == n
+    assert held.held_ids(spark, root, "s") == []
+    assert folders.read(spark, counts).filter("messageSchemaId = 'S2'").count() == detail.count()
+
+
+def test_streams_over_one_root_hold_and_release_their_own_rows(spark):
+    d = smoke_dir()
+    raw = C.raw_table(spark, d, 3)
+    meta = feed.metadata_envelopes(C.events(spark, d), 3)
+    reg, root, alone = scratch_path(spark, "reg"), scratch_path(spark, "st"), scratch_path(spark, "st")
+    groups = {"a": [TableConfig("SRC", "EVENTS_0")], "b": [TableConfig("SRC", f"EVENTS_{p}") for p in (1, 2)]}
+    REG.ingest_registry(spark, meta.filter(F.col("body.messageSchemaId").startswith("S1")), reg)
+
+    def run(stream, batch, batch_id):
+        ST.process_batch(spark, batch, batch_id, REG.RegistryCache(spark, reg), groups[stream], root, RunOptions(stream_id=stream))
+    weeks = C.week_batches(raw)
+    for i in range(3):
+        run("b", weeks[i], i)
+    for i in range(2):
+        run("a", weeks[i], i)
+    REG.ingest_registry(spark, meta, reg)
+    run("a", weeks[2], 2)                  # a's batch 2 before b's batch 3
+    run("b", weeks[3], 3)
+    run("a", weeks[3], 3)
+    ST.process_batch(spark, raw, 0, REG.read_registry(spark, reg), groups["a"] + groups["b"], alone, RunOptions())
+    for t in ("EVENTS_0", "EVENTS_1", "EVENTS_2"):
+        got, want = (as_set(tables.read_table(spark, ST.table_path(r, "SRC", t)).drop("_structuredLayerProcessingTime")) for r in (root, alone))
+        assert got == want and ("S2_" in str(want))
+
+
+def test_rows_without_schema_id_are_kept_once(spark):
+    d = smoke_dir()
+    raw = C.raw_table(spark, d).limit(20)
+    nulls = raw.withColumn("body", F.col("body").withField("messageSchemaId", F.lit(None).cast("string"))).limit(7)
+    odd = raw.withColumn("body", F.col("body").withField("messageSchemaId", F.lit("a/b=ü*"))).limit(3)
+    reg, root = C.registry_table(spark, d, 1), scratch_path(spark, "st")
+    opts = RunOptions(stream_id="s", log_path=scratch_path(spark, "log"))
+    for _ in range(2):
+        ST.process_batch(spark, raw.unionByName(nulls).unionByName(odd), 0, REG.RegistryCache(spark, reg), [TableConfig("SRC", "EVENTS")], root, opts)
+    ST.process_batch(spark, raw.limit(0), 1, REG.RegistryCache(spark, reg), [TableConfig("SRC", "EVENTS")], root, opts)
+    assert folders.read(spark, f"{root}/{held.DEAD}").count() == 7
+    assert held.held_ids(spark, root, "s") == ["a/b=ü*"] and held.held_ids(spark, root, "other") == []
+    assert any("without a schema id" in r["message"] for r in folders.read(spark, opts.log_path).collect())
+
+
+def test_versions_in_one_merge_are_as_merges_one_after_another(spark):
+    """Also with a personal column and where the newer version lacks a column of the older."""
+    import dataclasses
+    d = smoke_dir()
+    raw = C.raw_table(spark, d)
+    s1, s2 = C.entries()
+    less = dataclasses.replace(s2, columns=tuple(c for c in s2.columns if c.name != "KVAL"))
+    cfg = TableConfig("SRC", "EVENTS")
+    for pair in ([s1, s2], [s2, s1], [s1, less]):
+        one, other = scratch_path(spark, "st"), scratch_path(spark, "st")
+        for i, batch in enumerate([raw.filter("enqueuedTime >= '2024-01-10'"), raw.filter("enqueuedTime < '2024-01-20'"), raw]):
+            ST.process_table(spark, batch, i, pair, cfg, one, RunOptions())
+            for e in pair:
+                ST.process_schema(spark, batch, i, e, cfg, other, RunOptions())
+        got, want = (tables.read_table(spark, ST.table_path(r, "SRC", "EVENTS")).drop("_structuredLayerProcessingTime") for r in (one, other))
+        assert got.columns == want.columns and got.schema == want.schema
+        assert as_set(got) == as_set(want)
+
+
+def test_jobs_do_not_grow_with_schema_ids(spark):
+    import dataclasses
+    d = smoke_dir()
+    raw = C.raw_table(spark, d)
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(versions):
+        part = F.pmod(F.xxhash64("body.message"), F.lit(versions))
+        ids = F.concat(F.col("body.messageSchemaId"), F.lit("-"), part)
+        batch = raw.withColumn("body", F.col("body").withField("messageSchemaId", ids))
+        entries = [dataclasses.replace(e, message_schema_id=f"{e.message_schema_id}-{v}") for e in C.entries() for v in range(versions)]
+
+        class Registry(REG.RegistryCache):
+            def __init__(self):
+                super().__init__(spark, "")
+                self.by_id = {e.message_schema_id: e for e in entries}
+        group = f"ids-{versions}"
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            out = ST.process_batch(spark, batch, 0, Registry(), [TableConfig("SRC", "EVENTS")], scratch_path(spark, "st"), RunOptions(tables_in_parallel=1))
+            assert len(out["SRC.EVENTS"]) == 2 * versions
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+    assert 0 < jobs(5) <= jobs(1) + 1
 
 
 def test_datetime_starts_are_read_in_the_session_zone(spark):

@@ -124,13 +124,21 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
 
 
+def change_order(df: DataFrame, seq: str = "_changeSequence", op: str | None = "_operation") -> Column:
+    """What decides between changes of one key: sequence (NULL last), operation rank,
+    then a hash of the whole row, so ties have one deterministic winner (H3)."""
+    return F.struct(
+        F.col(seq).alias("seq"),
+        (operation_rank(F.col(op)) if op else F.lit(0)).alias("rank"),
+        row_hash(df).alias("tie"),
+    )
+
+
 def latest_per_key(df: DataFrame, keys: list[str], seq: str = "_changeSequence",
                    op: str | None = "_operation") -> DataFrame:
     """WIN-1 / WIN-2: the latest change per key.
 
-    Order: sequence descending (NULL last), then operation rank, then a hash
-    of the whole row, so ties have one deterministic winner (H3). A NULL key
-    is one key. Expressed as ``max_by(row, order)`` per key: a partial
+    By ``change_order``, descending. A NULL key is one key. Expressed as ``max_by(row, order)`` per key: a partial
     aggregate runs before the shuffle, so a hot key costs one row per input
     partition, not one task holding all its rows.
     """
@@ -139,12 +147,7 @@ def latest_per_key(df: DataFrame, keys: list[str], seq: str = "_changeSequence",
     if len(key_cols) != len(key_set):
         raise ValueError(f"keys {keys} not all in {df.columns}")
     rest = [c for c in df.columns if c.upper() not in key_set]
-    order = F.struct(
-        F.col(seq).alias("seq"),
-        (operation_rank(F.col(op)) if op else F.lit(0)).alias("rank"),
-        row_hash(df).alias("tie"),
-    )
-    best = df.groupBy(*key_cols).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__best"))
+    best = df.groupBy(*key_cols).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), change_order(df, seq, op)).alias("__best"))
     return best.select(*[F.col(c) if c in key_cols else F.col(f"__best.`{c}`").alias(c) for c in df.columns])
 
 

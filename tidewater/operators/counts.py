@@ -25,16 +25,18 @@ def count_input(decoded: DataFrame, content: str = "content", keep: tuple[str, .
     )
 
 
-def pivot_counts(counts_in: DataFrame, values: list[str] | None = None,
-                 op: str = COUNT_OPERATION) -> DataFrame:
-    """AGG-3: count per (3 dates) pivoted on the operation.
+def pivot_counts(counts_in: DataFrame, values: list[str | None] | None = None, op: str = COUNT_OPERATION,
+                 keys: tuple[str, ...] = COUNT_DATES) -> DataFrame:
+    """AGG-3: count per ``keys`` (the 3 dates) pivoted on the operation.
 
     With ``values`` the pivot needs no extra pass to discover them. Without,
-    Spark discovers them (a NULL operation becomes the column ``null``).
+    Spark discovers them. A NULL operation becomes the column ``null``.
     """
-    grouped = counts_in.groupBy(*COUNT_DATES)
-    pivoted = grouped.pivot(op, values) if values is not None else grouped.pivot(op)
-    return pivoted.agg(F.count(F.lit(1)))
+    grouped = counts_in.groupBy(*keys)
+    if values is None:
+        return grouped.pivot(op).agg(F.count(F.lit(1)))
+    counted = [F.count(F.when(F.col(op).eqNullSafe(F.lit(v)), 1)) for v in values]
+    return grouped.agg(*[F.when(c > 0, c).alias("null" if v is None else v) for v, c in zip(values, counted)])
 
 
 def count_rollup(detail: DataFrame, operations: tuple[str, ...] = OPERATIONS) -> DataFrame:

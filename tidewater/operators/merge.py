@@ -80,6 +80,56 @@ def merge_upsert(existing: DataFrame, updates: DataFrame, keys: list[str], seq:
     return joined.select(F.explode(rows).alias("__r")).select("__r.*")
 
 
+def merge_versions(existing: DataFrame | None, updates: DataFrame, keys: list[str], versions: list[tuple[str, list[str]]],
+                   seq: str = "_changeSequence") -> DataFrame:
+    """The module contract for several update sets of one table in a row, in one join.
+
+    ``updates`` has one row per key: the key columns and, for each of ``versions``
+    (name, columns it may update), a struct with that set's row or NULL. The
+    sets apply in order, each to what those before it left; the change rows show
+    what came of all of them together. ``existing`` is None for a new table."""
+    e_cols = [c for c in existing.columns if c != ROW_KIND] if existing is not None else []
+    types = {f.name.upper(): f.dataType for f in existing.schema.fields} if existing is not None else {}
+    names = {c.upper(): c for c in e_cols}
+    right = updates.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)], *[v for v, _ in versions])
+    if existing is None:
+        rows = right.withColumn("__ep", F.lit(False))
+    else:
+        e_alias = {c.upper(): f"__e{i}" for i, c in enumerate(e_cols)}
+        left = existing.select(*[F.col(f"`{c}`").alias(e_alias[c.upper()]) for c in e_cols], F.lit(True).alias("__in"))
+        conds = [F.col(e_alias[k.upper()]).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+        rows = left.join(right, reduce(lambda a, b: a & b, conds), "full_outer").withColumn("__ep", F.col("__in").isNotNull())
+    before = {u: F.col(f"__e{i}") for i, u in enumerate(names)}
+    state = {u: (f"__s{i}", before[u]) for i, u in enumerate(names)}
+    rows = rows.select("*", *[c.alias(a) for a, c in state.values()], F.col("__ep").alias("__has"), F.lit(False).alias("__changed"))
+    kept = [c for c in rows.columns if not c.startswith("__s") and c not in ("__has", "__changed")]
+    slots = {u: a for u, (a, _) in state.items()}
+    for version, may_update in versions:
+        fields = {f.name.upper(): f for f in updates.schema[version].dataType.fields}
+        updatable = {c.upper() for c in may_update}
+        newer = F.col(f"{version}.`{fields[seq.upper()].name}`") > F.col(slots[seq.upper()]) if seq.upper() in slots else F.lit(False)
+        rows = rows.withColumn("__take", F.col(version).isNotNull() & (~F.col("__has") | F.coalesce(newer, F.lit(False))))
+        out = {}
+        for u, slot in slots.items():
+            if u in fields:
+                use = F.col("__take") if u in updatable else F.col("__take") & ~F.col("__has")
+                out[slot] = F.when(use, F.col(f"{version}.`{fields[u].name}`").cast(types[u])).otherwise(F.col(slot))
+            else:
+                out[slot] = F.col(slot)
+        for u, f in fields.items():
+            if u not in slots:
+                slots[u], names[u], types[u] = f"__s{len(slots)}", f.name, f.dataType
+                out[slots[u]] = F.when(F.col("__take") if u in updatable else F.col("__take") & ~F.col("__has"), F.col(f"{version}.`{f.name}`"))
+        rows = rows.select(*kept, *[c.alias(a) for a, c in out.items()], (F.col("__has") | F.col("__take")).alias("__has"),
+                           (F.col("__changed") | F.col("__take")).alias("__changed"))
+    post = [F.col(slots[u]).alias(n) for u, n in names.items()]
+    pre = [before.get(u, F.lit(None).cast(types[u])).alias(n) for u, n in names.items()]
+    kind = F.when(F.col("__changed") & ~F.col("__ep"), "I").when(F.col("__changed"), "U").otherwise("C")
+    both = F.when(kind == "U", F.array(F.struct(*post, F.lit("U").alias(ROW_KIND)), F.struct(*pre, F.lit("P").alias(ROW_KIND)))) \
+        .otherwise(F.array(F.struct(*post, kind.alias(ROW_KIND))))
+    return rows.select(F.explode(both).alias("__r")).select("__r.*")
+
+
 def snapshot_rows(merged: DataFrame) -> DataFrame:
     """Rows of the next snapshot, without the kind column."""
     return merged.filter(F.col(ROW_KIND).isin(*SNAPSHOT_KINDS)).drop(ROW_KIND)

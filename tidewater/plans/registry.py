@@ -132,6 +132,12 @@ def registry_entries(registry: DataFrame, ids: list[str] | None = None) -> list[
     ]
 
 
+def known_ids(registry: DataFrame, ids: list[str]) -> list[str]:
+    """Those of ``ids`` (a batch's or a stream's held ones) that the registry has, by one semi-join."""
+    asked = registry.sparkSession.createDataFrame([(i,) for i in ids], "messageSchemaId STRING")
+    return sorted(r[0] for r in asked.join(registry, "messageSchemaId", "left_semi").collect())
+
+
 def route_tables(raw: DataFrame, registry: DataFrame, listed: list[str]) -> DataFrame:
     """JON-4: attach schema/table to each raw row by schema id; keep listed
     tables only, compared case-insensitively. The registry side is a small
@@ -151,6 +157,12 @@ class RegistryCache:
         self.spark, self.path = spark, path
         self.by_id: dict[str, RegistryEntry] = {}
 
+    def known(self, ids: list[str]) -> list[str]:
+        """Those of ``ids`` that are registered."""
+        missing = [i for i in ids if i not in self.by_id]
+        found = known_ids(read_registry(self.spark, self.path), missing) if missing else []
+        return sorted({i for i in ids if i in self.by_id} | set(found))
+
     def entries(self, ids: list[str]) -> list[RegistryEntry]:
         missing = [i for i in ids if i not in self.by_id]
         if missing:

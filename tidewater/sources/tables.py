@@ -20,12 +20,14 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators.merge import CHANGE_KINDS, ROW_KIND, SNAPSHOT_KINDS, merge_upsert
+from tidewater.operators.merge import merge_versions as combine_versions
 from tidewater.sources import fs
 
 COMMITS, BUCKET, DIR = "_commits", "_bucket", "_dir"
@@ -74,7 +76,8 @@ def bucket_of(keys: list[str], n: int) -> Column:
     return F.concat_ws("-", F.lit(n), F.pmod(_hash(keys), F.lit(n)))
 
 
-def _merge_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+def merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, then the new ones that it lacks."""
     names = {f.name.upper() for f in old.fields}
     return T.StructType(list(old.fields) + [f for f in new.fields if f.name.upper() not in names])
 
@@ -108,18 +111,37 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return _scan(spark, path, schema, _folders(meta)).filter(F.col(ROW_KIND).isin(*SNAPSHOT_KINDS)).select(*schema.fieldNames())
 
 
+def _bucketed(rows: DataFrame, keys: list[str], n: int, own: dict[str, int]) -> DataFrame:
+    """``rows`` with the name of their bucket: modulo ``n``, or ``own`` of the bucket that
+    they lie in now. There is one small lookup table for each level of buckets."""
+    if not own:
+        return rows.withColumn(BUCKET, bucket_of(keys, n))
+    levels: dict[int, list[tuple[int, int]]] = {}
+    for b, m in own.items():
+        levels.setdefault(_split(b)[0], []).append((_split(b)[1], m))
+    out = rows.withColumn("_h", _hash(keys))
+    for level, plan in levels.items():
+        lookup = F.broadcast(rows.sparkSession.createDataFrame(plan, f"_b{level} long, _n{level} long"))  # buckets of the table at most
+        out = out.join(lookup, F.pmod("_h", F.lit(level)) == F.col(f"_b{level}"), "left")
+    own_n = F.coalesce(*[F.col(f"_n{level}") for level in levels], F.lit(n))
+    return out.select(*rows.columns, F.concat_ws("-", own_n, F.pmod("_h", own_n)).alias(BUCKET))
+
+
 def _bucket_sizes(spark: SparkSession, path: str, token: str) -> dict[str, int]:
-    return {n.split("=", 1)[1]: fs.total_size(spark, f"{path}/{DIR}={token}/{n}")
-            for n in fs.list_names(spark, f"{path}/{DIR}={token}") if n.startswith(f"{BUCKET}=")}
+    """Bytes that a write left in each bucket: one aggregate over its files' lengths."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/{DIR}={token}")
+    named = files.select(F.regexp_extract("path", f"/{BUCKET}=([^/]+)/", 1).alias("bucket"), "length")
+    return {r["bucket"]: r["bytes"] for r in named.groupBy("bucket").agg(F.sum("length").alias("bytes")).collect()}  # one row a bucket
 
 
 def _commit(spark: SparkSession, path: str, rows: DataFrame, operation: str, keys: list[str], prev: dict | None,
-            replaced: list[str], n: int) -> int:
+            replaced: list[str], n: int, own: dict[str, int] | None = None) -> int:
     """Writes ``rows`` (with ``_row_kind``) into a new folder of buckets modulo
-    ``n`` and commits it in place of the buckets ``replaced``."""
+    ``n``, or what ``own`` says for their present bucket, and commits it in place of
+    the buckets ``replaced``."""
     v = prev["version"] + 1 if prev else 0
     token = f"{v:020d}-{uuid.uuid4().hex[:12]}"
-    out = rows.withColumn(BUCKET, bucket_of(keys, n)).hint("rebalance", BUCKET)
+    out = _bucketed(rows, keys, n, own or {}).hint("rebalance", BUCKET)
     out.write.partitionBy(BUCKET, ROW_KIND).parquet(f"{path}/{DIR}={token}")
     sizes = _bucket_sizes(spark, path, token)
     kept = {b: e for b, e in (prev["buckets"].items() if prev else ()) if b not in set(replaced)}
@@ -128,8 +150,8 @@ def _commit(spark: SparkSession, path: str, rows: DataFrame, operation: str, key
     written = {t: c for t, c in {**(prev["written"] if prev else {}), token: len(sizes)}.items() if t in used}
     schema = T.StructType([f for f in rows.schema.fields if f.name != ROW_KIND])
     if prev:
-        schema = _merge_schema(T.StructType.fromJson(prev["schema"]), schema)
-    record = {"version": v, "operation": operation, "keys": keys, "modulus": max(n, prev["modulus"] if prev else n),
+        schema = merged_schema(T.StructType.fromJson(prev["schema"]), schema)
+    record = {"version": v, "operation": operation, "keys": keys, "modulus": max(n, prev["modulus"] if prev else n, *(own or {}).values()),
               "timestamp": _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"), "dir": token,
               "change_bytes": sum(sizes.values()), "schema": json.loads(schema.json()), "buckets": buckets, "written": written}
     if not fs.create_new(spark, _commit_path(path, v), json.dumps(record)):
@@ -165,6 +187,23 @@ def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], s
 
     Only buckets that hold an updated key are read, joined and rewritten. With
     no update rows nothing is written and None is returned."""
+    def combined(existing: DataFrame | None, upd: DataFrame) -> DataFrame:
+        return upd.withColumn(ROW_KIND, F.lit("I")) if existing is None else merge_upsert(existing, upd, keys, seq, update_cols)
+    return _merge(spark, path, updates, keys, combined, [], buckets, bucket_bytes)[0]
+
+
+def merge_versions(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], versions: list[tuple[str, list[str]]],
+                   seq: str = "_changeSequence", buckets: int = DEFAULT_BUCKETS,
+                   bucket_bytes: int = BUCKET_BYTES) -> tuple[int | None, set[str]]:
+    """``merge`` of several update sets in a row (``operators.merge.merge_versions``);
+    also the names of those that have rows."""
+    def combined(existing: DataFrame | None, upd: DataFrame) -> DataFrame:
+        return combine_versions(existing, upd, keys, versions, seq)
+    return _merge(spark, path, updates, keys, combined, [v for v, _ in versions], buckets, bucket_bytes)
+
+
+def _merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], combined: Callable, sets: list[str],
+           buckets: int, bucket_bytes: int) -> tuple[int | None, set[str]]:
     meta = _latest(spark, path)
     types = {f.name.upper(): f.dataType for f in T.StructType.fromJson(meta["schema"]).fields} if meta else {}
     key_set = {k.upper() for k in keys}
@@ -173,24 +212,36 @@ def merge(spark: SparkSession, path: str, updates: DataFrame, keys: list[str], s
                            else F.col(f"`{c}`") for c in updates.columns]).persist()
     try:
         modulus = meta["modulus"] if meta else 1
-        # As many slots as the table has buckets, at most.
-        slots = [r[0] for r in upd.select(F.pmod(_hash(keys), F.lit(modulus)).alias("s")).distinct().collect()]
+        # One row: as many slots as the table has buckets, at most.
+        head = upd.agg(F.collect_set(F.pmod(_hash(keys), F.lit(modulus))).alias("slots"),
+                       *[F.max(F.col(s).isNotNull()).alias(s) for s in sets]).first()
+        slots, present = head["slots"], {s for s in sets if head[s]}
         if not slots:
-            return None
+            return None, set()
         if not meta:
-            return overwrite(spark, path, upd, keys, buckets)
+            return _commit(spark, path, combined(None, upd), "overwrite", list(keys), None, [], _power(buckets)), present
         touched = _touched(meta, slots)
         schema = T.StructType.fromJson(meta["schema"])
         folders = [f"{DIR}={meta['buckets'][b][0]}/{BUCKET}={b}" for b in touched]
         existing = _scan(spark, path, schema, folders).filter(F.col(ROW_KIND).isin(*SNAPSHOT_KINDS)).select(*schema.fieldNames())
-        # Slots whose bucket has no rows yet are written at the common modulus as well.
-        n = max([_split(b)[0] * _power(-(-meta["buckets"][b][1] // bucket_bytes)) for b in touched], default=modulus)
-        n = max(n, modulus if len(touched) < len(slots) else 1)
-        return _commit(spark, path, merge_upsert(existing, upd, keys, seq, update_cols), "merge", meta["keys"], meta, touched, n)
+        need = {b: _split(b)[0] * _power(-(-meta["buckets"][b][1] // bucket_bytes)) for b in touched}
+        # Slots whose bucket has no rows yet are written at the common modulus.
+        whole = touched and len(set(need.values())) == 1 and _covers(touched, slots)
+        n = next(iter(need.values())) if whole else modulus
+        own = {} if whole else {b: m for b, m in need.items() if m != n}
+        return _commit(spark, path, combined(existing, upd), "merge", meta["keys"], meta, touched, n, own), present
     finally:
         upd.unpersist()
 
 
+def _covers(touched: list[str], slots: list[int]) -> bool:
+    """Whether each slot lies in a bucket."""
+    by_level: dict[int, set[int]] = {}
+    for n, b in map(_split, touched):
+        by_level.setdefault(n, set()).add(b)
+    return all(any(s % n in have for n, have in by_level.items()) for s in slots)
+
+
 def delete_where(spark: SparkSession, path: str, predicate: Column) -> int:
     """SNK-10: drop rows where the predicate is true; NULL keeps the row. Only
     buckets with such a row are rewritten; without any, nothing is committed."""
