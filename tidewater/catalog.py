@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.config import RegistryEntry, RunOptions, TableConfig, parse_table_config
-from tidewater.functions.codec import RAW_SCHEMA
+from tidewater.functions.codec import RAW_SCHEMA, decode
 from tidewater.functions.columns import default_columns, framework_columns, trim_strings
 from tidewater.functions.crypto import decrypt_columns, encrypt_columns, protect_key, register_sql_functions
 from tidewater.functions.structs import struct_to_kv
@@ -61,8 +61,7 @@ def present(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- inputs
 
 def events(spark: SparkSession, d: str) -> DataFrame:
-    """The table, dealt out by its unique id: the feed's payloads are made of it row by row."""
-    return spark.read.parquet(f"{d}/events.parquet").repartition(spark.sparkContext.defaultParallelism, "event_id")
+    return spark.read.parquet(f"{d}/events.parquet")
 
 
 def entries(n_tables: int = 1) -> list[RegistryEntry]:
@@ -154,10 +153,9 @@ def q_nested_project(spark, d):
                             F.col("enqueuedTime").alias("enqueuedTime")))
 
 
-def q_decode_payload(spark, d):
+def _decoded_columns(decoded_by_id) -> DataFrame:
     parts = []
-    for e in entries():
-        x = decoded(spark, d, e)
+    for e, x in decoded_by_id:
         parts.append(x.select(
             F.lit(e.message_schema_id).alias("messageSchemaId"),
             F.col("content.headers.operation").alias("operation"),
@@ -172,6 +170,19 @@ def q_decode_payload(spark, d):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def q_decode_payload(spark, d):
+    return _decoded_columns((e, decoded(spark, d, e)) for e in entries())
+
+
+def q_decode_avro(spark, d):
+    """The event log with Avro bodies: envelopes, then payloads by the schema of their id."""
+    log = feed.avro_log(events(spark, d)).withColumn("rawLayerProcessingTime", F.current_timestamp())
+    envelopes = log.withColumn("body", decode(F.col("body"), feed.AVRO_ENVELOPE, "avro"))
+    opts = RunOptions(codec="avro")
+    avro = [replace(e, data_schema=feed.avro_schema(e.message_schema_id)) for e in entries()]
+    return _decoded_columns((e, ST.decode_rows(envelopes, e, opts)) for e in avro)
+
+
 def q_flatten_image(spark, d):
     parts = [ST.change_rows_of(decoded(spark, d, e), e, None) for e in entries()]
     flat = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -518,14 +529,18 @@ def q_raw_ingest(spark, d):
 
 
 def _structured_run(spark, d, n_tables: int, workers: int) -> tuple[str, list[RegistryEntry]]:
+    """The structured stream over a raw table that came in six appends, in as many
+    micro-batches: a limit of one byte admits one file at a time."""
     raw_path = scratch_path(spark, "raw")
-    raw(spark, d, n_tables).write.parquet(raw_path)
+    rows = raw(spark, d, n_tables)
+    for i in range(6):
+        rows.filter(F.pmod(F.xxhash64("body.message"), F.lit(6)) == i).coalesce(1).write.mode("append").parquet(raw_path)
     reg_path = registry_table(spark, d, n_tables)
     ents = entries(n_tables)
     configs = [TableConfig(e.schema, e.table) for e in ents if e.message_schema_id.startswith("S1")]
     root, ck = scratch_path(spark, "structured"), scratch_path(spark, "ck")
     opts = RunOptions(tables_in_parallel=workers)
-    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=opts.max_bytes_per_trigger)
+    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=1)
     q = streams.start_structured(stream, reg_path, configs, root, ck, opts, available_now=True)
     streams.drain(q)
     return root, ents
@@ -606,6 +621,30 @@ def q_late_registry(spark, d):
     return present(tables.read_table(spark, ST.table_path(root, feed.SOURCE_SCHEMA, feed.SINGLE_TABLE)))
 
 
+def q_late_registry_groups(spark, d):
+    """Two priority groups as streams of their own over one root. The later schema of all
+    tables is registered after most of its data came, and the streams run unevenly."""
+    raw_path, reg, root, ck = (scratch_path(spark, n) for n in ("raw", "registry", "groups", "ck"))
+    meta = feed.metadata_envelopes(events(spark, d), 3)
+    REG.ingest_registry(spark, meta.filter(F.col("body.messageSchemaId").startswith("S1")), reg)
+    names = [f"{feed.SOURCE_SCHEMA}.{feed.SINGLE_TABLE}_{p}" for p in range(3)]
+    start = "2023-01-01 00:00:00"
+    groups = {"P1": {names[0]: start}, "P2": {n: start for n in names[1:]}}
+
+    def run(group):
+        stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA)
+        streams.drain(streams.start_structured(stream, reg, parse_table_config(groups, group), root, f"{ck}/{group}", OPTS,
+                                               available_now=True))
+    for i, week in enumerate(week_batches(raw(spark, d, 3))):
+        week.write.mode("append").parquet(raw_path)
+        if i == 2:
+            REG.ingest_registry(spark, meta, reg)
+        for group in {0: ["P2"], 1: ["P1", "P2"], 2: ["P1"], 3: ["P2", "P1"]}[i]:
+            run(group)
+    parts = [tables.read_table(spark, ST.table_path(root, *n.split("."))).withColumn("table", F.lit(n.split(".")[1])) for n in names]
+    return present(reduce(lambda a, b: a.unionByName(b), parts))
+
+
 def q_pii_pipeline(spark, d):
     """A PII column from the source's cipher text to the table's cells to the
     staged plain text; its type is configured per table."""
@@ -660,6 +699,7 @@ QUERIES = {
     "trim_strings": q_trim_strings,
     "default_columns": q_default_columns,
     "decode_payload": q_decode_payload,
+    "decode_avro": q_decode_avro,
     "late_arrival": q_late_arrival,
     "merge_replay": q_merge_replay,
     "fanout_tables": q_fanout_tables,
@@ -685,5 +725,6 @@ QUERIES = {
     "publish_tables": q_publish_tables,
     "merge_growth": q_merge_growth,
     "late_registry": q_late_registry,
+    "late_registry_groups": q_late_registry_groups,
     "pii_pipeline": q_pii_pipeline,
 }

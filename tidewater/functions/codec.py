@@ -1,7 +1,8 @@
 """Envelope and payload codecs (FUN-12).
 
-The wire payload is JSON by default. Avro is used only when the spark-avro
-package is on the classpath.
+The wire payload is JSON by default. Avro records are decoded over Arrow batches
+(``functions.avro``); where the spark-avro package is on the classpath, the
+codec ``spark-avro`` uses it instead.
 """
 
 from __future__ import annotations
@@ -9,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.avro.functions import from_avro
+
+from tidewater.functions.avro import decode_avro
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("magic", T.BinaryType()),
@@ -49,15 +53,13 @@ def decode_parsed(parsed: Column, payload: Column, schema: str | T.StructType, m
 
 
 def decode(payload: Column, schema: str | T.StructType, codec: str = "json", mode: str = "FAILFAST") -> Column:
-    """Decode one binary payload column by a schema (DDL text or StructType)."""
+    """Decode one binary payload column by a schema (DDL text or StructType; JSON text for Avro)."""
     if mode not in MODES:
         raise ValueError(f"decode mode must be one of {MODES}, got {mode!r}")
     if codec == "json":
         return F.from_json(payload.cast("string"), schema, {"mode": mode})
     if codec == "avro":
-        try:
-            from pyspark.sql.avro.functions import from_avro
-        except ImportError as exc:  # pragma: no cover - depends on packaging
-            raise RuntimeError("avro codec needs the spark-avro package") from exc
+        return decode_avro(payload, schema, mode)
+    if codec == "spark-avro":
         return from_avro(payload, schema, {"mode": mode})
     raise ValueError(f"unknown codec {codec!r}")

@@ -253,3 +253,5 @@ SQL = {
     "src_event_stream": f"SELECT event_id, {ts('ts')} AS ts, user_id, event_type, value, props FROM events",
     "raw_ingest": f"{BASE}\nSELECT sid AS messageSchemaId, {ts('enq')} AS enqueuedTime, true AS stamped FROM feed",
 }
+SQL["decode_avro"] = SQL["decode_payload"]
+SQL["late_registry_groups"] = _fanout()

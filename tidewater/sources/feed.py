@@ -10,10 +10,13 @@ Everything here is a projection, so it scales with the events table.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.config import ColumnMeta
+from tidewater.functions.avro import encode_avro
 from tidewater.plans.registry import COLUMN_DDL
 
 # Fixed values of the derived feed.
@@ -127,6 +130,43 @@ def data_envelopes(events: DataFrame, tables: int = 1) -> DataFrame:
     )
 
 
+def avro_schema(schema_id: str) -> str:
+    """``data_schema`` as an Avro schema."""
+    wire = {"BIGINT": "long", "STRING": "string"}
+
+    def record(name: str, fields: dict[str, object]) -> dict:
+        return {"type": "record", "name": name, "fields": [{"name": n, "type": ["null", t], "default": None} for n, t in fields.items()]}
+    image = record(f"image_{schema_id}", {c.name: wire[WIRE_TYPES[c.name]] for c in COLUMNS[schema_id]})
+    return json.dumps(record(f"change_{schema_id}", {
+        "headers": record("change_headers", {n: "string" for n in ("operation", "changeSequence", "timestamp")}),
+        "data": image, "beforeData": f"image_{schema_id}"}))
+
+
+#: The envelope as an Avro schema.
+AVRO_ENVELOPE = json.dumps({"type": "record", "name": "envelope", "fields": [
+    {"name": "magic", "type": {"type": "fixed", "name": "magic_bytes", "size": 5}},
+    {"name": "type", "type": "string"},
+    {"name": "headers", "type": ["null", {"type": "map", "values": "string"}]},
+    *[{"name": n, "type": ["null", "string"]} for n in ("messageSchemaId", "messageSchema")],
+    {"name": "message", "type": "bytes"}]})
+
+
+def avro_log(events: DataFrame, tables: int = 1) -> DataFrame:
+    """The event log with Avro bodies: binary ``body`` and ``enqueuedTime``. Payloads are written by
+    the schema of their version, and envelopes around them."""
+    ch = change_events(events, tables)
+    content_of = content(ch)
+    message = F.lit(None).cast("binary")
+    for sid in COLUMNS:
+        names = [c.name for c in COLUMNS[sid]]
+        row = F.struct(content_of["headers"].alias("headers"), *[
+            F.when(content_of[part].isNotNull(), F.struct(*[content_of[part][n].alias(n) for n in names])).alias(part) for part in ("data", "beforeData")])
+        message = F.when(F.col("schema_id") == sid, encode_avro(F.when(F.col("schema_id") == sid, row), avro_schema(sid))).otherwise(message)
+    return ch.withColumn("message", message).select(
+        encode_avro(_envelope("data", F.lit(None).cast("string"), F.col("message")), AVRO_ENVELOPE).alias("body"),
+        (F.col("ts") + F.expr(f"INTERVAL {ENQUEUE_DELAY_S} SECONDS")).cast("timestamp").alias("enqueuedTime"))
+
+
 def _metadata_message(schema_id: str) -> Column:
     cols = F.struct(*[
         F.struct(
