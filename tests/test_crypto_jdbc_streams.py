@@ -79,7 +79,7 @@ def test_stream_drain_and_graceful_stop(spark):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.LongType())])
     q = (streams.read_event_stream(spark, src, schema, max_files=1).writeStream.format("parquet")
          .option("checkpointLocation", ck).trigger(processingTime="1 second").start(out))
-    assert streams.stop_when_idle(q, poll_s=0.5, timeout_s=60)
+    assert streams.stop_when_idle(spark, q, timeout_s=60)
     assert not q.isActive
     assert spark.read.parquet(out).count() == 100
     # a second run over the same checkpoint finds nothing new
@@ -99,7 +99,7 @@ def test_forced_stop_after_timeout(spark):
          .writeStream.foreachBatch(slow).option("checkpointLocation", ck).trigger(processingTime="100 milliseconds")
          .start())
     time.sleep(1.5)
-    assert streams.stop_when_idle(q, poll_s=0.2, timeout_s=1) is False
+    assert streams.stop_when_idle(spark, q, timeout_s=1) is False
     assert not q.isActive
 
 
@@ -137,7 +137,7 @@ def test_find_query_by_name(spark):
          .queryName("tw_find_me").option("checkpointLocation", ck).start())
     try:
         assert streams.find_query(spark, "tw_find_me", wait_s=5).id == q.id
-        assert streams.find_query(spark, "tw_absent", wait_s=0.2, poll_s=0.1) is None
+        assert streams.find_query(spark, "tw_absent", wait_s=0.2) is None
     finally:
         q.stop()
 

@@ -103,10 +103,44 @@ def test_a_version_is_committed_once_and_whole(spark):
 
 
 def test_merge_leaves_no_cached_frames(spark):
-    path = scratch_path(spark, "t")
+    def cached():
+        return {i.id() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo() if i.numCachedPartitions()}
+    path, before = scratch_path(spark, "t"), cached()
     tables.merge(spark, path, rows(spark, ("A", "INSERT", "100", "1")), ["RRN"])
     tables.merge(spark, path, rows(spark, ("A", "UPDATE", "101", "2")), ["RRN"])
-    assert all(i.numCachedPartitions() == 0 for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    assert cached() <= before
+
+
+def test_a_large_bucket_splits_alone(spark):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, rows(spark, *[(f"K{i}", "INSERT", "100", "a") for i in range(40)]), ["RRN"], buckets=4)
+    name = spark.createDataFrame([(f"L{i}",) for i in range(4000)], "RRN STRING").withColumn("b", tables.bucket_of(["RRN"], 4))
+    big = [r["RRN"] for r in name.filter("b = '4-1'").collect()]
+    tables.merge(spark, path, rows(spark, *[(k, "INSERT", "100", f"value of {k}" * 5) for k in big]), ["RRN"], bucket_bytes=1 << 30)
+    sizes = {b: s for b, (_, s) in tables._latest(spark, path)["buckets"].items()}
+    assert sizes["4-1"] > 3 * max(s for b, s in sizes.items() if b != "4-1")
+    limit = sizes["4-1"] // 3
+    tables.merge(spark, path, rows(spark, *[(f"K{i}", "UPDATE", "101", "b") for i in range(40)]), ["RRN"], bucket_bytes=limit)
+    now = set(tables._latest(spark, path)["buckets"])
+    assert {b for b in now if b.startswith("4-")} == {"4-0", "4-2", "4-3"} and {b.split("-")[0] for b in now} == {"4", "16"}
+    got = {r["RRN"]: r["AMOUNT"] for r in tables.read_table(spark, path).collect()}
+    assert got == {**{f"K{i}": "b" for i in range(40)}, **{k: f"value of {k}" * 5 for k in big}}
+    # new keys of a slot without a bucket of its own, and of each level
+    more = [(f"N{i}", "INSERT", "100", "n") for i in range(200)]
+    tables.merge(spark, path, rows(spark, *more), ["RRN"])
+    assert tables.read_table(spark, path).count() == 40 + len(big) + 200
+
+
+def test_bucket_sizes_are_those_of_the_files(spark):
+    path = scratch_path(spark, "t")
+    tables.merge(spark, path, rows(spark, *[(f"K{i}", "INSERT", "100", "a") for i in range(300)]), ["RRN"], buckets=8)
+    tables.merge(spark, path, rows(spark, *[(f"K{i}", "UPDATE", "101", "b") for i in range(0, 300, 3)]), ["RRN"])
+    meta = tables._latest(spark, path)
+    assert len(meta["buckets"]) == 8
+    for bucket, (token, size) in meta["buckets"].items():
+        folder = f"{path}/_dir={token}/_bucket={bucket}"
+        parquet = sum(e["length"] for e in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("length").collect())
+        assert size == parquet > 0
 
 
 def test_a_broken_record_stops_the_publish_stream(spark):
@@ -118,24 +152,17 @@ def test_a_broken_record_stops_the_publish_stream(spark):
     fs.delete_tree(spark, tables._commit_path(path, 1))
     seen = []
     handle = lambda df, _: seen.extend(r["RRN"] for r in df.collect())
-    streams.drain(streams.start_publish(spark, path, 0, ck, handle))
+    streams.finish(streams.start_publish(spark, path, 0, ck, handle))
     assert seen == ["A"]
     # The record is not there yet (it appears by a rename): nothing is passed over.
-    streams.drain(streams.start_publish(spark, path, 0, ck, handle))
+    streams.finish(streams.start_publish(spark, path, 0, ck, handle))
     assert seen == ["A"]
     assert fs.create_new(spark, tables._commit_path(path, 1), whole)
-    streams.drain(streams.start_publish(spark, path, 0, ck, handle))
+    streams.finish(streams.start_publish(spark, path, 0, ck, handle))
     assert seen == ["A", "B"]
     assert fs.create_new(spark, tables._commit_path(path, 2), '{"version": ')
     with pytest.raises(Exception):
-        streams.drain(streams.start_publish(spark, path, 0, ck, handle))
-
-
-def test_version_ranges_hold_every_version_once():
-    from tidewater.plans.publish import version_chunks
-    assert version_chunks([(2, 5), (0, 5), (1, 5)], 10) == [(0, 1), (2, 2)]
-    assert version_chunks([(0, 99), (1, 1), (3, 1)], 10) == [(0, 0), (1, 1), (3, 3)]
-    assert version_chunks([], 10) == []
+        streams.finish(streams.start_publish(spark, path, 0, ck, handle))
 
 
 def test_batch_folders_replace_themselves_and_compact(spark):

@@ -22,14 +22,17 @@ from tidewater.functions.structs import struct_to_kv
 from tidewater.functions.types import apply_types, resolve_types
 from tidewater.operators import changes as CH
 from tidewater.operators.counts import count_input, count_rollup, max_value
-from tidewater.operators.merge import merge_upsert, snapshot_rows
+from tidewater.operators.merge import CHANGE_KINDS, merge_upsert, snapshot_rows
 from tidewater.plans import counts as CNT
 from tidewater.plans import registry as REG
 from tidewater.plans import structured as ST
 from tidewater.plans.publish import post_images, stage_for_db
+from tidewater.plans.runlog import RunLog
 from tidewater.session import scratch_path
 from tidewater.sources import feed, folders, tables
+from tidewater.sources.offsets import PARTITION, SEQUENCE, read_change_files, read_event_log
 from tidewater.streaming import streams
+from tidewater.streaming.lifecycle import watch
 
 # Fixed values of the registered queries.
 GATE_START = "2024-01-10 00:00:00"
@@ -528,7 +531,7 @@ def q_raw_ingest(spark, d):
                             F.col("rawLayerProcessingTime").isNotNull().alias("stamped")))
 
 
-def _structured_run(spark, d, n_tables: int, workers: int) -> tuple[str, list[RegistryEntry]]:
+def _structured_run(spark, d, n_tables: int, workers: int, opts: RunOptions | None = None, name: str | None = None) -> tuple[str, list[RegistryEntry]]:
     """The structured stream over a raw table that came in six appends, in as many
     micro-batches: a limit of one byte admits one file at a time."""
     raw_path = scratch_path(spark, "raw")
@@ -539,9 +542,9 @@ def _structured_run(spark, d, n_tables: int, workers: int) -> tuple[str, list[Re
     ents = entries(n_tables)
     configs = [TableConfig(e.schema, e.table) for e in ents if e.message_schema_id.startswith("S1")]
     root, ck = scratch_path(spark, "structured"), scratch_path(spark, "ck")
-    opts = RunOptions(tables_in_parallel=workers)
+    opts = opts or RunOptions(tables_in_parallel=workers)
     stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=1)
-    q = streams.start_structured(stream, reg_path, configs, root, ck, opts, available_now=True)
+    q = streams.start_structured(stream, reg_path, configs, root, ck, opts, available_now=True, name=name)
     streams.drain(q)
     return root, ents
 
@@ -570,10 +573,66 @@ def q_publish_drain(spark, d):
     def handle(batch: DataFrame, batch_id: int) -> None:
         tables.merge(spark, target, stage_for_db(batch), ["RRN"])
 
-    streams.drain(streams.start_publish(spark, source, 0, ck, handle, max_bytes=1))
+    streams.finish(streams.start_publish(spark, source, 0, ck, handle, max_bytes=1))
     return present(tables.read_table(spark, target))
 
 
+def q_change_feed_stream(spark, d):
+    """The whole change feed, pre images too, through a stream that admits files up to a
+    limit below the size of one version; every batch is written as it comes."""
+    source, out, ck = flagship_table(spark, d), scratch_path(spark, "feed"), scratch_path(spark, "ck")
+    size = tables.commits(spark, source).agg(F.min("change_bytes")).first()[0]
+    files = read_change_files(spark, source, ck, list(CHANGE_KINDS), bytes_per_trigger=size // 2)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = tables.read_change_rows(spark, source, batch.collect()).withColumn("_stream_batch", F.lit(batch_id))
+        folders.write_batch(rows, out, "feed", batch_id)
+    streams.finish(files.writeStream.foreachBatch(each).option("checkpointLocation", ck).trigger(processingTime="0 seconds").start())
+    got = folders.read(spark, out)
+    if got.select("_stream_batch").distinct().count() < 3:
+        raise RuntimeError("the feed came in fewer batches than its limit asks for")
+    return present(got.drop("_stream_batch"))
+
+
+def q_event_log_stream(spark, d):
+    """The event log by sequence: four partitions, a limit of a seventh of the events a
+    trigger, read by two queries over one checkpoint."""
+    log_path, out, ck = scratch_path(spark, "eventlog"), scratch_path(spark, "events-copy"), scratch_path(spark, "ck")
+    rows = feed.change_events(events(spark, d)).select(
+        F.pmod("event_id", F.lit(4)).cast("string").alias(PARTITION), F.to_json(F.struct("event_id", "operation", "change_seq", "rrn")).cast("binary").alias("body"),
+        F.col("ts").cast("timestamp").alias("enqueuedTime"), "event_id")
+    numbered = rows.withColumn(SEQUENCE, F.row_number().over(Window.partitionBy(PARTITION).orderBy("event_id")).cast("long") - 1).drop("event_id")
+    numbered.repartitionByRange(12, PARTITION, SEQUENCE).write.partitionBy(PARTITION).parquet(log_path)
+    limit = events(spark, d).count() // 7
+
+    def run():
+        stream = read_event_log(spark, log_path, ck, events_per_trigger=limit)
+        return stream.writeStream.format("parquet").option("checkpointLocation", ck).trigger(processingTime="0 seconds").start(out)
+    first = run()
+    watch(spark).wait(lambda: first.lastProgress is not None, 60)
+    first.stop()
+    streams.finish(run())
+    got = spark.read.schema(f"{PARTITION} STRING, {SEQUENCE} LONG, body BINARY, enqueuedTime TIMESTAMP").parquet(out)
+    body = F.from_json(F.col("body").cast("string"), "event_id LONG, operation STRING, change_seq STRING, rrn LONG")
+    return present(got.withColumn("b", body).select(F.col(PARTITION).alias("log_partition"), F.col(SEQUENCE).alias("log_sequence"), "b.*", "enqueuedTime"))
+
+
+def q_run_log(spark, d):
+    """Log rows of the structured stream by stage, level and kind of message, from the
+    stages themselves and from Spark's events of the query."""
+    log_path, name = scratch_path(spark, "log"), f"run-log-{scratch_path(spark, 'n')[-12:]}"
+    life = RunLog(log_path)
+    watch(spark).log_to(name, life)
+    _structured_run(spark, d, 3, 3, RunOptions(tables_in_parallel=3, log_path=log_path), name)
+    runs = watch(spark).runs
+    watch(spark).wait(lambda: any(s.name == name and s.ended for s in runs.values()), 60)
+    life.flush(spark, "life")
+    rows = folders.read(spark, log_path)
+    kind = F.regexp_replace("message", "[0-9]+", "#")
+    read = F.regexp_extract("message", "read ([0-9]+) rows", 1).try_cast("long")
+    return rows.groupBy("target", "tableName", "level", kind.alias("kind")).agg(F.count("*").alias("entries"), F.coalesce(F.sum(read), F.lit(0)).alias("rows_read"))
+
+
 def q_publish_tables(spark, d):
     """All tables of the fan-out published in parallel: version-gated table
     choice, one drain and checkpoint per table, sequence-guarded apply."""
@@ -722,6 +781,9 @@ QUERIES = {
     "raw_ingest": q_raw_ingest,
     "src_event_stream": q_src_event_stream,
     "publish_drain": q_publish_drain,
+    "change_feed_stream": q_change_feed_stream,
+    "event_log_stream": q_event_log_stream,
+    "run_log": q_run_log,
     "publish_tables": q_publish_tables,
     "merge_growth": q_merge_growth,
     "late_registry": q_late_registry,

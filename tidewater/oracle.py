@@ -255,3 +255,14 @@ SQL = {
 }
 SQL["decode_avro"] = SQL["decode_payload"]
 SQL["late_registry_groups"] = _fanout()
+SQL["change_feed_stream"] = SQL["change_feed"]
+SQL["event_log_stream"] = (
+    f"{BASE}\nSELECT CAST(event_id % 4 AS VARCHAR) AS log_partition, "
+    "row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) - 1 AS log_sequence, event_id, op AS operation, seq AS change_seq, "
+    f"rrn, {ts('ts')} AS enqueuedTime FROM feed")
+SQL["run_log"] = f"""{BASE}
+SELECT 'stream' AS target, '' AS "tableName", 'INFO' AS level, 'batch # read # rows' AS kind, CAST(6 AS BIGINT) AS entries, CAST(count(*) AS BIGINT) AS rows_read FROM feed
+UNION ALL SELECT 'stream', '', 'INFO', k, 1, 0 FROM (VALUES ('query started'), ('query ended')) v(k)
+UNION ALL SELECT 'structured', '', 'INFO', k, 6, 0 FROM (VALUES ('batch # started'), ('batch # ended')) v(k)
+UNION ALL SELECT 'structured', concat('EVENTS_', CAST(part AS VARCHAR)), 'INFO', k, 6, 0
+  FROM (SELECT DISTINCT part FROM feed), (VALUES ('schema ids started'), ('merged as version #')) v(k)"""

@@ -30,27 +30,15 @@ def stage_for_db(feed_batch: DataFrame, keys: list[str] = (KEY_COLUMN,), pii: li
     return db_column_order(df.withColumn("_dbProcessingTimestamp", F.current_timestamp()))
 
 
-#: Change bytes handed to a handler at once (a single version may hold more).
+#: Change bytes of one micro-batch.
 MAX_BYTES = 1_073_741_824
 
 
-def version_chunks(log: list[tuple[int, int]], max_bytes: int) -> list[tuple[int, int]]:
-    """Ranges (first, last) of consecutive versions of at most ``max_bytes``
-    change bytes together, in order; every version is in one of them."""
-    out: list[list[int]] = []
-    for v, size in sorted(log):
-        if out and v == out[-1][1] + 1 and out[-1][2] + size <= max_bytes:
-            out[-1][1], out[-1][2] = v, out[-1][2] + size
-        else:
-            out.append([v, v, size])
-    return [(a, b) for a, b, _ in out]
-
-
 def publish_tables(spark, root: str, configs, checkpoint_root: str, handler_for, workers: int = 4,
                    max_bytes: int = MAX_BYTES, log_path: str | None = None) -> list[str]:
     """SEM-16 for all tables: keep tables whose current version reached their
     configured start version (SRC-11), then drain each table's change feed in
-    its own AvailableNow query and checkpoint, ``workers`` tables at a time on
+    its own query and checkpoint, ``workers`` tables at a time on
     separate scheduler pools (``workers=1`` is the sequential form).
 
     ``handler_for(config)`` returns the ``(batch_df, batch_id)`` function of
@@ -76,7 +64,7 @@ def publish_tables(spark, root: str, configs, checkpoint_root: str, handler_for,
             log.event(c.schema, c.table, "", "publish", "drain started")
             q = streams.start_publish(spark, table_path(root, c.schema, c.table), c.start_version or 0, checkpoint,
                                       handler_for(c), max_bytes, name=f"publish {c.qualified}")
-            streams.drain(q)
+            streams.finish(q)
             log.event(c.schema, c.table, "", "publish", "drain ended")
             return c.qualified
         return run

@@ -278,11 +278,16 @@ def read_change_feed(spark: SparkSession, path: str, start_version: int = 0, end
         F.to_timestamp("timestamp").alias("_commit_timestamp"))
 
 
-def stream_commits(spark: SparkSession, path: str, start_version: int = 0) -> DataFrame:
-    """SRC-5 as a stream: one row per committed version, as records appear. A
-    record that cannot be read stops the stream; it is never passed over."""
-    return spark.readStream.schema(COMMIT_DDL).option("mode", "FAILFAST").json(f"{path}/{COMMITS}") \
-        .filter(F.col("version") >= start_version)
+def read_change_rows(spark: SparkSession, path: str, files: list) -> DataFrame:
+    """SRC-5: the change rows of given change files (rows of ``offsets.FILES_DDL``), as
+    ``read_change_feed`` gives them. The table's schema of now serves files of all versions."""
+    schema = table_schema(spark, path)
+    versions = {r["file"].split("/", 1)[0].split("=", 1)[1]: (r["version"], r["timestamp"]) for r in files}  # by data folder
+    log = F.create_map(*[x for token, (v, t) in versions.items() for x in (F.lit(token), F.struct(F.lit(v).cast("long").alias("v"), F.lit(t).alias("t")))])
+    kinds = F.create_map(*[x for k, t in CHANGE_KINDS.items() for x in (F.lit(k), F.lit(t))])
+    rows = _scan(spark, path, schema, [r["file"] for r in files])
+    return rows.select(*schema.fieldNames(), kinds[F.col(ROW_KIND)].alias("_change_type"), log[F.col(DIR)]["v"].alias("_commit_version"),
+                       F.to_timestamp(log[F.col(DIR)]["t"]).alias("_commit_timestamp"))
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:

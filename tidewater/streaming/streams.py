@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import dataclasses
 import json
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.config import RunOptions, TableConfig
 from tidewater.functions.codec import decode
-from tidewater.plans.publish import MAX_BYTES, post_images, version_chunks
+from tidewater.operators.merge import CHANGE_KINDS
+from tidewater.plans.publish import MAX_BYTES, post_images
 from tidewater.plans.registry import RegistryCache, ingest_registry
 from tidewater.plans.structured import process_batch
 from tidewater.sources import fs, tables
+from tidewater.sources.offsets import read_change_files
+from tidewater.streaming.lifecycle import find_query, stop_when_idle, watch  # noqa: F401
 
 
 def read_event_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None,
@@ -110,6 +112,7 @@ def start_structured(stream: DataFrame, registry_path: str, configs: list[TableC
     replace those of its first run. They are kept by the query's id, which a new
     checkpoint changes, so a stream that starts over counts afresh."""
     spark = stream.sparkSession
+    watch(spark)
     registry = RegistryCache(spark, registry_path)
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -129,64 +132,42 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def start_publish(spark: SparkSession, table_path: str, start_version: int, checkpoint: str, handle_batch,
                   max_bytes: int = MAX_BYTES, name: str | None = None) -> StreamingQuery:
-    """SNK-5 / SEM-16: drain the change feed of one table with AvailableNow.
+    """SNK-5 / SEM-16: the change feed of one table, from ``start_version`` on.
 
-    The stream's offsets are the table's commits. A micro-batch hands the
-    post-images of its versions (FLT-4), in order and in ranges of at most
-    ``max_bytes`` of changes, to ``handle_batch(df, batch_id)``; a replay hands
-    them over again, which the sequence guard makes harmless.
+    A micro-batch is the change files of about ``max_bytes`` (``sources.offsets``), so
+    Spark bounds it, also within a large version. Its post-images (FLT-4) go to
+    ``handle_batch(df, batch_id)``; a replay hands them over again, which the
+    sequence guard makes harmless. ``finish`` ends the query when all is done.
     """
-    commits = tables.stream_commits(spark, table_path, start_version)
+    watch(spark)
+    files = read_change_files(spark, table_path, checkpoint, list(CHANGE_KINDS), start_version, max_bytes)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        log = [(r["version"], r["change_bytes"]) for r in batch.select("version", "change_bytes").collect()]  # one row a version
-        for first, last in version_chunks(log, max_bytes):
-            handle_batch(post_images(tables.read_change_feed(spark, table_path, first, last)), batch_id)
+        rows = batch.collect()  # the names of one batch's files
+        if rows:
+            handle_batch(post_images(tables.read_change_rows(spark, table_path, rows)), batch_id)
 
-    w = commits.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = files.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
-    return w.trigger(availableNow=True).start()
+    return w.trigger(processingTime="0 seconds").start()
 
 
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait for an AvailableNow query on its own handle, surfacing its error."""
     query.awaitTermination(timeout_s)
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-
-
-def find_query(spark: SparkSession, name: str, wait_s: float = 300, poll_s: float = 1.0) -> StreamingQuery | None:
-    """STR-7: an active query by name, waiting for it to start."""
-    deadline = time.monotonic() + wait_s
-    while True:
-        for q in spark.streams.active:
-            if q.name == name:
-                return q
-        if time.monotonic() >= deadline:
-            return None
-        time.sleep(poll_s)
-
+    _raise_error(query)
 
-def is_idle(query: StreamingQuery) -> bool:
-    s = query.status
-    return (not s.get("isDataAvailable", False) and not s.get("isTriggerActive", False)
-            and s.get("message", "") == "Waiting for next trigger")
 
+def finish(query: StreamingQuery) -> None:
+    """Let a query process all there is, then end it, surfacing its error."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+        _raise_error(query)
 
-def stop_when_idle(query: StreamingQuery, poll_s: float = 30.0, timeout_s: float | None = None) -> bool:
-    """STR-8 / STR-9: stop once no data is waiting and no trigger runs.
 
-    With ``timeout_s`` the query is stopped anyway after that long (forced);
-    returns True when the stop was graceful.
-    """
-    deadline = None if timeout_s is None else time.monotonic() + timeout_s
-    while query.isActive:
-        if is_idle(query):
-            query.stop()
-            return True
-        if deadline is not None and time.monotonic() >= deadline:
-            query.stop()
-            return False
-        time.sleep(poll_s)
-    return True
+def _raise_error(query: StreamingQuery) -> None:
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
