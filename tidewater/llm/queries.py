@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import (bpe, collocations, decontaminate, html_text, imatch, ngram_join, quality_fm, ranked_search, repair_ids, secrets, sharding, substring_dedup,
+from tidewater.llm import (bpe, collocations, decontaminate, html_text, imatch, ngram_join, oracles, quality_fm, ranked_search, repair_ids, secrets, sharding, substring_dedup,
                            warc)
 
 QUERIES = {f.__name__: f for f in (
@@ -21,6 +21,10 @@ QUERIES = {f.__name__: f for f in (
     ranked_search.op13_ranked_search,
 )}
 ORACLE_SQL: dict[str, str] = {
+    "op4_secret_scan": oracles.SECRETS,
+    "op8_substring_dedup": oracles.SUBSTRINGS,
+    "op9_ngram_jaccard_join": oracles.NGRAMS,
+    "op10_warc_salvage": oracles.WARC,
     "op11_phrase_collocations": collocations.ORACLE_SQL,
     "op13_ranked_search": ranked_search.ORACLE_SQL,
 }
