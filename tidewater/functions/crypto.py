@@ -53,6 +53,7 @@ def decrypt_source(c: Column, key: str) -> Column:
 
 def encrypt_columns(df: DataFrame, columns: list[str], key: str, key_id: str, version: int = 1) -> DataFrame:
     """UDF-3: replace each listed column by its encrypted cell, in one select."""
+    protect_key(df.sparkSession, key)
     wanted = {c.upper() for c in columns}
     return df.select(*[
         encrypt_value(F.col(c), key, key_id, version).alias(c) if c.upper() in wanted else F.col(c)
@@ -62,6 +63,7 @@ def encrypt_columns(df: DataFrame, columns: list[str], key: str, key_id: str, ve
 
 def decrypt_columns(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     """UDF-4: replace each listed cell column by its plaintext, in one select."""
+    protect_key(df.sparkSession, key)
     wanted = {c.upper() for c in columns}
     return df.select(*[
         decrypt_cell(F.col(c), key).alias(c) if c.upper() in wanted else F.col(c)
@@ -71,6 +73,7 @@ def decrypt_columns(df: DataFrame, columns: list[str], key: str) -> DataFrame:
 
 def decrypt_source_columns(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     """UDF-2 over a column list: source-encrypted text to plaintext, in one select."""
+    protect_key(df.sparkSession, key)
     wanted = {c.upper() for c in columns}
     return df.select(*[
         decrypt_source(F.col(c), key).alias(c) if c.upper() in wanted else F.col(c)

@@ -79,11 +79,6 @@ def merge_sql(target: str, staging: str, columns: list[str], keys: list[str],
             f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals});")
 
 
-def column_types_option(schema: T.StructType) -> str:
-    """``createTableColumnTypes`` so key and sequence text compare as VARCHAR."""
-    return ", ".join(f"`{f.name}` {sql_type(f.dataType)}" for f in schema.fields)
-
-
 def _connection(spark: SparkSession, url: str, props: dict):
     jvm = spark.sparkContext._jvm
     jprops = jvm.java.util.Properties()
@@ -147,7 +142,6 @@ def publish_jdbc(spark: SparkSession, staged: DataFrame, url: str, props: dict,
     execute(spark, url, props, ddl)
     if staged.isEmpty():
         return
-    (staged.repartition(partitions).write.mode("overwrite")
-     .option("truncate", "true").option("createTableColumnTypes", column_types_option(staged.schema))
-     .jdbc(url, staging, properties=props))
+    # The staging table is there by now, with this module's column types, and is emptied, not made anew.
+    staged.repartition(partitions).write.mode("overwrite").option("truncate", "true").jdbc(url, staging, properties=props)
     execute(spark, url, props, [merge_sql(target, staging, staged.columns, keys)])
