@@ -72,8 +72,12 @@ def test_json_vocabulary_equals_the_library():
     from tokenizers import Tokenizer
     path = P.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    assert [B.bpe(path).encode(t).tolist() for t in TEXTS] == [tok.encode(t, add_special_tokens=False).ids for t in TEXTS]
+    special = ["a <|endoftext|> b", "<|endoftext|>", "  <|endoftext|>  x", "<|endoftext|><|endoftext|>é", "<|endoftext", "|>", "x <|endo", "ftext|>", ""]
+    for texts in (TEXTS, special, special + TEXTS, [t + "<|endoftext|>" + t for t in TEXTS]):
+        assert [i.tolist() for i in B.ByteBPE(path).encode_arrow(pa.array(texts))] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    model = B.bpe(path)
+    assert model.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    assert model.decode_bytes(model.encode("a <|endoftext|> b")) == b"a <|endoftext|> b"
 
 
 def brute(reference, rows):

@@ -9,7 +9,6 @@ from tokenizers import Tokenizer
 from tidewater.llm import repair_ids as R
 
 TOK = Tokenizer.from_file(P.path(R.VOCABULARY))
-TOK.encode_special_tokens = True
 
 
 @settings(max_examples=150, deadline=None)
@@ -41,7 +40,9 @@ def brute(rows):
 
 
 def test_query_edge_rows(spark, tmp_path):
-    rows = [(i * 3, f"text {i} " * (i % 9)) for i in range(200)] + [(None, "x"), (601, None), (602, "long " * 30_000), (604, "<|endoftext|>")]
+    rows = [(i * 3, f"text {i} " * (i % 9)) for i in range(200)] + [(None, "x"), (601, None), (602, "long " * 30_000), (604, "<|endoftext|>"),
+                                                                   (605, "a <|endoftext|> b"), (606, " <|endoftext|><|endoftext|>\n\n<|endoftext|"), (607, "|>x <|endo"),
+                                                                   (608, "ftext|> y")]
     spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id LONG, text STRING, start INT").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(tuple(r) for r in R.op7_repair_token_ids(spark, str(tmp_path)).filter("doc_id IS NOT NULL").collect()) \
         == sorted(brute(rows)[1:])

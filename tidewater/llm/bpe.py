@@ -108,10 +108,12 @@ class ByteBPE:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
         from tokenizers import Tokenizer
 
-        chars = byte_chars()
+        chars, self.special = byte_chars(), {}
         if path.endswith(".json"):
             self.tok = Tokenizer.from_file(path)
-            self.tok.encode_special_tokens = True
+            self.tok.encode_special_tokens = True  # what names a special token is cut out before
+            special = sorted((t.content.encode() for t in self.tok.get_added_tokens_decoder().values()), key=len, reverse=True)
+            self.special = {t: self.tok.token_to_id(t.decode()) for t in special}
             back = {c: b for b, c in enumerate(chars)}
             self.tokens = {i: bytes(map(back.__getitem__, t)) for t, i in self.tok.get_vocab(False).items()}
             self.tokens |= {i: t.content.encode() for i, t in self.tok.get_added_tokens_decoder().items()}
@@ -212,6 +214,8 @@ class ByteBPE:
             self._forget()
         held = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
         raw = b"".join(held)
+        if any(t in raw for t in self.special) and any(t in h for h in held for t in self.special):
+            return self._encode_special(held)
         offsets = np.append(0, np.cumsum(np.fromiter(map(len, held), np.int64, len(held))))
         if not raw:
             return [np.empty(0, np.uint32)] * len(held)
@@ -245,6 +249,21 @@ class ByteBPE:
                 out[i] = np.array(self.tok.encode_batch_fast([held[i].decode()], add_special_tokens=False)[0].ids, np.uint32)
         return out
 
+    def _encode_special(self, held: list[bytes]) -> list[np.ndarray]:
+        """Texts that name special tokens: these give their ids, as in the library, and
+        what lies between them is encoded by itself."""
+        cut = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")")
+        parts = [cut.split(t) for t in held]
+        plain = self.encode_arrow(pa.array([p for text in parts for p in text[::2]], pa.binary()))
+        out, at = [], 0
+        for text in parts:
+            ids = [plain[at]]
+            for i, name in enumerate(text[1::2], 1):
+                ids += [np.array([self.special[name]], np.uint32), plain[at + i]]
+            at += len(text) // 2 + 1
+            out.append(np.concatenate(ids))
+        return out
+
     def _forget(self) -> None:
         self.numbers = PartNumbers()
         self.second, self.part_ids = np.empty(0, np.uint64), np.empty(0, np.uint32)
