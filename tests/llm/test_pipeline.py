@@ -60,9 +60,12 @@ def test_run_equals_brute_force_over_the_given_tables(spark):
 def test_stages_keep_the_columns_of_documents(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet").limit(40).cache()
-    for _, stage in C.STAGES[:-1]:
-        out = stage(spark, docs, d)
-        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+    try:
+        for _, stage in C.STAGES[:-1]:
+            out = stage(spark, docs, d)
+            assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+    finally:
+        docs.unpersist()
 
 
 def test_edge_rows_and_empty_tables(spark, tmp_path):
