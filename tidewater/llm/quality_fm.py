@@ -154,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                     [part.column("doc_id"), part.column("quality"), pa.array([i.astype(np.int32).tobytes() for i, _ in rows], pa.binary()),
                      pa.array([v.astype(np.float32).tobytes() for _, v in rows], pa.binary())], names=["doc_id", "quality", "ids", "vals"])
     found = _plain(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text", "n_chars") \
-        .mapInArrow(released(run), "doc_id long, quality int, ids binary, vals binary").orderBy("doc_id", "quality", "ids").collect()
+        .mapInArrow(released(run), "doc_id long, quality int, ids binary, vals binary").orderBy("doc_id", "quality", "ids", "vals") \
+        .limit(SAMPLE_ROWS).collect()  # documents may repeat a doc_id; SAMPLE_ROWS are read all the same
     rows = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["vals"], np.float32)) for r in found]
     y = np.array([r["quality"] for r in found], np.float64)
     weights = np.ones(len(y))
