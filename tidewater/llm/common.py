@@ -31,6 +31,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
+def finished(spark: SparkSession) -> None:
+    """After a step of many jobs: a collection on the driver, upon which Spark drops the
+    shuffle files and broadcasts of plans that are gone, and its heap stays small."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

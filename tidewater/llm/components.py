@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import stored
@@ -24,16 +24,19 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
 
 def labels(edges: DataFrame, name: str) -> DataFrame:
     """(node, label) for each node of ``edges`` (a, b): its component's smallest node.
-    Every round is written to the shared folder, so its plan and losses stay small."""
+    Every round is written to the shared folder, so its plan and losses stay small;
+    the write itself observes whether the round changed anything."""
     spark = edges.sparkSession
     now = stored(spark, edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                  .distinct(), f"{name}-edges")
     mark = None
     while True:
-        now = stored(spark, _stars(_stars(now, True), False), f"{name}-stars")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        seen = Observation()
+        edge = F.xxhash64("a", "b").cast("decimal(38,0)")
+        stars = _stars(_stars(now, True), False).observe(seen, F.count(F.lit(1)).alias("n"), F.sum(edge).alias("sum"))
+        now = stored(spark, stars, f"{name}-stars")
+        if seen.get == mark:
             break
-        mark = seen
+        mark = seen.get
     return now.select(F.col("b").alias("node"), F.col("a").alias("label")) \
         .union(now.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import mix, released, shingle_hashes, stored, table, text_batches, texts
+from tidewater.llm.common import finished, mix, released, shingle_hashes, stored, table, text_batches, texts
 from tidewater.llm.components import labels
 from tidewater.llm.sketch import corpus_bits, corpus_counts, in_bits
 
@@ -142,8 +142,8 @@ def _may_link(x: str, y: str, percent: int) -> Column:
             & (_differ(x, y) * (100 + percent) <= n * (100 - percent)))
 
 
-def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(class, packed): the compressed text of one document of each class in
+def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int, name: str) -> DataFrame:
+    """(class, packed), written: the compressed text of one document of each class in
     ``wanted`` (class, doc_id). A bitmap of fixed size over the wanted doc_ids
     thins the scan before the shuffle; the join then decides exactly."""
     shared = docs.sparkSession.sparkContext.broadcast(corpus_bits(wanted.select(F.xxhash64("doc_id")), FILTER_BITS))
@@ -157,8 +157,11 @@ def wanted_texts(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                     [part.column("doc_id"), pa.array([class_id(shingle_set(t, k)) for t in held], pa.int64()),
                      pa.array([zlib.compress(t, 1) for t in held], pa.binary())], names=["d", "class", "packed"])
     found = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("key")).mapInArrow(released(run), "d long, class long, packed binary")
-    return found.join(wanted, (found["class"] == wanted["class"]) & F.col("d").eqNullSafe(F.col("doc_id"))) \
+    out = found.join(wanted, (found["class"] == wanted["class"]) & F.col("d").eqNullSafe(F.col("doc_id"))) \
         .select(found["class"], "packed").dropDuplicates(["class"])
+    out = stored(docs.sparkSession, out, name)
+    shared.destroy()
+    return out
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -186,7 +189,7 @@ def _verified(docs: DataFrame, likely: DataFrame, classes: DataFrame, k: int, pe
         return None
     ends = likely.select(F.col("a").alias("class")).union(likely.select(F.col("b").alias("class"))).distinct()
     wanted = stored(spark, classes.join(ends, "class", "left_semi").select("class", "doc_id"), f"{name}-wanted")
-    packed = stored(spark, wanted_texts(docs, wanted, k), f"{name}-texts")
+    packed = wanted_texts(docs, wanted, k, f"{name}-texts")
 
     def run(batches):
         last, members = None, None
@@ -226,6 +229,7 @@ def shared_prefixes(some: DataFrame) -> DataFrame:
                                              names=["token", "grp", "class"])
     rows = some.select("prefix", "grp", "class").mapInArrow(released(run), "token long, grp long, class long")
     rows = stored(spark, rows.distinct(), "ngram-entries")
+    shared.destroy()
     several = rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter("low < high").select("token")
     return stored(spark, rows.join(several, "token"), "ngram-lists")
 
@@ -244,6 +248,7 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
                                               .filter("low < high"), "grp") \
         .select(F.col("grp").alias("token"), F.col("class").alias("lead")).distinct()
     inside = stored(spark, inside, "ngram-inside")
+    finished(spark)
     listed = shared.select("class").union(inside.select(F.col("lead").alias("class"))).distinct()
     classes = stored(spark, some.join(listed, "class", "left_semi").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "cells", *_W)]), "ngram-classes")
@@ -262,6 +267,7 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
             .select("best.a", "b")
         new = _verified(docs, likely, classes, k, percent, f"ngram-{r}")
         label = _merged(spark, label, new, f"ngram-{r}")
+        finished(spark)
     rest = _labelled(shared.select("token", F.col("class").alias("lead")).union(inside), label)
     mixed = rest.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l != h").select("token")
     # A pair is drawn at the first token that both have: where none of the few
@@ -273,7 +279,9 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT)
                                  & (F.col("x.label") != F.col("y.label")) & ~F.arrays_overlap("x.before", "y.before")
                                  & _may_link("x", "y", percent)) \
         .select(F.col("x.lead").alias("a"), F.col("y.lead").alias("b")).distinct()
+    finished(spark)
     label = _merged(spark, label, _verified(docs, pairs, classes, k, percent, "ngram-rest"), "ngram-all")
+    finished(spark)
     least = some.groupBy("class").agg(F.min("doc_id").alias("least"))
     if label is None:
         named = least.select("class", F.col("class").alias("label"), F.col("least").alias("component_id"))
