@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import bpe, decontaminate, ngram_join, quality_fm, secrets
-from tidewater.llm.common import bounded_batches, stored, table
+from tidewater.llm.common import bounded_batches, finished, stored, table
 
 #: Near duplicates: words in a shingle and similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -24,7 +24,9 @@ LEAST_QUALITY = 0.5
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted on labelled documents
     outside the held-out third, scores at LEAST_QUALITY or more."""
-    return quality_fm.accepted(docs, quality_fm.train(docs, table(spark, sf_dir, "labels")), LEAST_QUALITY)
+    model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
+    finished(spark)
+    return quality_fm.accepted(docs, model, LEAST_QUALITY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
