@@ -168,9 +168,17 @@ def distinct_values(df: DataFrame, c: str, alias: str) -> DataFrame:
 
 def first_per_key(df: DataFrame, key: Column, alias: str, order: list[str]) -> DataFrame:
     """AGG-2: one row per key (NULL is one key); the survivor is the first
-    row in ``order`` (hash tie-break), chosen by a partial-then-final aggregate."""
+    row in ``order`` (NULL first, hash tie-break).
+
+    The first value of each key in the leading ``order`` column comes by a hash
+    aggregate over narrow rows; only rows that hold it are kept whole and compared
+    (whole rows in an aggregate's buffer make Spark sort all of its input)."""
     rest = list(df.columns)
     ordering = F.struct(*[F.col(c) for c in order], row_hash(df).alias("__tie"))
-    best = df.withColumn(alias, key).groupBy(alias).agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordering).alias("__first"))
+    named = df.withColumn(alias, key)
+    lead = F.col(order[0])
+    least = named.groupBy(F.col(alias).alias("__key")).agg(F.min(lead).alias("__least"), F.max(lead.isNull()).alias("__none")) \
+        .select("__key", F.when(~F.col("__none"), F.col("__least")).alias("__lead"))
+    ahead = named.join(least, F.col(alias).eqNullSafe(F.col("__key")) & lead.eqNullSafe(F.col("__lead")), "left_semi")
+    best = ahead.groupBy(alias).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordering).alias("__first"))
     return best.select(alias, *[F.col(f"__first.`{c}`").alias(c) for c in rest])
