@@ -29,7 +29,7 @@ from tidewater.plans import structured as ST
 from tidewater.plans.publish import post_images, stage_for_db
 from tidewater.plans.runlog import RunLog
 from tidewater.session import scratch_path
-from tidewater.sources import feed, folders, tables
+from tidewater.sources import feed, folders, fs, tables
 from tidewater.sources.offsets import PARTITION, SEQUENCE, read_change_files, read_event_log
 from tidewater.streaming import streams
 from tidewater.streaming.lifecycle import watch
@@ -42,6 +42,8 @@ LISTED_TABLES = ["src.events_0", "SRC.EVENTS_2"]
 WEEK_CUTS = ["2024-01-09 00:00:00", "2024-01-17 00:00:00", "2024-01-25 00:00:00"]
 WALL_CLOCK = {"_structuredLayerProcessingTime", "_dbProcessingTimestamp", "logTimeStamp", "_logTimeStamp",
               "_commit_timestamp"}
+#: Bytes of one file where the raw table comes in appends.
+APPEND_FILE_BYTES = 8_388_608
 OPTS = RunOptions()
 
 
@@ -531,19 +533,35 @@ def q_raw_ingest(spark, d):
                             F.col("rawLayerProcessingTime").isNotNull().alias("stamped")))
 
 
+def _raw_appends(spark, rows: DataFrame, path: str, appends: int, file_bytes: int = APPEND_FILE_BYTES) -> int:
+    """A raw table that came in ``appends`` appends, of as many files each; how many.
+    The changes are dealt out in one pass; an append of up to ``file_bytes`` is one file."""
+    staged = scratch_path(spark, "appends")
+    dealt = rows.withColumn("_append", F.pmod(F.xxhash64("body.message"), F.lit(appends)))
+    dealt.write.partitionBy("_append").parquet(staged)
+    dealt_out = spark.read.schema(dealt.schema).parquet(staged)
+    least = dealt_out.groupBy("_append").count().agg(F.count("*"), F.min("count")).first()
+    # Every file must get rows, so that each append has the same number of files.
+    files = min(-(-fs.total_size(spark, staged) // (appends * file_bytes)), least[1] // 1000) if least[0] == appends else 1
+    files = max(1, files)
+    for i in range(appends):
+        part = dealt_out.filter(F.col("_append") == i).drop("_append")
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
+    return files
+
+
 def _structured_run(spark, d, n_tables: int, workers: int, opts: RunOptions | None = None, name: str | None = None) -> tuple[str, list[RegistryEntry]]:
     """The structured stream over a raw table that came in six appends, in as many
-    micro-batches: a limit of one byte admits one file at a time."""
+    micro-batches: a limit of one byte admits one file at a time, or where an append
+    is several files, a limit of as many."""
     raw_path = scratch_path(spark, "raw")
-    rows = raw(spark, d, n_tables)
-    for i in range(6):
-        rows.filter(F.pmod(F.xxhash64("body.message"), F.lit(6)) == i).coalesce(1).write.mode("append").parquet(raw_path)
+    files = _raw_appends(spark, raw(spark, d, n_tables), raw_path, 6)
     reg_path = registry_table(spark, d, n_tables)
     ents = entries(n_tables)
     configs = [TableConfig(e.schema, e.table) for e in ents if e.message_schema_id.startswith("S1")]
     root, ck = scratch_path(spark, "structured"), scratch_path(spark, "ck")
     opts = opts or RunOptions(tables_in_parallel=workers)
-    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=1)
+    stream = streams.read_raw_stream(spark, raw_path, RAW_SCHEMA, max_bytes=1, max_files=files if files > 1 else None)
     q = streams.start_structured(stream, reg_path, configs, root, ck, opts, available_now=True, name=name)
     streams.drain(q)
     return root, ents

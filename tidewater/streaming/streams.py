@@ -56,11 +56,14 @@ def read_kafka_stream(spark: SparkSession, servers: str, topic: str, envelope: T
 
 
 def read_raw_stream(spark: SparkSession, path: str, schema: T.StructType, max_bytes: int | None = 268_435_456,
-                    start=None) -> DataFrame:
+                    start=None, max_files: int | None = None) -> DataFrame:
     """SRC-3 / SRC-4 / FLT-2: the raw table as a stream; ``0`` disables the
-    byte limit; ``start`` drops rows enqueued at or before it."""
+    byte limit; ``max_files`` limits by files in its place (Spark takes one of
+    them); ``start`` drops rows enqueued at or before it."""
     r = spark.readStream.schema(schema)
-    if max_bytes:
+    if max_files:
+        r = r.option("maxFilesPerTrigger", int(max_files))
+    elif max_bytes:
         r = r.option("maxBytesPerTrigger", int(max_bytes))
     df = r.parquet(path)
     if start is not None:
