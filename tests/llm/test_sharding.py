@@ -56,6 +56,27 @@ def test_rebalance_moves_little_and_evens_bytes(spark):
     assert kept > 4096 * 0.75
 
 
+def test_slot_map_is_one_file_whatever_the_partitions(spark):
+    rows = spark.range(500).select((F.col("id") % 40).cast("int").alias("virtual_slot"), F.col("id").alias("size"), F.lit(2).cast("long").alias("n"))
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        versions = S.stored(spark, S.sized_versions(rows.repartition(32), 8), "slot-map-test")
+        got = versions.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(versions.inputFiles()) == 1
+    want = {r["virtual_slot"]: r["shard"] for r in S.initial_map(spark, 8).collect()}
+    assert {r["virtual_slot"]: r["shard"] for r in got if r["version"] == 1} == want
+    want = {r["virtual_slot"]: r["shard"] for r in S.initial_map(spark, 9).collect()}
+    assert {r["virtual_slot"]: r["shard"] for r in got if r["version"] == 2} == want
+    size = {s: (26 if s < 20 else 24, sum(2 * i for i in range(s, 500, 40))) for s in range(40)}
+    assert len(got) == 2 * S.SLOTS and all((r["n_rows"], r["bytes"]) == size.get(r["virtual_slot"], (0, 0)) for r in got)
+
+
 def test_assign_keeps_columns_without_a_shuffle(spark):
     df = spark.createDataFrame([(1, "a", "s")], "doc_id LONG, text STRING, source STRING")
     out = S.assign(df, S.initial_map(spark, 8))
