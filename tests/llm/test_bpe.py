@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers as P
@@ -109,3 +110,28 @@ def test_encode_documents_gives_ids_and_offsets(spark):
     out = B.encode_documents(spark.createDataFrame([(1, "hé llo"), (2, None)], "doc_id LONG, text STRING"), PATH).collect()
     by = {r["doc_id"]: r for r in out}
     assert by[1]["token_ids"] == MODEL.encode("hé llo").tolist() and by[1]["char_ends"][-1] == 6 and by[2]["token_ids"] == []
+
+
+def test_words_after_a_space_are_told_without_a_match_each(monkeypatch, reference):
+    matched = []
+    monkeypatch.setattr(B, "_RUN", lambda p, run=B._RUN: matched.append(p) or run(p))
+    words = [f" w{''.join(chr(97 + int(c)) for c in str(i))}é" for i in range(2000)]
+    odd = [" a×b", " ×", " é÷", " ÷", " Àé", " " + "q" * 300, " " + "é" * 128, " ab́", " ñ-", " 1a", " ", " aé1"]
+    text = "".join(words + odd)
+    model = B.ByteBPE(PATH)
+    assert model.encode(text).tolist() == reference.encode_ordinary(text)
+    assert len(matched) <= 2 * len(odd)
+    parts = [p.encode() for p in words + odd]
+    ends = np.cumsum([len(p) for p in parts])
+    kind, shown = model._words(np.frombuffer(b"".join(parts), np.uint8), np.append(0, ends[:-1]), ends)
+    want = [len(p) <= B.WORD_BYTES and bool(re.fullmatch(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+", p)) for p in parts]
+    chars = B.byte_chars()
+    assert [k == 2 for k in kind.tolist()] == want
+    assert shown == "".join(" " + "".join(chars[b] for b in p) for p, w in zip(parts, want) if w)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aZé×÷ÀÃ1-.日 \n", max_size=6), max_size=30))
+def test_parts_of_letters_and_others(reference, parts):
+    MODEL._forget()
+    assert MODEL.encode(" ".join(parts)).tolist() == reference.encode_ordinary(" ".join(parts))

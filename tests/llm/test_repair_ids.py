@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -30,6 +31,31 @@ def test_repetition_becomes_rules():
     assert (R.Grammar(R.compress(wide)).ids() == wide).all()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5), min_size=2, max_size=2000))
+def test_frequent_pairs_are_the_most_frequent_of_their_cells(ids):
+    keys, cell = R.hashed_pairs(np.array(ids, np.uint32))
+    pairs, inside = R.frequent_pairs(keys, cell)
+    counts = Counter(keys.tolist())
+    want = [k for k, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= R.MIN_COUNT]
+    where = dict(zip(keys.tolist(), cell.tolist()))
+    best = {}
+    for k in want:
+        best.setdefault(where[k], k)
+    assert pairs.tolist() == list(best.values())
+    assert set(np.flatnonzero(np.isin(keys, pairs)).tolist()) <= set(inside.tolist()) and (np.diff(inside) > 0).all()
+
+
+def test_places_are_not_sorted(monkeypatch):
+    def values_only(ar, return_index=False, **more):
+        assert not return_index or len(ar) <= R.PAIRS_PER_ROUND * 64
+        return unique(ar, return_index=return_index, **more)
+    ids = np.random.default_rng(1).integers(0, 40, 300_000).astype(np.uint32)
+    unique = np.unique
+    monkeypatch.setattr(R.np, "unique", values_only)
+    assert (R.Grammar(R.compress(ids)).ids() == ids).all()
+
+
 def brute(rows):
     out, start = [], 0
     for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0])):

@@ -35,12 +35,13 @@ MULTI = "byte_bpe_multi_50k.tiktoken"
 TABLE_BITS = 20
 #: Bytes that are hashed, and texts' bytes that are encoded, at once.
 SLAB, ENCODED = 1 << 17, 1_000_000
+#: Bytes of the longest word that is mapped to characters here.
+WORD_BYTES = 256
 # ASCII white space, the second bytes of white space after C2, and lead bytes of wide white space.
 _BLANK, _BLANK2, _WIDE = (np.isin(np.arange(256), v) for v in ([*range(9, 14), *range(28, 33)], [0x85, 0xA0], [0xE1, 0xE2, 0xE3]))
 _GAP, _ALPHA = (np.isin(np.arange(256), v) for v in ([10, 32], [*range(65, 91), *range(97, 123)]))
 _PUNCT = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
 _LETTER2 = np.array([0x80 <= c < 0xC0 and c not in (0x97, 0xB7) for c in range(256)])
-_WORD = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
 _RUN = re.compile(rb"[ \n][!-~\xc3-\xdf](?:[!-~\x80-\xff]*[!-~])?").fullmatch
 POWERS = tuple(map(Powers, (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)))
 
@@ -128,8 +129,8 @@ class ByteBPE:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(by_id), np.uint8)
         self.leads = np.fromiter((t[:1] in (b" ", b"\n") for t in by_id), bool, size)
-        self.merger, self.space = self._merger(self.tok), chars[32]
-        self.shown = {b: c for b, c in enumerate(chars) if b != 32}
+        self.merger = self._merger(self.tok)
+        self.codes = np.array([ord(c) for c in chars], "<u4")
         self._forget()
 
     @staticmethod
@@ -179,18 +180,47 @@ class ByteBPE:
         cut[offsets] = True
         return np.flatnonzero(cut[:n])
 
+    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, str]:
+        """Kind 2 of the parts that are a space and letters (ASCII, or two bytes from
+        C3 on) of WORD_BYTES at most, 0 of the others; and the words in byte
+        characters, a space before each."""
+        kind = np.zeros(len(starts), np.int8)
+        short = np.flatnonzero((data[starts] == 32) & (ends - starts > 1) & (ends - starts <= WORD_BYTES))
+        if not len(short):
+            return kind, ""
+        n = (ends - starts)[short]
+        upto = np.cumsum(n)
+        flat = data[np.arange(int(upto[-1])) + np.repeat(starts[short] - upto + n, n)]
+        # Every second byte follows a C3, and every C3 has one in its part.
+        lead, second = flat == 0xC3, _LETTER2[flat]
+        paired = lead[:-1] & second[1:]
+        paired[upto[:-1] - 1] = False
+        letter = _ALPHA[flat]
+        letter[:-1] |= paired
+        letter[1:] |= paired
+        letter[upto - n] = True
+        words = np.logical_and.reduceat(letter, upto - n)
+        kind[short[words]] = 2
+        flat = flat[np.repeat(words, n)]
+        space = flat == 32
+        to = np.arange(len(flat)) + np.cumsum(space)
+        out = np.full(len(flat) + np.count_nonzero(space), 32, "<u4")
+        out[to] = self.codes[flat]
+        return kind, out.tobytes().decode("utf-32-le")
+
     def _encode_new(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> None:
         """Adds the ids of new parts to the table. Words after a space have their
         bytes mapped to characters here and are merged by the library's model; other
         parts that begin with a space or line end and have no further white space
         are encoded as one text, in both of which a part's ids begin at the token
         that begins with its first byte. The others go one by one."""
-        parts = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        kind = np.fromiter((2 if _WORD(p) else 1 if _RUN(p) else 0 for p in parts), np.int8, len(parts))
-        words, runs = ([p for p, k in zip(parts, kind.tolist()) if k == want] for want in (2, 1))
-        shown = b"".join(words).decode("latin-1").translate(self.shown).replace(" ", " " + self.space)
-        lengths, at, pieces, total = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64), [], 0
-        for want, tok, text in ((2, self.merger, shown), (1, self.tok, b"".join(runs).decode())):
+        part = lambda i: data[starts[i]:ends[i]]
+        kind, shown = self._words(np.frombuffer(data, np.uint8), starts, ends)
+        for i in np.flatnonzero(kind == 0).tolist():
+            kind[i] = bool(_RUN(part(i)))
+        runs = b"".join(map(part, np.flatnonzero(kind == 1).tolist())).decode()
+        lengths, at, pieces, total = np.empty(len(kind), np.int64), np.empty(len(kind), np.int64), [], 0
+        for want, tok, text in ((2, self.merger, shown), (1, self.tok, runs)):
             ids = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             lead = np.flatnonzero(self.leads[ids])
             of = kind == want
@@ -200,7 +230,7 @@ class ByteBPE:
             lengths[of], at[of] = np.diff(np.append(lead, len(ids))), total + lead
             pieces.append(ids)
             total += len(ids)
-        alone = self.tok.encode_batch_fast([p.decode() for p, k in zip(parts, kind.tolist()) if not k], add_special_tokens=False)
+        alone = self.tok.encode_batch_fast([part(i).decode() for i in np.flatnonzero(kind == 0).tolist()], add_special_tokens=False)
         sizes = np.array([len(e.ids) for e in alone], np.int64)
         lengths[kind == 0], at[kind == 0] = sizes, total + np.cumsum(sizes) - sizes
         pieces.append(np.array([i for e in alone for i in e.ids], np.uint32))
