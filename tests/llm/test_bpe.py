@@ -135,3 +135,18 @@ def test_words_after_a_space_are_told_without_a_match_each(monkeypatch, referenc
 def test_parts_of_letters_and_others(reference, parts):
     MODEL._forget()
     assert MODEL.encode(" ".join(parts)).tolist() == reference.encode_ordinary(" ".join(parts))
+
+
+def test_parts_seen_again_stay_in_a_full_memory(monkeypatch, reference):
+    model = B.ByteBPE(PATH)
+    letters = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    common = [f" both{letters(i)}" for i in range(40)]
+    texts = ["".join(common + [f" rare{letters(1000 * b + i)}é," for i in range(100)]) for b in range(6)]
+    monkeypatch.setattr(B, "CACHE_WORDS", 300)
+    new = []
+    monkeypatch.setattr(model, "_encode_new", lambda d, s, e, run=model._encode_new: new.append([d[a:b] for a, b in zip(s.tolist(), e.tolist())]) or run(d, s, e))
+    for t in texts + texts[-1:]:
+        assert model.encode(t).tolist() == reference.encode_ordinary(t)
+        assert len(model.part_starts) == len(model.part_lengths) == len(model.second) == len(model.again)
+    assert sum(p.startswith(b" both") for batch in new for p in batch) == 40
+    assert len(model.part_starts) < 500

@@ -241,7 +241,7 @@ class ByteBPE:
     def encode_arrow(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text, unsigned 32-bit; NULL is empty."""
         if len(self.part_starts) > CACHE_WORDS or len(self.part_ids) > 6 * CACHE_WORDS:
-            self._forget()
+            self._keep_used()
         held = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
         raw = b"".join(held)
         if any(t in raw for t in self.special) and any(t in h for h in held for t in self.special):
@@ -256,6 +256,7 @@ class ByteBPE:
         one |= np.uint64(1)  # 0 marks a free cell
         number = self.numbers.find(one)
         new = np.flatnonzero(number < 0)
+        self.again[number[number >= 0]] = True
         if len(new):
             keys, first = np.unique(one[new], return_index=True)
             which = new[first]
@@ -266,6 +267,7 @@ class ByteBPE:
                 return self.encode_arrow(texts)
             self.numbers.add(keys, len(self.part_starts))
             self.second = np.concatenate([self.second, two[which]])
+            self.again = np.append(self.again, np.zeros(len(keys), bool))
             self._encode_new(raw, starts[which], ends[which])
             number[new] = self.numbers.find(one[new])
         n = self.part_lengths[number]
@@ -294,8 +296,25 @@ class ByteBPE:
             out.append(np.concatenate(ids))
         return out
 
+    def _keep_used(self) -> None:
+        """Forgets the parts that no batch after their first one had, or all parts
+        where those that stay would be more than half of what may be remembered."""
+        held, kept = self.numbers, np.flatnonzero(self.again)
+        second, ids, n, at = self.second[kept], self.part_ids, self.part_lengths[kept], self.part_starts[kept]
+        self._forget()
+        upto = np.cumsum(n)
+        if not len(kept) or len(kept) > CACHE_WORDS // 2 or upto[-1] > 3 * CACHE_WORDS:
+            return
+        cells = np.flatnonzero(held.keys)
+        keys = np.zeros(1 << TABLE_BITS, np.uint64)
+        keys[held.numbers[cells]] = held.keys[cells]
+        self.numbers.add(keys[kept], 0)
+        self.second, self.again = second, np.zeros(len(kept), bool)
+        self.part_ids = ids[np.arange(int(upto[-1])) + np.repeat(at - upto + n, n)]
+        self.part_starts, self.part_lengths = upto - n, n
+
     def _forget(self) -> None:
-        self.numbers = PartNumbers()
+        self.numbers, self.again = PartNumbers(), np.empty(0, bool)
         self.second, self.part_ids = np.empty(0, np.uint64), np.empty(0, np.uint32)
         self.part_starts, self.part_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
